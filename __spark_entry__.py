@@ -560,7 +560,8 @@ def _outlier_sql(c: str, src: str, k: float = 3.0) -> str:
 def q_outlier_count(spark, sf):
     df = _t(spark, sf, "events")
     stats = K.numeric_stats(df, ["value", "user_id"])
-    return _results(K.run_checks(df, [K.outliers(df, "value", stats=stats), K.outliers(df, "user_id", stats=stats)]))
+    return _results(K.run_checks(df, [K.outliers(df, "value", stats=stats),
+                                      K.outliers(df, "user_id", stats=stats)]))
 
 
 @_query("outlier_count_documents", _outlier_sql("n_chars", "documents"))
@@ -628,19 +629,18 @@ def q_profile(spark, sf):
     return _round(PR.profile(_t(spark, sf, "customer")))
 
 
-def _qr_sql() -> str:
-    src = "orders"
+def _qr_sql(src: str, cols: list[str], numeric: set[str], stamps: set[str], lo: str, hi: str) -> str:
     parts = []
-    for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]:
+    for c in cols:
         parts.append(f"""SELECT '{c}' AS "column", 'null_count' AS metric,
             CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) AS value FROM {src}""")
-        if c == "o_orderdate":
+        if c in stamps:
             parts.append(f"""SELECT '{c}' AS "column", 'timestamp_issues' AS metric,
-                CAST(count(*) FILTER (WHERE {c} IS NULL OR {c} < TIMESTAMP '1996-01-01 00:00:00'
-                                      OR {c} > TIMESTAMP '2001-01-01 00:00:00') AS DOUBLE) AS value FROM {src}""")
+                CAST(count(*) FILTER (WHERE {c} IS NULL OR {c} < TIMESTAMP '{lo}'
+                                      OR {c} > TIMESTAMP '{hi}') AS DOUBLE) AS value FROM {src}""")
             parts.append(f"""SELECT '{c}' AS "column", 'format_issues' AS metric,
                 CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) AS value FROM {src}""")
-        if c in ("o_orderkey", "o_custkey", "o_totalprice"):
+        if c in numeric:
             x = f"CAST({c} AS DOUBLE)"
             parts.append(f"""SELECT '{c}' AS "column", 'outlier_issues' AS metric,
                 CAST(count(*) FILTER (WHERE {x} > (SELECT avg({x}) + 3.0 * stddev_samp({x}) FROM {src})
@@ -654,12 +654,25 @@ def _qr_sql() -> str:
     return _union(*parts)
 
 
-@_query("quality_report", _qr_sql())
+_ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@_query("quality_report", _qr_sql("orders", _ORDERS_COLS, {"o_orderkey", "o_custkey", "o_totalprice"},
+                                  {"o_orderdate"}, "1996-01-01 00:00:00", "2001-01-01 00:00:00"))
 def q_quality_report(spark, sf):
     rep = PR.quality_report(_t(spark, sf, "orders"), ts_lo="1996-01-01 00:00:00", ts_hi="2001-01-01 00:00:00")
     return rep.withColumn("value", F.round("value", 6))
 
 
+@_query("quality_report_lineitem", _qr_sql("lineitem", _LI_COLS, set(_LI_COLS[:8]), {"l_shipdate"},
+                                           "1900-01-01 00:00:00", "2000-01-01 00:00:00"))
+def q_quality_report_lineitem(spark, sf):
+    rep = PR.quality_report(_t(spark, sf, "lineitem"), ts_hi="2000-01-01 00:00:00")
+    return rep.withColumn("value", F.round("value", 6))
+
+
 # ===========================================================================
 # 5. cleaning
 
@@ -791,8 +804,8 @@ def q_density(spark, sf):
 
 
 @_query("box_stats", """
-WITH q AS (SELECT quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.5) AS q2,
-                  quantile_disc(value, 0.75) AS q3 FROM events),
+WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS q2,
+                  quantile_cont(value, 0.75) AS q3 FROM events),
 f AS (SELECT q1, q2, q3, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
 SELECT 'value' AS "column", round(q1, 6) AS q1, round(q2, 6) AS median, round(q3, 6) AS q3,
        round(min(value) FILTER (WHERE value >= lo), 6) AS lower_whisker,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,9 +21,20 @@ def stat_struct(c: Column, dt: T.DataType) -> Column:
     return F.struct(F.avg(x).alias("mean"), F.stddev(x).alias("stddev"))
 
 
-def sigma_outlier(x: Column, mean: Column, stddev: Column, k: float) -> Column:
-    """Strictly outside ``mean ± k·stddev``; NULL bounds (no data, one row) flag nothing."""
-    return (x > mean + F.lit(k) * stddev) | (x < mean - F.lit(k) * stddev)
+def sigma_bounds(stats: dict, k: float) -> tuple[float | None, float | None]:
+    """``mean ∓ k·stddev`` from ``column_stats`` values; ``None`` when undefined."""
+    m, s = stats.get("mean"), stats.get("stddev")
+    if m is None or s is None:
+        return None, None
+    return m - k * s, m + k * s
+
+
+def sigma_outlier(x: Column, stats: dict, k: float) -> Column:
+    """Strictly outside ``mean ± k·stddev``; no bounds (no data, one row) flag nothing."""
+    lo, hi = sigma_bounds(stats, k)
+    if lo is None:
+        return F.lit(False)
+    return (x > lit_double(hi)) | (x < lit_double(lo))
 
 
 def pair_complete(x: Column, y: Column) -> tuple[Column, Column]:
@@ -35,3 +46,27 @@ def pair_complete(x: Column, y: Column) -> tuple[Column, Column]:
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation, NULL for a constant column instead of a division error."""
     return F.try_divide(F.covar_samp(x, y), F.stddev(x) * F.stddev(y))
+
+
+def column_stats(df: DataFrame, names: list[str]) -> dict[str, dict]:
+    """mean, sample stddev, min, max and count of numeric columns in **one** small job.
+
+    Returns ``{column: {"mean", "stddev", "min", "max", "count"}}`` (Python numbers,
+    ``None`` where undefined). Only this one row of statistics reaches the driver; the
+    values then go back into plans as literals, so later filters can be pushed to the
+    scan and no per-row subquery lookup is needed.
+    """
+    if not names:
+        return {}
+    aggs = []
+    for i, n in enumerate(names):
+        x = as_double(F.col("`" + n.replace("`", "``") + "`"), df.schema[n].dataType)
+        aggs += [F.avg(x).alias(f"m{i}"), F.stddev(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
+                 F.max(x).alias(f"hi{i}"), F.count(x).alias(f"n{i}")]
+    row = df.agg(*aggs).first()
+    return {n: {"mean": row[f"m{i}"], "stddev": row[f"s{i}"], "min": row[f"lo{i}"], "max": row[f"hi{i}"],
+                "count": row[f"n{i}"]} for i, n in enumerate(names)}
+
+
+def lit_double(v) -> Column:
+    return F.lit(None if v is None else float(v)).cast("double")

@@ -1,10 +1,9 @@
 """Cleaning operators: missing values and outliers.
 
-Statistics the cleaning needs (means, standard deviations) are computed by a one-row
-aggregate that is attached as a scalar subquery: the plan stays lazy, the aggregate is
-executed once per query (Spark reuses identical subqueries) and nothing but one row of
-numbers reaches the driver. No cross join and no ``avg() over ()`` window, which would
-move every row into a single task.
+Statistics the cleaning needs (means, standard deviations) come from one small
+aggregate job over all listed columns; only that one row of numbers reaches the driver
+and goes back into the plan as literals (so range filters push down to the scan). No
+cross join and no ``avg() over ()`` window, which would move every row into one task.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import types as TY
 from ..functions.names import col, resolve
 from ..functions.predicates import is_missing
-from ..functions.stats import as_double, stat_struct
+from ..functions.stats import as_double, column_stats, lit_double, sigma_bounds
 
 
 def _as_list(x) -> list | None:
@@ -104,38 +103,32 @@ def _numeric(df: DataFrame, columns) -> list[str]:
     return names
 
 
-def _stats_subquery(df: DataFrame, names: list[str]) -> Column:
-    """One scalar subquery holding mean/stddev of every column: ``s[name].mean``."""
-    row = F.struct(*[stat_struct(col(n), df.schema[n].dataType).alias(n) for n in names])
-    return df.select(row.alias("s")).scalar()
-
-
 def impute_mean(df: DataFrame, columns=None) -> DataFrame:
     """Replace missing values (NULL, NaN) of numeric columns with the column mean.
 
-    The mean is taken over the non-missing values and cast back to the column type
-    (truncated for integers, rounded for decimals). A column with no value at all stays
-    as it is.
+    The means of all columns come from one small aggregate job and are filled in as
+    literals, cast back to the column type (truncated for integers, rounded for
+    decimals). A column with no value at all stays as it is.
     """
     names = _numeric(df, columns)
     if not names:
         return df
-    stats = _stats_subquery(df, names)
+    stats = column_stats(df, names)
     repl = {}
     for n in names:
         dt = df.schema[n].dataType
+        mean = stats[n]["mean"]
+        if mean is None:
+            continue
         present = F.nanvl(col(n), F.lit(None).cast(dt)) if TY.is_floating(dt) else col(n)
-        repl[n] = F.coalesce(present, stats.getField(n).getField("mean").cast(dt))
-    return df.withColumns(repl)
+        repl[n] = F.coalesce(present, lit_double(mean).cast(dt))
+    return df.withColumns(repl) if repl else df
 
 
-def _keep(x: Column, raw: Column, dt: T.DataType, st: Column, k: float, drop_null: bool) -> Column:
-    lo = st.getField("mean") - F.lit(k) * st.getField("stddev")
-    hi = st.getField("mean") + F.lit(k) * st.getField("stddev")
-    within = x.between(lo, hi)
-    no_bounds = lo.isNull() | hi.isNull()
+def _keep(x: Column, raw: Column, dt: T.DataType, st: dict, k: float, drop_null: bool) -> Column:
+    lo, hi = sigma_bounds(st, k)
+    keep = F.lit(True) if lo is None else F.coalesce(x.between(lit_double(lo), lit_double(hi)), F.lit(False))
     missing = is_missing(raw, dt)
-    keep = F.coalesce(within, F.lit(False)) | no_bounds
     if drop_null:
         return ~missing & keep
     return missing | keep
@@ -145,28 +138,30 @@ def remove_outliers(df: DataFrame, columns=None, k: float = 3.0, sequential: boo
                     drop_null: bool = False) -> DataFrame:
     """Keep rows with every listed column inside ``mean ± k·stddev`` (bounds included).
 
-    Default: all bounds come from one pass over the input and missing values are kept.
-    ``sequential=True`` recomputes each column's bounds after the previous column's
-    filter, and ``drop_null=True`` drops rows with a missing value, which together give the
+    Default: the bounds of all columns come from one small aggregate job over the input
+    and missing values are kept. ``sequential=True`` recomputes each column's bounds
+    after the previous column's filter (one small job per column), and
+    ``drop_null=True`` drops rows with a missing value, which together give the
     column-by-column behaviour of a loop of filters. Columns without bounds (no values,
-    one value) remove nothing.
+    one value) remove nothing. The bounds are literals, so the range filter can be
+    pushed down to the scan.
     """
     names = _numeric(df, columns)
     if not names:
         return df
     if not sequential:
-        st = _stats_subquery(df, names)
+        stats = column_stats(df, names)
         cond = None
         for n in names:
             dt = df.schema[n].dataType
-            c = _keep(as_double(col(n), dt), col(n), dt, st.getField(n), k, drop_null)
+            c = _keep(as_double(col(n), dt), col(n), dt, stats[n], k, drop_null)
             cond = c if cond is None else cond & c
         return df.filter(cond)
     out = df
     for n in names:
         dt = out.schema[n].dataType
-        st = _stats_subquery(out, [n])
-        out = out.filter(_keep(as_double(col(n), dt), col(n), dt, st.getField(n), k, drop_null))
+        st = column_stats(out, [n])[n]
+        out = out.filter(_keep(as_double(col(n), dt), col(n), dt, st, k, drop_null))
     return out
 
 

@@ -1,13 +1,12 @@
 """Data checks (V1-V11) fused into as few Spark jobs as possible.
 
 A check is a small spec: either a row predicate that is TRUE for a failing row, or a
-key whose repeated values fail (uniqueness, duplicates). ``run_checks`` puts every spec
-of a list into **one** aggregation over the input: ``count_if`` per predicate, and
-``count(DISTINCT struct(key))`` for key checks. Predicate checks alone are one scan
-with a map-side partial aggregate; a key check adds one shuffle on the key, in which
-the other counts travel as partial aggregates, so there is no second scan. Checks
-that need statistics of the data (kσ outliers) read them from a scalar subquery that
-Spark runs once.
+key whose repeated values fail (uniqueness, duplicates). ``run_checks`` puts every
+predicate check of a list into **one** aggregation over the input (``count_if`` per
+predicate: one scan, a map-side partial count per task, one row per task to merge).
+Each key check is a ``groupBy(key).count()`` branch whose shuffle carries only the key
+and a count (repeated keys collapse before the shuffle). Checks that need statistics
+of the data (kσ outliers) get them from one small aggregate job first, as literals.
 
 The result is a DataFrame with ``RESULT_SCHEMA`` rows (one per check), never a raised
 exception: see ``results.raise_on_failure`` / ``results.alerts`` for those uses.
@@ -24,7 +23,7 @@ from pyspark.sql import types as T
 from ..functions import predicates as P
 from ..functions import types as TY
 from ..functions.names import col, resolve
-from ..functions.stats import as_double, sigma_outlier, stat_struct
+from ..functions.stats import as_double, column_stats, sigma_outlier
 from .results import RESULT_SCHEMA
 
 
@@ -138,22 +137,25 @@ def timestamp_checks(df: DataFrame, lo="1900-01-01 00:00:00", hi=None,
     return out
 
 
-def numeric_stats(df: DataFrame, names: list[str]) -> Column:
-    """Scalar subquery with ``{column: {mean, stddev}}`` (NaN treated as missing)."""
-    row = F.struct(*[stat_struct(col(n), df.schema[n].dataType).alias(n) for n in names])
-    return df.select(row.alias("s")).scalar()
+def numeric_stats(df: DataFrame, names: list[str]) -> dict[str, dict]:
+    """mean/stddev/min/max/count of numeric columns from one small job (see ``column_stats``)."""
+    for n in names:
+        TY.require(df, n, TY.is_numeric, "numeric")
+    return column_stats(df, list(names))
 
 
-def outliers(df: DataFrame, column: str, n_std_dev: float = 3.0, stats: Column | None = None) -> Check:
+def outliers(df: DataFrame, column: str, n_std_dev: float = 3.0, stats: dict | None = None) -> Check:
     """Values strictly outside ``mean ± n_std_dev · sample stddev``.
 
-    NaN is treated as missing for the statistics and never flagged; with no bounds
-    (no values or one value) nothing is flagged.
+    The statistics come from one small aggregate job (pass ``stats`` from
+    ``numeric_stats`` to share it between checks); the bounds enter the check as
+    literals. NaN is treated as missing for the statistics and never flagged; with no
+    bounds (no values or one value) nothing is flagged.
     """
     n = resolve(df, column)
     dt = TY.require(df, n, TY.is_numeric, "numeric")
-    st = (stats if stats is not None else numeric_stats(df, [n])).getField(n)
-    bad = sigma_outlier(as_double(col(n), dt), st.getField("mean"), st.getField("stddev"), n_std_dev)
+    st = (stats if stats is not None else numeric_stats(df, [n]))[n]
+    bad = sigma_outlier(as_double(col(n), dt), st, n_std_dev)
     return Check("outliers", n, "outlier_count", bad=bad,
                  description=f"Column {n} has values beyond {n_std_dev} standard deviations")
 
@@ -161,45 +163,66 @@ def outliers(df: DataFrame, column: str, n_std_dev: float = 3.0, stats: Column |
 # ---------------------------------------------------------------------------
 # execution
 
-def _failing_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("__total")]
-    for i, ch in enumerate(checks):
-        if ch.bad is not None:
-            aggs.append(F.count_if(ch.bad).alias(f"__f{i}"))
-        else:
-            bad = [c for c in ch.distinct_of if not TY.is_orderable(df.schema[c].dataType)]
-            if bad:
-                raise ValueError(f"duplicate checks cannot use map columns {bad}")
-            distinct = F.count_distinct(F.struct(*[col(c) for c in ch.distinct_of]))
-            aggs.append((F.count(F.lit(1)) - distinct).alias(f"__f{i}"))
-    return df.agg(*aggs)
+def _result_row(ch: Check, failing, total):
+    failing = failing.cast("long")
+    fail = failing > 0
+    return F.struct(
+        F.lit(ch.check).alias("check"),
+        F.lit(ch.column).cast("string").alias("column"),
+        F.lit(ch.metric).alias("metric"),
+        failing.alias("failing"),
+        total.cast("long").alias("total"),
+        F.try_divide(failing.cast("double"), total.cast("double")).alias("value"),
+        F.when(fail, F.lit("fail")).otherwise(F.lit("pass")).alias("status"),
+        F.when(fail, F.lit(ch.severity)).otherwise(F.lit("info")).alias("severity"),
+        F.concat(F.lit(f"{ch.description or ch.check}: "), failing.cast("string"), F.lit(" of "),
+                 total.cast("string"), F.lit(" rows")).alias("message"),
+    )
+
+
+def key_counts(df: DataFrame, key: tuple[str, ...] | list[str]) -> DataFrame:
+    """One row ``(total, distinct_keys)``: rows and distinct values of ``key`` (NULL is a value).
+
+    ``groupBy(key).count()`` followed by a global sum: the map-side partial aggregate
+    collapses repeated keys before the shuffle (a key holding a third of the rows costs
+    one row per task), and the shuffle carries only the key and a count.
+    """
+    bad = [c for c in key if not TY.is_orderable(df.schema[c].dataType)]
+    if bad:
+        raise ValueError(f"duplicate checks cannot use map columns {bad}")
+    per_key = df.groupBy(*[col(c) for c in key]).agg(F.count(F.lit(1)).alias("__n"))
+    return per_key.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("total"),
+                       F.count(F.lit(1)).alias("distinct_keys"))
 
 
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Run all checks in one aggregation; one ``RESULT_SCHEMA`` row per check."""
+    """Run all checks; one ``RESULT_SCHEMA`` row per check.
+
+    All predicate checks share **one** aggregation (one scan, map-side partial counts, a
+    single row per task to merge). Each key check (uniqueness / duplicates) is one
+    ``key_counts`` branch. The branches are unioned into one result.
+    """
     checks = [c for item in checks for c in (item if isinstance(item, list) else [item])]
     if not checks:
         raise ValueError("no checks given")
-    counts = _failing_counts(df, checks)
-    total = F.col("__total")
-    rows = []
-    for i, ch in enumerate(checks):
-        failing = F.col(f"__f{i}").cast("long")
-        fail = failing > 0
-        rows.append(F.struct(
-            F.lit(ch.check).alias("check"),
-            F.lit(ch.column).cast("string").alias("column"),
-            F.lit(ch.metric).alias("metric"),
-            failing.alias("failing"),
-            total.alias("total"),
-            F.try_divide(failing.cast("double"), total.cast("double")).alias("value"),
-            F.when(fail, F.lit("fail")).otherwise(F.lit("pass")).alias("status"),
-            F.when(fail, F.lit(ch.severity)).otherwise(F.lit("info")).alias("severity"),
-            F.concat(F.lit(f"{ch.description or ch.check}: "), failing.cast("string"), F.lit(" of "),
-                     total.cast("string"), F.lit(" rows")).alias("message"),
-        ))
-    out = counts.select(F.inline(F.array(*rows)))
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in RESULT_SCHEMA.fields])
+    branches = []
+    preds = [(i, c) for i, c in enumerate(checks) if c.bad is not None]
+    if preds:
+        counts = df.agg(F.count(F.lit(1)).alias("__total"),
+                        *[F.count_if(c.bad).alias(f"__f{i}") for i, c in preds])
+        branches.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("__order"), _result_row(c, F.col(f"__f{i}"), F.col("__total")).alias("r"))
+            for i, c in preds]))))
+    for i, c in enumerate(checks):
+        if c.distinct_of is not None:
+            kc = key_counts(df, c.distinct_of)
+            branches.append(kc.select(F.lit(i).alias("__order"),
+                                      _result_row(c, F.col("total") - F.col("distinct_keys"),
+                                                  F.col("total")).alias("r")))
+    out = branches[0]
+    for b in branches[1:]:
+        out = out.unionByName(b)
+    return out.select(*[F.col("r").getField(f.name).cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA.fields])
 
 
 def failing_rows(df: DataFrame, check: Check, n: int = 20, order_by=None) -> DataFrame:

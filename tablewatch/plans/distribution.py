@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions import types as TY
 from ..functions.names import col, resolve
-from ..functions.stats import as_double, pair_complete, safe_corr
+from ..functions.stats import as_double, column_stats, lit_double, pair_complete, safe_corr
 from .profile import DEFAULT_ACCURACY
+from .quantiles import exact_quantiles
 
 
 def _numeric(df: DataFrame, columns) -> list[str]:
@@ -65,42 +66,43 @@ def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.array(*cells)))
 
 
-def _range_stats(df: DataFrame, names: list[str]) -> Column:
-    return df.select(F.struct(*[
-        F.struct(F.min(_x(df, n)).alias("lo"), F.max(_x(df, n)).alias("hi"),
-                 F.count(_x(df, n)).alias("n"), F.stddev(_x(df, n)).alias("sd")).alias(n)
-        for n in names]).alias("s")).scalar()
-
-
 def histogram(df: DataFrame, columns=None, bins: int = 10) -> DataFrame:
     """R2: equal-width bins between each column's min and max.
 
     ``(column, bucket, lower, upper, count)``; bucket 1..bins, the max value falls in the
     last bucket, a constant column has everything in bucket 1, missing values are not
-    counted and empty buckets have no row. Two passes: min/max (scalar subquery), then
-    one hash aggregation on (column, bucket) with a map-side partial step.
+    counted and empty buckets have no row. Two passes: min/max of all columns (one small
+    job), then one hash aggregation on (column, bucket) whose map-side partial step
+    leaves at most ``bins`` rows per column and task to shuffle.
     """
     if bins < 1:
         raise ValueError("bins must be >= 1")
     names = _numeric(df, columns)
-    st = _range_stats(df, names)
+    stats = column_stats(df, names)
     n_b = F.lit(bins)
-    items = []
+    items, lower, upper = [], {}, {}
     for n in names:
-        lo, hi = st.getField(n).getField("lo"), st.getField(n).getField("hi")
-        x = _x(df, n)
-        raw = F.floor(F.try_divide(x - lo, hi - lo) * n_b).cast("long") + 1
-        bucket = F.when(x.isNull(), None).when(hi == lo, F.lit(1).cast("long")).otherwise(
-            F.least(raw, n_b.cast("long")))
+        lo, hi = stats[n]["min"], stats[n]["max"]
+        if lo is None:
+            continue
+        lo_c, hi_c, x = lit_double(lo), lit_double(hi), _x(df, n)
+        if hi == lo:
+            bucket = F.when(x.isNotNull(), F.lit(1).cast("long"))
+        else:
+            raw = F.floor((x - lo_c) / (hi_c - lo_c) * n_b).cast("long") + 1
+            bucket = F.when(x.isNotNull(), F.least(raw, n_b.cast("long")))
         items.append(F.struct(F.lit(n).alias("column"), bucket.alias("bucket")))
+        width = (hi_c - lo_c) / n_b
+        lower[n] = lo_c + (F.col("bucket") - 1) * width
+        upper[n] = lo_c + F.col("bucket") * width
+    if not items:
+        return df.sparkSession.createDataFrame([], "column string, bucket bigint, lower double, upper double, "
+                                                   "count bigint")
     counted = (df.select(F.explode(F.array(*items)).alias("p")).select("p.column", "p.bucket")
                .filter(F.col("bucket").isNotNull())
                .groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("count")))
-    width = {n: (st.getField(n).getField("hi") - st.getField(n).getField("lo")) / n_b for n in names}
-    lower = _case(F.col("column"), {n: st.getField(n).getField("lo") + (F.col("bucket") - 1) * width[n]
-                                    for n in names})
-    upper = _case(F.col("column"), {n: st.getField(n).getField("lo") + F.col("bucket") * width[n] for n in names})
-    return counted.select("column", "bucket", lower.alias("lower"), upper.alias("upper"), "count")
+    return counted.select("column", "bucket", _case(F.col("column"), lower).alias("lower"),
+                          _case(F.col("column"), upper).alias("upper"), "count")
 
 
 def density_curve(df: DataFrame, columns=None, points: int = 50) -> DataFrame:
@@ -114,58 +116,61 @@ def density_curve(df: DataFrame, columns=None, points: int = 50) -> DataFrame:
     if points < 2:
         raise ValueError("points must be >= 2")
     names = _numeric(df, columns)
-    st = _range_stats(df, names)
+    stats = column_stats(df, names)
     norm = 1.0 / math.sqrt(2.0 * math.pi)
-    # Per row, the distance to the first grid point in bandwidths (d) and the grid step in
-    # bandwidths (s, a constant) are projected once; grid point j is then d - j*s. Each of
-    # the ``points`` sums is a few instructions on plain columns, which keeps whole-stage
-    # codegen within the JVM method size limit. The constants travel through the same
-    # aggregate (``max`` of a constant column) to label the grid.
-    pre = []
-    for i, n in enumerate(names):
-        s = st.getField(n)
-        lo, hi, cnt, sd = s.getField("lo"), s.getField("hi"), s.getField("n"), s.getField("sd")
-        h = sd * F.pow(cnt.cast("double"), F.lit(-0.2))
-        inv_h = F.when(h > 0, F.lit(1.0) / h)
-        step = (hi - lo) / F.lit(points - 1)
-        pre += [((_x(df, n) - lo) * inv_h).alias(f"d{i}"), (step * inv_h).alias(f"s{i}"),
-                lo.alias(f"lo{i}"), step.alias(f"st{i}"), (F.lit(norm) * inv_h / cnt.cast("double")).alias(f"c{i}")]
-    scaled = df.select(*pre)
     aggs, structs = [], []
     for i, n in enumerate(names):
-        d, s_step = F.col(f"d{i}"), F.col(f"s{i}")
-        aggs += [F.max(f"lo{i}").alias(f"lo{i}"), F.max(f"st{i}").alias(f"st{i}"), F.max(f"c{i}").alias(f"c{i}")]
+        st = stats[n]
+        lo, hi, cnt, sd = st["min"], st["max"], st["count"], st["stddev"]
+        h = sd * cnt ** -0.2 if sd and cnt else None
+        step = (hi - lo) / (points - 1) if lo is not None else None
+        x = _x(df, n)
         for j in range(points):
-            z = d - F.lit(float(j)) * s_step
-            aggs.append(F.sum(F.exp(F.lit(-0.5) * z * z)).alias(f"k{i}_{j}"))
-            structs.append(F.struct(F.lit(n).alias("column"), F.lit(j).alias("point"),
-                                    (F.col(f"lo{i}") + F.lit(float(j)) * F.col(f"st{i}")).alias("x"),
-                                    (F.col(f"k{i}_{j}") * F.col(f"c{i}")).alias("density")))
-    return scaled.agg(*aggs).select(F.inline(F.array(*structs)))
-
-
-def box_stats(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, whis: float = 1.5) -> DataFrame:
+            g = lo + j * step if step is not None else None
+            if h:
+                z = (x - lit_double(g)) / lit_double(h)
+                aggs.append(F.sum(F.exp(F.lit(-0.5) * z * z)).alias(f"k{i}_{j}"))
+                dens = F.col(f"k{i}_{j}") * lit_double(norm / (cnt * h))
+            else:
+                dens = lit_double(None)
+            structs.append(F.struct(F.lit(n).alias("column"), F.lit(j).alias("point"), lit_double(g).alias("x"),
+                                    dens.alias("density")))
+    base = df.agg(*aggs) if aggs else df.agg(F.count(F.lit(1)).alias("__n"))
+    return base.select(F.inline(F.array(*structs)))
+
+
+def box_stats(df: DataFrame, columns=None, whis: float = 1.5, exact: bool = True,
+              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Box-plot statistics per column.
 
-    ``(column, q1, median, q3, lower_whisker, upper_whisker, outliers)``: quartiles from
-    ``percentile_approx``; whiskers are the most extreme values inside
-    ``[q1 - whis·IQR, q3 + whis·IQR]``; ``outliers`` counts the values outside. Quartiles
-    are a scalar subquery, the rest one aggregation.
+    ``(column, q1, median, q3, lower_whisker, upper_whisker, outliers)``. Quartiles are
+    exact and linearly interpolated (as box plots draw them) by distributed selection
+    (``quantiles.exact_quantiles``); ``exact=False`` uses ``percentile_approx`` instead.
+    Whiskers are the most extreme values inside ``[q1 - whis·IQR, q3 + whis·IQR]``;
+    ``outliers`` counts the values outside. The whiskers and counts of all columns are
+    one aggregation with the quartiles as literals.
     """
     names = _numeric(df, columns)
-    qs = df.select(F.struct(*[
-        F.percentile_approx(_x(df, n), [0.25, 0.5, 0.75], accuracy).alias(n) for n in names
-    ]).alias("q")).scalar()
+    quart = {}
+    if exact:
+        for n in names:
+            quart[n] = exact_quantiles(df, n, [0.25, 0.5, 0.75], "linear", accuracy)
+    else:
+        row = df.agg(*[F.percentile_approx(_x(df, n), [0.25, 0.5, 0.75], accuracy).alias(f"q{i}")
+                       for i, n in enumerate(names)]).first()
+        quart = {n: (row[f"q{i}"] or [None, None, None]) for i, n in enumerate(names)}
     aggs, structs = [], []
     for i, n in enumerate(names):
-        q = qs.getField(n)
-        q1, q2, q3 = q.getItem(0), q.getItem(1), q.getItem(2)
-        iqr = q3 - q1
-        lo_f, hi_f = q1 - F.lit(whis) * iqr, q3 + F.lit(whis) * iqr
+        q1, q2, q3 = quart[n]
         x = _x(df, n)
-        aggs += [F.min(F.when(x >= lo_f, x)).alias(f"lw{i}"), F.max(F.when(x <= hi_f, x)).alias(f"uw{i}"),
-                 F.count_if((x < lo_f) | (x > hi_f)).alias(f"o{i}")]
-        structs.append(F.struct(F.lit(n).alias("column"), q1.alias("q1"), q2.alias("median"), q3.alias("q3"),
-                                F.col(f"lw{i}").alias("lower_whisker"), F.col(f"uw{i}").alias("upper_whisker"),
-                                F.col(f"o{i}").cast("long").alias("outliers")))
+        if q1 is None:
+            aggs += [lit_double(None).alias(f"lw{i}"), lit_double(None).alias(f"uw{i}"),
+                     F.lit(0).cast("long").alias(f"o{i}")]
+        else:
+            lo_f, hi_f = lit_double(q1 - whis * (q3 - q1)), lit_double(q3 + whis * (q3 - q1))
+            aggs += [F.min(F.when(x >= lo_f, x)).alias(f"lw{i}"), F.max(F.when(x <= hi_f, x)).alias(f"uw{i}"),
+                     F.count_if((x < lo_f) | (x > hi_f)).alias(f"o{i}")]
+        structs.append(F.struct(F.lit(n).alias("column"), lit_double(q1).alias("q1"), lit_double(q2).alias("median"),
+                                lit_double(q3).alias("q3"), F.col(f"lw{i}").alias("lower_whisker"),
+                                F.col(f"uw{i}").alias("upper_whisker"), F.col(f"o{i}").cast("long").alias("outliers")))
     return df.agg(*aggs).select(F.inline(F.array(*structs)))

@@ -1,7 +1,7 @@
 """Profiling: counts, moments, quantiles, value counts and the whole-table quality report.
 
-Each report is one aggregation over the input (plus a scalar subquery where a second
-pass needs first-pass statistics) and comes back as a tidy DataFrame: one row per
+Each report is one aggregation over the input (plus one small statistics job where a
+second pass needs first-pass statistics) and comes back as a tidy DataFrame: one row per
 column, or per (column, metric). NaN is treated as missing for every statistic.
 Quantiles use ``percentile_approx`` (Greenwald-Khanna sketch): memory per task is
 bounded by ``accuracy``; the rank error is at most ``n / accuracy`` and the result is
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from ..functions import types as TY
 from ..functions.names import col, resolve
-from ..functions.stats import as_double, sigma_outlier, stat_struct
+from ..functions.stats import as_double, column_stats, sigma_outlier
+from .checks import key_counts
 
 DEFAULT_ACCURACY = 10000
 
@@ -144,17 +145,14 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def duplicate_count(df: DataFrame, subset=None) -> DataFrame:
     """``(total, distinct_rows, duplicate_count)`` over full rows or ``subset``.
 
-    One aggregation: ``count(*) - count(DISTINCT struct(row))``. NULLs and NaNs group
-    together as in ``distinct``; the partial step collapses repeated rows before the
-    shuffle, so one row repeated a billion times costs one row per task.
+    ``groupBy(row).count()`` then a global sum. NULLs and NaNs group together as in
+    ``distinct``; the partial step collapses repeated rows before the shuffle, so one
+    row repeated a billion times costs one row per task.
     """
     names = _names(df, subset)
-    bad = [n for n in names if not TY.is_orderable(df.schema[n].dataType)]
-    if bad:
-        raise ValueError(f"duplicate count cannot use map columns {bad}")
-    d = F.count_distinct(F.struct(*[col(n) for n in names]))
-    return df.agg(F.count(F.lit(1)).alias("total"), d.alias("distinct_rows")).select(
-        "total", "distinct_rows", (F.col("total") - F.col("distinct_rows")).alias("duplicate_count"))
+    kc = key_counts(df, names)
+    return kc.select("total", F.col("distinct_keys").alias("distinct_rows"),
+                     (F.col("total") - F.col("distinct_keys")).alias("duplicate_count"))
 
 
 def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, approx_distinct: bool = False
@@ -207,15 +205,14 @@ def quality_report(df: DataFrame, n_std_dev: float = 3.0, ts_lo="1900-01-01 00:0
     ``outlier_issues`` (beyond ``n_std_dev`` sample stddevs) and ``skewness`` for numeric
     columns; ``duplicate_count`` over full rows with ``column`` NULL.
 
-    Plan: a scalar subquery of mean/stddev per numeric column (one scan), then a
-    single aggregation for everything else. The duplicate count is the only distinct
-    aggregate, so Spark shuffles once on the row and carries the other counts as
-    partial aggregates through that shuffle.
+    Plan: one small job for mean/stddev of the numeric columns (the kσ bounds then
+    enter as literals), one aggregation for every per-column metric (one scan, one row per task to merge), and
+    the duplicate count as a separate ``groupBy(row).count()`` branch whose shuffle
+    carries only the rows and a count. The branches are unioned.
     """
     numeric = TY.columns_of(df, "numeric")
     stamps = TY.columns_of(df, "timestamp")
-    stats = (df.select(F.struct(*[stat_struct(col(n), df.schema[n].dataType).alias(n) for n in numeric])
-                       .alias("s")).scalar() if numeric else None)
+    stats = column_stats(df, numeric)
     aggs, structs = [], []
 
     def metric(name: str, metric_name: str, expr: Column):
@@ -232,17 +229,15 @@ def quality_report(df: DataFrame, n_std_dev: float = 3.0, ts_lo="1900-01-01 00:0
             metric(n, "format_issues", F.count_if(P.timestamp_text_invalid(c, dt, ts_format)))
         if n in numeric:
             x = as_double(c, dt)
-            st = stats.getField(n)
-            metric(n, "outlier_issues", F.count_if(sigma_outlier(x, st.getField("mean"), st.getField("stddev"),
-                                                                 n_std_dev)))
+            metric(n, "outlier_issues", F.count_if(sigma_outlier(x, stats[n], n_std_dev)))
             metric(n, "skewness", F.skewness(x))
+    rows = _rows(df.agg(*aggs), structs)
     if include_duplicates:
-        bad = [n for n in df.columns if not TY.is_orderable(df.schema[n].dataType)]
-        if bad:
-            raise ValueError(f"duplicate count cannot use map columns {bad}; pass include_duplicates=False")
-        dup = F.count(F.lit(1)) - F.count_distinct(F.struct(*[col(n) for n in df.columns]))
-        metric(None, "duplicate_count", dup)
-    return _rows(df.agg(*aggs), structs)
+        kc = key_counts(df, list(df.columns))
+        rows = rows.unionByName(kc.select(F.lit(None).cast("string").alias("column"),
+                                          F.lit("duplicate_count").alias("metric"),
+                                          (F.col("total") - F.col("distinct_keys")).cast("double").alias("value")))
+    return rows
 
 
 __all__ = [
