@@ -149,7 +149,8 @@ def strptime_parse(c: Column, fmt: str) -> Column:
         return F.trim(F.regexp_extract(c, regex, fields.index(d) + 1))
 
     def num(d, default):
-        return grab(d).cast("int") if d in fields else F.lit(default)
+        # try_cast: a non-matching text extracts '' (the match is checked separately)
+        return grab(d).try_cast("int") if d in fields else F.lit(default)
 
     if "Y" in fields:
         year = num("Y", 1900)
@@ -165,7 +166,7 @@ def strptime_parse(c: Column, fmt: str) -> Column:
     else:
         hour = num("H", 0)
     second = num("S", 0)
-    micros = F.rpad(grab("f"), 6, "0").cast("int") if "f" in fields else F.lit(0)
+    micros = F.rpad(grab("f"), 6, "0").try_cast("int") if "f" in fields else F.lit(0)
     seconds = (second.cast("decimal(16,6)") + micros.cast("decimal(16,6)") / F.lit(1000000)).cast("decimal(16,6)")
     ts = F.try_make_timestamp_ntz(year, num("m", 1), num("d", 1), hour, num("M", 0), seconds)
     ok = c.rlike(regex) & (second < 60) & (year >= 1)

@@ -161,7 +161,12 @@ def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, appro
 
     ``(column, data_type, nullable, rows, nulls, nans, distinct, min, max, mean, stddev,
     skewness, kurtosis, median)``; ``min``/``max`` are text so that every type fits one
-    column; moments and median are for numeric columns only. One aggregation.
+    column; moments and median (``percentile_approx``) are for numeric columns only.
+
+    Two aggregations joined on the column name (k rows each): every regular metric in
+    one pass, and the distinct counts (``distinct_counts``) in another. Mixing them in
+    one aggregate would make Spark evaluate the regular aggregates, sketches included,
+    once per distinct value.
     """
     names = _names(df, columns)
     aggs = [F.count(F.lit(1)).alias("rows")]
@@ -171,14 +176,11 @@ def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, appro
         dt, c = f.dataType, col(n)
         aggs.append(F.count_if(c.isNull()).alias(f"nu{i}"))
         aggs.append((F.count_if(F.isnan(c)) if TY.is_floating(dt) else F.lit(0)).alias(f"na{i}"))
-        orderable = TY.is_orderable(dt)
-        if orderable:
-            aggs.append((F.approx_count_distinct(c) if approx_distinct else F.count_distinct(c)).alias(f"d{i}"))
-            lo_hi = (as_double(c, dt), as_double(c, dt)) if TY.is_numeric(dt) else (c, c)
-            aggs += [F.min(lo_hi[0]).cast("string").alias(f"lo{i}"), F.max(lo_hi[1]).cast("string").alias(f"hi{i}")]
+        if TY.is_orderable(dt):
+            v = as_double(c, dt) if TY.is_numeric(dt) else c
+            aggs += [F.min(v).cast("string").alias(f"lo{i}"), F.max(v).cast("string").alias(f"hi{i}")]
         else:
-            aggs += [F.lit(None).cast("long").alias(f"d{i}"), F.lit(None).cast("string").alias(f"lo{i}"),
-                     F.lit(None).cast("string").alias(f"hi{i}")]
+            aggs += [F.lit(None).cast("string").alias(f"lo{i}"), F.lit(None).cast("string").alias(f"hi{i}")]
         if TY.is_numeric(dt):
             x = as_double(c, dt)
             aggs += [F.avg(x).alias(f"m{i}"), F.stddev(x).alias(f"s{i}"), F.skewness(x).alias(f"sk{i}"),
@@ -189,11 +191,19 @@ def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, appro
             F.lit(n).alias("column"), F.lit(dt.simpleString()).alias("data_type"),
             F.lit(f.nullable).alias("nullable"), F.col("rows").cast("long").alias("rows"),
             F.col(f"nu{i}").cast("long").alias("nulls"), F.col(f"na{i}").cast("long").alias("nans"),
-            F.col(f"d{i}").cast("long").alias("distinct"), F.col(f"lo{i}").alias("min"),
-            F.col(f"hi{i}").alias("max"), F.col(f"m{i}").cast("double").alias("mean"),
+            F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"), F.col(f"m{i}").cast("double").alias("mean"),
             F.col(f"s{i}").cast("double").alias("stddev"), F.col(f"sk{i}").cast("double").alias("skewness"),
             F.col(f"ku{i}").cast("double").alias("kurtosis"), F.col(f"md{i}").cast("double").alias("median")))
-    return _rows(df.agg(*aggs), structs)
+    regular = _rows(df.agg(*aggs), structs)
+    orderable = [n for n in names if TY.is_orderable(df.schema[n].dataType)]
+    if orderable:
+        distinct = distinct_counts(df, orderable, approx=approx_distinct).select(
+            F.col("column").alias("__c"), F.col("distinct_count").alias("distinct"))
+        joined = regular.join(distinct, regular["column"] == distinct["__c"], "left")
+    else:
+        joined = regular.withColumn("distinct", F.lit(None).cast("long"))
+    return joined.select("column", "data_type", "nullable", "rows", "nulls", "nans", "distinct", "min", "max",
+                         "mean", "stddev", "skewness", "kurtosis", "median")
 
 
 def quality_report(df: DataFrame, n_std_dev: float = 3.0, ts_lo="1900-01-01 00:00:00", ts_hi=None,

@@ -23,7 +23,7 @@ from ..functions.names import col, resolve
 from ..functions.stats import as_double, lit_double
 
 DEFAULT_SKETCH_ACCURACY = 10000
-DEFAULT_COLLECT_LIMIT = 100000
+DEFAULT_COLLECT_LIMIT = 20000
 MAX_ROUNDS = 12
 
 
@@ -51,25 +51,37 @@ def _select(x_df: DataFrame, n: int, ranks: list[int], accuracy: int, collect_li
         active = [r for r in ranks if r not in answer]
         if not active:
             break
-        # finish ranks whose bracket is small enough (or a single value)
-        for r in list(active):
+        # finish ranks whose bracket is a single value, or small enough to collect; the
+        # brackets of all such ranks are collected together in one small job
+        small = []
+        for r in active:
             s = state[r]
             if s["lo"] is not None and s["lo"] == s["hi"]:
                 answer[r] = s["lo"]
             elif s["inside"] <= collect_limit:
-                cond = F.lit(True)
+                small.append(r)
+        if small:
+            cond = None
+            for r in small:
+                s = state[r]
+                c = F.lit(True)
                 if s["lo"] is not None:
-                    cond = cond & (x >= lit_double(s["lo"]))
+                    c = c & (x >= lit_double(s["lo"]))
                 if s["hi"] is not None:
-                    cond = cond & (x <= lit_double(s["hi"]))
-                vals = (x_df.filter(cond).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-                        .orderBy("x").collect())
+                    c = c & (x <= lit_double(s["hi"]))
+                cond = c if cond is None else cond | c
+            vals = sorted((row["x"], row["c"]) for row in
+                          x_df.filter(cond).groupBy("x").agg(F.count(F.lit(1)).alias("c")).collect())
+            for r in small:
+                s = state[r]
                 k = r - s["below"]
-                for row in vals:
-                    if k < row["c"]:
-                        answer[r] = row["x"]
+                for v, c in vals:
+                    if (s["lo"] is not None and v < s["lo"]) or (s["hi"] is not None and v > s["hi"]):
+                        continue
+                    if k < c:
+                        answer[r] = v
                         break
-                    k -= row["c"]
+                    k -= c
         active = [r for r in ranks if r not in answer]
         if not active:
             break
