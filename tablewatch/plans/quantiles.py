@@ -42,33 +42,38 @@ def _ranks(n: int, probs: list[float], method: str) -> list[list[int]]:
     return out
 
 
+def _in_bracket(x, s: dict):
+    c = F.lit(True)
+    if s["lo"] is not None:
+        c = c & ((x > lit_double(s["lo"])) if s["lo_open"] else (x >= lit_double(s["lo"])))
+    if s["hi"] is not None:
+        c = c & ((x < lit_double(s["hi"])) if s["hi_open"] else (x <= lit_double(s["hi"])))
+    return c
+
+
 def _select(x_df: DataFrame, n: int, ranks: list[int], accuracy: int, collect_limit: int) -> dict[int, float]:
-    """Value at each 0-based rank of the non-missing column ``x`` of ``x_df``."""
+    """Value at each 0-based rank of the non-missing column ``x`` of ``x_df``.
+
+    A bracket is ``(lo, hi)`` with open or closed ends, ``below`` values under it and
+    ``inside`` values in it. The counting pass also counts the values equal to each
+    proposed end: when the wanted rank falls on such a run the end value is the answer,
+    otherwise the ends are excluded. So a value repeated many times (a hot key) is
+    either the answer or drops out of the bracket at once.
+    """
     x = F.col("x")
-    state = {r: {"lo": None, "hi": None, "below": 0, "inside": n} for r in ranks}
+    state = {r: {"lo": None, "hi": None, "lo_open": False, "hi_open": False, "below": 0, "inside": n}
+             for r in ranks}
     answer: dict[int, float] = {}
     for _ in range(MAX_ROUNDS):
         active = [r for r in ranks if r not in answer]
         if not active:
             break
-        # finish ranks whose bracket is a single value, or small enough to collect; the
-        # brackets of all such ranks are collected together in one small job
-        small = []
-        for r in active:
-            s = state[r]
-            if s["lo"] is not None and s["lo"] == s["hi"]:
-                answer[r] = s["lo"]
-            elif s["inside"] <= collect_limit:
-                small.append(r)
+        # brackets small enough are collected together in one small job
+        small = [r for r in active if state[r]["inside"] <= collect_limit]
         if small:
             cond = None
             for r in small:
-                s = state[r]
-                c = F.lit(True)
-                if s["lo"] is not None:
-                    c = c & (x >= lit_double(s["lo"]))
-                if s["hi"] is not None:
-                    c = c & (x <= lit_double(s["hi"]))
+                c = _in_bracket(x, state[r])
                 cond = c if cond is None else cond | c
             vals = sorted((row["x"], row["c"]) for row in
                           x_df.filter(cond).groupBy("x").agg(F.count(F.lit(1)).alias("c")).collect())
@@ -76,7 +81,9 @@ def _select(x_df: DataFrame, n: int, ranks: list[int], accuracy: int, collect_li
                 s = state[r]
                 k = r - s["below"]
                 for v, c in vals:
-                    if (s["lo"] is not None and v < s["lo"]) or (s["hi"] is not None and v > s["hi"]):
+                    if s["lo"] is not None and (v < s["lo"] or (s["lo_open"] and v == s["lo"])):
+                        continue
+                    if s["hi"] is not None and (v > s["hi"] or (s["hi_open"] and v == s["hi"])):
                         continue
                     if k < c:
                         answer[r] = v
@@ -85,34 +92,35 @@ def _select(x_df: DataFrame, n: int, ranks: list[int], accuracy: int, collect_li
         active = [r for r in ranks if r not in answer]
         if not active:
             break
-        # one sketch job for all open brackets
+        # one sketch job proposes a narrower bracket for every open rank
         sketch_aggs = []
         for i, r in enumerate(active):
             s = state[r]
             m, local = s["inside"], r - s["below"]
             margin = 3.0 * m / accuracy + 2.0
             p_lo, p_hi = max(0.0, (local - margin) / m), min(1.0, (local + margin) / m)
-            inside = F.lit(True)
-            if s["lo"] is not None:
-                inside = inside & (x >= lit_double(s["lo"]))
-            if s["hi"] is not None:
-                inside = inside & (x <= lit_double(s["hi"]))
-            sketch_aggs.append(F.percentile_approx(F.when(inside, x), [p_lo, p_hi], accuracy).alias(f"q{i}"))
+            sketch_aggs.append(F.percentile_approx(F.when(_in_bracket(x, s), x), [p_lo, p_hi], accuracy)
+                               .alias(f"q{i}"))
         row = x_df.agg(*sketch_aggs).first()
         proposals = {r: row[f"q{i}"] for i, r in enumerate(active)}
-        # one counting job: values below and inside each proposed bracket
+        # one counting job: below / equal to each proposed end
         count_aggs = []
         for i, r in enumerate(active):
-            lo, hi = proposals[r]
-            count_aggs += [F.count_if(x < lit_double(lo)).alias(f"b{i}"),
-                           F.count_if((x >= lit_double(lo)) & (x <= lit_double(hi))).alias(f"n{i}")]
+            lo, hi = (lit_double(v) for v in proposals[r])
+            count_aggs += [F.count_if(x < lo).alias(f"a{i}"), F.count_if(x == lo).alias(f"b{i}"),
+                           F.count_if(x < hi).alias(f"c{i}"), F.count_if(x == hi).alias(f"d{i}")]
         row = x_df.agg(*count_aggs).first()
         for i, r in enumerate(active):
             lo, hi = proposals[r]
-            below, inside = row[f"b{i}"], row[f"n{i}"]
-            if below <= r < below + inside:
-                state[r] = {"lo": lo, "hi": hi, "below": below, "inside": inside}
-            # else: the sketch missed (not expected); keep the old bracket and retry
+            below_lo, eq_lo, below_hi, eq_hi = (row[f"{k}{i}"] for k in "abcd")
+            if below_lo <= r < below_lo + eq_lo:
+                answer[r] = lo
+            elif below_hi <= r < below_hi + eq_hi:
+                answer[r] = hi
+            elif below_lo + eq_lo <= r < below_hi:
+                state[r] = {"lo": lo, "hi": hi, "lo_open": True, "hi_open": True, "below": below_lo + eq_lo,
+                            "inside": below_hi - below_lo - eq_lo}
+            # else the sketch missed (not expected): keep the bracket and try again
     missing = [r for r in ranks if r not in answer]
     if missing:
         raise RuntimeError(f"exact quantile selection did not converge for ranks {missing}")
