@@ -33,16 +33,18 @@ def category_vocabulary(df: DataFrame, columns: list[str], max_categories: int =
                         ) -> dict[str, list]:
     """Distinct values of each column (NULL included), sorted, for all columns in one pass.
 
-    The columns are unpivoted to (column, value) and de-duplicated by a hash aggregate
-    with a map-side partial step. Only the small per-column counts and then the capped
+    One ``distinct`` per column (each reads only its column; a map-side partial step
+    collapses repeated values), unioned into one job. Only the small per-column counts and then the capped
     vocabularies reach the driver; a column with more than ``max_categories`` values
     raises ``ValueError`` rather than pulling an unbounded list to the driver.
     """
     if not columns:
         return {}
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns
-    ])).alias("p")).select("p.column", "p.value").distinct()
+    branches = [df.select(col(c).cast("string").alias("value")).distinct()
+                .select(F.lit(c).alias("column"), "value") for c in columns]
+    pairs = branches[0]
+    for b in branches[1:]:
+        pairs = pairs.unionByName(b)
     counts = {r["column"]: r["n"] for r in pairs.groupBy("column").agg(F.count("*").alias("n")).collect()}
     too_many = {c: n for c, n in counts.items() if n > max_categories}
     if too_many:

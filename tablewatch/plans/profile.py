@@ -101,40 +101,49 @@ def statistical_analysis(df: DataFrame, columns, accuracy: int = DEFAULT_ACCURAC
     return _rows(df.agg(*aggs), structs)
 
 
-def _unpivot_text(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("column"), col(n).cast("string").alias("value")) for n in names
-    ])).alias("p")).select("p.column", "p.value")
+def _union_all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def value_counts(df: DataFrame, columns=None) -> DataFrame:
-    """``(column, value, count)`` for all listed (default: string) columns in one job.
+    """``(column, value, count)`` for all listed (default: string) columns.
 
-    Columns are unpivoted to text and counted by one hash aggregate whose map-side
-    partial step collapses frequent values before the shuffle. NULL is a value.
+    One ``groupBy(value).count()`` per column, unioned into one job: each branch reads
+    only its own column from the scan, and its map-side partial step collapses frequent
+    values before the shuffle. Values are returned as text; NULL is a value.
     """
     names = _names(df, columns, "string")
     if not names:
         raise ValueError("no columns to count")
-    return _unpivot_text(df, names).groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    return _union_all([
+        df.groupBy(col(n).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
+        .select(F.lit(n).alias("column"), "value", "count") for n in names])
 
 
 def distinct_counts(df: DataFrame, columns=None, approx: bool = False, rsd: float = 0.05) -> DataFrame:
-    """``(column, non_null_count, distinct_count)`` per column in one aggregation.
+    """``(column, non_null_count, distinct_count)`` per column.
 
-    ``distinct_count`` excludes NULL. Exact counts share one shuffle (Spark expands the
-    rows once per column); ``approx=True`` uses HyperLogLog++ (no shuffle of values,
-    relative error ``rsd``), the better choice for wide tables at scale.
+    ``distinct_count`` excludes NULL. Exact counts are one single-distinct aggregation
+    per column, unioned into one job: each branch reads one column and shuffles its
+    partially de-duplicated values (no row replication across columns).
+    ``approx=True`` uses HyperLogLog++ in one pass without a shuffle (relative error
+    ``rsd``), the cheaper choice for wide tables.
     """
     names = _names(df, columns)
-    aggs, structs = [], []
-    for i, n in enumerate(names):
-        c = col(n)
-        d = F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
-        aggs += [F.count(c).alias(f"n{i}"), d.alias(f"d{i}")]
-        structs.append(F.struct(F.lit(n).alias("column"), F.col(f"n{i}").cast("long").alias("non_null_count"),
-                                F.col(f"d{i}").cast("long").alias("distinct_count")))
-    return _rows(df.agg(*aggs), structs)
+    if approx:
+        aggs, structs = [], []
+        for i, n in enumerate(names):
+            aggs += [F.count(col(n)).alias(f"n{i}"), F.approx_count_distinct(col(n), rsd).alias(f"d{i}")]
+            structs.append(F.struct(F.lit(n).alias("column"), F.col(f"n{i}").cast("long").alias("non_null_count"),
+                                    F.col(f"d{i}").cast("long").alias("distinct_count")))
+        return _rows(df.agg(*aggs), structs)
+    return _union_all([
+        df.agg(F.count(col(n)).cast("long").alias("non_null_count"),
+               F.count_distinct(col(n)).cast("long").alias("distinct_count"))
+        .select(F.lit(n).alias("column"), "non_null_count", "distinct_count") for n in names])
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
