@@ -58,12 +58,13 @@ def column_stats(df: DataFrame, names: list[str]) -> dict[str, dict]:
     """
     if not names:
         return {}
+    from . import sqltext as S
     aggs = []
     for i, n in enumerate(names):
-        x = as_double(F.col("`" + n.replace("`", "``") + "`"), df.schema[n].dataType)
-        aggs += [F.avg(x).alias(f"m{i}"), F.stddev(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}"), F.count(x).alias(f"n{i}")]
-    row = df.agg(*aggs).first()
+        x = S.as_double(n, df.schema[n].dataType)
+        aggs += [f"avg({x}) AS m{i}", f"stddev({x}) AS s{i}", f"min({x}) AS lo{i}", f"max({x}) AS hi{i}",
+                 f"count({x}) AS n{i}"]
+    row = df.agg(*[F.expr(a) for a in aggs]).first()
     return {n: {"mean": row[f"m{i}"], "stddev": row[f"s{i}"], "min": row[f"lo{i}"], "max": row[f"hi{i}"],
                 "count": row[f"n{i}"]} for i, n in enumerate(names)}
 

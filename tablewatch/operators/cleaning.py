@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import types as TY
 from ..functions.names import col, resolve
 from ..functions.predicates import is_missing
-from ..functions.stats import as_double, column_stats, lit_double, sigma_bounds
+from ..functions.stats import column_stats, lit_double, sigma_bounds
 
 
 def _as_list(x) -> list | None:
@@ -125,13 +125,22 @@ def impute_mean(df: DataFrame, columns=None) -> DataFrame:
     return df.withColumns(repl) if repl else df
 
 
-def _keep(x: Column, raw: Column, dt: T.DataType, st: dict, k: float, drop_null: bool) -> Column:
+def _keep(raw: Column, dt: T.DataType, st: dict, k: float, drop_null: bool) -> Column:
+    """Row filter for one column: inside the bounds, or missing when missing rows are kept.
+
+    The range test is a plain ``c >= lo AND c <= hi`` on the raw column, which the
+    scan can use (parquet filter pushdown and row-group skipping). NULL is not inside
+    and NaN (larger than every number) fails ``c <= hi``, so with ``drop_null`` the range
+    test alone is the filter.
+    """
     lo, hi = sigma_bounds(st, k)
-    keep = F.lit(True) if lo is None else F.coalesce(x.between(lit_double(lo), lit_double(hi)), F.lit(False))
     missing = is_missing(raw, dt)
+    if lo is None:
+        return ~missing if drop_null else F.lit(True)
+    in_range = (raw >= F.lit(lo)) & (raw <= F.lit(hi))
     if drop_null:
-        return ~missing & keep
-    return missing | keep
+        return in_range
+    return missing | in_range
 
 
 def remove_outliers(df: DataFrame, columns=None, k: float = 3.0, sequential: bool = False,
@@ -154,14 +163,14 @@ def remove_outliers(df: DataFrame, columns=None, k: float = 3.0, sequential: boo
         cond = None
         for n in names:
             dt = df.schema[n].dataType
-            c = _keep(as_double(col(n), dt), col(n), dt, stats[n], k, drop_null)
+            c = _keep(col(n), dt, stats[n], k, drop_null)
             cond = c if cond is None else cond & c
         return df.filter(cond)
     out = df
     for n in names:
         dt = out.schema[n].dataType
         st = column_stats(out, [n])[n]
-        out = out.filter(_keep(as_double(col(n), dt), col(n), dt, st, k, drop_null))
+        out = out.filter(_keep(col(n), dt, st, k, drop_null))
     return out
 
 

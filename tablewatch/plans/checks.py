@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import predicates as P
+from ..functions import sqltext as S
 from ..functions import types as TY
 from ..functions.names import col, resolve
 from ..functions.stats import as_double, column_stats, sigma_outlier
+from .fuse import fused_rows, union_all
 from .results import RESULT_SCHEMA
 
 
@@ -163,21 +165,19 @@ def outliers(df: DataFrame, column: str, n_std_dev: float = 3.0, stats: dict | N
 # ---------------------------------------------------------------------------
 # execution
 
-def _result_row(ch: Check, failing, total):
-    failing = failing.cast("long")
-    fail = failing > 0
-    return F.struct(
-        F.lit(ch.check).alias("check"),
-        F.lit(ch.column).cast("string").alias("column"),
-        F.lit(ch.metric).alias("metric"),
-        failing.alias("failing"),
-        total.cast("long").alias("total"),
-        F.try_divide(failing.cast("double"), total.cast("double")).alias("value"),
-        F.when(fail, F.lit("fail")).otherwise(F.lit("pass")).alias("status"),
-        F.when(fail, F.lit(ch.severity)).otherwise(F.lit("info")).alias("severity"),
-        F.concat(F.lit(f"{ch.description or ch.check}: "), failing.cast("string"), F.lit(" of "),
-                 total.cast("string"), F.lit(" rows")).alias("message"),
-    )
+def _result_row(ch: Check, order: int, failing: str, total: str) -> str:
+    """SQL text of one result row; ``failing`` / ``total`` are SQL over the counts row."""
+    f, t = f"CAST({failing} AS BIGINT)", f"CAST({total} AS BIGINT)"
+    return S.named_struct([
+        ("__order", str(order)),
+        ("check", S.string(ch.check)), ("column", S.string(ch.column)), ("metric", S.string(ch.metric)),
+        ("failing", f), ("total", t),
+        ("value", f"try_divide(CAST({f} AS DOUBLE), CAST({t} AS DOUBLE))"),
+        ("status", f"CASE WHEN {f} > 0 THEN 'fail' ELSE 'pass' END"),
+        ("severity", f"CASE WHEN {f} > 0 THEN {S.string(ch.severity)} ELSE 'info' END"),
+        ("message", f"concat({S.string((ch.description or ch.check) + ': ')}, CAST({f} AS STRING), ' of ', "
+                    f"CAST({t} AS STRING), ' rows')"),
+    ])
 
 
 def key_counts(df: DataFrame, key: tuple[str, ...] | list[str]) -> DataFrame:
@@ -202,7 +202,8 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """Run all checks; one ``RESULT_SCHEMA`` row per check.
 
     All predicate checks share **one** aggregation (one scan, map-side partial counts, a
-    single row per task to merge). Each key check (uniqueness / duplicates) is one
+    single row per task to merge; split in batches of ``fuse.MAX_AGGS`` on very long
+    check lists). Each key check (uniqueness / duplicates) is one
     ``key_counts`` branch. The branches are unioned into one result.
     """
     checks = [c for item in checks for c in (item if isinstance(item, list) else [item])]
@@ -211,21 +212,15 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     branches = []
     preds = [(i, c) for i, c in enumerate(checks) if c.bad is not None]
     if preds:
-        counts = df.agg(F.count(F.lit(1)).alias("__total"),
-                        *[F.count_if(c.bad).alias(f"__f{i}") for i, c in preds])
-        branches.append(counts.select(F.inline(F.array(*[
-            F.struct(F.lit(i).alias("__order"), _result_row(c, F.col(f"__f{i}"), F.col("__total")).alias("r"))
-            for i, c in preds]))))
+        branches.append(fused_rows(df, preds, lambda j, ic: (
+            [F.count_if(ic[1].bad).alias(f"__f{ic[0]}")],
+            [_result_row(ic[1], ic[0], f"__f{ic[0]}", "__total")]),
+            shared=["count(1) AS __total"]))
     for i, c in enumerate(checks):
         if c.distinct_of is not None:
             kc = key_counts(df, c.distinct_of)
-            branches.append(kc.select(F.lit(i).alias("__order"),
-                                      _result_row(c, F.col("total") - F.col("distinct_keys"),
-                                                  F.col("total")).alias("r")))
-    out = branches[0]
-    for b in branches[1:]:
-        out = out.unionByName(b)
-    return out.select(*[F.col("r").getField(f.name).cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA.fields])
+            branches.append(kc.selectExpr(f"inline(array({_result_row(c, i, 'total - distinct_keys', 'total')}))"))
+    return union_all(branches).select(*[F.col(f.name).cast(f.dataType) for f in RESULT_SCHEMA.fields])
 
 
 def failing_rows(df: DataFrame, check: Check, n: int = 20, order_by=None) -> DataFrame:

@@ -11,10 +11,12 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sqltext as S
 from ..functions import types as TY
 from ..functions.names import col, resolve
-from ..functions.stats import as_double, column_stats, lit_double, pair_complete, safe_corr
+from ..functions.stats import as_double, column_stats, lit_double
 from .profile import DEFAULT_ACCURACY
+from .fuse import fused_rows, union_all
 from .quantiles import exact_quantiles
 
 
@@ -34,14 +36,6 @@ def _x(df: DataFrame, n: str) -> Column:
     return as_double(col(n), df.schema[n].dataType)
 
 
-def _case(column_name: Column, per_column: dict[str, Column]) -> Column:
-    """Pick a per-column expression by the value of a ``column`` name field."""
-    out = None
-    for name, expr in per_column.items():
-        out = F.when(column_name == F.lit(name), expr) if out is None else out.when(column_name == F.lit(name), expr)
-    return out
-
-
 def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
     """Pearson correlation of every column pair, ``(column_x, column_y, correlation)``.
 
@@ -50,20 +44,21 @@ def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
     coefficients are one aggregation; the k×k rows are emitted from its single row.
     """
     names = _numeric(df, columns)
-    xs = {n: _x(df, n) for n in names}
-    aggs, cells = [], []
-    for i, a in enumerate(names):
-        for j, b in enumerate(names):
-            if j < i:
-                continue
-            pa, pb = pair_complete(xs[a], xs[b])
-            aggs.append(safe_corr(pa, pb).alias(f"r{i}_{j}"))
-    for i, a in enumerate(names):
-        for j, b in enumerate(names):
-            key = f"r{min(i, j)}_{max(i, j)}"
-            cells.append(F.struct(F.lit(a).alias("column_x"), F.lit(b).alias("column_y"),
-                                  F.col(key).alias("correlation")))
-    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+    xs = {n: S.as_double(n, df.schema[n].dataType) for n in names}
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+
+    def build(_, ij):
+        i, j = ij
+        a, b = names[i], names[j]
+        both = f"{xs[a]} IS NOT NULL AND {xs[b]} IS NOT NULL"
+        pa, pb = f"CASE WHEN {both} THEN {xs[a]} END", f"CASE WHEN {both} THEN {xs[b]} END"
+        corr = f"try_divide(covar_samp({pa}, {pb}), stddev({pa}) * stddev({pb})) AS r{i}_{j}"
+        cells = [S.named_struct([("column_x", S.string(a)), ("column_y", S.string(b)), ("correlation", f"r{i}_{j}")])]
+        if i != j:
+            cells.append(S.named_struct([("column_x", S.string(b)), ("column_y", S.string(a)),
+                                         ("correlation", f"r{i}_{j}")]))
+        return [corr], cells
+    return fused_rows(df, pairs, build, max_aggs=120)
 
 
 def histogram(df: DataFrame, columns=None, bins: int = 10) -> DataFrame:
@@ -72,37 +67,35 @@ def histogram(df: DataFrame, columns=None, bins: int = 10) -> DataFrame:
     ``(column, bucket, lower, upper, count)``; bucket 1..bins, the max value falls in the
     last bucket, a constant column has everything in bucket 1, missing values are not
     counted and empty buckets have no row. Two passes: min/max of all columns (one small
-    job), then one hash aggregation on (column, bucket) whose map-side partial step
-    leaves at most ``bins`` rows per column and task to shuffle.
+    job), then per column one hash aggregation on the bucket (reading only that column,
+    its map-side partial step leaves at most ``bins`` rows per task to shuffle), unioned.
     """
     if bins < 1:
         raise ValueError("bins must be >= 1")
     names = _numeric(df, columns)
     stats = column_stats(df, names)
     n_b = F.lit(bins)
-    items, lower, upper = [], {}, {}
+    branches = []
     for n in names:
         lo, hi = stats[n]["min"], stats[n]["max"]
         if lo is None:
             continue
-        lo_c, hi_c, x = lit_double(lo), lit_double(hi), _x(df, n)
+        lo_c, hi_c, x = lit_double(lo), lit_double(hi), F.col("x")
         if hi == lo:
-            bucket = F.when(x.isNotNull(), F.lit(1).cast("long"))
+            bucket = F.lit(1).cast("long")
         else:
             raw = F.floor((x - lo_c) / (hi_c - lo_c) * n_b).cast("long") + 1
-            bucket = F.when(x.isNotNull(), F.least(raw, n_b.cast("long")))
-        items.append(F.struct(F.lit(n).alias("column"), bucket.alias("bucket")))
+            bucket = F.least(raw, n_b.cast("long"))
         width = (hi_c - lo_c) / n_b
-        lower[n] = lo_c + (F.col("bucket") - 1) * width
-        upper[n] = lo_c + F.col("bucket") * width
-    if not items:
+        counted = (df.select(_x(df, n).alias("x")).filter(F.col("x").isNotNull())
+                   .groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("count")))
+        branches.append(counted.select(F.lit(n).alias("column"), "bucket",
+                                       (lo_c + (F.col("bucket") - 1) * width).alias("lower"),
+                                       (lo_c + F.col("bucket") * width).alias("upper"), "count"))
+    if not branches:
         return df.sparkSession.createDataFrame([], "column string, bucket bigint, lower double, upper double, "
                                                    "count bigint")
-    counted = (df.select(F.explode(F.array(*items)).alias("p")).select("p.column", "p.bucket")
-               .filter(F.col("bucket").isNotNull())
-               .groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("count")))
-    return counted.select("column", "bucket", _case(F.col("column"), lower).alias("lower"),
-                          _case(F.col("column"), upper).alias("upper"), "count")
+    return union_all(branches)
 
 
 def density_curve(df: DataFrame, columns=None, points: int = 50) -> DataFrame:
@@ -118,25 +111,24 @@ def density_curve(df: DataFrame, columns=None, points: int = 50) -> DataFrame:
     names = _numeric(df, columns)
     stats = column_stats(df, names)
     norm = 1.0 / math.sqrt(2.0 * math.pi)
-    aggs, structs = [], []
-    for i, n in enumerate(names):
+    def build(i, n):
         st = stats[n]
         lo, hi, cnt, sd = st["min"], st["max"], st["count"], st["stddev"]
         h = sd * cnt ** -0.2 if sd and cnt else None
         step = (hi - lo) / (points - 1) if lo is not None else None
-        x = _x(df, n)
+        x = S.as_double(n, df.schema[n].dataType)
+        aggs, structs = [], []
         for j in range(points):
             g = lo + j * step if step is not None else None
             if h:
-                z = (x - lit_double(g)) / lit_double(h)
-                aggs.append(F.sum(F.exp(F.lit(-0.5) * z * z)).alias(f"k{i}_{j}"))
-                dens = F.col(f"k{i}_{j}") * lit_double(norm / (cnt * h))
+                aggs.append(f"sum(exp(-0.5 * pow(({x} - {S.double(g)}) / {S.double(h)}, 2))) AS k{i}_{j}")
+                dens = f"k{i}_{j} * {S.double(norm / (cnt * h))}"
             else:
-                dens = lit_double(None)
-            structs.append(F.struct(F.lit(n).alias("column"), F.lit(j).alias("point"), lit_double(g).alias("x"),
-                                    dens.alias("density")))
-    base = df.agg(*aggs) if aggs else df.agg(F.count(F.lit(1)).alias("__n"))
-    return base.select(F.inline(F.array(*structs)))
+                dens = S.double(None)
+            structs.append(S.named_struct([("column", S.string(n)), ("point", str(j)), ("x", S.double(g)),
+                                           ("density", dens)]))
+        return aggs, structs
+    return fused_rows(df, names, build, shared=["count(1) AS __n"])
 
 
 def box_stats(df: DataFrame, columns=None, whis: float = 1.5, exact: bool = True,

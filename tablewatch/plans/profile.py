@@ -13,13 +13,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import predicates as P
+from ..functions import sqltext as S
 from ..functions import types as TY
 from ..functions.names import col, resolve
-from ..functions.stats import as_double, column_stats, sigma_outlier
+from ..functions.stats import column_stats
 from .checks import key_counts
+from .fuse import fused_rows, union_all
 
 DEFAULT_ACCURACY = 10000
+# Up to this many columns get one distinct-count aggregation each; wider tables are
+# processed in batches of this many columns.
+DISTINCT_BATCH = 32
 
 
 def _names(df: DataFrame, columns, family: str | None = None) -> list[str]:
@@ -46,41 +50,40 @@ def null_counts(df: DataFrame, columns=None, nan_as_null: bool = False) -> DataF
     """NULL count per column in one aggregation (NaN too with ``nan_as_null``)."""
     names = _names(df, columns)
 
-    def pred(n):
-        dt = df.schema[n].dataType
-        return P.is_missing(col(n), dt) if nan_as_null else col(n).isNull()
-
-    agg = df.agg(*[F.count_if(pred(n)).alias(f"c{i}") for i, n in enumerate(names)])
-    return _rows(agg, [F.struct(F.lit(n).alias("column"), F.col(f"c{i}").cast("long").alias("null_count"))
-                       for i, n in enumerate(names)])
+    def build(i, n):
+        q = S.ident(n)
+        pred = f"{q} IS NULL"
+        if nan_as_null and TY.is_floating(df.schema[n].dataType):
+            pred += f" OR isnan({q})"
+        return ([f"count_if({pred}) AS c{i}"],
+                [S.named_struct([("column", S.string(n)), ("null_count", f"CAST(c{i} AS BIGINT)")])])
+    return fused_rows(df, names, build)
 
 
 def describe(df: DataFrame, columns=None) -> DataFrame:
     """Count / mean / stddev / min / max of numeric columns, typed (double)."""
     names = _names(df, columns, "numeric")
-    aggs, structs = [], []
-    for i, n in enumerate(names):
-        x = as_double(col(n), df.schema[n].dataType)
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-        structs.append(F.struct(F.lit(n).alias("column"), F.col(f"n{i}").alias("count"),
-                                F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
-                                F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max")))
     if not names:
         raise ValueError("no numeric columns")
-    return _rows(df.agg(*aggs), structs)
+
+    def build(i, n):
+        x = S.as_double(n, df.schema[n].dataType)
+        return ([f"count({x}) AS n{i}", f"avg({x}) AS m{i}", f"stddev({x}) AS s{i}", f"min({x}) AS lo{i}",
+                 f"max({x}) AS hi{i}"],
+                [S.named_struct([("column", S.string(n)), ("count", f"n{i}"), ("mean", f"m{i}"),
+                                 ("stddev", f"s{i}"), ("min", f"lo{i}"), ("max", f"hi{i}")])])
+    return fused_rows(df, names, build)
 
 
 def skew_kurt(df: DataFrame, columns=None) -> DataFrame:
     """Population skewness and excess kurtosis per numeric column (one job)."""
     names = _names(df, columns, "numeric")
-    aggs, structs = [], []
-    for i, n in enumerate(names):
-        x = as_double(col(n), df.schema[n].dataType)
-        aggs += [F.skewness(x).alias(f"sk{i}"), F.kurtosis(x).alias(f"ku{i}")]
-        structs.append(F.struct(F.lit(n).alias("column"), F.col(f"sk{i}").alias("skewness"),
-                                F.col(f"ku{i}").alias("kurtosis")))
-    return _rows(df.agg(*aggs), structs)
+
+    def build(i, n):
+        x = S.as_double(n, df.schema[n].dataType)
+        return ([f"skewness({x}) AS sk{i}", f"kurtosis({x}) AS ku{i}"],
+                [S.named_struct([("column", S.string(n)), ("skewness", f"sk{i}"), ("kurtosis", f"ku{i}")])])
+    return fused_rows(df, names, build)
 
 
 def skewness(df: DataFrame, column: str) -> DataFrame:
@@ -91,21 +94,14 @@ def skewness(df: DataFrame, column: str) -> DataFrame:
 def statistical_analysis(df: DataFrame, columns, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Mean, approximate median and sample stddev per column, in one job."""
     names = _names(df, columns, "numeric")
-    aggs, structs = [], []
-    for i, n in enumerate(names):
-        x = as_double(col(n), df.schema[n].dataType)
-        aggs += [F.avg(x).alias(f"m{i}"), F.percentile_approx(x, 0.5, accuracy).alias(f"md{i}"),
-                 F.stddev(x).alias(f"s{i}")]
-        structs.append(F.struct(F.lit(n).alias("column"), F.col(f"m{i}").alias("mean"),
-                                F.col(f"md{i}").alias("median"), F.col(f"s{i}").alias("stddev")))
-    return _rows(df.agg(*aggs), structs)
-
 
-def _union_all(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    def build(i, n):
+        x = S.as_double(n, df.schema[n].dataType)
+        return ([f"avg({x}) AS m{i}", f"percentile_approx({x}, 0.5, {int(accuracy)}) AS md{i}",
+                 f"stddev({x}) AS s{i}"],
+                [S.named_struct([("column", S.string(n)), ("mean", f"m{i}"), ("median", f"md{i}"),
+                                 ("stddev", f"s{i}")])])
+    return fused_rows(df, names, build)
 
 
 def value_counts(df: DataFrame, columns=None) -> DataFrame:
@@ -118,7 +114,7 @@ def value_counts(df: DataFrame, columns=None) -> DataFrame:
     names = _names(df, columns, "string")
     if not names:
         raise ValueError("no columns to count")
-    return _union_all([
+    return union_all([
         df.groupBy(col(n).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
         .select(F.lit(n).alias("column"), "value", "count") for n in names])
 
@@ -128,22 +124,29 @@ def distinct_counts(df: DataFrame, columns=None, approx: bool = False, rsd: floa
 
     ``distinct_count`` excludes NULL. Exact counts are one single-distinct aggregation
     per column, unioned into one job: each branch reads one column and shuffles its
-    partially de-duplicated values (no row replication across columns).
+    partially de-duplicated values (no row replication across columns). Beyond
+    ``DISTINCT_BATCH`` columns, batches of that many columns share one aggregation so
+    the plan stays small.
     ``approx=True`` uses HyperLogLog++ in one pass without a shuffle (relative error
     ``rsd``), the cheaper choice for wide tables.
     """
     names = _names(df, columns)
     if approx:
-        aggs, structs = [], []
-        for i, n in enumerate(names):
-            aggs += [F.count(col(n)).alias(f"n{i}"), F.approx_count_distinct(col(n), rsd).alias(f"d{i}")]
-            structs.append(F.struct(F.lit(n).alias("column"), F.col(f"n{i}").cast("long").alias("non_null_count"),
-                                    F.col(f"d{i}").cast("long").alias("distinct_count")))
-        return _rows(df.agg(*aggs), structs)
-    return _union_all([
-        df.agg(F.count(col(n)).cast("long").alias("non_null_count"),
-               F.count_distinct(col(n)).cast("long").alias("distinct_count"))
-        .select(F.lit(n).alias("column"), "non_null_count", "distinct_count") for n in names])
+        return fused_rows(df, names, lambda i, n: (
+            [f"count({S.ident(n)}) AS n{i}", f"approx_count_distinct({S.ident(n)}, {float(rsd)!r}) AS d{i}"],
+            [S.named_struct([("column", S.string(n)), ("non_null_count", f"CAST(n{i} AS BIGINT)"),
+                             ("distinct_count", f"CAST(d{i} AS BIGINT)")])]))
+    if len(names) <= DISTINCT_BATCH:
+        return union_all([
+            df.agg(F.expr(f"CAST(count({S.ident(n)}) AS BIGINT) AS non_null_count"),
+                   F.expr(f"CAST(count(DISTINCT {S.ident(n)}) AS BIGINT) AS distinct_count"))
+            .select(F.lit(n).alias("column"), "non_null_count", "distinct_count") for n in names])
+    # wide tables: batches of columns, each one aggregation with several distinct counts
+    # (Spark expands each row once per column of the batch before the partial step)
+    return fused_rows(df, names, lambda i, n: (
+        [f"count({S.ident(n)}) AS n{i}", f"count(DISTINCT {S.ident(n)}) AS d{i}"],
+        [S.named_struct([("column", S.string(n)), ("non_null_count", f"CAST(n{i} AS BIGINT)"),
+                         ("distinct_count", f"CAST(d{i} AS BIGINT)")])]), max_aggs=2 * DISTINCT_BATCH)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -178,32 +181,31 @@ def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, appro
     once per distinct value.
     """
     names = _names(df, columns)
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    structs = []
-    for i, n in enumerate(names):
+
+    def build(i, n):
         f = df.schema[n]
-        dt, c = f.dataType, col(n)
-        aggs.append(F.count_if(c.isNull()).alias(f"nu{i}"))
-        aggs.append((F.count_if(F.isnan(c)) if TY.is_floating(dt) else F.lit(0)).alias(f"na{i}"))
+        dt, q = f.dataType, S.ident(n)
+        aggs = [f"count_if({q} IS NULL) AS nu{i}",
+                (f"count_if(isnan({q}))" if TY.is_floating(dt) else "CAST(0 AS BIGINT)") + f" AS na{i}"]
         if TY.is_orderable(dt):
-            v = as_double(c, dt) if TY.is_numeric(dt) else c
-            aggs += [F.min(v).cast("string").alias(f"lo{i}"), F.max(v).cast("string").alias(f"hi{i}")]
+            v = S.as_double(n, dt) if TY.is_numeric(dt) else q
+            aggs += [f"CAST(min({v}) AS STRING) AS lo{i}", f"CAST(max({v}) AS STRING) AS hi{i}"]
         else:
-            aggs += [F.lit(None).cast("string").alias(f"lo{i}"), F.lit(None).cast("string").alias(f"hi{i}")]
+            aggs += [f"CAST(NULL AS STRING) AS lo{i}", f"CAST(NULL AS STRING) AS hi{i}"]
         if TY.is_numeric(dt):
-            x = as_double(c, dt)
-            aggs += [F.avg(x).alias(f"m{i}"), F.stddev(x).alias(f"s{i}"), F.skewness(x).alias(f"sk{i}"),
-                     F.kurtosis(x).alias(f"ku{i}"), F.percentile_approx(x, 0.5, accuracy).alias(f"md{i}")]
+            x = S.as_double(n, dt)
+            aggs += [f"avg({x}) AS m{i}", f"stddev({x}) AS s{i}", f"skewness({x}) AS sk{i}",
+                     f"kurtosis({x}) AS ku{i}", f"percentile_approx({x}, 0.5, {int(accuracy)}) AS md{i}"]
         else:
-            aggs += [F.lit(None).cast("double").alias(f"{p}{i}") for p in ("m", "s", "sk", "ku", "md")]
-        structs.append(F.struct(
-            F.lit(n).alias("column"), F.lit(dt.simpleString()).alias("data_type"),
-            F.lit(f.nullable).alias("nullable"), F.col("rows").cast("long").alias("rows"),
-            F.col(f"nu{i}").cast("long").alias("nulls"), F.col(f"na{i}").cast("long").alias("nans"),
-            F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"), F.col(f"m{i}").cast("double").alias("mean"),
-            F.col(f"s{i}").cast("double").alias("stddev"), F.col(f"sk{i}").cast("double").alias("skewness"),
-            F.col(f"ku{i}").cast("double").alias("kurtosis"), F.col(f"md{i}").cast("double").alias("median")))
-    regular = _rows(df.agg(*aggs), structs)
+            aggs += [f"CAST(NULL AS DOUBLE) AS {p}{i}" for p in ("m", "s", "sk", "ku", "md")]
+        return aggs, [S.named_struct([
+            ("column", S.string(n)), ("data_type", S.string(dt.simpleString())),
+            ("nullable", S.boolean(f.nullable)), ("rows", "CAST(rows AS BIGINT)"),
+            ("nulls", f"CAST(nu{i} AS BIGINT)"), ("nans", f"CAST(na{i} AS BIGINT)"),
+            ("min", f"lo{i}"), ("max", f"hi{i}"), ("mean", f"CAST(m{i} AS DOUBLE)"),
+            ("stddev", f"CAST(s{i} AS DOUBLE)"), ("skewness", f"CAST(sk{i} AS DOUBLE)"),
+            ("kurtosis", f"CAST(ku{i} AS DOUBLE)"), ("median", f"CAST(md{i} AS DOUBLE)")])]
+    regular = fused_rows(df, names, build, shared=["count(1) AS rows"])
     orderable = [n for n in names if TY.is_orderable(df.schema[n].dataType)]
     if orderable:
         distinct = distinct_counts(df, orderable, approx=approx_distinct).select(
@@ -232,25 +234,22 @@ def quality_report(df: DataFrame, n_std_dev: float = 3.0, ts_lo="1900-01-01 00:0
     numeric = TY.columns_of(df, "numeric")
     stamps = TY.columns_of(df, "timestamp")
     stats = column_stats(df, numeric)
-    aggs, structs = [], []
-
-    def metric(name: str, metric_name: str, expr: Column):
-        alias = f"v{len(aggs)}"
-        aggs.append(expr.alias(alias))
-        structs.append(F.struct(F.lit(name).cast("string").alias("column"), F.lit(metric_name).alias("metric"),
-                                F.col(alias).cast("double").alias("value")))
-
-    for n in df.columns:
-        dt, c = df.schema[n].dataType, col(n)
-        metric(n, "null_count", F.count_if(c.isNull()))
+    def build(i, n):
+        dt, q = df.schema[n].dataType, S.ident(n)
+        metrics = [("null_count", f"count_if({q} IS NULL)")]
         if n in stamps:
-            metric(n, "timestamp_issues", F.count_if(P.timestamp_implausible(c, dt, ts_lo, ts_hi)))
-            metric(n, "format_issues", F.count_if(P.timestamp_text_invalid(c, dt, ts_format)))
+            metrics += [("timestamp_issues", f"count_if({S.timestamp_implausible(n, dt, ts_lo, ts_hi)})"),
+                        ("format_issues", f"count_if({q} IS NULL)")]
         if n in numeric:
-            x = as_double(c, dt)
-            metric(n, "outlier_issues", F.count_if(sigma_outlier(x, stats[n], n_std_dev)))
-            metric(n, "skewness", F.skewness(x))
-    rows = _rows(df.agg(*aggs), structs)
+            x = S.as_double(n, dt)
+            metrics += [("outlier_issues", f"count_if({S.sigma_outlier(x, stats[n], n_std_dev)})"),
+                        ("skewness", f"skewness({x})")]
+        aggs = [f"{e} AS v{i}_{j}" for j, (_, e) in enumerate(metrics)]
+        structs = [S.named_struct([("column", S.string(n)), ("metric", S.string(m)),
+                                   ("value", f"CAST(v{i}_{j} AS DOUBLE)")]) for j, (m, _) in enumerate(metrics)]
+        return aggs, structs
+
+    rows = fused_rows(df, list(df.columns), build)
     if include_duplicates:
         kc = key_counts(df, list(df.columns))
         rows = rows.unionByName(kc.select(F.lit(None).cast("string").alias("column"),

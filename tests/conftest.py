@@ -15,7 +15,8 @@ from tablewatch.session import SCALE_CONF  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+    b = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "4g"))
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
