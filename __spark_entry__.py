@@ -12,20 +12,26 @@ left join or ``NULLIF``, NaN from a ``CASE``, duplicates from projections.
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.operators import cleaning as C
-from tablewatch.operators import features as FE
-from tablewatch.operators import relational as R
-from tablewatch.plans import checks as K
-from tablewatch.plans import distribution as D
-from tablewatch.plans import profile as PR
-from tablewatch.plans import results as RS
-from tablewatch.sources import preview as PV
+# the package lives next to this file; make it importable however this file is loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
+from tablewatch.operators import cleaning as C  # noqa: E402
+from tablewatch.operators import features as FE  # noqa: E402
+from tablewatch.operators import relational as R  # noqa: E402
+from tablewatch.plans import checks as K  # noqa: E402
+from tablewatch.plans import distribution as D  # noqa: E402
+from tablewatch.plans import profile as PR  # noqa: E402
+from tablewatch.plans import results as RS  # noqa: E402
+from tablewatch.sources import preview as PV  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 

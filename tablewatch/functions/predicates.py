@@ -144,9 +144,13 @@ def strptime_parse(c: Column, fmt: str) -> Column:
     comes from ``try_make_timestamp_ntz``. All native expressions.
     """
     regex, fields = strptime_regex(fmt)
+    # Two regex evaluations per row: ``rlike`` decides validity, one ``regexp_replace``
+    # rewrites a matching text into its fields joined by a control character.
+    sep = "\u0001"
+    parts = F.split(F.regexp_replace(c, regex, sep.join(f"${k + 1}" for k in range(len(fields)))), sep)
 
     def grab(d):
-        return F.trim(F.regexp_extract(c, regex, fields.index(d) + 1))
+        return F.trim(F.try_element_at(parts, F.lit(fields.index(d) + 1)))
 
     def num(d, default):
         # try_cast: a non-matching text extracts '' (the match is checked separately)
