@@ -74,12 +74,18 @@ def columns_of_type(df: DataFrame, family: str) -> DataFrame:
     return df.select(*[col(c) for c in TY.columns_of(df, family)])
 
 
-def join(df1: DataFrame, df2: DataFrame, on, how: str = "inner") -> DataFrame:
+FULL_JOINS = {"outer", "full", "fullouter", "full_outer"}
+
+
+def join(df1: DataFrame, df2: DataFrame, on, how: str = "inner", skew_safe: bool = False) -> DataFrame:
     """Equi-join on shared column name(s) with USING semantics, or on a Column condition.
 
     No strategy is forced: with AQE on, a side is broadcast only when its measured size is
     under ``spark.sql.autoBroadcastJoinThreshold``; otherwise a sort-merge join is used and
-    skewed partitions are split (``spark.sql.adaptive.skewJoin``).
+    skewed partitions are split (``spark.sql.adaptive.skewJoin``) for inner, semi, anti and
+    one-sided outer joins. AQE cannot split a full outer join: with ``skew_safe=True`` and
+    join keys given as names, it runs as a left outer join plus the right rows without a
+    partner (a left-anti join), both of which AQE can split, and the two are unioned.
     """
     how_n = how.lower()
     if how_n not in JOIN_TYPES:
@@ -89,6 +95,12 @@ def join(df1: DataFrame, df2: DataFrame, on, how: str = "inner") -> DataFrame:
     if how_n == "cross":
         # With keys Spark treats a cross join as an inner join on them.
         how_n = "inner"
+    if skew_safe and how_n in FULL_JOINS and not isinstance(on, Column):
+        keys = [on] if isinstance(on, str) else list(on)
+        if all(isinstance(k, str) for k in keys):
+            matched = df1.join(df2, on=keys, how="left")
+            unmatched = df2.join(df1.select(*[col(k) for k in keys]), on=keys, how="left_anti")
+            return matched.unionByName(unmatched, allowMissingColumns=True)
     return df1.join(df2, on=on, how=how_n)
 
 
@@ -124,9 +136,11 @@ def remove_duplicates(df: DataFrame, subset=None, keep_by=None, keep: str = "fir
     Without ``keep_by`` any one row per key survives (``dropDuplicates``).
     With ``keep_by`` the survivor is the row with the smallest (``keep="first"``) or largest
     (``keep="last"``) ``keep_by`` tuple, remaining columns breaking ties, so the result is
-    deterministic. Both forms are hash aggregations with a map-side partial step, so a key
+    deterministic. Both forms are aggregations with a map-side partial step, so a key
     holding a large share of the rows is reduced before the shuffle (no window that would
-    put a hot key into one task).
+    put a hot key into one task). The ``keep_by`` form keeps a struct per key, which Spark
+    aggregates sort-based (it spills instead of failing when a task's keys do not fit in
+    memory).
     """
     keys = [resolve(df, k) for k in _as_list(subset)] or list(df.columns)
     if keep_by is None:

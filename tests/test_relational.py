@@ -33,6 +33,9 @@ def test_join_types(spark):
     assert R.join(a, b, "k", "semi").count() == 1
     assert R.join(a, b, "k", "anti").count() == 2
     assert R.join(a, b, "k", "cross").count() == 1  # keyed cross = inner
+    full = sorted(map(tuple, R.join(a, b, "k", "full").collect()), key=str)
+    safe = sorted(map(tuple, R.join(a, b, "k", "full", skew_safe=True).select("k", "a", "b").collect()), key=str)
+    assert full == safe
     with pytest.raises(ValueError):
         R.join(a, b, None, "cross")
     with pytest.raises(ValueError):
