@@ -128,9 +128,16 @@ def distinct_counts(df: DataFrame, columns=None, approx: bool = False, rsd: floa
     ``DISTINCT_BATCH`` columns, batches of that many columns share one aggregation so
     the plan stays small.
     ``approx=True`` uses HyperLogLog++ in one pass without a shuffle (relative error
-    ``rsd``), the cheaper choice for wide tables.
+    ``rsd``), the cheaper choice for wide tables. Map columns (not comparable) are
+    skipped by default and rejected when listed.
     """
-    names = _names(df, columns)
+    if columns is None:
+        names = [n for n in df.columns if TY.is_orderable(df.schema[n].dataType)]
+    else:
+        names = _names(df, columns)
+        bad = [n for n in names if not TY.is_orderable(df.schema[n].dataType)]
+        if bad:
+            raise ValueError(f"distinct counts cannot use map columns {bad}")
     if approx:
         return fused_rows(df, names, lambda i, n: (
             [f"count({S.ident(n)}) AS n{i}", f"approx_count_distinct({S.ident(n)}, {float(rsd)!r}) AS d{i}"],
