@@ -34,3 +34,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     for k, v in options.items():
         writer = writer.option(k, v)
     writer.save(path)
+
+
+def materialize(df: DataFrame, name: str, root: str | None = None, mode: str = "overwrite") -> DataFrame:
+    """Write ``df`` once as parquet and return a DataFrame reading it back.
+
+    For sources that are expensive to read more than once (a JDBC table checked by a
+    multi-pass report), or to cut a long lineage. The table goes under ``root``,
+    default the shared folder named by ``spark.checkpoint.dir``, so it outlives lost
+    executors; never a machine-local folder on a cluster.
+    """
+    from ..session import checkpoint_dir
+    base = root or checkpoint_dir(df.sparkSession)
+    path = base.rstrip("/") + "/tables/" + name
+    df.write.mode(mode).parquet(path)
+    return df.sparkSession.read.parquet(path)

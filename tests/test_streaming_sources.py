@@ -19,6 +19,14 @@ def test_file_roundtrip_partitioned(spark, sf_small):
     assert "PartitionFilters: [isnotnull(o_orderstatus" in back._jdf.queryExecution().executedPlan().toString()
 
 
+def test_materialize_under_checkpoint_dir(spark, sf_small):
+    from tablewatch.session import checkpoint_dir
+    o = SF.table(spark, sf_small, "orders").select("o_orderkey", "o_totalprice")
+    staged = SF.materialize(o, "orders_stage")
+    assert staged.count() == o.count()
+    assert checkpoint_dir(spark) in staged.inputFiles()[0]
+
+
 def test_jdbc_partition_options_validated(spark):
     with pytest.raises(ValueError):
         J.read_jdbc(spark, "jdbc:none", "t", partition_column="id", num_partitions=4)
