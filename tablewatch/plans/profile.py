@@ -91,14 +91,25 @@ def skewness(df: DataFrame, column: str) -> DataFrame:
     return skew_kurt(df, [column]).select("column", "skewness")
 
 
-def statistical_analysis(df: DataFrame, columns, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Mean, approximate median and sample stddev per column, in one job."""
+def statistical_analysis(df: DataFrame, columns, accuracy: int = DEFAULT_ACCURACY, exact: bool = False,
+                         method: str = "linear") -> DataFrame:
+    """Mean, median and sample stddev per column, in one job.
+
+    The median is ``percentile_approx`` (bounded memory, rank error at most
+    ``n / accuracy``) unless ``exact=True``: then it is the exact median by distributed
+    selection (``quantiles.exact_quantiles``, a few small jobs per column; ``method``
+    ``"linear"`` averages the two middle values, ``"lower"`` takes the lower one).
+    """
     names = _names(df, columns, "numeric")
+    medians = {}
+    if exact:
+        from .quantiles import exact_quantiles
+        medians = {n: exact_quantiles(df, n, [0.5], method, accuracy)[0] for n in names}
 
     def build(i, n):
         x = S.as_double(n, df.schema[n].dataType)
-        return ([f"avg({x}) AS m{i}", f"percentile_approx({x}, 0.5, {int(accuracy)}) AS md{i}",
-                 f"stddev({x}) AS s{i}"],
+        med = S.double(medians[n]) if exact else f"percentile_approx({x}, 0.5, {int(accuracy)})"
+        return ([f"avg({x}) AS m{i}", f"{med} AS md{i}", f"stddev({x}) AS s{i}"],
                 [S.named_struct([("column", S.string(n)), ("mean", f"m{i}"), ("median", f"md{i}"),
                                  ("stddev", f"s{i}")])])
     return fused_rows(df, names, build)

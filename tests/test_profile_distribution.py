@@ -116,3 +116,12 @@ def test_exact_quantiles_many_rounds(spark, hot_share):
     assert got == pytest.approx(list(np.percentile(vals, [p * 100 for p in probs])))
     lower = exact_quantiles(df, "x", [0.5], method="lower", accuracy=50, collect_limit=300)
     assert lower[0] == sorted(vals)[math.floor((n - 1) * 0.5)]
+
+
+def test_statistical_analysis_exact_median(spark):
+    vals = [1.0, 2.0, 3.0, 10.0, None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    r = PR.statistical_analysis(df, ["x"], exact=True).collect()[0]
+    assert r.median == 2.5 and r.mean == 4.0
+    assert PR.statistical_analysis(df, ["x"], exact=True, method="lower").collect()[0].median == 2.0
+    assert PR.statistical_analysis(df, ["x"]).collect()[0].median == 2.0
