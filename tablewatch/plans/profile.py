@@ -18,7 +18,7 @@ from ..functions import types as TY
 from ..functions.names import col, resolve
 from ..functions.stats import column_stats
 from .checks import key_counts
-from .fuse import fused_rows, union_all
+from .fuse import MAX_AGGS, fused_rows, union_all
 
 DEFAULT_ACCURACY = 10000
 # Up to this many columns get one distinct-count aggregation each; wider tables are
@@ -235,6 +235,9 @@ def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, appro
                          "mean", "stddev", "skewness", "kurtosis", "median")
 
 
+QUALITY_SCHEMA = "column string, metric string, value double"
+
+
 def quality_report(df: DataFrame, n_std_dev: float = 3.0, ts_lo="1900-01-01 00:00:00", ts_hi=None,
                    ts_format: str = "%Y-%m-%d %H:%M:%S", include_duplicates: bool = True) -> DataFrame:
     """``(column, metric, value)`` for every column, plus one duplicate row.
@@ -244,15 +247,18 @@ def quality_report(df: DataFrame, n_std_dev: float = 3.0, ts_lo="1900-01-01 00:0
     ``outlier_issues`` (beyond ``n_std_dev`` sample stddevs) and ``skewness`` for numeric
     columns; ``duplicate_count`` over full rows with ``column`` NULL.
 
-    Plan: one small job for mean/stddev of the numeric columns (the kσ bounds then
-    enter as literals), one aggregation for every per-column metric (one scan, one row per task to merge), and
-    the duplicate count as a separate ``groupBy(row).count()`` branch whose shuffle
-    carries only the rows and a count. The branches are unioned.
+    Two passes over the input:
+
+    1. one aggregation of every single-pass metric plus mean/stddev of the numeric
+       columns; this one row of numbers is all that reaches the driver;
+    2. ``groupBy(row).count()`` for the duplicate count, whose grouped rows also give
+       the kσ outlier counts as ``sum(n · [outlier])`` with the bounds from pass 1 as
+       literals (without the duplicate count: one plain aggregation of the outliers).
     """
     numeric = TY.columns_of(df, "numeric")
-    stamps = TY.columns_of(df, "timestamp")
-    stats = column_stats(df, numeric)
-    def build(i, n):
+    stamps = set(TY.columns_of(df, "timestamp"))
+    single, order = [], []          # pass-1 aggregate text and (column, metric, alias)
+    for i, n in enumerate(df.columns):
         dt, q = df.schema[n].dataType, S.ident(n)
         metrics = [("null_count", f"count_if({q} IS NULL)")]
         if n in stamps:
@@ -260,20 +266,44 @@ def quality_report(df: DataFrame, n_std_dev: float = 3.0, ts_lo="1900-01-01 00:0
                         ("format_issues", f"count_if({q} IS NULL)")]
         if n in numeric:
             x = S.as_double(n, dt)
-            metrics += [("outlier_issues", f"count_if({S.sigma_outlier(x, stats[n], n_std_dev)})"),
-                        ("skewness", f"skewness({x})")]
-        aggs = [f"{e} AS v{i}_{j}" for j, (_, e) in enumerate(metrics)]
-        structs = [S.named_struct([("column", S.string(n)), ("metric", S.string(m)),
-                                   ("value", f"CAST(v{i}_{j} AS DOUBLE)")]) for j, (m, _) in enumerate(metrics)]
-        return aggs, structs
-
-    rows = fused_rows(df, list(df.columns), build)
+            metrics += [("skewness", f"skewness({x})"), ("__mean", f"avg({x})"), ("__stddev", f"stddev({x})")]
+        for j, (m, e) in enumerate(metrics):
+            single.append(f"{e} AS v{i}_{j}")
+            order.append((n, m, f"v{i}_{j}"))
+    values = {}
+    for start_ in range(0, len(single), MAX_AGGS):
+        row = df.agg(*[F.expr(a) for a in single[start_:start_ + MAX_AGGS]]).first().asDict()
+        values.update(row)
+    stats = {n: {} for n in numeric}
+    literal_rows = []
+    for n, m, alias in order:
+        v = values[alias]
+        if m in ("__mean", "__stddev"):
+            stats[n][m[2:]] = v
+        else:
+            literal_rows.append((n, m, None if v is None else float(v)))
+    spark = df.sparkSession
+    out = spark.createDataFrame(literal_rows, QUALITY_SCHEMA)
+    outlier_preds = [(n, S.sigma_outlier(S.as_double(n, df.schema[n].dataType), stats[n], n_std_dev))
+                     for n in numeric]
     if include_duplicates:
-        kc = key_counts(df, list(df.columns))
-        rows = rows.unionByName(kc.select(F.lit(None).cast("string").alias("column"),
-                                          F.lit("duplicate_count").alias("metric"),
-                                          (F.col("total") - F.col("distinct_keys")).cast("double").alias("value")))
-    return rows
+        bad = [n for n in df.columns if not TY.is_orderable(df.schema[n].dataType)]
+        if bad:
+            raise ValueError(f"duplicate count cannot use map columns {bad}; pass include_duplicates=False")
+        per_row = df.groupBy(*[col(n) for n in df.columns]).agg(F.count(F.lit(1)).alias("__rows"))
+        items = [(None, "duplicate_count", "sum(__rows) - count(1)")] + \
+                [(n, "outlier_issues", f"sum(CASE WHEN {p} THEN __rows ELSE 0 END)") for n, p in outlier_preds]
+        source = per_row
+    else:
+        items = [(n, "outlier_issues", f"count_if({p})") for n, p in outlier_preds]
+        source = df
+    if items:
+        pass2 = fused_rows(source, items, lambda i, it: (
+            [f"{it[2]} AS o{i}"],
+            [S.named_struct([("column", S.string(it[0])), ("metric", S.string(it[1])),
+                             ("value", f"CAST(coalesce(o{i}, 0) AS DOUBLE)")])]))
+        out = out.unionByName(pass2)
+    return out
 
 
 __all__ = [
