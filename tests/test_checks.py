@@ -131,3 +131,23 @@ def test_checks_fused_into_one_scan(dq, spark):
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan") == 1
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_append_results_sink(spark, dq):
+    import tempfile
+    path = tempfile.mkdtemp(prefix="tw-results-")
+    res = K.run_checks(dq, [K.value_range(dq, "age", 18, 65)])
+    RS.append_results(res, path, run_id="r1")
+    RS.append_results(res, path, run_id="r2")
+    back = spark.read.parquet(path)
+    assert back.count() == 2 and {r.run_id for r in back.collect()} == {"r1", "r2"}
+    assert "run_at" in back.columns
+
+
+def test_schema_nullable_and_order_flags(spark):
+    df = spark.createDataFrame([(1, "a")], T.StructType([T.StructField("a", T.IntegerType(), False),
+                                                         T.StructField("b", T.StringType(), True)]))
+    exp = T.StructType([T.StructField("b", T.StringType(), True), T.StructField("a", T.IntegerType(), True)])
+    assert {s for *_, s in K.schema_diff(df, exp)} == {"ok"}
+    assert dict((c, s) for c, _, _, s in K.schema_diff(df, exp, check_nullable=True))["a"] == "nullable_mismatch"
+    assert {s for *_, s in K.schema_diff(df, exp, check_order=True)} == {"order_mismatch"}
