@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions import sqltext as S
 from ..functions import types as TY
 from ..functions.names import col, resolve
-from ..functions.stats import column_stats
 from .checks import key_counts
 from .fuse import MAX_AGGS, fused_rows, union_all
 
@@ -36,11 +35,6 @@ def _names(df: DataFrame, columns, family: str | None = None) -> list[str]:
     return names
 
 
-def _rows(one_row: DataFrame, structs: list[Column]) -> DataFrame:
-    """Unpivot a one-row aggregate into rows (trivial: one input row)."""
-    return one_row.select(F.inline(F.array(*structs)))
-
-
 def row_count(df: DataFrame) -> DataFrame:
     """``(rows, columns)``."""
     return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).cast("long").alias("columns"))
