@@ -508,12 +508,17 @@ def _suite_sql_failures() -> str:
     return f"SELECT * FROM ({_SQL['check_suite']}) WHERE status = 'fail'"
 
 
-@_query("failing_rows", """
+# every column in the sort key: (l_orderkey, l_linenumber) alone has ties in the fixtures
+_LI_ALL = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+           "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@_query("failing_rows", f"""
 SELECT * FROM lineitem WHERE l_quantity < 5 OR l_quantity > 45
-ORDER BY l_orderkey, l_linenumber LIMIT 20""")
+ORDER BY {", ".join(_LI_ALL)} LIMIT 20""")
 def q_failing_rows(spark, sf):
     df = _t(spark, sf, "lineitem")
-    return K.failing_rows(df, K.value_range(df, "l_quantity", 5, 45), 20, order_by=["l_orderkey", "l_linenumber"])
+    return K.failing_rows(df, K.value_range(df, "l_quantity", 5, 45), 20, order_by=_LI_ALL)
 
 
 @_query("head", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
