@@ -125,3 +125,27 @@ def test_statistical_analysis_exact_median(spark):
     assert r.median == 2.5 and r.mean == 4.0
     assert PR.statistical_analysis(df, ["x"], exact=True, method="lower").collect()[0].median == 2.0
     assert PR.statistical_analysis(df, ["x"]).collect()[0].median == 2.0
+
+
+def test_reports_on_empty_one_row_all_null_constant(spark):
+    empty = spark.createDataFrame([], "x double, s string, t timestamp_ntz")
+    rep = {(r.column, r.metric): r.value for r in PR.quality_report(empty).collect()}
+    assert rep[("x", "null_count")] == 0 and rep[("x", "outlier_issues")] == 0 and rep[(None, "duplicate_count")] == 0
+    assert rep[("x", "skewness")] is None
+    prof = {r.column: r for r in PR.profile(empty).collect()}
+    assert prof["x"].rows == 0 and prof["x"].mean is None and prof["s"].distinct == 0
+    one = spark.createDataFrame([(1.0, "a", None)], "x double, s string, t timestamp_ntz")
+    d = PR.describe(one).collect()[0]
+    assert d["count"] == 1 and d.stddev is None
+    r = {(r.column, r.metric): r.value for r in PR.quality_report(one).collect()}
+    assert r[("t", "timestamp_issues")] == 1 and r[("x", "outlier_issues")] == 0
+    const = spark.createDataFrame([(5.0, None)] * 15, "x double, n double")
+    sk = {r.column: r for r in PR.skew_kurt(const).collect()}
+    assert sk["x"].skewness is None and sk["n"].skewness is None
+    cm = {(r.column_x, r.column_y): r.correlation for r in D.correlation_matrix(const).collect()}
+    assert cm[("x", "x")] is None and cm[("x", "n")] is None
+    assert D.box_stats(const, ["n"]).collect()[0].q1 is None
+    assert D.density_curve(const, ["x"], points=3).collect()[0].density is None
+    from tablewatch.operators import cleaning as C
+    assert C.remove_outliers(const).count() == 15
+    assert [r.n for r in C.impute_mean(const).collect()] == [None] * 15
