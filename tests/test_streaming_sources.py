@@ -54,3 +54,49 @@ def test_stream_checks(spark, sf_small):
     q2.stop()
     r = spark.sql("SELECT * FROM tw_running").collect()[0]
     assert r.failing == expected and r.total == li.count()
+
+
+class _Recorder:
+    """Stands in for DataFrameReader/Writer: records format, options and mode."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def format(self, f):
+        self.calls["format"] = f
+        return self
+
+    def option(self, k, v):
+        self.calls[k] = v
+        return self
+
+    def mode(self, m):
+        self.calls["mode"] = m
+        return self
+
+    def load(self):
+        return "loaded"
+
+    def save(self):
+        self.calls["saved"] = True
+
+
+def test_jdbc_options_are_passed_through():
+    rec = _Recorder()
+
+    class FakeSpark:
+        read = rec
+    out = J.read_jdbc(FakeSpark(), "jdbc:x://h/db", "(SELECT * FROM t) q", {"user": "u", "password": "p"},
+                      partition_column="id", lower_bound=1, upper_bound=1000, num_partitions=8, fetch_size=500)
+    assert out == "loaded"
+    assert rec.calls == {"format": "jdbc", "url": "jdbc:x://h/db", "dbtable": "(SELECT * FROM t) q", "user": "u",
+                         "password": "p", "partitionColumn": "id", "lowerBound": "1", "upperBound": "1000",
+                         "numPartitions": "8", "fetchsize": "500"}
+    wrec = _Recorder()
+
+    class FakeDF:
+        write = wrec
+    J.write_jdbc(FakeDF(), "jdbc:x://h/db", "out", {"user": "u"}, mode="overwrite", truncate=True, batch_size=1000,
+                 num_partitions=4)
+    assert wrec.calls["mode"] == "overwrite" and wrec.calls["truncate"] == "true"
+    assert wrec.calls["batchsize"] == "1000" and wrec.calls["numPartitions"] == "4" and wrec.calls["saved"]
