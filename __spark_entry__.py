@@ -467,7 +467,24 @@ _EXPECTED_LINEITEM = T.StructType([
 ])
 
 
-@_query("schema_match", None)
+_SCHEMA_SQL = """
+WITH actual AS (
+  SELECT column_name AS "column",
+         CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+              WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+              WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' WHEN 'DATE' THEN 'date'
+              ELSE lower(column_type) END AS actual_type
+  FROM (DESCRIBE lineitem)
+), expected("column", expected_type) AS (VALUES __EXPECTED__)
+SELECT coalesce(e."column", a."column") AS "column", e.expected_type, a.actual_type,
+       CASE WHEN a."column" IS NULL THEN 'missing' WHEN e."column" IS NULL THEN 'unexpected'
+            WHEN e.expected_type <> a.actual_type THEN 'type_mismatch' ELSE 'ok' END AS status
+FROM expected e FULL JOIN actual a ON e."column" = a."column"
+""".replace("__EXPECTED__", ", ".join(f"('{f.name}', '{f.dataType.simpleString()}')"
+                                      for f in _EXPECTED_LINEITEM.fields))
+
+
+@_query("schema_match", _SCHEMA_SQL)
 def q_schema_match(spark, sf):
     return K.schema_match(spark, _t(spark, sf, "lineitem"), _EXPECTED_LINEITEM)
 

@@ -23,9 +23,8 @@ def con():
     return c
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {"schema_match"}
+def test_every_query_has_an_oracle():
+    assert set(E.oracle_sql()) == set(E.queries())
 
 
 def test_entry_runs(spark):
