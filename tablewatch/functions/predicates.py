@@ -189,6 +189,25 @@ def timestamp_text_invalid(c: Column, dt: T.DataType, fmt: str = "%Y-%m-%d %H:%M
     return strptime_parse(c, fmt).isNull()
 
 
+# Text that Spark could parse as an integer holds only ASCII digits, a sign, a decimal
+# point and whitespace (bytes up to 0x20, which the parser trims). Any other character
+# makes ``try_cast`` return NULL, which this guard answers without the exception path.
+_NOT_INTEGRAL_TEXT = r"[^0-9+\-.\x00-\x20]"
+
+
+def text_try_cast(c: Column, source: T.DataType, target) -> Column:
+    """``try_cast`` with a fast path for text that cannot be an integer.
+
+    Same result as ``c.try_cast(target)``. For text to an integral type, values
+    containing any character the integer parser never accepts become NULL through a
+    cheap ``rlike`` test instead of Spark's failing parse.
+    """
+    dt = T._parse_datatype_string(target) if isinstance(target, str) else target
+    if TY.is_string(source) and isinstance(dt, T.IntegralType):
+        return F.when(c.rlike(_NOT_INTEGRAL_TEXT), F.lit(None).cast(dt)).otherwise(c.try_cast(dt))
+    return c.try_cast(dt)
+
+
 def comparable_pair(df: DataFrame, a: str, b: str) -> tuple[Column, Column]:
     """Column pair for a consistency comparison (V3).
 
@@ -199,7 +218,7 @@ def comparable_pair(df: DataFrame, a: str, b: str) -> tuple[Column, Column]:
     da, db = df.schema[a].dataType, df.schema[b].dataType
     ca, cb = col(a), col(b)
     if TY.is_string(da) and not TY.is_string(db):
-        ca = ca.try_cast(db)
+        ca = text_try_cast(ca, da, db)
     elif TY.is_string(db) and not TY.is_string(da):
-        cb = cb.try_cast(da)
+        cb = text_try_cast(cb, db, da)
     return ca, cb

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import types as TY
 from ..functions.names import col, require_identifier, resolve
+from ..functions.predicates import text_try_cast
 
 JOIN_TYPES = {
     "inner", "cross", "outer", "full", "fullouter", "full_outer", "left", "leftouter",
@@ -64,7 +65,8 @@ def cast_columns(df: DataFrame, schema: Mapping[str, str], on_error: str = "null
     for f in df.schema.fields:
         c = col(f.name)
         if f.name in wanted:
-            c = (c.try_cast(wanted[f.name]) if on_error == "null" else c.cast(wanted[f.name])).alias(f.name)
+            c = (text_try_cast(c, f.dataType, wanted[f.name]) if on_error == "null"
+                 else c.cast(wanted[f.name])).alias(f.name)
         out.append(c)
     return df.select(*out)
 

@@ -68,3 +68,17 @@ def test_exact_quantile_matches_numpy(spark, vals, p):
     assert got == pytest.approx(float(np.percentile(vals, p * 100)))
     low = exact_quantiles(df, "x", [p], method="lower", accuracy=20, collect_limit=8)[0]
     assert low == sorted(vals)[math.floor((len(vals) - 1) * p)]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(st.one_of(st.none(), st.text(alphabet="0123456789+-. \t\n\x01ae ١x", max_size=8)),
+                      min_size=1, max_size=80))
+def test_text_try_cast_equals_try_cast(spark, texts):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    from tablewatch.functions.predicates import text_try_cast
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for target in ["int", "bigint", "smallint", "tinyint"]:
+        rows = df.select(F.col("s").try_cast(target).alias("a"),
+                         text_try_cast(F.col("s"), T.StringType(), target).alias("b")).collect()
+        assert all(r.a == r.b for r in rows), [(t, r.a, r.b) for t, r in zip(texts, rows) if r.a != r.b]
