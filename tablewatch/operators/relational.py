@@ -162,8 +162,8 @@ def remove_duplicates(df: DataFrame, subset=None, keep_by=None, keep: str = "fir
         chosen = F.struct(pick(ordered).alias("o"), by(F.struct(*[col(c) for c in other]), ordered).alias("p"))
     else:
         chosen = F.struct(pick(ordered).alias("o"))
-    agg = df.groupBy(*[col(k) for k in keys]).agg(chosen.alias("__kept"))
-    fields = {c: F.col("__kept.o").getField(f"o{i}") for i, c in enumerate(order + tie)}
-    fields.update({c: F.col("__kept.p").getField(c) for c in other})
+    agg = df.groupBy(*[col(k) for k in keys]).agg(chosen.alias("__tw_kept"))
+    fields = {c: F.col("__tw_kept.o").getField(f"o{i}") for i, c in enumerate(order + tie)}
+    fields.update({c: F.col("__tw_kept.p").getField(c) for c in other})
     out = [col(c) if c in keys else fields[c].alias(c) for c in df.columns]
     return agg.select(*out)

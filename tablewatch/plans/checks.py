@@ -193,8 +193,8 @@ def key_counts(df: DataFrame, key: tuple[str, ...] | list[str]) -> DataFrame:
     bad = [c for c in key if not TY.is_orderable(df.schema[c].dataType)]
     if bad:
         raise ValueError(f"duplicate checks cannot use map columns {bad}")
-    per_key = df.groupBy(*[col(c) for c in key]).agg(F.count(F.lit(1)).alias("__n"))
-    return per_key.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("total"),
+    per_key = df.groupBy(*[col(c) for c in key]).agg(F.count(F.lit(1)).alias("__tw_n"))
+    return per_key.agg(F.coalesce(F.sum("__tw_n"), F.lit(0)).cast("long").alias("total"),
                        F.count(F.lit(1)).alias("distinct_keys"))
 
 

@@ -284,9 +284,9 @@ def quality_report(df: DataFrame, n_std_dev: float = 3.0, ts_lo="1900-01-01 00:0
         bad = [n for n in df.columns if not TY.is_orderable(df.schema[n].dataType)]
         if bad:
             raise ValueError(f"duplicate count cannot use map columns {bad}; pass include_duplicates=False")
-        per_row = df.groupBy(*[col(n) for n in df.columns]).agg(F.count(F.lit(1)).alias("__rows"))
-        items = [(None, "duplicate_count", "sum(__rows) - count(1)")] + \
-                [(n, "outlier_issues", f"sum(CASE WHEN {p} THEN __rows ELSE 0 END)") for n, p in outlier_preds]
+        per_row = df.groupBy(*[col(n) for n in df.columns]).agg(F.count(F.lit(1)).alias("__tw_rows"))
+        items = [(None, "duplicate_count", "sum(__tw_rows) - count(1)")] + \
+                [(n, "outlier_issues", f"sum(CASE WHEN {p} THEN __tw_rows ELSE 0 END)") for n, p in outlier_preds]
         source = per_row
     else:
         items = [(n, "outlier_issues", f"count_if({p})") for n, p in outlier_preds]

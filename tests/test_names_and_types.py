@@ -49,3 +49,12 @@ def test_description_with_quote_in_message(spark):
     c = K.Check("custom", "x", "n", bad=F.col("x") > 0, description="it's \\ odd")
     r = K.run_checks(df, [c]).collect()[0]
     assert r.message == "it's \\ odd: 1 of 1 rows"
+
+
+def test_columns_named_like_internal_aliases(spark):
+    df = spark.createDataFrame([(1, 2, 3), (1, 2, 3), (2, 5, 6)], "`__n` int, `__rows` int, `__total` int")
+    assert PR.duplicate_count(df).collect()[0].duplicate_count == 1
+    rep = {(r.column, r.metric): r.value for r in PR.quality_report(df).collect()}
+    assert rep[(None, "duplicate_count")] == 1 and rep[("__rows", "null_count")] == 0
+    res = K.run_checks(df, [K.uniqueness(df, "__n"), K.value_range(df, "__total", 0, 4)]).collect()
+    assert sorted(r.failing for r in res) == [1, 1]
