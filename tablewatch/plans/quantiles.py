@@ -63,6 +63,7 @@ def _select(x_df: DataFrame, n: int, ranks: list[int], accuracy: int, collect_li
     x = F.col("x")
     state = {r: {"lo": None, "hi": None, "lo_open": False, "hi_open": False, "below": 0, "inside": n}
              for r in ranks}
+    widen = {r: 1.0 for r in ranks}   # grows if a sketch ever misses its guarantee
     answer: dict[int, float] = {}
     for _ in range(MAX_ROUNDS):
         active = [r for r in ranks if r not in answer]
@@ -97,7 +98,7 @@ def _select(x_df: DataFrame, n: int, ranks: list[int], accuracy: int, collect_li
         for i, r in enumerate(active):
             s = state[r]
             m, local = s["inside"], r - s["below"]
-            margin = 3.0 * m / accuracy + 2.0
+            margin = widen[r] * (3.0 * m / accuracy + 2.0)
             p_lo, p_hi = max(0.0, (local - margin) / m), min(1.0, (local + margin) / m)
             sketch_aggs.append(F.percentile_approx(F.when(_in_bracket(x, s), x), [p_lo, p_hi], accuracy)
                                .alias(f"q{i}"))
@@ -120,7 +121,9 @@ def _select(x_df: DataFrame, n: int, ranks: list[int], accuracy: int, collect_li
             elif below_lo + eq_lo <= r < below_hi:
                 state[r] = {"lo": lo, "hi": hi, "lo_open": True, "hi_open": True, "below": below_lo + eq_lo,
                             "inside": below_hi - below_lo - eq_lo}
-            # else the sketch missed (not expected): keep the bracket and try again
+            else:
+                # the sketch missed (not expected): keep the bracket, retry with a wider margin
+                widen[r] *= 4.0
     missing = [r for r in ranks if r not in answer]
     if missing:
         raise RuntimeError(f"exact quantile selection did not converge for ranks {missing}")
