@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import types as TY
+from ..functions import sqltext as S
 from ..functions.names import col, label, resolve, unique_names
 
 DEFAULT_MAX_CATEGORIES = 1000
@@ -71,8 +72,10 @@ def one_hot(df: DataFrame, columns=None, max_categories: int = DEFAULT_MAX_CATEG
     vocab = category_vocabulary(df, names, max_categories)
     wanted, exprs = [], []
     for n in names:
+        text = f"CAST({S.ident(n)} AS STRING)"
         for v in vocab[n]:
             wanted.append(f"{n}_{label(v)}")
-            exprs.append(F.when(col(n).cast("string").eqNullSafe(F.lit(v)), 1).otherwise(0))
+            exprs.append(f"CASE WHEN {text} <=> {S.string(v)} THEN 1 ELSE 0 END")
     final = unique_names(wanted, list(df.columns))
-    return df.select("*", *[e.alias(a) for e, a in zip(exprs, final)])
+    # SQL text: one JVM call for all indicators instead of several per category
+    return df.selectExpr("*", *[f"{e} AS {S.ident(a)}" for e, a in zip(exprs, final)])
