@@ -573,7 +573,10 @@ def q_skew_kurt(spark, sf):
 SELECT '{c}' AS "column", round(avg({c}), 6) AS mean, round(quantile_disc({c}, 0.5), 6) AS median,
        round(stddev_samp({c}), 6) AS stddev FROM lineitem""" for c in ["l_quantity", "l_discount"]]))
 def q_statistical_analysis(spark, sf):
-    return _round(PR.statistical_analysis(_t(spark, sf, "lineitem"), ["l_quantity", "l_discount"]))
+    # exact lower median: the oracle's quantile_disc at any scale (the library default is
+    # percentile_approx, whose answer is only guaranteed within n/accuracy ranks)
+    return _round(PR.statistical_analysis(_t(spark, sf, "lineitem"), ["l_quantity", "l_discount"], exact=True,
+                                          method="lower"))
 
 
 def _outlier_sql(c: str, src: str, k: float = 3.0) -> str:
@@ -654,7 +657,7 @@ FROM customer"""
 
 @_query("profile", _union(*[_profile_sql(c) for c in _CUST]))
 def q_profile(spark, sf):
-    return _round(PR.profile(_t(spark, sf, "customer")))
+    return _round(PR.profile(_t(spark, sf, "customer"), exact_median=True))
 
 
 def _qr_sql(src: str, cols: list[str], numeric: set[str], stamps: set[str], lo: str, hi: str) -> str:

@@ -179,13 +179,15 @@ def duplicate_count(df: DataFrame, subset=None) -> DataFrame:
                      (F.col("total") - F.col("distinct_keys")).alias("duplicate_count"))
 
 
-def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, approx_distinct: bool = False
-            ) -> DataFrame:
+def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, approx_distinct: bool = False,
+            exact_median: bool = False) -> DataFrame:
     """One row per column with type, counts, distinct count, range and moments.
 
     ``(column, data_type, nullable, rows, nulls, nans, distinct, min, max, mean, stddev,
     skewness, kurtosis, median)``; ``min``/``max`` are text so that every type fits one
-    column; moments and median (``percentile_approx``) are for numeric columns only.
+    column; moments and median are for numeric columns only. The median is
+    ``percentile_approx`` unless ``exact_median=True`` (exact lower median by
+    distributed selection, a few small jobs per numeric column).
 
     Two aggregations joined on the column name (k rows each): every regular metric in
     one pass, and the distinct counts (``distinct_counts``) in another. Mixing them in
@@ -193,6 +195,11 @@ def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, appro
     once per distinct value.
     """
     names = _names(df, columns)
+    medians = {}
+    if exact_median:
+        from .quantiles import exact_quantiles
+        medians = {n: exact_quantiles(df, n, [0.5], "lower", accuracy)[0]
+                   for n in names if TY.is_numeric(df.schema[n].dataType)}
 
     def build(i, n):
         f = df.schema[n]
@@ -206,8 +213,9 @@ def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, appro
             aggs += [f"CAST(NULL AS STRING) AS lo{i}", f"CAST(NULL AS STRING) AS hi{i}"]
         if TY.is_numeric(dt):
             x = S.as_double(n, dt)
+            med = S.double(medians[n]) if exact_median else f"percentile_approx({x}, 0.5, {int(accuracy)})"
             aggs += [f"avg({x}) AS m{i}", f"stddev({x}) AS s{i}", f"skewness({x}) AS sk{i}",
-                     f"kurtosis({x}) AS ku{i}", f"percentile_approx({x}, 0.5, {int(accuracy)}) AS md{i}"]
+                     f"kurtosis({x}) AS ku{i}", f"{med} AS md{i}"]
         else:
             aggs += [f"CAST(NULL AS DOUBLE) AS {p}{i}" for p in ("m", "s", "sk", "ku", "md")]
         return aggs, [S.named_struct([
