@@ -149,3 +149,11 @@ def test_reports_on_empty_one_row_all_null_constant(spark):
     from tablewatch.operators import cleaning as C
     assert C.remove_outliers(const).count() == 15
     assert [r.n for r in C.impute_mean(const).collect()] == [None] * 15
+
+
+def test_profile_exact_median(spark):
+    vals = [5.0, 1.0, 9.0, 3.0, None, float("nan"), 7.0, 2.0]
+    df = spark.createDataFrame([(v, "t") for v in vals], "x double, s string")
+    p = {r.column: r for r in PR.profile(df, exact_median=True).collect()}
+    present = sorted(v for v in vals if v is not None and v == v)
+    assert p["x"].median == present[(len(present) - 1) // 2] and p["s"].median is None
