@@ -17,7 +17,7 @@ from ..functions.names import col, resolve
 from ..functions.stats import as_double, column_stats, lit_double
 from .profile import DEFAULT_ACCURACY
 from .fuse import fused_rows, union_all
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles_many
 
 
 def _numeric(df: DataFrame, columns) -> list[str]:
@@ -145,8 +145,7 @@ def box_stats(df: DataFrame, columns=None, whis: float = 1.5, exact: bool = True
     names = _numeric(df, columns)
     quart = {}
     if exact:
-        for n in names:
-            quart[n] = exact_quantiles(df, n, [0.25, 0.5, 0.75], "linear", accuracy)
+        quart = exact_quantiles_many(df, names, [0.25, 0.5, 0.75], "linear", accuracy)
     else:
         row = df.agg(*[F.percentile_approx(_x(df, n), [0.25, 0.5, 0.75], accuracy).alias(f"q{i}")
                        for i, n in enumerate(names)]).first()

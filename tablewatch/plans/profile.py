@@ -97,8 +97,8 @@ def statistical_analysis(df: DataFrame, columns, accuracy: int = DEFAULT_ACCURAC
     names = _names(df, columns, "numeric")
     medians = {}
     if exact:
-        from .quantiles import exact_quantiles
-        medians = {n: exact_quantiles(df, n, [0.5], method, accuracy)[0] for n in names}
+        from .quantiles import exact_quantiles_many
+        medians = {n: v[0] for n, v in exact_quantiles_many(df, names, [0.5], method, accuracy).items()}
 
     def build(i, n):
         x = S.as_double(n, df.schema[n].dataType)
@@ -197,9 +197,9 @@ def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, appro
     names = _names(df, columns)
     medians = {}
     if exact_median:
-        from .quantiles import exact_quantiles
-        medians = {n: exact_quantiles(df, n, [0.5], "lower", accuracy)[0]
-                   for n in names if TY.is_numeric(df.schema[n].dataType)}
+        from .quantiles import exact_quantiles_many
+        numeric = [n for n in names if TY.is_numeric(df.schema[n].dataType)]
+        medians = {n: v[0] for n, v in exact_quantiles_many(df, numeric, [0.5], "lower", accuracy).items()}
 
     def build(i, n):
         f = df.schema[n]

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import types as TY
 from ..functions.names import col, resolve
 from ..functions.stats import as_double, lit_double
+from .fuse import union_all
 
 DEFAULT_SKETCH_ACCURACY = 10000
 DEFAULT_COLLECT_LIMIT = 20000
@@ -51,108 +52,138 @@ def _in_bracket(x, s: dict):
     return c
 
 
-def _select(x_df: DataFrame, n: int, ranks: list[int], accuracy: int, collect_limit: int) -> dict[int, float]:
-    """Value at each 0-based rank of the non-missing column ``x`` of ``x_df``.
+def _select(df: DataFrame, xs: dict, targets: dict, accuracy: int, collect_limit: int) -> dict:
+    """Value at each wanted 0-based rank of each column, all columns together.
 
-    A bracket is ``(lo, hi)`` with open or closed ends, ``below`` values under it and
-    ``inside`` values in it. The counting pass also counts the values equal to each
-    proposed end: when the wanted rank falls on such a run the end value is the answer,
-    otherwise the ends are excluded. So a value repeated many times (a hot key) is
-    either the answer or drops out of the bracket at once.
+    ``xs`` maps a column to its non-missing double expression, ``targets`` maps a column
+    to ``(n, ranks)``. A bracket is ``(lo, hi)`` with open or closed ends, ``below``
+    values under it and ``inside`` values in it. Each round is one sketch job and one
+    counting job for every open bracket of every column (plus one small collect job for
+    the brackets that are small enough). The counting pass also counts the values equal
+    to each proposed end: when the wanted rank falls on such a run the end value is the
+    answer, otherwise the ends are excluded, so a value repeated many times (a hot key)
+    is either the answer or drops out of the bracket at once.
     """
-    x = F.col("x")
-    state = {r: {"lo": None, "hi": None, "lo_open": False, "hi_open": False, "below": 0, "inside": n}
-             for r in ranks}
-    widen = {r: 1.0 for r in ranks}   # grows if a sketch ever misses its guarantee
-    answer: dict[int, float] = {}
+    keys = [(c, r) for c, (_, ranks) in targets.items() for r in ranks]
+    state = {k: {"lo": None, "hi": None, "lo_open": False, "hi_open": False, "below": 0,
+                 "inside": targets[k[0]][0]} for k in keys}
+    widen = {k: 1.0 for k in keys}   # grows if a sketch ever misses its guarantee
+    answer: dict = {}
     for _ in range(MAX_ROUNDS):
-        active = [r for r in ranks if r not in answer]
+        active = [k for k in keys if k not in answer]
         if not active:
             break
-        # brackets small enough are collected together in one small job
-        small = [r for r in active if state[r]["inside"] <= collect_limit]
+        # brackets small enough are collected together: one job for all columns
+        small = [k for k in active if state[k]["inside"] <= collect_limit]
         if small:
-            cond = None
-            for r in small:
-                c = _in_bracket(x, state[r])
-                cond = c if cond is None else cond | c
-            vals = sorted((row["x"], row["c"]) for row in
-                          x_df.filter(cond).groupBy("x").agg(F.count(F.lit(1)).alias("c")).collect())
-            for r in small:
-                s = state[r]
-                k = r - s["below"]
-                for v, c in vals:
+            branches = []
+            for c in sorted({k[0] for k in small}):
+                cond = None
+                for k in small:
+                    if k[0] == c:
+                        b = _in_bracket(xs[c], state[k])
+                        cond = b if cond is None else cond | b
+                branches.append(df.select(xs[c].alias("x")).filter(F.col("x").isNotNull() & cond)
+                                .groupBy("x").agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("c"), "x", "n"))
+            rows = union_all(branches).collect()
+            vals: dict = {}
+            for row in rows:
+                vals.setdefault(row["c"], []).append((row["x"], row["n"]))
+            for k in small:
+                s = state[k]
+                left = k[1] - s["below"]
+                for v, cnt in sorted(vals.get(k[0], [])):
                     if s["lo"] is not None and (v < s["lo"] or (s["lo_open"] and v == s["lo"])):
                         continue
                     if s["hi"] is not None and (v > s["hi"] or (s["hi_open"] and v == s["hi"])):
                         continue
-                    if k < c:
-                        answer[r] = v
+                    if left < cnt:
+                        answer[k] = v
                         break
-                    k -= c
-        active = [r for r in ranks if r not in answer]
+                    left -= cnt
+        active = [k for k in keys if k not in answer]
         if not active:
             break
-        # one sketch job proposes a narrower bracket for every open rank
+        # one sketch job proposes a narrower bracket for every open rank of every column
         sketch_aggs = []
-        for i, r in enumerate(active):
-            s = state[r]
-            m, local = s["inside"], r - s["below"]
-            margin = widen[r] * (3.0 * m / accuracy + 2.0)
+        for i, k in enumerate(active):
+            s = state[k]
+            m, local = s["inside"], k[1] - s["below"]
+            margin = widen[k] * (3.0 * m / accuracy + 2.0)
             p_lo, p_hi = max(0.0, (local - margin) / m), min(1.0, (local + margin) / m)
+            x = xs[k[0]]
             sketch_aggs.append(F.percentile_approx(F.when(_in_bracket(x, s), x), [p_lo, p_hi], accuracy)
                                .alias(f"q{i}"))
-        row = x_df.agg(*sketch_aggs).first()
-        proposals = {r: row[f"q{i}"] for i, r in enumerate(active)}
-        # one counting job: below / equal to each proposed end
+        row = df.agg(*sketch_aggs).first()
+        proposals = {k: row[f"q{i}"] for i, k in enumerate(active)}
+        # one counting job: values below / equal to each proposed end
         count_aggs = []
-        for i, r in enumerate(active):
-            lo, hi = (lit_double(v) for v in proposals[r])
+        for i, k in enumerate(active):
+            lo, hi = (lit_double(v) for v in proposals[k])
+            x = xs[k[0]]
             count_aggs += [F.count_if(x < lo).alias(f"a{i}"), F.count_if(x == lo).alias(f"b{i}"),
                            F.count_if(x < hi).alias(f"c{i}"), F.count_if(x == hi).alias(f"d{i}")]
-        row = x_df.agg(*count_aggs).first()
-        for i, r in enumerate(active):
-            lo, hi = proposals[r]
-            below_lo, eq_lo, below_hi, eq_hi = (row[f"{k}{i}"] for k in "abcd")
+        row = df.agg(*count_aggs).first()
+        for i, k in enumerate(active):
+            lo, hi = proposals[k]
+            r = k[1]
+            below_lo, eq_lo, below_hi, eq_hi = (row[f"{t}{i}"] for t in "abcd")
             if below_lo <= r < below_lo + eq_lo:
-                answer[r] = lo
+                answer[k] = lo
             elif below_hi <= r < below_hi + eq_hi:
-                answer[r] = hi
+                answer[k] = hi
             elif below_lo + eq_lo <= r < below_hi:
-                state[r] = {"lo": lo, "hi": hi, "lo_open": True, "hi_open": True, "below": below_lo + eq_lo,
+                state[k] = {"lo": lo, "hi": hi, "lo_open": True, "hi_open": True, "below": below_lo + eq_lo,
                             "inside": below_hi - below_lo - eq_lo}
             else:
                 # the sketch missed (not expected): keep the bracket, retry with a wider margin
-                widen[r] *= 4.0
-    missing = [r for r in ranks if r not in answer]
+                widen[k] *= 4.0
+    missing = [k for k in keys if k not in answer]
     if missing:
-        raise RuntimeError(f"exact quantile selection did not converge for ranks {missing}")
+        raise RuntimeError(f"exact quantile selection did not converge for {missing}")
     return answer
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: list[float], method: str = "linear",
-                    accuracy: int = DEFAULT_SKETCH_ACCURACY, collect_limit: int = DEFAULT_COLLECT_LIMIT
-                    ) -> list[float | None]:
-    """Exact quantiles of a numeric column (NULL and NaN skipped).
+def exact_quantiles_many(df: DataFrame, columns, probs: list[float], method: str = "linear",
+                         accuracy: int = DEFAULT_SKETCH_ACCURACY, collect_limit: int = DEFAULT_COLLECT_LIMIT
+                         ) -> dict[str, list[float | None]]:
+    """Exact quantiles of several numeric columns at once (NULL and NaN skipped).
 
     ``method="linear"`` interpolates between the two neighbouring order statistics at
     position ``(n - 1)·p`` (the usual definition, as in box plots); ``method="lower"``
     returns the order statistic at ``floor((n - 1)·p)``. An empty column gives ``None``.
+    All columns share the jobs of every selection round.
     """
-    name = resolve(df, column)
-    dt = TY.require(df, name, TY.is_numeric, "numeric")
-    x_df = df.select(as_double(col(name), dt).alias("x")).filter(F.col("x").isNotNull())
-    n = x_df.count()
-    if n == 0:
-        return [None for _ in probs]
-    per_prob = _ranks(n, probs, method)
-    values = _select(x_df, n, sorted({r for rs in per_prob for r in rs}), accuracy, collect_limit)
-    out = []
-    for p, rs in zip(probs, per_prob):
-        if len(rs) == 1:
-            out.append(values[rs[0]])
-        else:
-            h = (n - 1) * p
-            lo_v, hi_v = values[rs[0]], values[rs[1]]
-            out.append(lo_v + (hi_v - lo_v) * (h - math.floor(h)))
+    names = [resolve(df, c) for c in columns]
+    xs = {}
+    for n in names:
+        dt = TY.require(df, n, TY.is_numeric, "numeric")
+        xs[n] = as_double(col(n), dt)
+    counts_row = df.agg(*[F.count(xs[n]).alias(f"n{i}") for i, n in enumerate(names)]).first()
+    counts = {n: counts_row[f"n{i}"] for i, n in enumerate(names)}
+    per_prob = {n: _ranks(counts[n], probs, method) for n in names if counts[n]}
+    targets = {n: (counts[n], sorted({r for rs in per_prob[n] for r in rs})) for n in per_prob}
+    values = _select(df, xs, targets, accuracy, collect_limit) if targets else {}
+    out = {}
+    for n in names:
+        if not counts[n]:
+            out[n] = [None for _ in probs]
+            continue
+        res = []
+        for p, rs in zip(probs, per_prob[n]):
+            if len(rs) == 1:
+                res.append(values[(n, rs[0])])
+            else:
+                h = (counts[n] - 1) * p
+                lo_v, hi_v = values[(n, rs[0])], values[(n, rs[1])]
+                res.append(lo_v + (hi_v - lo_v) * (h - math.floor(h)))
+        out[n] = res
     return out
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: list[float], method: str = "linear",
+                    accuracy: int = DEFAULT_SKETCH_ACCURACY, collect_limit: int = DEFAULT_COLLECT_LIMIT
+                    ) -> list[float | None]:
+    """Exact quantiles of one numeric column (see ``exact_quantiles_many``)."""
+    name = resolve(df, column)
+    return exact_quantiles_many(df, [name], probs, method, accuracy, collect_limit)[name]

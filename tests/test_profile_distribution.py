@@ -157,3 +157,15 @@ def test_profile_exact_median(spark):
     p = {r.column: r for r in PR.profile(df, exact_median=True).collect()}
     present = sorted(v for v in vals if v is not None and v == v)
     assert p["x"].median == present[(len(present) - 1) // 2] and p["s"].median is None
+
+
+def test_exact_quantiles_many_columns_share_rounds(spark):
+    from tablewatch.plans.quantiles import exact_quantiles_many
+    rnd = random.Random(9)
+    rows = [(rnd.random() * 100, 7.0 if rnd.random() < 0.4 else rnd.random(), None) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = exact_quantiles_many(df, ["a", "b", "c"], [0.1, 0.5, 0.9], accuracy=30, collect_limit=50)
+    for i, n in enumerate("ab"):
+        vals = [r[i] for r in rows]
+        assert got[n] == pytest.approx(list(np.percentile(vals, [10, 50, 90])))
+    assert got["c"] == [None, None, None]
