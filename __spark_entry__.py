@@ -865,6 +865,19 @@ for _k in ("alerts", "log_rows"):
     _SQL[_k] = _SQL[_k].replace("__SUITE__", _SQL["check_suite"])
 
 
+# ===========================================================================
+# queries of the optional llm subpackage, where it is present
+
+try:
+    from tablewatch.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("tablewatch.llm", "tablewatch.llm.queries", "corpus_pipeline"):
+        raise
+else:
+    _QUERIES.update(_llm.QUERIES)
+    _SQL.update(_llm.SQL)
+
+
 # ===========================================================================
 # driver contract
 
