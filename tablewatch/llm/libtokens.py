@@ -13,7 +13,7 @@ from array import array
 from tablewatch.llm.common import SPACE_CHARS, tokenizer_path
 from tablewatch.llm.units import PLAIN, UnitCache
 
-MAX_KNOWN = 400_000
+MAX_KNOWN = 800_000
 
 
 def id_bytes(ids) -> bytes:

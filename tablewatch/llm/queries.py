@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewatch.llm import bpe, exact_dedup, packing, quality_rules, token_files, warc
+from tablewatch.llm import bpe, exact_dedup, line_dedup, packing, quality_rules, simhash, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       with_ids=False)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -29,6 +34,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), "word_bpe_49k.json", 2, with_ids=False)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", F.coalesce(F.size("removed_lines"), F.lit(0)).cast("long").alias("n_removed"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"), "byte_bpe_50k.json", 0)
 
@@ -42,11 +52,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op3_exact_dedup, op4_packing, op7_token_files, op9_quality_rules, op10_warc)}
+    f.__name__: f for f in (
+        op1_byte_bpe, op2_simhash, op3_exact_dedup, op4_packing, op6_line_dedup, op7_token_files, op9_quality_rules,
+        op10_warc)}
 
 #: Operators that SQL cannot express have none.
 SQL: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.SQL,
+    "op6_line_dedup": line_dedup.SQL,
     "op9_quality_rules": quality_rules.SQL,
     "op10_warc": """
 SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
