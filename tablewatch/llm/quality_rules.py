@@ -78,11 +78,17 @@ def base_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     return _repeated_words(df)
 
 
-def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                  max_line_docs: int = MAX_LINE_DOCS, max_lost: float = MAX_LOST) -> DataFrame:
-    """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lost_words, base_failed, kept``."""
-    rows = df.select(df[id_col].alias("doc_id"), df[host_col].alias("host"), df[text_col].alias("text")).withColumn(
-        "doc", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+def _rows(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    return df.select(df[id_col].alias("doc_id"), df[host_col].alias("host"), df[text_col].alias("text")).withColumn(
+        "doc", _digest(F.col("text")))
+
+
+def _digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def _lost(rows: DataFrame, max_line_docs: int) -> DataFrame:
+    """``doc_id, doc, n_words, n``: a row for each line that a document loses, with its words."""
     lines = rows.select("doc_id", "doc", "host", F.explode(_lines(F.col("text"))).alias("line")).select(
         "doc_id", "doc", "host", F.unhex(F.md5(F.col("line.normal").cast("binary"))).alias("line"),
         F.col("line.n").alias("n"))
@@ -90,25 +96,53 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     common = lines.groupBy("host", "line", "doc").agg(F.min("doc_id").alias("first")).groupBy("host", "line").agg(
         F.count("*").alias("docs"), F.min("first").alias("first")).filter(F.col("docs") > max_line_docs)
     common = stored(common.select(F.col("host").alias("on_host"), F.col("line").alias("common"), "first"), "lines")
-    lost = lines.join(common, lines["host"].eqNullSafe(common["on_host"]) & (lines["line"] == common["common"])
+    return lines.join(common, lines["host"].eqNullSafe(common["on_host"]) & (lines["line"] == common["common"])
                       & ~lines["doc_id"].eqNullSafe(common["first"])).select("doc_id", "doc", "n")
+
+
+def _failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
+
+
+def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                  max_line_docs: int = MAX_LINE_DOCS, max_lost: float = MAX_LOST) -> DataFrame:
+    """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lost_words, base_failed, kept``."""
+    rows = _rows(df, id_col, text_col, host_col)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     base = base_counts(rows.select("doc_id", "doc", "text"))
     both = base.select("doc_id", "doc", *names, F.lit(0).alias("n"), F.lit(1).alias("rows")).unionByName(
-        lost.withColumn("rows", F.lit(0)), allowMissingColumns=True)
+        _lost(rows, max_line_docs).withColumn("rows", F.lit(0)), allowMissingColumns=True)
     per = both.groupBy("doc_id", "doc").agg(
         *[F.max(c).alias(c) for c in names], F.sum("n").alias("lost"), F.sum("rows").alias("rows"))
     per = per.withColumn("lost_words", F.floor(F.col("lost") / F.col("rows")).cast("long"))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return per.select(
-        "doc_id", *names, "lost_words", failed.alias("base_failed"),
-        (~failed & (F.col("lost_words") <= max_lost * F.col("n_words"))).alias("kept"),
+        "doc_id", *names, "lost_words", _failed().alias("base_failed"),
+        (~_failed() & (F.col("lost_words") <= max_lost * F.col("n_words"))).alias("kept"),
         F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("row")).drop("row")
 
 
-def rejects(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """``doc_id`` of the documents that don't pass."""
-    return quality_rules(df, id_col, text_col, host_col).filter(~F.col("kept")).select("doc_id")
+#: Rejected documents up to so many are sent to every task (under 10 MB); more are joined by a shuffle.
+MAX_SENT = 100_000
+
+
+def passing(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+            max_line_docs: int = MAX_LINE_DOCS, max_lost: float = MAX_LOST) -> DataFrame:
+    """The rows of ``df``, all columns, that :func:`quality_rules` keeps.
+
+    Base rules are decided where a row is read; only the ids of depleted documents are gathered.
+    """
+    rows = _rows(df, id_col, text_col, host_col)
+    lost = _lost(rows, max_line_docs).groupBy("doc_id", "doc").agg(F.sum("n").alias("lost"))
+    size = rows.groupBy("doc_id", "doc").agg(F.count("*").alias("rows"), F.max(F.size(words(F.col("text")))).alias("n_words"))
+    depleted = stored(size.join(lost.withColumnsRenamed({"doc_id": "_id", "doc": "_doc"}), F.col("doc_id").eqNullSafe(
+        F.col("_id")) & (F.col("doc") == F.col("_doc"))).filter(
+        F.floor(F.col("lost") / F.col("rows")) > max_lost * F.col("n_words")).select("_id", "_doc"), "depleted")
+    if depleted.count() <= MAX_SENT:
+        depleted = F.broadcast(depleted)
+    judged = base_counts(df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[text_col].alias("text")))
+    # a filter would be moved below the projections and work out the counts again for every word
+    passed = judged.select(F.inline(F.filter(F.array("row"), lambda r: ~_failed())))
+    return passed.join(depleted, F.col(id_col).eqNullSafe(F.col("_id")) & (_digest(F.col(text_col)) == F.col("_doc")), "left_anti")
 
 
 SQL = f"""

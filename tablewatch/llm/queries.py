@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm import bpe, exact_dedup, line_dedup, packing, quality_rules, simhash, token_files, warc
+import corpus_pipeline
+from tablewatch.llm import (
+    bpe,
+    exact_dedup,
+    line_dedup,
+    packing,
+    quality_bayes,
+    quality_rules,
+    simhash,
+    token_files,
+    toxicity,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +46,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), "word_bpe_49k.json", 2, with_ids=False)
 
 
+def op5_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_bayes.site_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "text", F.coalesce(F.size("removed_lines"), F.lit(0)).cast("long").alias("n_removed"))
@@ -43,6 +59,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"), "byte_bpe_50k.json", 0)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -51,10 +71,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages")).drop("url")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run} | {
     f.__name__: f for f in (
-        op1_byte_bpe, op2_simhash, op3_exact_dedup, op4_packing, op6_line_dedup, op7_token_files, op9_quality_rules,
-        op10_warc)}
+        op1_byte_bpe, op2_simhash, op3_exact_dedup, op4_packing, op5_site_quality, op6_line_dedup, op7_token_files,
+        op8_toxicity, op9_quality_rules, op10_warc)}
 
 #: Operators that SQL cannot express have none.
 SQL: dict[str, str] = {
@@ -68,3 +88,6 @@ FROM (SELECT page_id, html, first, coalesce(strlen(coalesce(html, '')) >= 100 AN
       FROM (SELECT page_id, html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages))
 """,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
