@@ -165,18 +165,22 @@ class WordModel:
 
 
 def kernel(words: list[str], others: list[str]):
-    """Matrix of kernel values, and the subsequence weights of ``others``."""
+    """Matrix of kernel values, the subsequences of ``others`` (sorted) and their weights, a row each."""
     import numpy as np
 
-    right = np.zeros((len(others), _CLASSES ** 3), np.float32)
-    for places, code, weight, norm in subsequences(others):
+    groups = subsequences(others)
+    used = np.unique(np.concatenate([code.ravel() for _, code, _, _ in groups]))
+    right = np.zeros((len(others), len(used) + 1), np.float32)  # the last column is for all others
+    for places, code, weight, norm in groups:
         for i, at in enumerate(places):
-            np.add.at(right[at], code[i], weight[i] / norm[i])
+            np.add.at(right[at], np.searchsorted(used, code[i]), weight[i] / norm[i])
     out = np.zeros((len(words), len(others)))
     for places, code, weight, norm in subsequences(words):
+        found = np.minimum(np.searchsorted(used, code), len(used) - 1)
+        found[used[found] != code] = len(used)
         for i, at in enumerate(places):
-            out[at] = right[:, code[i]] @ (weight[i] / norm[i])
-    return out, right
+            out[at] = right[:, found[i]] @ (weight[i] / norm[i])
+    return out, used, right[:, :-1]
 
 
 def train_words(positive: list[str], negative: list[str], landmarks: list[str], rounds: int = 60, strength: float = 1e-3,
@@ -185,7 +189,7 @@ def train_words(positive: list[str], negative: list[str], landmarks: list[str],
     (averaged), both classes weighing the same."""
     import numpy as np
 
-    own, right = kernel(landmarks, landmarks)
+    own, used, right = kernel(landmarks, landmarks)
     values, vectors = np.linalg.eigh(own + 1e-6 * np.eye(len(landmarks)))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
     x = np.c_[kernel(positive + negative, landmarks)[0] @ root, np.ones(len(positive) + len(negative))]
@@ -205,7 +209,9 @@ def train_words(positive: list[str], negative: list[str], landmarks: list[str],
         if t > rounds * 25:
             total, steps = total + w, steps + 1
     w = total / steps
-    return WordModel((root @ w[:-1]) @ right, float(w[-1]))
+    weights = np.zeros(_CLASSES ** 3)
+    weights[used] = (root @ w[:-1]) @ right
+    return WordModel(weights, float(w[-1]))
 
 
 def logistic(rows, labels, rounds: int = 60) -> list[float]:
@@ -237,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = stored(marked.filter(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs), "labels")
     # at most max_docs ids: small enough to be sent to every task
     sample = stored(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).join(
-        F.broadcast(chosen), "doc_id").select("label", "text").limit(max_docs), "sample")
+        F.broadcast(chosen), "doc_id").select("label", "text").limit(max_docs).repartition(64), "sample")
     n_toxic, n_all = sample.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
     if not n_toxic or n_toxic == n_all:
         share = 1 if n_toxic else 0
