@@ -8,8 +8,8 @@ matrix, and a linear machine is trained on these. Its weights fold back into one
 subsequence, so scoring a word costs its own subsequences only.
 
 Training is on sentences. Sentences of clean documents are negative, each of their words is. Toxic
-documents are positive as a whole: their witnesses are the words that are much more frequent in
-toxic documents than chance allows. Clean words that score high are added and the machine is trained
+documents are positive as a whole: their witnesses are the words that stand between many different
+neighbours there (so that copies of one document count once) and rarely in clean documents. Clean words that score high are added and the machine is trained
 again. A text's evidence is the scores of its worst words over all its sentences, how many words lie
 above the border, and how many there are; a logistic model fitted on training documents makes it a
 probability. Single characters in a row count as one word, too.
@@ -24,6 +24,7 @@ other columns are ignored. A table without rows gives none.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -36,8 +37,8 @@ from tablewatch.llm.common import held_out, stored
 MAX_DOCS, MAX_LANDMARKS, MAX_NEGATIVE = 20_000, 160, 3_000
 #: A subsequence spans at most so many characters, and loses this factor for each that it skips.
 SPAN, DECAY = 6, 0.5
-#: A witness stands in so many toxic documents at least and in them mostly.
-MIN_TOXIC_DOCS, MIN_TOXIC_SHARE = 5, 0.7
+#: A witness stands between so many pairs of neighbours in toxic documents at least, and in them mostly.
+MIN_TOXIC_PLACES, MIN_TOXIC_SHARE = 5, 0.7
 _MARKS = ".,;:!?\"'()[]{}<>«»“”„…-_|"
 _KEPT = 400_000
 #: Characters fall in 64 classes: a to z, both ends of a word, and the rest by a hash; a subsequence is
@@ -254,15 +255,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
         for batch in batches:
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = sorted({forms(w)[-1] for w in text_words(text.as_py())} - {""})
-                yield pa.RecordBatch.from_arrays([pa.array([label] * len(own), pa.int32()), pa.array(own, pa.string())],
-                                                 names=["label", "word"])
-
-    counts = stored(sample.select("label", "text").mapInArrow(words_of, "label int, word string").groupBy("word").agg(
-        F.sum("label").alias("toxic"), F.count("*").alias("docs")), "words")
-    least = min(MIN_TOXIC_DOCS, max(2, n_toxic // 12))
-    witness = counts.filter((F.col("toxic") >= least) & (F.col("toxic") >= MIN_TOXIC_SHARE * F.col("docs")))
-    positive = [r["word"] for r in witness.orderBy(F.col("toxic").desc(), "word").limit(2 * MAX_LANDMARKS).collect()]
+                bare = ["", *(forms(w)[-1] for w in text_words(text.as_py())), ""]
+                own = [(label, w, 0) for w in sorted(set(bare) - {""})]
+                if label:
+                    own += sorted({(2, w, zlib.crc32(f"{x} {y}".encode())) for x, w, y in zip(bare, bare[1:], bare[2:]) if w})
+                kinds, names, places = zip(*own) if own else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(names, pa.string()),
+                                                  pa.array(places, pa.int64())], names=["kind", "word", "place"])
+
+    # kinds: in a clean document, in a toxic one, between two neighbours in toxic ones; a toxic document
+    # and its copies show a word between the same neighbours, which counts once
+    counts = stored(sample.select("label", "text").mapInArrow(words_of, "kind int, word string, place long").groupBy(
+        "kind", "word", "place").count().groupBy("word").agg(
+        F.sum(F.when(F.col("kind") == 1, F.col("count")).otherwise(0)).alias("toxic"),
+        F.sum(F.when(F.col("kind") < 2, F.col("count")).otherwise(0)).alias("docs"),
+        F.count_if(F.col("kind") == 2).alias("places")), "words")
+    least = min(MIN_TOXIC_PLACES, max(2, n_toxic // 12))
+    witness = counts.filter((F.col("places") >= least) & (F.col("toxic") >= MIN_TOXIC_SHARE * F.col("docs")))
+    positive = [r["word"] for r in witness.orderBy(F.col("places").desc(), "word").limit(2 * MAX_LANDMARKS).collect()]
     usual = counts.filter(F.col("toxic") < 0.5 * F.col("docs")).filter("docs > toxic")
     negative = [r["word"] for r in usual.orderBy(F.col("docs").desc(), "word").limit(MAX_NEGATIVE // 2).collect()]
     negative += [r["word"] for r in usual.orderBy(F.xxhash64("word"), "word").limit(MAX_NEGATIVE // 2).collect()]
@@ -273,7 +283,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = train_words(positive, negative, landmarks)
     for _ in range(2):  # clean words that look toxic, toxic words that are too rare to be witnesses alone
         hard = _highest(usual.filter("docs > 1"), model, MAX_NEGATIVE // 4)
-        more = _highest(counts.filter((F.col("toxic") > 1) & (F.col("toxic") >= MIN_TOXIC_SHARE * F.col("docs"))), model,
+        more = _highest(counts.filter((F.col("places") > 1) & (F.col("toxic") >= MIN_TOXIC_SHARE * F.col("docs"))), model,
                         MAX_LANDMARKS, above=0.5)
         negative = list(dict.fromkeys(negative + hard))
         positive = list(dict.fromkeys(positive + more))
