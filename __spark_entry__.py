@@ -184,9 +184,15 @@ def _orders_lines(spark, sf):
     return orders, lines
 
 
+def _unmatched(orders):
+    """Every order; those of status P under a key that no line has."""
+    return orders.withColumn("orderkey", F.expr("CASE WHEN o_orderstatus = 'P' THEN -orderkey ELSE orderkey END"))
+
+
 _JOIN_SELECT = "SELECT orderkey, o_orderstatus, l_linenumber, l_quantity FROM"
 _O = "(SELECT o_orderkey AS orderkey, o_orderstatus FROM orders)"
-_O_NOT_P = "(SELECT o_orderkey AS orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P')"
+_O_NOT_P = ("(SELECT CASE WHEN o_orderstatus = 'P' THEN -o_orderkey ELSE o_orderkey END AS orderkey, "
+            "o_orderstatus FROM orders)")
 _L = "(SELECT l_orderkey AS orderkey, l_linenumber, l_quantity FROM lineitem)"
 
 
@@ -205,14 +211,14 @@ def q_join_left(spark, sf):
 @_query("join_right", f"{_JOIN_SELECT} {_O_NOT_P} o RIGHT JOIN {_L} l USING (orderkey)")
 def q_join_right(spark, sf):
     o, l_ = _orders_lines(spark, sf)
-    o = o.filter(F.col("o_orderstatus") != "P")
+    o = _unmatched(o)
     return R.join(o, l_, "orderkey", "right").select("orderkey", "o_orderstatus", "l_linenumber", "l_quantity")
 
 
 @_query("join_full", f"{_JOIN_SELECT} {_O_NOT_P} o FULL JOIN {_L} l USING (orderkey)")
 def q_join_full(spark, sf):
     o, l_ = _orders_lines(spark, sf)
-    o = o.filter(F.col("o_orderstatus") != "P")
+    o = _unmatched(o)
     return R.join(o, l_, "orderkey", "full").select("orderkey", "o_orderstatus", "l_linenumber", "l_quantity")
 
 
@@ -847,6 +853,20 @@ def q_box(spark, sf):
     return _round(D.box_stats(_t(spark, sf, "events"), ["value"]))
 
 
+@_query("one_hot_long", """
+SELECT p_partkey, 'p_brand' AS "column", p_brand AS value FROM part
+UNION ALL SELECT p_partkey, 'p_type', p_type FROM part""")
+def q_one_hot_long(spark, sf):
+    return FE.one_hot_long(_t(spark, sf, "part"), ["p_partkey"], ["p_brand", "p_type"])
+
+
+@_query("allowed_values_empty", _pred_row_sql("allowed_values", "status", "invalid_count", "true",
+        "Column status has values outside the allowed set", "orders"))
+def q_allowed_empty(spark, sf):
+    orders = _t(spark, sf, "orders").select(F.expr("nullif(o_orderstatus, 'P')").alias("status"))
+    return _results(K.run_checks(orders, [K.allowed_values(orders, "status", [])]))
+
+
 # ===========================================================================
 # 7. results and alerts
 

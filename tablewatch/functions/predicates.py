@@ -53,10 +53,13 @@ def not_in(c: Column, values, allow_null: bool = True) -> Column:
     """Value not in the allowed list.
 
     NULL entries of the list are ignored (with SQL ``NOT IN`` a NULL in the list would
-    make the predicate never TRUE). A NULL value is bad only with ``allow_null=False``.
+    make the predicate never TRUE). A NULL value is bad only with ``allow_null=False``, or
+    where nothing is allowed: then every row is bad.
     """
     vals = [v for v in values if v is not None]
-    pred = ~c.isin(vals) if vals else F.lit(True)
+    if not vals:
+        return F.lit(True)
+    pred = ~c.isin(vals)
     if allow_null:
         return c.isNotNull() & pred
     return c.isNull() | pred

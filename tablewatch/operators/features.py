@@ -9,8 +9,6 @@ from ..functions import types as TY
 from ..functions import sqltext as S
 from ..functions.names import col, label, resolve, unique_names
 
-DEFAULT_MAX_CATEGORIES = 1000
-
 
 def timestamp_parts(df: DataFrame, columns=None) -> DataFrame:
     """add ``{c}_year``, ``{c}_month``, ``{c}_day``, ``{c}_hour`` (int) per timestamp column.
@@ -30,14 +28,13 @@ def timestamp_parts(df: DataFrame, columns=None) -> DataFrame:
     return df.withColumns(new)
 
 
-def category_vocabulary(df: DataFrame, columns: list[str], max_categories: int = DEFAULT_MAX_CATEGORIES
-                        ) -> dict[str, list]:
+def category_vocabulary(df: DataFrame, columns: list[str], max_categories: int | None = None) -> dict[str, list]:
     """Distinct values of each column (NULL included), sorted, for all columns in one pass.
 
     One ``distinct`` per column (each reads only its column; a map-side partial step
-    collapses repeated values), unioned into one job. Only the small per-column counts and then the capped
-    vocabularies reach the driver; a column with more than ``max_categories`` values
-    raises ``ValueError`` rather than pulling an unbounded list to the driver.
+    collapses repeated values), unioned into one job. The values become column names, so
+    they reach the driver; ``max_categories`` refuses columns with more of them. For
+    columns of unbounded vocabulary use ``one_hot_long``, which gathers none.
     """
     if not columns:
         return {}
@@ -46,20 +43,29 @@ def category_vocabulary(df: DataFrame, columns: list[str], max_categories: int =
     pairs = branches[0]
     for b in branches[1:]:
         pairs = pairs.unionByName(b)
-    counts = {r["column"]: r["n"] for r in pairs.groupBy("column").agg(F.count("*").alias("n")).collect()}
-    too_many = {c: n for c, n in counts.items() if n > max_categories}
-    if too_many:
-        raise ValueError(f"too many categories for one-hot encoding {too_many}; "
-                         f"limit is {max_categories} (pass columns= or raise max_categories)")
     vocab: dict[str, list] = {c: [] for c in columns}
     for r in pairs.collect():
         vocab[r["column"]].append(r["value"])
+    too_many = {c: len(v) for c, v in vocab.items() if max_categories is not None and len(v) > max_categories}
+    if too_many:
+        raise ValueError(f"too many categories for one-hot encoding {too_many}; limit is {max_categories}")
     for c in vocab:
         vocab[c].sort(key=lambda v: (v is not None, v or ""))
     return vocab
 
 
-def one_hot(df: DataFrame, columns=None, max_categories: int = DEFAULT_MAX_CATEGORIES) -> DataFrame:
+def one_hot_long(df: DataFrame, keys, columns=None) -> DataFrame:
+    """F2 in long form: ``(*keys, column, value)``, the indicators of ``one_hot`` that are 1.
+
+    One row per input row and column, with NULL values kept. Nothing is gathered on the
+    driver and nothing is shuffled, so columns of any cardinality fit.
+    """
+    names = [resolve(df, c) for c in (columns if columns is not None else TY.columns_of(df, "string"))]
+    pairs = F.array(*[F.struct(F.lit(n).alias("column"), col(n).cast("string").alias("value")) for n in names])
+    return df.select(*[col(resolve(df, k)) for k in keys], F.inline(pairs))
+
+
+def one_hot(df: DataFrame, columns=None, max_categories: int | None = None) -> DataFrame:
     """one int 0/1 column ``{c}_{value}`` per distinct value of each string column.
 
     The label is the value with spaces replaced by ``_``; a NULL value gets ``{c}_None``,

@@ -54,7 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a shared file system folder and is used as is.
-    Only when it is unset (local runs and tests) a fresh folder is created and set.
+    Only when it is unset in a local run (tests) a fresh folder is created and set; on a
+    cluster that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -64,6 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
     local = tempfile.mkdtemp(prefix="tablewatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
