@@ -337,7 +337,7 @@ def q_consistency_mixed(spark, sf):
 
 @_query("value_range", _pred_row_sql("value_range", "l_quantity", "out_of_range_count",
                                      "l_quantity < 5 OR l_quantity > 45",
-                                     "Column l_quantity has values out of range [5, 45]", "lineitem"))
+                                     "Column l_quantity lies partly outside [5, 45]", "lineitem"))
 def q_value_range(spark, sf):
     df = _t(spark, sf, "lineitem")
     return _results(K.run_checks(df, [K.value_range(df, "l_quantity", 5, 45)]))
@@ -360,9 +360,9 @@ def q_allowed_values(spark, sf):
 
 @_query("uniqueness", _union(
     _distinct_row_sql("uniqueness", "l_orderkey,l_linenumber", "duplicate_count", "l_orderkey, l_linenumber",
-                      "Column l_orderkey,l_linenumber has duplicate values", "lineitem"),
+                      "Column l_orderkey,l_linenumber repeats key values", "lineitem"),
     _distinct_row_sql("uniqueness", "l_orderkey", "duplicate_count", "l_orderkey",
-                      "Column l_orderkey has duplicate values", "lineitem")))
+                      "Column l_orderkey repeats key values", "lineitem")))
 def q_uniqueness(spark, sf):
     df = _t(spark, sf, "lineitem")
     return _results(K.run_checks(df, [K.uniqueness(df, ["l_orderkey", "l_linenumber"]),
@@ -375,7 +375,7 @@ _LI_QTY2 = ("(SELECT l_quantity, CASE WHEN l_linenumber = 7 THEN l_quantity * 2
 
 @_query("verify_transformation", _pred_row_sql(
     "transformation", "qty2", "mismatch_count", "qty2 <> l_quantity * 2",
-    "Transformation error: column qty2 has mismatched values", _LI_QTY2))
+    "Derived column qty2 differs from its expression", _LI_QTY2))
 def q_verify_transformation(spark, sf):
     li = _t(spark, sf, "lineitem")
     df = li.select("l_quantity", F.when(F.col("l_linenumber") == 7, F.col("l_quantity") * 2 + 1)
@@ -500,9 +500,9 @@ _SUITE_SRC = "(SELECT * FROM lineitem)"
 
 @_query("check_suite", _union(
     _pred_row_sql("value_range", "l_quantity", "out_of_range_count", "l_quantity < 5 OR l_quantity > 45",
-                  "Column l_quantity has values out of range [5, 45]", _SUITE_SRC),
+                  "Column l_quantity lies partly outside [5, 45]", _SUITE_SRC),
     _pred_row_sql("value_range", "l_discount", "out_of_range_count", "l_discount < 0.0 OR l_discount > 0.1",
-                  "Column l_discount has values out of range [0.0, 0.1]", _SUITE_SRC),
+                  "Column l_discount lies partly outside [0.0, 0.1]", _SUITE_SRC),
     _pred_row_sql("allowed_values", "l_returnflag", "invalid_count",
                   "l_returnflag IS NOT NULL AND l_returnflag NOT IN ('A', 'N', 'R')",
                   "Column l_returnflag has values outside the allowed set", _SUITE_SRC),
@@ -511,7 +511,7 @@ _SUITE_SRC = "(SELECT * FROM lineitem)"
     _pred_row_sql("consistency", "l_discount,l_tax", "mismatch_count", "l_discount <> l_tax",
                   "Inconsistent data between columns l_discount and l_tax", _SUITE_SRC, "warning"),
     _distinct_row_sql("uniqueness", "l_orderkey,l_linenumber", "duplicate_count", "l_orderkey, l_linenumber",
-                      "Column l_orderkey,l_linenumber has duplicate values", _SUITE_SRC)))
+                      "Column l_orderkey,l_linenumber repeats key values", _SUITE_SRC)))
 def q_check_suite(spark, sf):
     return _results(_suite(spark, sf))
 

@@ -70,7 +70,7 @@ def value_range(df: DataFrame, column: str, min_value=None, max_value=None) -> C
     """V4: values outside the closed range ``[min_value, max_value]``."""
     n = resolve(df, column)
     return Check("value_range", n, "out_of_range_count", bad=P.outside(col(n), min_value, max_value),
-                 description=f"Column {n} has values out of range [{min_value}, {max_value}]")
+                 description=f"Column {n} lies partly outside [{min_value}, {max_value}]")
 
 
 def uniqueness(df: DataFrame, columns) -> Check:
@@ -78,7 +78,7 @@ def uniqueness(df: DataFrame, columns) -> Check:
     names = tuple(resolve(df, c) for c in ([columns] if isinstance(columns, str) else columns))
     label = ",".join(names)
     return Check("uniqueness", label, "duplicate_count", distinct_of=names,
-                 description=f"Column {label} has duplicate values")
+                 description=f"Column {label} repeats key values")
 
 
 def duplicates(df: DataFrame, subset=None) -> Check:
@@ -104,7 +104,7 @@ def transformation(df: DataFrame, column: str, expected, null_safe: bool = False
     else:
         bad = P.differs(col(n), exp, null_safe)
     return Check("transformation", n, "mismatch_count", bad=bad,
-                 description=f"Transformation error: column {n} has mismatched values")
+                 description=f"Derived column {n} differs from its expression")
 
 
 def allowed_values(df: DataFrame, column: str, values, allow_null: bool = True) -> Check:

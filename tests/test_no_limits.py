@@ -30,3 +30,15 @@ def test_one_hot_long(spark):
 def test_empty_list_allows_nothing(spark):
     df = spark.createDataFrame([("x",), (None,)], "c string")
     assert K.run_checks(df, [K.allowed_values(df, "c", [])]).first()["failing"] == 2
+
+
+def test_a_check_that_cannot_run_is_an_alert(spark):
+    from tablewatch.compat import ErrorHandling
+
+    sent = []
+    handler = ErrorHandling.__new__(ErrorHandling)
+    handler.log_error = handler.log_info = lambda *_: None
+    handler.send_notification = lambda title, text: sent.append(text)
+    handler.check_null_values(spark.range(1), ["absent"])
+    handler.check_inconsistent_data(spark.range(1), "id", "absent")
+    assert len(sent) == 2 and all("did not run" in x for x in sent)
