@@ -323,6 +323,21 @@ _ORDERS_TEXT_KEY = """(SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN CAST(
         FROM orders)"""
 
 
+_ORDERS_TEXT_NUMBER = """(SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN CAST(o_orderkey AS VARCHAR) || '.0'
+        WHEN 'O' THEN CAST(o_orderkey AS VARCHAR) || '.7' ELSE '5000000000000000000000' END AS number_text
+        FROM orders)"""
+
+
+@_query("consistency_text_decimal", _pred_row_sql(
+    "consistency", "number_text,o_orderkey", "mismatch_count", "CAST(number_text AS DECIMAL(38,1)) <> o_orderkey",
+    "Inconsistent data between columns number_text and o_orderkey", _ORDERS_TEXT_NUMBER))
+def q_consistency_text_decimal(spark, sf):
+    text = F.expr("""CASE o_orderstatus WHEN 'F' THEN concat(o_orderkey, '.0') WHEN 'O' THEN concat(o_orderkey, '.7')
+                     ELSE '5000000000000000000000' END""")
+    df = _t(spark, sf, "orders").select("o_orderkey", text.alias("number_text"))
+    return _results(K.run_checks(df, [K.consistency(df, "number_text", "o_orderkey")]))
+
+
 @_query("consistency_mixed_types", _pred_row_sql(
     "consistency", "key_text,o_orderkey", "mismatch_count", "TRY_CAST(key_text AS BIGINT) <> o_orderkey",
     "Inconsistent data between columns key_text and o_orderkey", _ORDERS_TEXT_KEY))
@@ -527,10 +542,6 @@ def _suite(spark, sf):
         cons, K.uniqueness(df, ["l_orderkey", "l_linenumber"])])
 
 
-def _suite_sql_failures() -> str:
-    return f"SELECT * FROM ({_SQL['check_suite']}) WHERE status = 'fail'"
-
-
 # every column in the sort key: (l_orderkey, l_linenumber) alone has ties in the fixtures
 _LI_ALL = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -559,7 +570,20 @@ _NUM_LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
        round(min({c}), 6) AS min, round(max({c}), 6) AS max FROM lineitem""" for c in _NUM_LI]))
 def q_describe(spark, sf):
-    return _round(PR.describe(_t(spark, sf, "lineitem"), _NUM_LI))
+    out = PR.describe(_t(spark, sf, "lineitem"), _NUM_LI)
+    return _round(out.withColumns({c: F.col(c).cast("double") for c in ("min", "max")}))
+
+
+_WIDE = {"big": "o_orderkey + 9007199254740993",
+         "exact": "CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CAST('12345678901234567890.12' AS DECIMAL(30,2)) AS DECIMAL(38,2))"}
+
+
+@_query("describe_wide_numbers", _union(*[f"""
+SELECT '{c}' AS "column", count(*) AS count, CAST(min({e}) AS VARCHAR) AS min, CAST(max({e}) AS VARCHAR) AS max
+FROM orders""" for c, e in _WIDE.items()]))
+def q_describe_wide(spark, sf):
+    df = _t(spark, sf, "orders").select(*[F.expr(e).alias(c) for c, e in _WIDE.items()])
+    return PR.describe(df).select("column", "count", "min", "max")
 
 
 def _skew_sql(c: str, src: str) -> str:
@@ -643,8 +667,7 @@ _CUST_TYPES = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
 def _profile_sql(c: str) -> str:
     numeric = _CUST_TYPES[c] in ("bigint", "int", "double")
     x = f"CAST({c} AS DOUBLE)" if numeric else c
-    lo_hi = (f"CAST(min({x}) AS VARCHAR) AS min, CAST(max({x}) AS VARCHAR) AS max" if numeric
-             else f"min({c}) AS min, max({c}) AS max")
+    lo_hi = f"CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max"
     if numeric:
         moments = (f"round(avg({x}), 6) AS mean, round(stddev_samp({x}), 6) AS stddev, "
                    f"round((SELECT avg(pow({x} - m, 3)) / pow(avg(pow({x} - m, 2)), 1.5) FROM customer, "
@@ -813,10 +836,11 @@ _HIST_SQL = """
 WITH s AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
 b AS (SELECT CASE WHEN s.hi = s.lo THEN 1
                   ELSE least(CAST(floor((value - s.lo) / (s.hi - s.lo) * 10) AS BIGINT) + 1, 10) END AS bucket
-      FROM events, s WHERE value IS NOT NULL)
+      FROM events, s WHERE value IS NOT NULL),
+c AS (SELECT bucket, count(*) AS n FROM b GROUP BY bucket)
 SELECT 'value' AS "column", bucket, round(s.lo + (bucket - 1) * ((s.hi - s.lo) / 10), 6) AS lower,
-       round(s.lo + bucket * ((s.hi - s.lo) / 10), 6) AS upper, count(*) AS count
-FROM b, s GROUP BY bucket, s.lo, s.hi"""
+       round(s.lo + bucket * ((s.hi - s.lo) / 10), 6) AS upper, coalesce(n, 0) AS count
+FROM range(1, 11) g(bucket) LEFT JOIN c USING (bucket), s"""
 
 
 @_query("histogram", _HIST_SQL)

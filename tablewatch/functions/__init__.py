@@ -4,13 +4,13 @@ from .names import col, label, quote, resolve, unique_names
 from .predicates import (comparable_pair, differs, inside, is_missing, not_in, outside,
                          strptime_parse, strptime_regex, timestamp_implausible,
                          timestamp_text_invalid)
-from .stats import as_double, pair_complete, safe_corr, sigma_outlier, stat_struct
+from .stats import as_double, sigma_outlier
 from .types import columns_of, is_floating, is_numeric, is_string, is_timestamp
 
 __all__ = [
     "col", "label", "quote", "resolve", "unique_names",
     "comparable_pair", "differs", "inside", "is_missing", "not_in", "outside",
     "strptime_parse", "strptime_regex", "timestamp_implausible", "timestamp_text_invalid",
-    "as_double", "pair_complete", "safe_corr", "sigma_outlier", "stat_struct",
+    "as_double", "sigma_outlier",
     "columns_of", "is_floating", "is_numeric", "is_string", "is_timestamp",
 ]

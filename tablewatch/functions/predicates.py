@@ -214,14 +214,29 @@ def text_try_cast(c: Column, source: T.DataType, target) -> Column:
 def comparable_pair(df: DataFrame, a: str, b: str) -> tuple[Column, Column]:
     """Column pair for a consistency comparison (V3).
 
-    If exactly one side is a string and the other is not, the string side is converted
-    with ``try_cast`` to the other side's type, so text that is no number/date becomes
-    NULL (not counted) instead of failing the job under ANSI casting.
+    If exactly one side is a string, it is converted with ``try_cast``, so text that is no
+    number/date becomes NULL (not counted) instead of failing the job under ANSI casting.
+    Text against whole numbers is compared in a type that holds both: ``'2.7'`` differs
+    from 1, and so does text beyond the range of integers. Other types: the other side's.
     """
     da, db = df.schema[a].dataType, df.schema[b].dataType
     ca, cb = col(a), col(b)
     if TY.is_string(da) and not TY.is_string(db):
-        ca = text_try_cast(ca, da, db)
-    elif TY.is_string(db) and not TY.is_string(da):
-        cb = text_try_cast(cb, db, da)
+        return _text_beside(ca, cb, db)
+    if TY.is_string(db) and not TY.is_string(da):
+        return tuple(reversed(_text_beside(cb, ca, da)))
     return ca, cb
+
+
+# Holds every bigint and 18 places behind the point; the largest such number equals none.
+_EXACT = T.DecimalType(38, 18)
+_NOT_NUMBER_TEXT = r"[^0-9+\-.eE\x00-\x20]"
+
+
+def _text_beside(text: Column, other: Column, dt: T.DataType) -> tuple[Column, Column]:
+    if not isinstance(dt, T.IntegralType):
+        return text_try_cast(text, T.StringType(), dt), other
+    exact, number = text.try_cast(_EXACT), text.try_cast("double")
+    beyond = F.when(number.isNotNull(), F.lit("9" * 20).cast(_EXACT))
+    value = F.when(~text.rlike(_NOT_NUMBER_TEXT), F.coalesce(exact, beyond))
+    return value, other.cast(_EXACT)

@@ -42,6 +42,11 @@ def as_double(name: str, dt: T.DataType) -> str:
     return f"nanvl({x}, CAST(NULL AS DOUBLE))" if TY.is_floating(dt) else x
 
 
+def extreme_value(name: str, dt: T.DataType) -> str:
+    """What a minimum or maximum is taken of: the column's own type; floating as double, NaN as NULL."""
+    return as_double(name, dt) if TY.is_floating(dt) else ident(name)
+
+
 def typed(value, dt: T.DataType) -> str:
     """Literal in the column's own type (timestamp_ntz bounds for timestamp_ntz columns)."""
     return f"CAST({string(str(value))} AS {dt.simpleString()})"

@@ -15,12 +15,6 @@ def as_double(c: Column, dt: T.DataType) -> Column:
     return F.nanvl(d, F.lit(None).cast("double")) if TY.is_floating(dt) else d
 
 
-def stat_struct(c: Column, dt: T.DataType) -> Column:
-    """mean / sample stddev over the non-missing values, in one struct."""
-    x = as_double(c, dt)
-    return F.struct(F.avg(x).alias("mean"), F.stddev(x).alias("stddev"))
-
-
 def sigma_bounds(stats: dict, k: float) -> tuple[float | None, float | None]:
     """``mean ∓ k·stddev`` from ``column_stats`` values; ``None`` when undefined."""
     m, s = stats.get("mean"), stats.get("stddev")
@@ -37,17 +31,6 @@ def sigma_outlier(x: Column, stats: dict, k: float) -> Column:
     return (x > lit_double(hi)) | (x < lit_double(lo))
 
 
-def pair_complete(x: Column, y: Column) -> tuple[Column, Column]:
-    """Keep a pair only where both values are present (pairwise-complete statistics)."""
-    both = x.isNotNull() & y.isNotNull()
-    return F.when(both, x), F.when(both, y)
-
-
-def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation, NULL for a constant column instead of a division error."""
-    return F.try_divide(F.covar_samp(x, y), F.stddev(x) * F.stddev(y))
-
-
 def column_stats(df: DataFrame, names: list[str]) -> dict[str, dict]:
     """mean, sample stddev, min, max and count of numeric columns in **one** small job.
 

@@ -16,7 +16,7 @@ from ..functions import types as TY
 from ..functions.names import col, resolve
 from ..functions.stats import as_double, column_stats, lit_double
 from .profile import DEFAULT_ACCURACY
-from .fuse import fused_rows, union_all
+from .fuse import MAX_AGGS, fused_rows, union_all
 from .quantiles import exact_quantiles_many
 
 
@@ -64,40 +64,54 @@ def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
 def histogram(df: DataFrame, columns=None, bins: int = 10) -> DataFrame:
     """R2: equal-width bins between each column's min and max.
 
-    ``(column, bucket, lower, upper, count)``; bucket 1..bins, the max value falls in the
-    last bucket, a constant column has everything in bucket 1, missing values are not
-    counted and empty buckets have no row. Two passes: min/max of all columns (one small
-    job), then per column one hash aggregation on the bucket (reading only that column,
-    its map-side partial step leaves at most ``bins`` rows per task to shuffle), unioned.
+    ``(column, bucket, lower, upper, count)``: a row for each bucket 1..bins of every
+    column, empty buckets with count 0. The edges come from the finite values; the max
+    falls in the last bucket, a constant column has everything in bucket 1, negative
+    infinity counts in the first bucket and positive infinity in the last. Missing values
+    are not counted. A column without finite values has NULL edges.
+
+    Two passes: min/max of all columns (small jobs), then per column one hash aggregation
+    on the bucket (reading only that column, its map-side partial step leaves at most
+    ``bins`` rows per task to shuffle), unioned.
     """
     if bins < 1:
         raise ValueError("bins must be >= 1")
     names = _numeric(df, columns)
-    stats = column_stats(df, names)
-    n_b = F.lit(bins)
+    stats = _finite_range(df, names)
+    n_b, infinity = F.lit(bins).cast("long"), F.lit(float("inf"))
+    empty = df.sparkSession.range(1, bins + 1, 1, 1).select(F.col("id").alias("bucket"), F.lit(0).cast("long").alias("count"))
     branches = []
     for n in names:
-        lo, hi = stats[n]["min"], stats[n]["max"]
-        if lo is None:
-            continue
+        lo, hi = stats[n]
         lo_c, hi_c, x = lit_double(lo), lit_double(hi), F.col("x")
-        if hi == lo:
-            bucket = F.lit(1).cast("long")
-        else:
-            raw = F.floor((x - lo_c) / (hi_c - lo_c) * n_b).cast("long") + 1
-            bucket = F.least(raw, n_b.cast("long"))
+        bucket = F.lit(1).cast("long")
+        if lo is not None and hi != lo:
+            bucket = F.least(F.floor((x - lo_c) / (hi_c - lo_c) * n_b).cast("long") + 1, n_b)
+        bucket = F.when(x == infinity, n_b).when(x == -infinity, F.lit(1).cast("long")).otherwise(bucket)
         width = (hi_c - lo_c) / n_b
         counted = (df.select(_x(df, n).alias("x")).filter(F.col("x").isNotNull())
                    .groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("count")))
-        branches.append(counted.select(F.lit(n).alias("column"), "bucket",
-                                       (lo_c + (F.col("bucket") - 1) * width).alias("lower"),
-                                       (lo_c + F.col("bucket") * width).alias("upper"), "count"))
-    if not branches:
-        return df.sparkSession.createDataFrame([], "column string, bucket bigint, lower double, upper double, "
-                                                   "count bigint")
+        full = counted.unionByName(empty).groupBy("bucket").agg(F.sum("count").alias("count"))
+        branches.append(full.select(F.lit(n).alias("column"), "bucket",
+                                    (lo_c + (F.col("bucket") - 1) * width).alias("lower"),
+                                    (lo_c + F.col("bucket") * width).alias("upper"), "count"))
     return union_all(branches)
 
 
+def _finite_range(df: DataFrame, names: list[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Smallest and largest finite value of each column, in batches of columns."""
+    out: dict[str, tuple[float | None, float | None]] = {}
+    for at in range(0, len(names), MAX_AGGS // 2):
+        part, aggs = names[at:at + MAX_AGGS // 2], []
+        for i, n in enumerate(part):
+            x = S.as_double(n, df.schema[n].dataType)
+            finite = f"CASE WHEN abs({x}) < CAST('Infinity' AS DOUBLE) THEN {x} END"
+            aggs += [F.expr(f"min({finite}) AS lo{i}"), F.expr(f"max({finite}) AS hi{i}")]
+        row = df.agg(*aggs).first()
+        out |= {n: (row[f"lo{i}"], row[f"hi{i}"]) for i, n in enumerate(part)}
+    return out
+
+
 def density_curve(df: DataFrame, columns=None, points: int = 50) -> DataFrame:
     """Gaussian kernel density on ``points`` equally spaced grid points in [min, max].
 

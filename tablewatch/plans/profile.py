@@ -20,9 +20,6 @@ from .checks import key_counts
 from .fuse import MAX_AGGS, fused_rows, union_all
 
 DEFAULT_ACCURACY = 10000
-# Up to this many columns get one distinct-count aggregation each; wider tables are
-# processed in batches of this many columns.
-DISTINCT_BATCH = 32
 
 
 def _names(df: DataFrame, columns, family: str | None = None) -> list[str]:
@@ -55,15 +52,20 @@ def null_counts(df: DataFrame, columns=None, nan_as_null: bool = False) -> DataF
 
 
 def describe(df: DataFrame, columns=None) -> DataFrame:
-    """Count / mean / stddev / min / max of numeric columns, typed (double)."""
+    """Count / mean / stddev / min / max of numeric columns.
+
+    ``min``/``max`` are text, taken in the column's own type: a bigint or decimal keeps
+    every digit. Mean and stddev are doubles.
+    """
     names = _names(df, columns, "numeric")
     if not names:
         raise ValueError("no numeric columns")
 
     def build(i, n):
-        x = S.as_double(n, df.schema[n].dataType)
-        return ([f"count({x}) AS n{i}", f"avg({x}) AS m{i}", f"stddev({x}) AS s{i}", f"min({x}) AS lo{i}",
-                 f"max({x}) AS hi{i}"],
+        dt = df.schema[n].dataType
+        x, v = S.as_double(n, dt), S.extreme_value(n, dt)
+        return ([f"count({x}) AS n{i}", f"avg({x}) AS m{i}", f"stddev({x}) AS s{i}",
+                 f"CAST(min({v}) AS STRING) AS lo{i}", f"CAST(max({v}) AS STRING) AS hi{i}"],
                 [S.named_struct([("column", S.string(n)), ("count", f"n{i}"), ("mean", f"m{i}"),
                                  ("stddev", f"s{i}"), ("min", f"lo{i}"), ("max", f"hi{i}")])])
     return fused_rows(df, names, build)
@@ -129,9 +131,7 @@ def distinct_counts(df: DataFrame, columns=None, approx: bool = False, rsd: floa
 
     ``distinct_count`` excludes NULL. Exact counts are one single-distinct aggregation
     per column, unioned into one job: each branch reads one column and shuffles its
-    partially de-duplicated values (no row replication across columns). Beyond
-    ``DISTINCT_BATCH`` columns, batches of that many columns share one aggregation so
-    the plan stays small.
+    partially de-duplicated values. No row is replicated, whatever the number of columns.
     ``approx=True`` uses HyperLogLog++ in one pass without a shuffle (relative error
     ``rsd``), the cheaper choice for wide tables. Map columns (not comparable) are
     skipped by default and rejected when listed.
@@ -148,17 +148,10 @@ def distinct_counts(df: DataFrame, columns=None, approx: bool = False, rsd: floa
             [f"count({S.ident(n)}) AS n{i}", f"approx_count_distinct({S.ident(n)}, {float(rsd)!r}) AS d{i}"],
             [S.named_struct([("column", S.string(n)), ("non_null_count", f"CAST(n{i} AS BIGINT)"),
                              ("distinct_count", f"CAST(d{i} AS BIGINT)")])]))
-    if len(names) <= DISTINCT_BATCH:
-        return union_all([
-            df.agg(F.expr(f"CAST(count({S.ident(n)}) AS BIGINT) AS non_null_count"),
-                   F.expr(f"CAST(count(DISTINCT {S.ident(n)}) AS BIGINT) AS distinct_count"))
-            .select(F.lit(n).alias("column"), "non_null_count", "distinct_count") for n in names])
-    # wide tables: batches of columns, each one aggregation with several distinct counts
-    # (Spark expands each row once per column of the batch before the partial step)
-    return fused_rows(df, names, lambda i, n: (
-        [f"count({S.ident(n)}) AS n{i}", f"count(DISTINCT {S.ident(n)}) AS d{i}"],
-        [S.named_struct([("column", S.string(n)), ("non_null_count", f"CAST(n{i} AS BIGINT)"),
-                         ("distinct_count", f"CAST(d{i} AS BIGINT)")])]), max_aggs=2 * DISTINCT_BATCH)
+    return union_all([
+        df.agg(F.expr(f"CAST(count({S.ident(n)}) AS BIGINT) AS non_null_count"),
+               F.expr(f"CAST(count(DISTINCT {S.ident(n)}) AS BIGINT) AS distinct_count"))
+        .select(F.lit(n).alias("column"), "non_null_count", "distinct_count") for n in names])
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -184,8 +177,8 @@ def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, appro
     """One row per column with type, counts, distinct count, range and moments.
 
     ``(column, data_type, nullable, rows, nulls, nans, distinct, min, max, mean, stddev,
-    skewness, kurtosis, median)``; ``min``/``max`` are text so that every type fits one
-    column; moments and median are for numeric columns only. The median is
+    skewness, kurtosis, median)``; ``min``/``max`` are text of the column's own type, so
+    that every type fits one column and bigint and decimal keep every digit; moments and median are for numeric columns only. The median is
     ``percentile_approx`` unless ``exact_median=True`` (exact lower median by
     distributed selection, a few small jobs per numeric column).
 
@@ -207,7 +200,7 @@ def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, appro
         aggs = [f"count_if({q} IS NULL) AS nu{i}",
                 (f"count_if(isnan({q}))" if TY.is_floating(dt) else "CAST(0 AS BIGINT)") + f" AS na{i}"]
         if TY.is_orderable(dt):
-            v = S.as_double(n, dt) if TY.is_numeric(dt) else q
+            v = S.extreme_value(n, dt)
             aggs += [f"CAST(min({v}) AS STRING) AS lo{i}", f"CAST(max({v}) AS STRING) AS hi{i}"]
         else:
             aggs += [f"CAST(NULL AS STRING) AS lo{i}", f"CAST(NULL AS STRING) AS hi{i}"]

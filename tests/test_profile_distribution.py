@@ -80,7 +80,14 @@ def test_histogram_counts_sum_to_non_null(spark):
     h = D.histogram(df, ["x"], bins=10).collect()
     assert sum(r["count"] for r in h) == 100 and max(r.bucket for r in h) == 10
     const = spark.createDataFrame([(3.0,)] * 4, "x double")
-    assert [(r.bucket, r["count"]) for r in D.histogram(const, ["x"]).collect()] == [(1, 4)]
+    assert sorted((r.bucket, r["count"]) for r in D.histogram(const, ["x"]).collect()) == [
+        (1, 4), *((b, 0) for b in range(2, 11))]
+    inf = float("inf")
+    odd = spark.createDataFrame([(-inf,), (0.0,), (9.0,), (10.0,), (inf,), (inf,)], "x double")
+    got = {r.bucket: (r.lower, r["count"]) for r in D.histogram(odd, ["x"]).collect()}
+    assert got[1] == (0.0, 2) and got[5] == (4.0, 0) and got[10] == (9.0, 4) and len(got) == 10
+    none = spark.createDataFrame([(None,)], "x double")
+    assert sorted((r.bucket, r.lower, r["count"]) for r in D.histogram(none, ["x"], 2).collect()) == [(1, None, 0), (2, None, 0)]
 
 
 def test_density_integrates_to_about_one(spark):
