@@ -4,8 +4,9 @@ Documents become token ids plus an end id. What is longer than a sequence is cut
 its length. Lengths are counted, at most one count per length; the packing works on that histogram
 alone: lengths from longest to shortest, each into the packs with most room, many equal packs at a
 time. The resulting patterns (so many packs that hold these lengths) are dealt out to the pieces
-by their rank among the pieces of one length. A rank is counted within a part of a length's pieces,
-added to the counts of the parts before it, so no length has to meet in one task.
+by their rank among the pieces of one length. Pieces are dealt to tasks in ranges by length, a hash
+and the row, so a frequent length fills many ranges; a rank counts within a range, and the counts of
+the ranges before it are added. So no length has to meet in one task.
 
 Null and empty texts are one end id. Repeated ids and rows are packed each; a null id is kept and
 ranks first. Other columns are ignored. A table without rows gives none.
@@ -17,14 +18,14 @@ import heapq
 import zlib
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewatch.llm.common import stored
 from tablewatch.llm.libtokens import id_bytes, library_tokens
 
-#: Pieces of one length that are ranked together, about.
+#: Pieces of a range that are ranked together, about, where there are many.
 RANKED_TOGETHER = 50_000
 
 
@@ -117,54 +118,87 @@ def slots(patterns: list[tuple[int, list[tuple[int, int]]]]) -> list[tuple[int,
     return sorted(out)
 
 
+def ranked(piece_rows: DataFrame) -> DataFrame:
+    """Rows dealt by length in ranges, with ``_range`` (the range's number) and ``_rank`` (place among
+    the rows of the range with the same length), kept in the shared folder. A length with many rows
+    fills many ranges."""
+    schema = T.StructType([*piece_rows.schema.fields, T.StructField("_range", T.LongType()),
+                           T.StructField("_rank", T.LongType())])
+    order = ["length", "_mix", "doc_id", "start", "ids_crc32", "_row"]
+    least = int(piece_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least, piece_rows.count() // RANKED_TOGETHER)
+    dealt = piece_rows.withColumn("_mix", F.xxhash64("doc_id", "start", "ids_crc32")).withColumn(
+        "_row", F.monotonically_increasing_id()).repartitionByRange(ranges, "length", "_mix", "_row")
+
+    def run(batches: Iterator):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        at, last, rows_of_last = TaskContext.get().partitionId(), -1, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            length = batch.column(batch.schema.get_field_index("length")).to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.diff(length, prepend=-1))  # where a length begins in this batch
+            rank = np.arange(len(length)) - np.repeat(first, np.diff(first, append=len(length)))
+            if length[0] == last:  # goes on from the batch before
+                rank[:first[1] if len(first) > 1 else None] += rows_of_last
+            last, rows_of_last = length[-1], int(rank[-1]) + 1
+            columns = batch.columns[:len(schema) - 2]
+            columns += [pa.array(np.full(len(length), at, np.int64)), pa.array(rank.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
+
+    return stored(dealt.sortWithinPartitions(*order).select(*piece_rows.columns).mapInArrow(run, schema), "ranked")
+
+
 def pack(piece_rows: DataFrame, size: int = 4096) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` (long) to rows of :func:`pieces`, whatever else they carry.
 
-    The driver holds the histogram and the patterns, which are bounded by ``size`` alone.
+    The driver holds the histogram and the patterns, which are bounded by ``size`` alone, and the
+    histogram by range: ranges follow one another by length, so that is at most one count for every
+    length and every range.
     """
-    counts = {r["length"]: r["count"] for r in piece_rows.groupBy("length").count().collect()}
-    patterns = pack_histogram(counts, size)
-    table = slots(patterns)
-    parts = {n: 1 + c // RANKED_TOGETHER for n, c in counts.items()}
-    biggest = max(parts.values(), default=1)
+    rows = ranked(piece_rows)
+    counts: dict[int, int] = {}
+    before: dict[int, list[tuple[int, int]]] = {}  # of a range: (length, rows of it in earlier ranges)
+    for r in rows.groupBy("_range", "length").count().orderBy("_range", "length").collect():
+        if counts.get(r["length"]):
+            before.setdefault(r["_range"], []).append((r["length"], counts[r["length"]]))
+        counts[r["length"]] = counts.get(r["length"], 0) + r["count"]
+    table = slots(pack_histogram(counts, size))
+    names = piece_rows.columns
     schema = T.StructType([*piece_rows.schema.fields, T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
-    widths = F.element_at(F.create_map(*[F.lit(x) for n, c in parts.items() if c > 1 for x in (n, c)]),
-                          F.col("length")) if biggest > 1 else F.lit(None)
-    part = F.pmod(F.xxhash64("doc_id", "start"), F.coalesce(widths.cast("long"), F.lit(1)))
-    dealt = piece_rows.withColumn("_part", part)
-    before: dict[tuple[int, int], int] = {}
-    if biggest > 1:  # rows of large lengths by part, at most one for every RANKED_TOGETHER pieces
-        by_part = dealt.groupBy("length", "_part").count().filter(F.col("length").isin(
-            [n for n, c in parts.items() if c > 1])).orderBy("length", "_part").collect()
-        seen: dict[int, int] = {}
-        for r in by_part:
-            before[r["length"], r["_part"]] = seen.get(r["length"], 0)
-            seen[r["length"]] = before[r["length"], r["_part"]] + r["count"]
-    in_part = Window.partitionBy("length", "_part").orderBy(*[F.col(c).asc_nulls_first() for c in
-                                                             ("doc_id", "start", "ids_crc32")])
-    ranked = dealt.withColumn("_rank", F.row_number().over(in_part) - 1)
-    names = piece_rows.columns
 
     def run(batches: Iterator):
         import numpy as np
         import pyarrow as pa
 
-        rows = np.array(table, np.int64).reshape(-1, 5)
-        top = int(rows[:, 1].max()) + 1 if len(rows) else 1
-        starts = rows[:, 0].astype(object) * top + rows[:, 1] if top > (1 << 50) else rows[:, 0] * top + rows[:, 1]
+        slot_rows = np.array(table, np.int64).reshape(-1, 5)
+        first_of: dict[int, int] = {}  # of a length: its first row of the slots
+        for i, n in enumerate(slot_rows[:, 0].tolist()):
+            first_of.setdefault(n, i)
         for batch in batches:
-            length, in_its, rank = (batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False)
-                                    .astype(np.int64) for n in ("length", "_part", "_rank"))
-            if before:
-                rank = rank + np.array([before.get(k, 0) for k in zip(length.tolist(), in_its.tolist())], np.int64)
-            slot = rows[np.searchsorted(starts, length * top + np.minimum(rank, top), "right") - 1]
-            step = rank - slot[:, 1]
+            length, in_range, rank = (batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False)
+                                      .astype(np.int64) for n in ("length", "_range", "_rank"))
+            place = np.zeros((2, len(length)), np.int64)
+            by = np.lexsort((length, in_range))
+            cuts = np.flatnonzero((np.diff(length[by], prepend=-1) != 0) | (np.diff(in_range[by], prepend=-1) != 0))
+            for own in np.split(by, cuts[1:]) if len(by) else []:
+                n, at = int(length[own[0]]), int(in_range[own[0]])
+                full = rank[own] + next((x for m, x in before.get(at, []) if m == n), 0)
+                low = first_of[n]
+                high = np.searchsorted(slot_rows[:, 0], n, "right")
+                slot = slot_rows[low + np.searchsorted(slot_rows[low:high, 1], full, "right") - 1]
+                step = full - slot[:, 1]
+                place[0, own] = slot[:, 3] + step // slot[:, 2]
+                place[1, own] = slot[:, 4] + step % slot[:, 2] * n
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            columns += [pa.array(slot[:, 3] + step // slot[:, 2]), pa.array(slot[:, 4] + step % slot[:, 2] * length)]
+            columns += [pa.array(place[0]), pa.array(place[1])]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
-    return ranked.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def pack_documents(df: DataFrame, vocabulary: str, end_id: int, size: int = 4096, id_col: str = "doc_id",
