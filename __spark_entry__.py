@@ -173,6 +173,17 @@ def q_cast(spark, sf):
                                "o_orderpriority": "int", "o_custkey": "string"})
 
 
+@_query("select_star", "SELECT *, n_name AS nation FROM nation")
+def q_select_star(spark, sf):
+    return R.select_columns(_t(spark, sf, "nation"), ["*", F.col("n_name").alias("nation")])
+
+
+@_query("select_nested", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def q_select_nested(spark, sf):
+    nested = _t(spark, sf, "orders").select("o_orderkey", F.struct("o_custkey", "o_orderstatus").alias("head"))
+    return R.select_columns(nested, ["o_orderkey", "head.*"])
+
+
 @_query("columns_of_type", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def q_columns_of_type(spark, sf):
     return R.columns_of_type(_t(spark, sf, "orders"), "numeric")
@@ -245,6 +256,16 @@ def q_group_by(spark, sf):
     return _round(_round(g, 2, only={"l_quantity_sum"}), 6)
 
 
+@_query("group_by_count_star", """
+SELECT l_returnflag, count(*) AS "*_count", round(sum(l_quantity), 2) AS "line.l_quantity_sum"
+FROM lineitem GROUP BY l_returnflag""")
+def q_group_by_count_star(spark, sf):
+    lines = _t(spark, sf, "lineitem").select("l_returnflag", F.struct("l_quantity").alias("line"))
+    g = R.group_by_agg(lines, ["l_returnflag"], {"*": "count", "line.l_quantity": "sum"})
+    total = F.col("`line.l_quantity_sum`")
+    return g.select("l_returnflag", "*_count", F.round(total, 2).alias("line.l_quantity_sum"))
+
+
 @_query("group_by_global", """
 SELECT round(sum(o_totalprice), 2) AS o_totalprice_sum, min(o_orderdate) AS o_orderdate_min,
        max(o_orderdate) AS o_orderdate_max FROM orders""")
@@ -447,6 +468,23 @@ def q_timestamp_format(spark, sf):
     return _results(K.run_checks(df, [K.timestamp_format(df, "ts_text"), K.timestamp_format(df, "o_orderdate")]))
 
 
+# The order's day with its month's name; forced to the 31st for one priority, without a year for another.
+_ORDERS_DAY_TEXT = """(SELECT CASE o_orderpriority
+    WHEN '1-URGENT' THEN strftime(o_orderdate, '31-%b-%Y') WHEN '2-HIGH' THEN strftime(o_orderdate, '%d-%b')
+    ELSE strftime(o_orderdate, '%d-%b-%Y') END AS day_text FROM orders)"""
+
+
+@_query("timestamp_format_month_name", _pred_row_sql(
+    "timestamp_format", "day_text", "invalid_count", "day_text IS NULL OR try_strptime(day_text, '%d-%b-%Y') IS NULL",
+    "Column day_text has values not in format %d-%b-%Y", _ORDERS_DAY_TEXT))
+def q_timestamp_format_month_name(spark, sf):
+    ts, prio = F.col("o_orderdate"), F.col("o_orderpriority")
+    df = _t(spark, sf, "orders").select(
+        F.when(prio == "1-URGENT", F.date_format(ts, "'31'-MMM-yyyy")).when(prio == "2-HIGH", F.date_format(ts, "dd-MMM"))
+        .otherwise(F.date_format(ts, "dd-MMM-yyyy")).alias("day_text"))
+    return _results(K.run_checks(df, [K.timestamp_format(df, "day_text", "%d-%b-%Y")]))
+
+
 @_query("timestamp_checks_all", _union(
     _pred_row_sql("timestamp_range", "ts", "invalid_count",
                   "ts IS NULL OR ts < TIMESTAMP '1900-01-01 00:00:00' OR ts > TIMESTAMP '2024-01-15 00:00:00'",

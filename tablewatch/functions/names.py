@@ -66,3 +66,11 @@ def resolve(df: DataFrame, name: str) -> str:
     if len(lowered) == 1:
         return lowered[0]
     raise ValueError(f"column {name!r} not found in {df.columns}")
+
+
+def reach(df: DataFrame, name: str) -> Column:
+    """Column for ``name``: a top-level column if there is one, else ``*``, a nested ``a.b`` or ``a.*``."""
+    lowered = name.lower()
+    if any(c.lower() == lowered for c in df.columns):
+        return col(name)
+    return F.col(name) if name == "*" or "." in name else col(name)

@@ -105,13 +105,26 @@ STRPTIME_FIELDS = {
     "S": r"6[0-1]|[0-5]\d|\d",
     "f": r"[0-9]{1,6}",
     "p": r"am|pm",
+    "j": r"36[0-6]|3[0-5]\d|[1-2]\d\d|0[1-9]\d|00[1-9]|[1-9]\d|0[1-9]|[1-9]",
+    "U": r"5[0-3]|[0-4]\d|\d",
+    "W": r"5[0-3]|[0-4]\d|\d",
+    "w": r"[0-6]",
+    "a": r"mon|tue|wed|thu|fri|sat|sun",
+    "A": r"monday|tuesday|wednesday|thursday|friday|saturday|sunday",
+    "b": r"jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec",
+    "B": r"january|february|march|april|may|june|july|august|september|october|november|december",
+    "Z": r"utc|gmt",
+    "z": r"[+-](?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d(?:\.\d{1,6})?)?|[0-5]\d(?:[0-5]\d(?:\.\d{1,6})?)?)|(?-i:Z)",
 }
+# What these directives stand for in the C locale.
+STRPTIME_SHORTHANDS = {"c": "%a %b %d %H:%M:%S %Y", "x": "%m/%d/%y", "X": "%H:%M:%S"}
 # Two-digit years: 69..99 are 19xx, 00..68 are 20xx.
 TWO_DIGIT_YEAR_PIVOT = 69
 
 
 def strptime_regex(fmt: str) -> tuple[str, list[str]]:
     """Translate a strptime format to an anchored regex and the directive of each group."""
+    fmt = re.sub("%(.)", lambda m: STRPTIME_SHORTHANDS.get(m[1], m[0]), fmt)
     out, fields, i = ["^(?i)"], [], 0
     while i < len(fmt):
         ch = fmt[i]
@@ -144,21 +157,33 @@ def strptime_parse(c: Column, fmt: str) -> Column:
     """Parse text like ``datetime.strptime(text, fmt)``; NULL where it would raise.
 
     Matching is a regex of the format; calendar validity (month length, leap years)
-    comes from ``try_make_timestamp_ntz``. All native expressions.
+    comes from ``try_make_timestamp_ntz``. All native expressions. Names are those of the
+    C locale. The result is the local time of the text: an offset or zone must be valid but
+    does not move it, and week numbers and weekday names do not choose the day.
     """
     regex, fields = strptime_regex(fmt)
-    # Two regex evaluations per row: ``rlike`` decides validity, one ``regexp_replace``
-    # rewrites a matching text into its fields joined by a control character.
+    if not fields:
+        return F.when(c.rlike(regex), F.lit("1900-01-01 00:00:00").cast("timestamp_ntz"))
+    # Two regex evaluations per row: ``rlike`` decides validity, and of matching texts one
+    # ``regexp_replace`` makes the fields, joined by a control character. The lambda's
+    # variable binds them, so that each field doesn't evaluate them again.
     sep = "\u0001"
     parts = F.split(F.regexp_replace(c, regex, sep.join(f"${k + 1}" for k in range(len(fields)))), sep)
+    parsed = F.transform(F.array(parts), lambda p: _strptime_value(p, fields))
+    return F.when(c.rlike(regex), F.element_at(parsed, 1))
 
+
+def _strptime_value(parts: Column, fields: list[str]) -> Column:
+    """Timestamp of the matched fields, NULL if there is no such day or time."""
     def grab(d):
-        return F.trim(F.try_element_at(parts, F.lit(fields.index(d) + 1)))
+        return F.trim(F.get(parts, F.lit(fields.index(d))))
 
     def num(d, default):
-        # try_cast: a non-matching text extracts '' (the match is checked separately)
         return grab(d).try_cast("int") if d in fields else F.lit(default)
 
+    def named(d):
+        return F.array_position(F.array(*[F.lit(n) for n in STRPTIME_FIELDS[d].split("|")]), F.lower(grab(d))).cast("int")
+
     if "Y" in fields:
         year = num("Y", 1900)
     elif "y" in fields:
@@ -166,6 +191,8 @@ def strptime_parse(c: Column, fmt: str) -> Column:
         year = F.when(yy >= TWO_DIGIT_YEAR_PIVOT, yy + 1900).otherwise(yy + 2000)
     else:
         year = F.lit(1900)
+    months = [d for d in fields if d in "mbB"]  # the last one holds
+    month = F.lit(1) if not months else num("m", 1) if months[-1] == "m" else named(months[-1])
     if "I" in fields:
         hour12 = num("I", 12) % 12
         pm = F.lower(grab("p")) == "pm" if "p" in fields else F.lit(False)
@@ -175,9 +202,12 @@ def strptime_parse(c: Column, fmt: str) -> Column:
     second = num("S", 0)
     micros = F.rpad(grab("f"), 6, "0").try_cast("int") if "f" in fields else F.lit(0)
     seconds = (second.cast("decimal(16,6)") + micros.cast("decimal(16,6)") / F.lit(1000000)).cast("decimal(16,6)")
-    ts = F.try_make_timestamp_ntz(year, num("m", 1), num("d", 1), hour, num("M", 0), seconds)
-    ok = c.rlike(regex) & (second < 60) & (year >= 1)
-    return F.when(ok, ts)
+    ok = (second < 60) & (year >= 1)
+    if "j" in fields:  # the day of the year holds, whatever month and day say
+        midnight = F.try_make_timestamp_ntz(year, F.lit(1), F.lit(1), hour, num("M", 0), seconds)
+        ts = midnight + F.make_dt_interval(num("j", 1) - 1)
+        return F.when(ok & ((year < 9999) | (num("j", 1) < 366)), ts)
+    return F.when(ok, F.try_make_timestamp_ntz(year, month, num("d", 1), hour, num("M", 0), seconds))
 
 
 def timestamp_text_invalid(c: Column, dt: T.DataType, fmt: str = "%Y-%m-%d %H:%M:%S") -> Column:

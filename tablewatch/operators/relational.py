@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import types as TY
-from ..functions.names import col, require_identifier, resolve
+from ..functions.names import col, reach, require_identifier, resolve
 from ..functions.predicates import text_try_cast
 
 JOIN_TYPES = {
@@ -31,8 +31,8 @@ def _as_list(x) -> list:
 
 
 def select_columns(df: DataFrame, columns) -> DataFrame:
-    """Keep the given columns (names or Column expressions), in the given order."""
-    cols = [col(c) if isinstance(c, str) else c for c in _as_list(columns)]
+    """Keep the given columns (names, ``*``, nested ``a.b``, or Column expressions), in the given order."""
+    cols = [reach(df, c) if isinstance(c, str) else c for c in _as_list(columns)]
     return df.select(*cols)
 
 
@@ -76,18 +76,24 @@ def columns_of_type(df: DataFrame, family: str) -> DataFrame:
     return df.select(*[col(c) for c in TY.columns_of(df, family)])
 
 
-FULL_JOINS = {"outer", "full", "fullouter", "full_outer"}
+#: Sides of an outer join whose rows all stay.
+KEPT_SIDES = {"outer": "lr", "full": "lr", "left": "l", "right": "r"}
 
 
-def join(df1: DataFrame, df2: DataFrame, on, how: str = "inner", skew_safe: bool = False) -> DataFrame:
+def join(df1: DataFrame, df2: DataFrame, on, how: str = "inner", skew_safe: bool = True) -> DataFrame:
     """Equi-join on shared column name(s) with USING semantics, or on a Column condition.
 
     No strategy is forced: with AQE on, a side is broadcast only when its measured size is
     under ``spark.sql.autoBroadcastJoinThreshold``; otherwise a sort-merge join is used and
-    skewed partitions are split (``spark.sql.adaptive.skewJoin``) for inner, semi, anti and
-    one-sided outer joins. AQE cannot split a full outer join: with ``skew_safe=True`` and
-    join keys given as names, it runs as a left outer join plus the right rows without a
-    partner (a left-anti join), both of which AQE can split, and the two are unioned.
+    skewed partitions are split (``spark.sql.adaptive.skewJoin``). AQE splits both sides of an
+    inner join, only the kept side of a one-sided outer, semi or anti join, and no side of a
+    full one. So with ``skew_safe`` and keys given as names, semi and anti joins look up the
+    distinct keys of the right side (a hot key is one row there), and outer joins are an inner
+    join plus the rows of each kept side whose key is not among the other side's distinct keys.
+    That reads a kept side twice; pass ``skew_safe=False`` where the other side is a small
+    dimension table, or where a source gives other rows when read again.
+
+    A Column condition needs an equality between the sides; all-pairs joins are refused.
     """
     how_n = how.lower()
     if how_n not in JOIN_TYPES:
@@ -97,13 +103,50 @@ def join(df1: DataFrame, df2: DataFrame, on, how: str = "inner", skew_safe: bool
     if how_n == "cross":
         # With keys Spark treats a cross join as an inner join on them.
         how_n = "inner"
-    if skew_safe and how_n in FULL_JOINS and not isinstance(on, Column):
-        keys = [on] if isinstance(on, str) else list(on)
-        if all(isinstance(k, str) for k in keys):
-            matched = df1.join(df2, on=keys, how="left")
-            unmatched = df2.join(df1.select(*[col(k) for k in keys]), on=keys, how="left_anti")
-            return matched.unionByName(unmatched, allowMissingColumns=True)
-    return df1.join(df2, on=on, how=how_n)
+    keys = [on] if isinstance(on, (str, Column)) else list(on)
+    if not all(isinstance(k, str) for k in keys):
+        out = df1.join(df2, on=on, how=how_n)
+        if _all_pairs(out) > _all_pairs(df1) + _all_pairs(df2):
+            raise ValueError("the condition has no equality between the two sides; all-pairs joins are not supported")
+        return out
+    short = how_n.replace("_", "").removesuffix("outer") or "outer"
+    if skew_safe and short in ("semi", "leftsemi", "anti", "leftanti"):
+        return df1.join(_distinct_keys(df2, keys), on=keys, how=how_n)
+    plain = df1.join(df2, on=keys, how=how_n)
+    if skew_safe and short in KEPT_SIDES:
+        return _outer_by_parts(df1, df2, keys, KEPT_SIDES[short], plain.schema.fields)
+    return plain
+
+
+def _all_pairs(df: DataFrame) -> int:
+    """Number of joins in the plan that compare every pair of rows."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return plan.count("BroadcastNestedLoopJoin") + plan.count("CartesianProduct")
+
+
+def _distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*[col(k) for k in keys]).distinct()
+
+
+def _outer_by_parts(df1: DataFrame, df2: DataFrame, keys: list[str], kept: str, fields: list) -> DataFrame:
+    """Outer join as matched rows plus the unmatched rows of each kept side, columns as ``fields``."""
+    n_keys = len(keys)
+    n_left = len(df1.columns) - n_keys
+    parts = [df1.join(df2, on=keys, how="inner")]
+    for side, own, other in (("l", df1, df2), ("r", df2, df1)):
+        if side in kept:
+            alone = own.join(_distinct_keys(other, keys), on=keys, how="left_anti")
+            blank = fields[n_keys + n_left:] if side == "l" else fields[n_keys:n_keys + n_left]
+            # the join puts the keys first; a number per column keeps clashing names apart
+            alone = alone.toDF(*[f"c{i}" for i in range(len(alone.columns))])
+            values = [F.col(c) for c in alone.columns]
+            nulls = [F.lit(None).cast(f.dataType) for f in blank]
+            rest = values[n_keys:] + nulls if side == "l" else nulls + values[n_keys:]
+            parts.append(alone.select(*values[:n_keys], *rest))
+    out = parts[0].toDF(*[f"c{i}" for i in range(len(fields))])
+    for part in parts[1:]:
+        out = out.union(part)
+    return out.select(*[F.col(f"c{i}").cast(f.dataType) for i, f in enumerate(fields)]).toDF(*[f.name for f in fields])
 
 
 def group_by_agg(df: DataFrame, group_columns, aggregations: Mapping[str, str | Iterable[str]]) -> DataFrame:
@@ -112,17 +155,22 @@ def group_by_agg(df: DataFrame, group_columns, aggregations: Mapping[str, str |
     Output columns are named ``{column}_{function}``. ``function`` is any SQL aggregate
     name taking one argument (avg, sum, min, max, count, stddev, ...); it is validated as
     an identifier and called through ``call_function`` (no code is evaluated).
+    ``{"*": "count"}`` counts rows; columns and keys may be nested fields (``a.b``).
     An empty key list aggregates the whole frame. NULL keys form one group.
     """
     exprs = []
     for c, fns in aggregations.items():
-        name = resolve(df, c)
+        value = reach(df, c)
         for fn in ([fns] if isinstance(fns, str) else list(fns)):
             require_identifier(fn)
-            exprs.append(F.call_function(fn, col(name)).alias(f"{c}_{fn}"))
+            if c == "*" and c not in df.columns:
+                if fn.lower() != "count":
+                    raise ValueError(f"only count takes *, not {fn}")
+                value = F.lit(1)
+            exprs.append(F.call_function(fn, value).alias(f"{c}_{fn}"))
     if not exprs:
         raise ValueError("no aggregations given")
-    keys = [col(k) if isinstance(k, str) else k for k in _as_list(group_columns)]
+    keys = [reach(df, k) if isinstance(k, str) else k for k in _as_list(group_columns)]
     return df.groupBy(*keys).agg(*exprs)
 
 

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,6 +84,24 @@ def test_timestamp_format_other_directives(spark):
     assert out[1].p is None
 
 
+@pytest.mark.parametrize("fmt", ["%d-%b-%Y", "%a, %d %B %y %H:%M %z", "%Y-%j", "%c", "%x %X", "%H:%M %Z"])
+def test_timestamp_format_agrees_with_python(spark, fmt):
+    from tablewatch.functions.predicates import strptime_parse
+    stamps = [dt.datetime(y, m, d, h, 59, 7, tzinfo=dt.UTC)
+              for y, m, d, h in ((1999, 1, 9, 0), (2023, 5, 31, 13), (2024, 2, 29, 23), (2024, 12, 31, 12))]
+    texts = {v for t in stamps for s in [t.strftime(fmt)] for v in (
+        s, s.lower(), s + "x", s.replace("2", "3"), s.replace("May", "Jun"), s.replace("+0000", "Z"), s.replace("+00", "+24"))}
+    df = spark.createDataFrame([(t,) for t in sorted(texts)] + [("",), ("2023-366",)], "t string")
+    parsed = df.select("t", strptime_parse(F.col("t"), fmt).alias("p"))
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    for row in parsed.collect():
+        try:
+            expected = dt.datetime.strptime(row.t, fmt).replace(tzinfo=None)
+        except ValueError:
+            expected = None
+        assert row.p == expected, row.t
+
+
 def test_outliers_need_twelve_rows(spark):
     df = spark.createDataFrame([(float(i % 3),) for i in range(30)] + [(100.0,), (None,), (float("nan"),)], "x double")
     res = K.run_checks(df, [K.outliers(df, "x")]).collect()[0]

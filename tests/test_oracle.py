@@ -24,7 +24,9 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    # queries of the optional subpackage have SQL only where SQL can express them
+    own = {name for name, query in E.queries().items() if query.__module__ == E.__name__}
+    assert len(own) > 60 and own <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_runs(spark):
