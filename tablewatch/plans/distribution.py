@@ -125,6 +125,7 @@ def density_curve(df: DataFrame, columns=None, points: int = 50) -> DataFrame:
     names = _numeric(df, columns)
     stats = column_stats(df, names)
     norm = 1.0 / math.sqrt(2.0 * math.pi)
+
     def build(i, n):
         st = stats[n]
         lo, hi, cnt, sd = st["min"], st["max"], st["count"], st["stddev"]
@@ -135,7 +136,8 @@ def density_curve(df: DataFrame, columns=None, points: int = 50) -> DataFrame:
         for j in range(points):
             g = lo + j * step if step is not None else None
             if h:
-                aggs.append(f"sum(exp(-0.5 * pow(({x} - {S.double(g)}) / {S.double(h)}, 2))) AS k{i}_{j}")
+                z = f"(({x} - {S.double(g)}) / {S.double(h)})"  # squared by a product, not by pow
+                aggs.append(f"sum(exp(-0.5 * {z} * {z})) AS k{i}_{j}")
                 dens = f"k{i}_{j} * {S.double(norm / (cnt * h))}"
             else:
                 dens = S.double(None)

@@ -16,6 +16,7 @@ streaming DataFrame as they are. Two ways to run checks on a stream:
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable
 
@@ -30,9 +31,15 @@ from ..session import checkpoint_dir
 def check_each_batch(stream: DataFrame, make_checks: Callable[[DataFrame], list[Check]], results_path: str,
                      checkpoint_location: str | None = None, query_name: str | None = None,
                      trigger: dict | None = None) -> StreamingQuery:
-    """Start a query that writes ``run_checks`` results of every micro-batch to ``results_path``."""
+    """Start a query that writes ``run_checks`` results of every micro-batch to ``results_path``.
+
+    Without ``checkpoint_location`` the checkpoint lies in the shared folder under the query's name
+    or, for a query without one, a name that follows from ``results_path``: streams that write to
+    different places never share a checkpoint, and a restarted one finds its own.
+    """
     spark = stream.sparkSession
-    ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), query_name or "check_each_batch")
+    own_name = query_name or "check_each_batch-" + hashlib.sha256(results_path.encode()).hexdigest()[:16]
+    ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), own_name)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         res = run_checks(batch, make_checks(batch)).withColumn("batch_id", F.lit(batch_id).cast("long"))
