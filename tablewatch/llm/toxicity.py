@@ -13,6 +13,9 @@ neighbours there (so that copies of one document count once) and rarely in clean
 again. A text's evidence is the scores of its worst words over all its sentences, how many words lie
 above the border, and how many there are; a logistic model fitted on training documents makes it a
 probability. Single characters in a row count as one word, too.
+A word of over ``LONG`` characters (text without spaces, words joined by marks) counts whole: it has
+the score of the worst of its pieces between other characters than letters and digits, and of the
+overlapping windows of itself and of its letters. Training takes its pieces as words.
 
 Learned from: at most ``MAX_DOCS`` labelled documents (the first by a hash of the id), none of the
 held-out fold (crc32 of the id as text, modulo 5, is 0). Only texts are inputs. Null and empty texts
@@ -24,8 +27,9 @@ other columns are ignored. A table without rows gives none.
 from __future__ import annotations
 
 import math
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,12 +43,17 @@ MAX_DOCS, MAX_LANDMARKS, MAX_NEGATIVE = 20_000, 160, 3_000
 SPAN, DECAY = 6, 0.5
 #: A witness stands between so many pairs of neighbours in toxic documents at least, and in them mostly.
 MIN_TOXIC_PLACES, MIN_TOXIC_SHARE = 5, 0.7
+#: Words of more characters are compared by windows of so many, each half over the next.
+LONG, WINDOW = 60, 24
+_PIECE = re.compile(r"[^\W_]+")
 _MARKS = ".,;:!?\"'()[]{}<>«»“”„…-_|"
 _KEPT = 400_000
 #: Characters fall in 64 classes: a to z, both ends of a word, and the rest by a hash; a subsequence is
 #: three classes, as one number.
 _CLASSES = 64
 _TEXTS, _CHARS = 256, 1 << 20
+#: Characters of words that are compared at a time.
+_TOGETHER = 1 << 18
 
 
 def text_words(text: str | None) -> list[str]:
@@ -70,11 +79,50 @@ def _class(char: str) -> int:
     return at - 96 if 97 <= at <= 122 else 29 + at * 2654435761 % 4294967291 % 35
 
 
-def forms(word: str) -> list[str]:
-    """What is compared of a word: itself without marks at its ends, and its letters alone if that differs."""
-    bare = word.strip(_MARKS)[:60]
+def windows(text: str) -> Iterator[str]:
+    """``text``, in overlapping windows if it is long; what has up to half a window lies whole in one."""
+    if len(text) <= LONG:
+        yield text
+        return
+    for at in range(0, len(text) - WINDOW // 2, WINDOW // 2):
+        yield text[at:at + WINDOW]
+
+
+def pieces(word: str) -> Iterator[str]:
+    """What lies between marks, spaces and characters without width, runs of single characters also as
+    one piece; long ones in windows."""
+    run: list[str] = []
+    for piece in _PIECE.finditer(word):
+        if piece.end() - piece.start() == 1:
+            run.append(piece[0])
+            continue
+        if len(run) > 2:
+            yield from windows("".join(run))
+        run = []
+        yield from windows(piece[0])
+    if len(run) > 2:
+        yield from windows("".join(run))
+
+
+def forms(word: str) -> Iterable[str]:
+    """What is compared of a word: itself without marks at its ends, and its letters alone if that differs;
+    of a long one all windows of both, and its pieces."""
+    bare = word.strip(_MARKS)
     letters = bare if bare.isalpha() else "".join(filter(str.isalpha, bare))
-    return [bare] if letters == bare or len(letters) < 3 else [bare, letters]
+    own = [bare] if letters == bare or len(letters) < 3 else [bare, letters]
+    return own if len(bare) <= LONG else _long_forms(own)
+
+
+def _long_forms(own: list[str]) -> Iterator[str]:
+    yield from pieces(own[0])
+    for text in own:
+        yield from windows(text)
+
+
+def examples(word: str) -> list[str]:
+    """What is learned of a word: its last form, all pieces of a long one."""
+    bare = word.strip(_MARKS)
+    return list(pieces(bare)) if len(bare) > LONG else [list(forms(word))[-1]]
 
 
 def subsequences(words: list[str]) -> list[tuple]:
@@ -120,16 +168,29 @@ class WordModel:
         self.known: dict[str, float] = {}
 
     def words(self, words: list[str]) -> list[float]:
-        """Score of each word: that of its worse form."""
+        """Score of each word: that of its worst form."""
         import numpy as np
 
-        given = [forms(w) for w in words]
-        flat = [f for x in given for f in x]
-        value = np.zeros(len(flat))
-        for places, code, weight, norm in subsequences(flat):
-            value[places] = (self.weights[code] * weight).sum(axis=1) / norm
-        found = iter((value + self.bias).tolist())
-        return [max(next(found) for _ in x) for x in given]
+        best = np.full(len(words), -np.inf)
+        own, places, chars = [], [], 0
+
+        def compare() -> None:
+            value = np.zeros(len(own))
+            for at, code, weight, norm in subsequences(own):
+                value[at] = (self.weights[code] * weight).sum(axis=1) / norm
+            np.maximum.at(best, places, value)
+
+        for i, w in enumerate(words):
+            for f in forms(w):
+                own.append(f)
+                places.append(i)
+                chars += len(f)
+                if chars > _TOGETHER:
+                    compare()
+                    own, places, chars = [], [], 0
+        if own:
+            compare()
+        return (best + self.bias).tolist()
 
     def evidence(self, texts: list[str | None]):
         """A row per text: scores of its first, second, third and fifth worst word, and the logarithms of
@@ -255,7 +316,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
         for batch in batches:
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                bare = ["", *(forms(w)[-1] for w in text_words(text.as_py())), ""]
+                bare = ["", *(x for w in text_words(text.as_py()) for x in examples(w)), ""]
                 own = [(label, w, 0) for w in sorted(set(bare) - {""})]
                 if label:
                     own += sorted({(2, w, zlib.crc32(f"{x} {y}".encode())) for x, w, y in zip(bare, bare[1:], bare[2:]) if w})

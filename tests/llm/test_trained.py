@@ -38,6 +38,25 @@ def test_toxicity_held_out(spark, tables, odd):
     assert kept.columns == docs.columns and kept.count() < docs.count()
 
 
+def test_toxicity_of_long_words(tables):
+    model = toxicity.train(*tables)
+    plain = "nation-river_house.paper/window" * 4
+    nothing = "\u200b".join(["nation", "river", "house", "paper", "window"] * 4)
+    for clean in (plain, nothing, "中文字" * 40):
+        bad = [clean + x + clean for x in ("-idiot-", "_idiot/", "\u200bidiot\u200b", "-i*d*i*o*t-")]
+        assert min(model.words(bad)) > 0 > model.words([clean])[0]
+    run = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(300))
+    weights = np.zeros_like(model.weights)
+    places, code, weight, norm = toxicity.subsequences([run[150:160]])[0]
+    weights[code[0]] = weight[0] / norm[0]
+    own = toxicity.WordModel(weights, 0.0)
+    assert own.words([run])[0] > 2 * own.words([run[:60]])[0]  # judged by all of a text without spaces
+    for n in range(1, 200):
+        parts = list(toxicity.windows(run[:n]))
+        assert max(map(len, parts)) <= toxicity.LONG and all(
+            any(run[i:min(n, i + 12)] in x for x in parts) for i in range(n))
+
+
 def test_toxicity_without_labels(spark, odd):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in toxicity.toxicity(odd, none).collect()} <= {r for r in [0.0] } | {toxicity_floor()}
