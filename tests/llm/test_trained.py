@@ -98,6 +98,13 @@ def test_site_quality(spark, tables, odd):
     assert quality_bayes.site_quality(odd, labels.limit(0)).count() == 5
 
 
+@pytest.mark.parametrize("times", [10, 600, 5000])
+def test_letters_of_whole_texts(times):
+    text = "a-----\n" * times  # a period of seven characters
+    assert quality_bayes.features(text)[9] == pytest.approx(1 / 7)
+    assert quality_bayes.features("-" + text)[9] == pytest.approx(times / (7 * times + 1))
+
+
 def test_site_quality_shrinks_sparse_hosts(spark, tables):
     docs, labels = tables
     junk = "Erti " * 200
