@@ -1,0 +1,109 @@
+"""Groups of texts whose word shingles have a Jaccard similarity of ``LEAST`` or more, without loss.
+
+A text is the set of its shingles (64-bit hashes); equal sets are one node. Two sets of similarity t
+share a shingle among the first ``n - ceil(t n) + 1`` of each, in any order common to all
+(prefix filter). The order is that of the hashes, but shingles that many prefixes hold come last, so
+few pairs meet by them. Pairs that meet are verified on their whole sets; linked texts form groups.
+
+Texts without words are one node. Null ids name no group unless all ids of it are null. Repeated rows
+give a row each.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tablewatch.llm.common import stored
+from tablewatch.llm.graph import components
+
+SIZE, SEED = 5, 42
+#: Similarity from which texts link, as a fraction.
+LEAST = (4, 5)
+#: A shingle in more prefixes than this is put last in the order, so many of them at most.
+COMMON, MAX_COMMON = 50, 100_000
+
+
+def shingles(text: str | None, size: int = SIZE):
+    """Distinct hashes of the word shingles of a text, sorted; a shorter text is one shingle."""
+    import numpy as np
+    from xxhash import xxh64_intdigest
+
+    words = (text or "").encode().lower().split()  # of bytes: A to Z, and ASCII white space
+    n = max(1, len(words) - size + 1) if words else 0
+    return np.unique(np.array([xxh64_intdigest(b" ".join(words[i:i + size]), SEED) for i in range(n)], np.uint64).view(np.int64))
+
+
+def _node(own) -> int:
+    from xxhash import xxh64_intdigest
+
+    value = xxh64_intdigest(own.tobytes(), SEED + 1)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def prefixes(df: DataFrame, common: list[int]) -> DataFrame:
+    """``doc_id, node, n, prefix`` of every row; ``common`` shingles come last in the order."""
+    def run(batches: Iterator):
+        import numpy as np
+        import pyarrow as pa
+
+        last = np.sort(np.array(common, np.int64))
+        for batch in batches:
+            nodes, sizes, firsts = [], [], []
+            for text in batch.column(1):
+                own = shingles(text.as_py())
+                n = len(own)
+                nodes.append(_node(own))
+                sizes.append(n)
+                late = np.isin(own, last)
+                firsts.append(np.r_[own[~late], own[late]][:n - -(-LEAST[0] * n // LEAST[1]) + 1 if n else 0])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
+                                              pa.array(firsts, pa.list_(pa.int64()))], names=["doc_id", "node", "n", "prefix"])
+
+    return df.mapInArrow(run, "doc_id long, node long, n int, prefix array<long>")
+
+
+def whole_sets(df: DataFrame) -> DataFrame:
+    """``node, shingles`` of every row."""
+    def run(batches: Iterator):
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = [shingles(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                                             names=["node", "shingles"])
+
+    return df.mapInArrow(run, "node long, shingles array<long>")
+
+
+def _tokens(own: DataFrame) -> DataFrame:
+    return own.dropDuplicates(["node"]).select("node", "n", F.explode("prefix").alias("token"))
+
+
+def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, component_id`` of every row: the smallest id that links lead to."""
+    docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].alias("text"))
+    counts = _tokens(prefixes(docs, [])).groupBy("token").count().filter(F.col("count") > COMMON)
+    # an order only: a shingle that is not listed costs pairs, but loses none
+    common = [r["token"] for r in counts.orderBy(F.col("count").desc(), "token").limit(MAX_COMMON).collect()]
+    own = stored(prefixes(docs, common), "prefixes")
+    tokens = stored(_tokens(own), "tokens")
+    a, b = tokens.alias("a"), tokens.alias("b")
+    near = (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node"))
+    sized = F.least("a.n", "b.n") * LEAST[1] >= F.greatest("a.n", "b.n") * LEAST[0]
+    pairs = stored(a.join(b, near & sized).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct(), "pairs")
+    met = pairs.select(F.explode(F.array("u", "v")).alias("met")).distinct()
+    sets = whole_sets(docs)
+    sets = stored(sets.join(met, sets["node"] == met["met"], "left_semi").dropDuplicates(["node"]), "sets")
+    x = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x"))
+    y = sets.select(F.col("node").alias("v"), F.col("shingles").alias("y"))
+    shared = F.size(F.array_intersect("x", "y"))
+    verified = shared * (LEAST[0] + LEAST[1]) >= (F.size("x") + F.size("y")) * LEAST[0]
+    links = stored(pairs.join(x, "u").join(y, "v").filter(verified).select("u", "v"), "links")
+    stars = components(links).select(F.col("u").alias("member"), F.col("v").alias("star"))
+    led = stored(own.join(stars, own["node"] == stars["member"], "left").select(
+        "doc_id", F.coalesce("star", "node").alias("root")), "led")
+    smallest = led.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return led.join(smallest, "root").select("doc_id", "component_id")
