@@ -7,8 +7,8 @@ of a word are its kernel values with them, times the inverse root of the landmar
 matrix, and a linear machine is trained on these. Its weights fold back into one weight per
 subsequence, so scoring a word costs its own subsequences only.
 
-Training is on sentences. Sentences of clean documents are negative, each of their words is. Toxic
-documents are positive as a whole: their witnesses are the words that stand between many different
+Training is on words, which stand in for labelled sentences: words of clean documents are negative, and
+a phrase of ordinary words alone ('go and ...') teaches nothing and scores nothing. Toxic documents are positive as a whole: their witnesses are the words that stand between many different
 neighbours there (so that copies of one document count once) and rarely in clean documents. Clean words that score high are added and the machine is trained
 again. A text's evidence is the scores of its worst words over all its sentences, how many words lie
 above the border, and how many there are; a logistic model fitted on training documents makes it a
