@@ -21,14 +21,19 @@ def id_bytes(ids) -> bytes:
 
 
 class LibraryTokens:
-    """``byte_level``: the vocabulary's pattern keeps one leading space; else it drops white space."""
+    """``byte_level``: the vocabulary's pattern keeps one leading space; else it drops white space.
 
-    def __init__(self, name: str, byte_level: bool):
+    As the library does by default, a special token's string in a text becomes that token, unless
+    ``special_as_text``. Such a token cuts the text wherever it stands, so texts with one go to the library whole.
+    """
+
+    def __init__(self, name: str, byte_level: bool, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_path(name))
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.library.encode_special_tokens = special_as_text
+        self.special = [] if special_as_text else [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.size = self.library.get_vocab_size()
         self.known: dict[str, bytes] = {}
         self.units = UnitCache(self._spaced_unit) if byte_level else None
@@ -61,6 +66,8 @@ class LibraryTokens:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(s in text for s in self.special):
+            return id_bytes(self.library.encode(text, add_special_tokens=False).ids)
         if self.units:
             return b"".join(self.units(text))
         if len(self.word_known) > MAX_KNOWN:
@@ -80,11 +87,12 @@ class LibraryTokens:
         return b"".join(found)
 
 
-_LOADED: dict[tuple[str, bool], LibraryTokens] = {}
+_LOADED: dict[tuple[str, bool, bool], LibraryTokens] = {}
 
 
-def library_tokens(name: str, byte_level: bool) -> LibraryTokens:
+def library_tokens(name: str, byte_level: bool, special_as_text: bool = False) -> LibraryTokens:
     """The tokenizer of this Python process."""
-    if (name, byte_level) not in _LOADED:
-        _LOADED[name, byte_level] = LibraryTokens(name, byte_level)
-    return _LOADED[name, byte_level]
+    key = name, byte_level, special_as_text
+    if key not in _LOADED:
+        _LOADED[key] = LibraryTokens(*key)
+    return _LOADED[key]
