@@ -11,14 +11,14 @@ from tablewatch.llm import queries
 def test_registered():
     names = set(__spark_entry__.queries())
     assert set(queries.QUERIES) <= names and "pipeline" in names
-    assert {n.split("_")[0] for n in queries.QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 14)}
     assert queries.SQL.items() <= __spark_entry__.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, sf_small, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{os.path.join(sf_small, table)}.parquet'")
     got = queries.QUERIES[name](spark, sf_small)
     columns = sorted(got.columns)
