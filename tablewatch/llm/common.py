@@ -30,6 +30,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, taken) -> str:
+    """``name``, with marks of underscore behind it until no column of ``taken`` has it (in any case)."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -26,7 +26,7 @@ from math import floor, log2
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import SPACE_CHARS, stored, words
+from tablewatch.llm.common import SPACE_CHARS, free_name, stored, words
 
 #: Words of a run that is worth removing.
 MIN_WORDS = 50
@@ -121,15 +121,21 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return later.select(*_DOC, F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("length") - 1)).alias("pos")).distinct()
 
 
-def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``df`` with the text of every row without its repeated runs, and ``removed_lines`` (array of the
-    removed lines' places among the lines with words; null where nothing was removed)."""
-    gone = repeated_lines(df, id_col, text_col, min_words).groupBy(*_DOC).agg(F.array_sort(F.collect_list("pos")).alias("gone"))
-    gone = stored(gone.select(F.col("doc_id").alias("__doc"), F.col("digest").alias("__digest"), F.col("gone").alias("__gone")),
-                  "removed")
-    joined = df.join(gone, df[id_col].eqNullSafe(gone["__doc"]) & (_digest(df[text_col]) == gone["__digest"]), "left")
-    return joined.select(*[without(F.col(text_col), F.col("__gone")).alias(c) if c == text_col else df[c] for c in df.columns],
-                         F.col("__gone").alias("removed_lines"))
+def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+               removed_col: str | None = "removed_lines") -> DataFrame:
+    """``df`` with the text of every row without its repeated runs, and the column ``removed_col`` (array of
+    the removed lines' places among the lines with words; null where nothing was removed; None: no such
+    column; underscores are added to a name that ``df`` has).
+
+    Texts are joined with their removed lines by a sort-merge join at every size: the lines grow with the
+    texts, so there is no size from which they'd be sent to every task.
+    """
+    places = repeated_lines(df, id_col, text_col, min_words).groupBy(*_DOC).agg(F.array_sort(F.collect_list("pos")).alias("gone"))
+    doc, digest, gone = (free_name(c, df.columns) for c in ("gone_doc", "gone_digest", "gone"))
+    places = stored(places.toDF(doc, digest, gone), "removed").hint("merge")
+    joined = df.join(places, df[id_col].eqNullSafe(places[doc]) & (_digest(df[text_col]) == places[digest]), "left")
+    out = [without(F.col(text_col), F.col(gone)).alias(c) if c == text_col else df[c] for c in df.columns]
+    return joined.select(*out, *([F.col(gone).alias(free_name(removed_col, df.columns))] if removed_col else []))
 
 
 def without(text: Column, gone: Column) -> Column:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import LOWER, SPACE_CHARS, UPPER, lower_ascii, stored, words
+from tablewatch.llm.common import free_name, LOWER, SPACE_CHARS, UPPER, lower_ascii, stored, words
 
 #: Words that a document has at least, and the percentage of them in repeated windows at most.
 MIN_WORDS, MAX_REPEATED = 50, 50
@@ -131,18 +131,19 @@ def passing(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 
     Base rules are decided where a row is read; only the ids of depleted documents are gathered.
     """
+    own_id, own_doc = (free_name(c, df.columns) for c in ("depleted_id", "depleted_doc"))
     rows = _rows(df, id_col, text_col, host_col)
     lost = _lost(rows, max_line_docs).groupBy("doc_id", "doc").agg(F.sum("n").alias("lost"))
     size = rows.groupBy("doc_id", "doc").agg(F.count("*").alias("rows"), F.max(F.size(words(F.col("text")))).alias("n_words"))
     depleted = stored(size.join(lost.withColumnsRenamed({"doc_id": "_id", "doc": "_doc"}), F.col("doc_id").eqNullSafe(
         F.col("_id")) & (F.col("doc") == F.col("_doc"))).filter(
-        F.floor(F.col("lost") / F.col("rows")) > max_lost * F.col("n_words")).select("_id", "_doc"), "depleted")
+        F.floor(F.col("lost") / F.col("rows")) > max_lost * F.col("n_words")).select(F.col("_id").alias(own_id), F.col("_doc").alias(own_doc)), "depleted")
     if depleted.count() <= MAX_SENT:
         depleted = F.broadcast(depleted)
     judged = base_counts(df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[text_col].alias("text")))
     # a filter would be moved below the projections and work out the counts again for every word
     passed = judged.select(F.inline(F.filter(F.array("row"), lambda r: ~_failed())))
-    return passed.join(depleted, F.col(id_col).eqNullSafe(F.col("_id")) & (_digest(F.col(text_col)) == F.col("_doc")), "left_anti")
+    return passed.join(depleted, F.col(id_col).eqNullSafe(F.col(own_id)) & (_digest(F.col(text_col)) == F.col(own_doc)), "left_anti")
 
 
 SQL = f"""
