@@ -13,45 +13,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewatch.llm import line_dedup, packing, quality_rules, similar, simhash, toxicity
-from tablewatch.llm.common import stored
+from tablewatch.llm import line_dedup, packing, quality_rules, simhash, toxicity
+from tablewatch.llm.common import free_name, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score under 0.5; learned from the labelled ones among ``docs``."""
+    """Documents with a toxicity score under 0.5; learned from the labelled ones among ``docs``.
+
+    Null and empty texts are scored like any other. Repeated rows share their fate. No rows give none.
+    """
     labels = spark.read.parquet(os.path.join(sf_dir, "labels.parquet"))
     return toxicity.without_toxic(docs, toxicity.train(docs, labels))
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules. Null and empty texts have no words, so they go."""
     return quality_rules.passing(docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without line runs that stand earlier in the corpus; ``n_chars`` follows the text."""
-    clean = line_dedup.line_dedup(docs).drop("removed_lines")
+    """All documents, without line runs that stand earlier in the corpus; ``n_chars`` follows the text.
+    Null texts stay null; every other column stays as it is."""
+    clean = line_dedup.line_dedup(docs, removed_col=None)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
-def _firsts(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    first = stored(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("first")).distinct(), "first")
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["first"]), "left_semi")
-
-
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group: first those of op2, then, of what
-    is left, those that share 0.8 of their shingles of 5 words (Jaccard), verified. Ids identify
-    documents here: a repeated id stays if any of its rows is the smallest of its group."""
-    left = stored(_firsts(docs, simhash.near_duplicates(docs)), "left")
-    return _firsts(left, similar.similar_groups(left))
+    """The document with the smallest id of each group of near copies by op2: 4-word shingles, 4 differing
+    bits. Ids identify documents here: a repeated id stays if any of its rows is the smallest of its group.
+    Texts without words are copies of each other. Every other column stays as it is."""
+    groups = simhash.near_duplicates(docs)
+    name = free_name("first", docs.columns)
+    first = stored(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias(name)).distinct(), "first")
+    return docs.join(first, docs["doc_id"].eqNullSafe(first[name]), "left_semi")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 4096 tokens."""
+    """Pieces of the documents in sequences of 4096 tokens; null and empty texts have the end token."""
     return packing.pack_documents(docs, "word_bpe_49k.json", 2, with_ids=False)
 
 
