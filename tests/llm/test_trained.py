@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tablewatch.llm import quality_bayes, similar, simhash, toxicity
+from tablewatch.llm import quality_bayes, simhash, toxicity
 from tablewatch.llm.common import held_out_id
 
 SF = "/root/testdata/sf0.01"
@@ -130,37 +130,17 @@ def test_pipeline(spark):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
-@pytest.fixture(scope="module")
-def edited(spark):
-    """Edited copies and odd rows, and which pairs of them are alike."""
-    rng, rows = random.Random(10), []
-    for _ in range(25):
-        words = [f"w{rng.randrange(4000)}" for _ in range(rng.randint(60, 300))]
-        for edits in (0, 1, 2, 4, 7, 12):
-            own = list(words)
-            for at in rng.sample(range(len(own)), edits):
-                own[at] = f"e{rng.randrange(4000)}"
-            rows.append((len(rows), " ".join([*own, *["the same short line"] * (len(rows) % 2)])))
-    rows += [(1000, None), (1001, ""), (1002, "one"), (1003, "One"), (None, "one")]
-    sets = [set(similar.shingles(t).tolist()) for _, t in rows]
-    pairs = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if a == b or 5 * len(a & b) >= 4 * len(a | b)]
-    return rows, pairs, spark.createDataFrame(rows, "doc_id long, text string")
-
-
-def test_similar_groups(edited, monkeypatch):
-    monkeypatch.setattr(similar, "COMMON", 3)
-    rows, pairs, df = edited
-    root = list(range(len(rows)))
-    for i, j in pairs:
-        if root[i] != root[j]:
-            root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
-    want = sorted((str(d), rows[r][0]) for (d, _), r in zip(rows, root))
-    assert sorted((str(r["doc_id"]), r["component_id"]) for r in similar.similar_groups(df).collect()) == want
-
-
-def test_edited_copies_leave_the_pipeline(spark, edited):
-    rows, pairs, df = edited
-    fps = [simhash.fingerprint(t) for _, t in rows]
-    assert any((fps[i] ^ fps[j]).bit_count() > simhash.MAX_BITS for i, j in pairs)  # op2 alone leaves such pairs
-    left = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()}
-    assert left and not any(rows[i][0] in left and rows[j][0] in left for i, j in pairs)
+def test_stages_of_odd_documents(spark):
+    """Nulls, repeated rows, no rows, and columns named as the stages name theirs inside."""
+    line = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, f"{line}\n{line}\nend of it"), (2, None), (None, line), (3, line), (3, line), (4, " ".join(f"other{i}" for i in range(80)))]
+    names = "removed_lines string, gone string, gone_doc int, _id int, _doc int, depleted_id int, digest string, first int, component_id int, n int"
+    docs = spark.createDataFrame([(*r, "en", "s", None, "mine", *["x", 1, 1, 1, 1, "x", 1, 1, 1]) for r in rows],
+                                 f"doc_id long, text string, lang string, source string, n_chars long, {names}")
+    for some in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[1:]:
+            out = stage(spark, some, SF)
+            assert name == "packing" or out.columns == docs.columns
+            assert (out.count() == 0) == (some is not docs)
+    kept = corpus_pipeline.drop_repeated_lines(spark, docs, SF).collect()
+    assert len(kept) == 6 and {r["removed_lines"] for r in kept} == {"mine"}
