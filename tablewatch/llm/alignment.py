@@ -32,10 +32,10 @@ from tablewatch.llm.common import stored, tokenizer_path
 from tablewatch.llm.libtokens import id_bytes, library_tokens
 
 #: Bytes of text that a task aligns at a time, unless one document is longer.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: An id pair is one number: the first id times this, and the second.
 PAIR = 1 << 24
-MAX_KNOWN = 400_000
+MAX_KNOWN = 300_000
 _UNIT = re.compile(" +[^ ]*")
 
 
@@ -56,6 +56,8 @@ class ByteLevelSide:
         self.bytes_of = [b""] * (max(entries.values()) + 1)
         for entry, i in entries.items():
             self.bytes_of[i] = bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode()
+        #: A vocabulary with all bytes, of a library that changes no text, gives back the text's own bytes.
+        self.lossless = self.tokens.library.normalizer is None and set(byte_of) <= set(entries)
 
     def __call__(self, text: str) -> bytes:
         return self.tokens(" " + text)
@@ -68,6 +70,8 @@ class PieceSide:
     behind it: spaces with the word behind them are looked up together.
     """
 
+    lossless = False
+
     def __init__(self, name: str):
         import sentencepiece
 
@@ -78,24 +82,23 @@ class PieceSide:
         # the model encodes an empty text as nothing, but a space alone ends a text
         self.space = id_bytes([pieces.index("▁")]) if self.apart else b""
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         if not self.apart or "▁" in text:
             return id_bytes(self.model.encode(text))
         if len(self.known) > MAX_KNOWN:
-            self.known = {}
+            self.before, self.known = self.known, {}
         self.known[""] = self.space
         units = text.split(" ") if "  " not in text and text[:1] != " " and text[-1:] != " " else [u[1:] for u in _UNIT.findall(" " + text)]
-        get = self.known.get
-        found = [get(u) for u in units]
+        found = list(map(self.known.get, units))
         if None in found:
-            for i, value in enumerate(found):
-                if value is None:
-                    found[i] = self.known.get(units[i])
-                    if found[i] is None:
-                        found[i] = id_bytes(self.model.encode(units[i]))
-                        if len(units[i]) <= 64:
-                            self.known[units[i]] = found[i]
+            new = {u for u, value in zip(units, found, strict=True) if value is None}
+            own = {u: value for u in new if (value := self.before.get(u))}
+            new = list(new - own.keys())
+            own.update(zip(new, map(id_bytes, self.model.encode(new, num_threads=1)), strict=True))
+            found = [own[u] if value is None else value for u, value in zip(units, found, strict=True)]
+            self.known.update((u, ids) for u, ids in own.items() if len(u) <= 64)
         return b"".join(found)
 
 
@@ -122,10 +125,10 @@ def tokenised(texts: list[str | None], a, b):
             whole = (" " + text).encode()
             for side in (a, b):
                 own = np.frombuffer(side(text), np.uint32)
-                if b"".join([side.bytes_of[i] for i in own.tolist()]) != whole:
+                if not side.lossless and b"".join([side.bytes_of[i] for i in own.tolist()]) != whole:
                     ids = []
                     break
-                ids.append(own)
+                ids.append(own.astype(np.int32))
         for out, own in zip(kept, ids or [np.empty(0, np.uint32)] * 2, strict=True):
             out.append(own)
     tables = []
@@ -192,20 +195,41 @@ def linked(doc_of_group, ga, a_ids, gb, b_ids):
     left = np.repeat(np.arange(len(g)), each)
     right = np.arange(len(left)) - np.repeat(np.cumsum(each) - each, each) + np.repeat(firsts[g], each)
     doc, pair, times = doc_of_group[g[left]], x[left] * PAIR + y[right], n[left] * m[right]
-    order = np.lexsort((pair, doc))
+    order = np.argsort(pair)
+    order = order[np.argsort(doc[order], kind="stable")]
     doc, pair, times = doc[order], pair[order], times[order]
     at = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])]) if len(doc) else np.empty(0, np.int64)
     return doc[at], pair[at], np.add.reduceat(times, at) if len(at) else times
 
 
-def group_text(ga, a_ids, gb, b_ids) -> str:
-    """``a1,a2|b1;a3|b2,b3`` of one document; group numbers from 0."""
-    sides = []
-    for g, ids in ((ga, a_ids), (gb, b_ids)):
-        words = list(map(str, ids.tolist()))
-        at = [*_runs(g).tolist(), len(words)]
-        sides.append([",".join(words[i:j]) for i, j in zip(at, at[1:], strict=False)])
-    return ";".join([f"{x}|{y}" for x, y in zip(*sides, strict=True)])
+def group_texts(ga, a_ids, ea, gb, b_ids, eb, marked) -> list[str]:
+    """``a1,a2|b1;a3|b2,b3`` of every document; ``ea`` and ``eb`` are the ends of the documents' tokens.
+
+    ``marked[k, id]`` is the id's text with one of ``,|;`` behind it.
+    """
+    import numpy as np
+
+    n = int(ga[-1]) + 1 if len(ga) else 0
+    sizes = [np.bincount(g, minlength=n) for g in (ga, gb)]
+    ends = [np.cumsum(x) for x in sizes]
+    words = np.empty(len(ga) + len(gb), object)
+    # tokens of the first side stand behind those of the second of all groups before, and so on
+    for k, (g, ids, other) in enumerate(((ga, a_ids, ends[1] - sizes[1]), (gb, b_ids, ends[0]))):
+        last = np.r_[g[1:] != g[:-1], True] if len(g) else np.zeros(0, bool)
+        words[np.arange(len(g)) + other[g]] = marked[np.where(last, k + 1, 0), ids]
+    at = [0, *(ea + eb).tolist()]
+    return ["".join(words[i:j].tolist())[:-1] for i, j in zip(at, at[1:], strict=False)]
+
+
+_MARKED: dict = {}
+
+
+def marked_ids(size: int):
+    import numpy as np
+
+    if size not in _MARKED:
+        _MARKED[size] = np.array([[f"{i}{mark}" for i in range(size)] for mark in ",|;"], object)
+    return _MARKED[size]
 
 
 def _parts(ids, texts, batch_bytes: int):
@@ -249,10 +273,8 @@ def aligned_batches(df: DataFrame, first: str, second: str, batch_bytes: int = B
                 in_group = np.bincount(ga, minlength=len(doc_of_group)) * np.bincount(gb, minlength=len(doc_of_group))
                 n_links = np.zeros(n, np.int64)
                 np.add.at(n_links, doc_of_group, in_group)
-                digests, ea, eb = [], np.cumsum(na), np.cumsum(nb)
-                for i in range(n):
-                    x, y = slice(ea[i] - na[i], ea[i]), slice(eb[i] - nb[i], eb[i])
-                    digests.append(hashlib.sha256(group_text(ga[x], ia[x], gb[y], ib[y]).encode()).hexdigest() if na[i] else "")
+                named = group_texts(ga, ia, np.cumsum(na), gb, ib, np.cumsum(nb), marked_ids(max(len(a.bytes_of), len(b.bytes_of))))
+                digests = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in named]
                 doc, pair, times = linked(doc_of_group, ga, ia, gb, ib)
                 pairs, place, docs = np.unique(pair, return_inverse=True, return_counts=True)
                 ends = np.searchsorted(doc, np.arange(1, n + 1))

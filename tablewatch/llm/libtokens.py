@@ -14,6 +14,8 @@ from tablewatch.llm.common import SPACE_CHARS, tokenizer_path
 from tablewatch.llm.units import PLAIN, UnitCache
 
 MAX_KNOWN = 800_000
+#: Stands for a space in a byte-level vocabulary.
+SPACE = "Ġ"
 
 
 def id_bytes(ids) -> bytes:
@@ -36,7 +38,8 @@ class LibraryTokens:
         self.special = [] if special_as_text else [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.size = self.library.get_vocab_size()
         self.known: dict[str, bytes] = {}
-        self.units = UnitCache(self._spaced_unit) if byte_level else None
+        self.units = UnitCache(self._spaced_unit, encode_words=self._spaced_words) if byte_level else None
+        self.begins = {i for entry, i in self.library.get_vocab().items() if entry[0] == SPACE} if byte_level else set()
         self.word_known: dict[str, bytes] = {}
         self.odd = re.compile("[\x1c-\x1f]")
 
@@ -56,6 +59,22 @@ class LibraryTokens:
             return self._library(" " + plain[1]) + self._library(plain[2])
         return self._library(unit)
 
+    def _spaced_words(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part behind a space. New ones go to the library as one text, whose ids are cut in
+        front of every token that begins with a space."""
+        cut = [(p[1], p[2]) if (p := PLAIN.fullmatch(part)) else (part, "") for part in parts]
+        new = [head for head in dict.fromkeys(head for head, _ in cut) if " " + head not in self.known]
+        if len(self.known) + len(new) >= MAX_KNOWN:
+            self.known.clear()
+            new = list(dict.fromkeys(head for head, _ in cut))
+        if new:
+            ids = self.library.encode(" " + " ".join(new), add_special_tokens=False).ids
+            at = [i for i, x in enumerate(ids) if x in self.begins]
+            own = id_bytes(ids)
+            for head, start, end in zip(new, at, [*at[1:], len(ids)], strict=True):
+                self.known[" " + head] = own[4 * start:4 * end]
+        return [self.known[" " + head] + (self._library(tail) if tail else b"") for head, tail in cut]
+
     def _word(self, word: str) -> bytes:
         plain = PLAIN.fullmatch(word)
         if not plain:

@@ -23,20 +23,24 @@ class UnitCache:
     """Looks up what ``encode_unit(unit)`` gives for each unit of a text.
 
     Units behind one space are kept under their text without it, since splitting at the space is
-    the cheapest cut. The cache is emptied when it holds ``limit`` units or a text's units would
-    outgrow it, which changes speed only; units over 64 characters are not kept.
+    the cheapest cut. When the cache holds ``limit`` units it is put aside, and what is used again moves
+    to a new one, which changes speed only; units over 64 characters are not kept.
+
+    ``encode_words`` may encode the new words of a text together: a list of parts that stand behind one
+    space each, have no space or line end and don't end in white space.
     """
 
-    def __init__(self, encode_unit, limit: int = 400_000):
-        self.encode_unit, self.limit = encode_unit, limit
+    def __init__(self, encode_unit, limit: int = 400_000, encode_words=None):
+        self.encode_unit, self.limit, self.encode_words = encode_unit, limit, encode_words
         self.spaced: dict = {}
+        self.before: dict = {}
         self.other: dict = {}
 
     def __call__(self, text: str) -> list:
         if not text:
             return []
         if len(self.spaced) > self.limit:
-            self.spaced = {}
+            self.before, self.spaced = self.spaced, {}
         if len(self.other) > self.limit:
             self.other = {}
         if any(run in text for run in _RUNS):
@@ -46,6 +50,11 @@ class UnitCache:
         get = self.spaced.get
         found = [get(p) for p in parts]
         if None in found:
+            new = {p for p, value in zip(parts, found) if value is None}
+            self.spaced.update((p, value) for p in new if (value := self.before.get(p)) is not None)
+            if self.encode_words:
+                new = {p for p in new if p not in self.spaced and 0 < len(p) <= 64 and p[0] != "\n" and not p[-1].isspace()}
+                self.spaced.update(zip(new, self.encode_words(list(new))))
             for i, value in enumerate(found):
                 if value is None:
                     found[i] = self._spaced(parts[i])
