@@ -637,6 +637,29 @@ def q_skew_kurt(spark, sf):
     return _round(PR.skew_kurt(_t(spark, sf, "events"), ["value", "user_id"]))
 
 
+@_query("median_wide_numbers", _union(*[f"""
+SELECT '{c}' AS "column", CAST(quantile_disc({e}, 0.5) AS VARCHAR) AS median FROM orders""" for c, e in _WIDE.items()]))
+def q_median_wide(spark, sf):
+    df = _t(spark, sf, "orders").select(*[F.expr(e).alias(c) for c, e in _WIDE.items()])
+    return PR.statistical_analysis(df, list(_WIDE), exact=True, method="lower", median_as_text=True).select("column", "median")
+
+
+# a median of sketches is right if the rows up to it, and those from it on, reach half of all within the bound
+@_query("statistical_analysis_default", _union(*[f"""
+SELECT '{c}' AS "column", round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev, true AS median_within_bound
+FROM lineitem""" for c in _NUM_LI]))
+def q_statistical_analysis_default(spark, sf):
+    df = _t(spark, sf, "lineitem")
+    stats = PR.statistical_analysis(df, _NUM_LI)
+    rows = df.selectExpr("inline(array(" + ", ".join(f"named_struct('name', '{c}', 'x', CAST({c} AS DOUBLE))" for c in _NUM_LI) + "))")
+    ranks = rows.join(F.broadcast(stats), rows["name"] == stats["column"]).groupBy("column").agg(
+        F.first("mean").alias("mean"), F.first("stddev").alias("stddev"), F.count("x").alias("n"),
+        F.count_if(F.col("x") <= F.col("median")).alias("up_to"), F.count_if(F.col("x") >= F.col("median")).alias("from"))
+    slack = F.col("n") / PR.DEFAULT_ACCURACY + 1
+    return _round(ranks.select("column", "mean", "stddev", F.coalesce(
+        (F.col("up_to") >= F.col("n") / 2 - slack) & (F.col("from") >= F.col("n") / 2 - slack), F.lit(False)).alias("median_within_bound")))
+
+
 @_query("statistical_analysis", _union(*[f"""
 SELECT '{c}' AS "column", round(avg({c}), 6) AS mean, round(quantile_disc({c}, 0.5), 6) AS median,
        round(stddev_samp({c}), 6) AS stddev FROM lineitem""" for c in ["l_quantity", "l_discount"]]))

@@ -31,8 +31,12 @@ def sigma_outlier(x: Column, stats: dict, k: float) -> Column:
     return (x > lit_double(hi)) | (x < lit_double(lo))
 
 
+#: Columns of one aggregation, so that its generated code stays within limits.
+STATS_BATCH = 48
+
+
 def column_stats(df: DataFrame, names: list[str]) -> dict[str, dict]:
-    """mean, sample stddev, min, max and count of numeric columns in **one** small job.
+    """mean, sample stddev, min, max and count of numeric columns in **one** small job (one for each ``STATS_BATCH`` columns).
 
     Returns ``{column: {"mean", "stddev", "min", "max", "count"}}`` (Python numbers,
     ``None`` where undefined). Only this one row of statistics reaches the driver; the
@@ -42,6 +46,9 @@ def column_stats(df: DataFrame, names: list[str]) -> dict[str, dict]:
     if not names:
         return {}
     from . import sqltext as S
+    if len(names) > STATS_BATCH:
+        head, tail = names[:STATS_BATCH], names[STATS_BATCH:]
+        return column_stats(df, head) | column_stats(df, tail)
     aggs = []
     for i, n in enumerate(names):
         x = S.as_double(n, df.schema[n].dataType)

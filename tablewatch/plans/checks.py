@@ -4,8 +4,8 @@ A check is a small spec: either a row predicate that is TRUE for a failing row,
 key whose repeated values fail (uniqueness, duplicates). ``run_checks`` puts every
 predicate check of a list into **one** aggregation over the input (``count_if`` per
 predicate: one scan, a map-side partial count per task, one row per task to merge).
-Each key check is a ``groupBy(key).count()`` branch whose shuffle carries only the key
-and a count (repeated keys collapse before the shuffle). Checks that need statistics
+Each key check is a branch of its own whose shuffle carries only a digest of the key
+and a count (repeated keys collapse before the shuffle; see ``key_counts``). Checks that need statistics
 of the data (kσ outliers) get them from one small aggregate job first, as literals.
 
 The result is a DataFrame with ``RESULT_SCHEMA`` rows (one per check), never a raised
@@ -93,12 +93,13 @@ def transformation(df: DataFrame, column: str, expected, null_safe: bool = False
     """V6: rows where ``column`` differs from the expected value or Column expression.
 
     By default a NULL on either side passes (SQL ``!=``); ``null_safe=True`` also flags a
-    NULL on one side. ``tolerance`` compares numbers with an absolute tolerance.
+    NULL on one side. ``tolerance`` compares numbers with an absolute tolerance; NaN equals NaN, and
+    an infinity equals itself.
     """
     n = resolve(df, column)
     exp = expected if isinstance(expected, Column) else F.lit(expected)
     if tolerance is not None:
-        bad = F.abs(col(n) - exp) > F.lit(tolerance)
+        bad = P.differs(col(n), exp, False) & (F.abs(col(n) - exp) > F.lit(tolerance))
         if null_safe:
             bad = bad | (col(n).isNull() != exp.isNull())
     else:
@@ -180,22 +181,43 @@ def _result_row(ch: Check, order: int, failing: str, total: str) -> str:
     ])
 
 
+#: Bytes of a key (by its types) up to which it is grouped as it is: a digest would be no narrower.
+NARROW_KEY = 16
+
+
+def _is_narrow(df: DataFrame, key: list[str]) -> bool:
+    size = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4}
+    types = [df.schema[c].dataType for c in key]
+    fixed = all(TY.is_numeric(t) or TY.is_datetime(t) or isinstance(t, T.BooleanType) for t in types)
+    return fixed and sum(16 if isinstance(t, T.DecimalType) and t.precision > 18 else size.get(type(t), 8) for t in types) <= NARROW_KEY
+
+
 def key_counts(df: DataFrame, key: tuple[str, ...] | list[str]) -> DataFrame:
     """One row ``(total, distinct_keys)``: rows and distinct values of ``key`` (NULL is a value).
 
-    ``groupBy(key).count()`` followed by a global sum: one scan, and the map-side
-    partial aggregate collapses repeated keys before the shuffle (a key holding a third
-    of the rows costs one row per task); the shuffle carries only the key and a count.
-    (An exact hash-first variant was measured: it needs three passes over the input and
-    was slower here.)
+    A key of a few numbers is grouped as it is. Of a wider key, rows or texts included, only a
+    64-bit digest with a count goes through the shuffle. A digest that occurs once is a distinct key;
+    keys whose digest repeats are read again and compared whole, so unequal keys of equal digest are told
+    apart. Partial aggregates collapse repeated keys before each shuffle: a key holding a third of the
+    rows costs one row per task. Repeated digests are sent to the rows where Spark finds them small, else
+    both meet by digest.
     """
     key = list(key)
     bad = [c for c in key if not TY.is_orderable(df.schema[c].dataType)]
     if bad:
         raise ValueError(f"duplicate checks cannot use map columns {bad}")
-    per_key = df.groupBy(*[col(c) for c in key]).agg(F.count(F.lit(1)).alias("__tw_n"))
-    return per_key.agg(F.coalesce(F.sum("__tw_n"), F.lit(0)).cast("long").alias("total"),
-                       F.count(F.lit(1)).alias("distinct_keys"))
+    if _is_narrow(df, key):
+        per_key = df.groupBy(*[col(c) for c in key]).agg(F.count(F.lit(1)).alias("__tw_n"))
+        return per_key.agg(F.coalesce(F.sum("__tw_n"), F.lit(0)).cast("long").alias("total"),
+                           F.count(F.lit(1)).alias("distinct_keys"))
+    parts = [col(c).alias(f"k{i}") for i, c in enumerate(key)]
+    rows = df.select(F.xxhash64(*[col(c) for c in key]).alias("digest"), *parts)
+    digests = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    again = digests.filter("n > 1").select(F.col("digest").alias("again"))
+    whole = rows.join(again, rows["digest"] == again["again"], "left_semi").groupBy(*[f"k{i}" for i in range(len(key))]).agg(F.lit(1).alias("one"))
+    once = digests.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count_if(F.col("n") == 1).alias("distinct_keys"))
+    more = whole.agg(F.lit(0).cast("long").alias("total"), F.count(F.lit(1)).alias("distinct_keys"))
+    return once.unionByName(more).agg(F.sum("total").cast("long").alias("total"), F.sum("distinct_keys").cast("long").alias("distinct_keys"))
 
 
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:

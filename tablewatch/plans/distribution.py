@@ -7,9 +7,12 @@ cluster. Drawing is left to the caller (the results have a handful of rows).
 from __future__ import annotations
 
 import math
+from decimal import Decimal
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import sqltext as S
 from ..functions import types as TY
@@ -17,7 +20,8 @@ from ..functions.names import col, resolve
 from ..functions.stats import as_double, column_stats, lit_double
 from .profile import DEFAULT_ACCURACY
 from .fuse import MAX_AGGS, fused_rows, union_all
-from .quantiles import exact_quantiles_many
+from .quantiles import Key, approx_quantiles, by_kind, exact_quantiles_many, key_of, key_ranges, long_keys
+from .quantiles import as_text as quantile_text
 
 
 def _numeric(df: DataFrame, columns) -> list[str]:
@@ -147,37 +151,59 @@ def density_curve(df: DataFrame, columns=None, points: int = 50) -> DataFrame:
     return fused_rows(df, names, build, shared=["count(1) AS __n"])
 
 
+def _key_bounds(key: Key, q1, q3, whis: float, lo: int, hi: int) -> tuple[int, int]:
+    """Least and largest key of a column (from ``lo`` to ``hi``) within the whiskers' reach."""
+    if isinstance(q1, float) and TY.is_floating(key.dt):
+        low, high = q1 - whis * (q3 - q1), q3 + whis * (q3 - q1)
+        first = lo if math.isnan(low) else key.of(low)
+        last = hi if math.isnan(high) else key.of(high)
+    else:
+        scale = key.dt.scale if isinstance(key.dt, T.DecimalType) else 0
+        a, b = (Fraction(q) * 10 ** scale for q in (q1, q3))
+        reach = Fraction(whis) * (b - a)
+        first, last = math.ceil(a - reach), math.floor(b + reach)
+    return max(lo, first), min(hi, last)
+
+
 def box_stats(df: DataFrame, columns=None, whis: float = 1.5, exact: bool = True,
-              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+              accuracy: int = DEFAULT_ACCURACY, as_text: bool = False) -> DataFrame:
     """Box-plot statistics per column.
 
-    ``(column, q1, median, q3, lower_whisker, upper_whisker, outliers)``. Quartiles are
-    exact and linearly interpolated (as box plots draw them) by distributed selection
-    (``quantiles.exact_quantiles``); ``exact=False`` uses ``percentile_approx`` instead.
-    Whiskers are the most extreme values inside ``[q1 - whis·IQR, q3 + whis·IQR]``;
-    ``outliers`` counts the values outside. The whiskers and counts of all columns are
-    one aggregation with the quartiles as literals.
+    ``(column, q1, median, q3, lower_whisker, upper_whisker, outliers)``. Quartiles are exact and
+    linearly interpolated (as box plots draw them) by radix selection in the column's own type
+    (``quantiles.exact_quantiles_many``); ``exact=False`` takes them from mergeable sketches instead.
+    Whiskers are the most extreme values inside ``[q1 - whis·IQR, q3 + whis·IQR]``; ``outliers``
+    counts the values outside. They come from one more job, in which every column's bounds are rows of
+    a small joined table; the driver gets three numbers a column, and the number of jobs does not
+    grow with the columns. Values are doubles, or with ``as_text`` texts that keep every digit of a
+    bigint or decimal. Quartiles at infinity bound nothing.
     """
     names = _numeric(df, columns)
-    quart = {}
+    keys = {i: key_of(df, n) for i, n in enumerate(names)}
+    ranges = key_ranges(df, keys)
+    probs = [0.25, 0.5, 0.75]
     if exact:
-        quart = exact_quantiles_many(df, names, [0.25, 0.5, 0.75], "linear", accuracy)
+        quart = exact_quantiles_many(df, names, probs, "linear", accuracy)
     else:
-        row = df.agg(*[F.percentile_approx(_x(df, n), [0.25, 0.5, 0.75], accuracy).alias(f"q{i}")
-                       for i, n in enumerate(names)]).first()
-        quart = {n: (row[f"q{i}"] or [None, None, None]) for i, n in enumerate(names)}
-    aggs, structs = [], []
+        found = [{r["column"]: r["value"] for r in approx_quantiles(df, names, p, accuracy).collect()} for p in probs]
+        quart = {n: [f[n] for f in found] for n in names}
+    bounds = {i: _key_bounds(keys[i], quart[names[i]][0], quart[names[i]][2], whis, *ranges[i][1:]) for i in ranges}
+    ends: dict[int, tuple] = {}
+    for group in by_kind({i: keys[i] for i in bounds}):
+        kind = next(iter(group.values())).kind
+        typed = int if kind == "bigint" else Decimal
+        near = F.broadcast(df.sparkSession.createDataFrame([(i, *map(typed, bounds[i])) for i in group], f"c int, first {kind}, last {kind}"))
+        rows = long_keys(df, group).join(near, "c").groupBy("c").agg(
+            F.min(F.when(F.col("key") >= F.col("first"), F.col("key"))).alias("low"),
+            F.max(F.when(F.col("key") <= F.col("last"), F.col("key"))).alias("high"),
+            F.count_if((F.col("key") < F.col("first")) | (F.col("key") > F.col("last"))).alias("outliers"))
+        ends |= {r["c"]: (r["low"], r["high"], r["outliers"]) for r in rows.collect()}
+    shown = quantile_text if as_text else lambda v: None if v is None else float(v)
+    out = []
     for i, n in enumerate(names):
-        q1, q2, q3 = quart[n]
-        x = _x(df, n)
-        if q1 is None:
-            aggs += [lit_double(None).alias(f"lw{i}"), lit_double(None).alias(f"uw{i}"),
-                     F.lit(0).cast("long").alias(f"o{i}")]
-        else:
-            lo_f, hi_f = lit_double(q1 - whis * (q3 - q1)), lit_double(q3 + whis * (q3 - q1))
-            aggs += [F.min(F.when(x >= lo_f, x)).alias(f"lw{i}"), F.max(F.when(x <= hi_f, x)).alias(f"uw{i}"),
-                     F.count_if((x < lo_f) | (x > hi_f)).alias(f"o{i}")]
-        structs.append(F.struct(F.lit(n).alias("column"), lit_double(q1).alias("q1"), lit_double(q2).alias("median"),
-                                lit_double(q3).alias("q3"), F.col(f"lw{i}").alias("lower_whisker"),
-                                F.col(f"uw{i}").alias("upper_whisker"), F.col(f"o{i}").cast("long").alias("outliers")))
-    return df.agg(*aggs).select(F.inline(F.array(*structs)))
+        low, high, outliers = ends.get(i, (None, None, 0))
+        whiskers = [None if k is None else keys[i].value(int(k)) for k in (low, high)]
+        out.append((n, *[shown(v) for v in (*quart[n], *whiskers)], outliers))
+    kind = "string" if as_text else "double"
+    return df.sparkSession.createDataFrame(
+        out, f"column string, q1 {kind}, median {kind}, q3 {kind}, lower_whisker {kind}, upper_whisker {kind}, outliers long")

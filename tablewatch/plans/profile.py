@@ -3,9 +3,9 @@
 Each report is one aggregation over the input (plus one small statistics job where a
 second pass needs first-pass statistics) and comes back as a tidy DataFrame: one row per
 column, or per (column, metric). NaN is treated as missing for every statistic.
-Quantiles use ``percentile_approx`` (Greenwald-Khanna sketch): memory per task is
-bounded by ``accuracy``; the rank error is at most ``n / accuracy`` and the result is
-exact while a column has fewer than ``accuracy`` values.
+Medians are exact by radix selection (``quantiles.exact_quantiles_many``) or come from sketches that
+merge in two levels (``quantiles.approx_quantiles``): memory per task is bounded by ``accuracy`` and
+the rank error is at most ``n / accuracy`` (with 99 % confidence).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from ..functions import types as TY
 from ..functions.names import col, resolve
 from .checks import key_counts
 from .fuse import MAX_AGGS, fused_rows, union_all
+from .quantiles import approx_quantiles, as_text, exact_quantiles_many
 
 DEFAULT_ACCURACY = 10000
 
@@ -87,28 +88,43 @@ def skewness(df: DataFrame, column: str) -> DataFrame:
     return skew_kurt(df, [column]).select("column", "skewness")
 
 
-def statistical_analysis(df: DataFrame, columns, accuracy: int = DEFAULT_ACCURACY, exact: bool = False,
-                         method: str = "linear") -> DataFrame:
-    """Mean, median and sample stddev per column, in one job.
+def _median_sql(medians: dict, name: str, median_as_text: bool) -> str:
+    value = medians[name]
+    if median_as_text:
+        return S.string(as_text(value))
+    return S.double(value if value is None else float(value))
+
+
+def _with_medians(rows: DataFrame, df: DataFrame, names: list[str], accuracy: int) -> DataFrame:
+    """Approximate medians beside rows that have a ``column`` each (a row for each column of ``df``)."""
+    median = approx_quantiles(df, names, 0.5, accuracy).select(F.col("column").alias("__c"), F.col("value").alias("median"))
+    return rows.join(median, rows["column"] == median["__c"], "left").drop("__c")
 
-    The median is ``percentile_approx`` (bounded memory, rank error at most
-    ``n / accuracy``) unless ``exact=True``: then it is the exact median by distributed
-    selection (``quantiles.exact_quantiles``, a few small jobs per column; ``method``
-    ``"linear"`` averages the two middle values, ``"lower"`` takes the lower one).
+
+def statistical_analysis(df: DataFrame, columns, accuracy: int = DEFAULT_ACCURACY, exact: bool = False,
+                         method: str = "linear", median_as_text: bool = False) -> DataFrame:
+    """Mean, median and sample stddev per column.
+
+    The median comes from mergeable sketches (bounded memory, rank error at most
+    ``n / accuracy`` with 99 % confidence, merged in two levels) unless ``exact=True``:
+    then it is the exact median by radix selection, whose number of jobs does not grow with the
+    columns; ``method`` ``"linear"`` averages the two middle values, ``"lower"`` takes the
+    lower one. ``median_as_text`` gives the exact median as text in the column's own type,
+    so that a bigint or decimal keeps every digit.
     """
     names = _names(df, columns, "numeric")
-    medians = {}
-    if exact:
-        from .quantiles import exact_quantiles_many
-        medians = {n: v[0] for n, v in exact_quantiles_many(df, names, [0.5], method, accuracy).items()}
+    if median_as_text and not exact:
+        raise ValueError("median_as_text needs exact=True")
+    medians = {n: v[0] for n, v in exact_quantiles_many(df, names, [0.5], method, accuracy).items()} if exact else {}
 
     def build(i, n):
         x = S.as_double(n, df.schema[n].dataType)
-        med = S.double(medians[n]) if exact else f"percentile_approx({x}, 0.5, {int(accuracy)})"
-        return ([f"avg({x}) AS m{i}", f"{med} AS md{i}", f"stddev({x}) AS s{i}"],
-                [S.named_struct([("column", S.string(n)), ("mean", f"m{i}"), ("median", f"md{i}"),
-                                 ("stddev", f"s{i}")])])
-    return fused_rows(df, names, build)
+        fields = [("column", S.string(n)), ("mean", f"m{i}"), ("stddev", f"s{i}")]
+        if exact:
+            fields.insert(2, ("median", _median_sql(medians, n, median_as_text)))
+        return [f"avg({x}) AS m{i}", f"stddev({x}) AS s{i}"], [S.named_struct(fields)]
+    rows = fused_rows(df, names, build)
+    return rows if exact else _with_medians(rows, df, names, accuracy).select("column", "mean", "median", "stddev")
 
 
 def value_counts(df: DataFrame, columns=None) -> DataFrame:
@@ -162,9 +178,9 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def duplicate_count(df: DataFrame, subset=None) -> DataFrame:
     """``(total, distinct_rows, duplicate_count)`` over full rows or ``subset``.
 
-    ``groupBy(row).count()`` then a global sum. NULLs and NaNs group together as in
-    ``distinct``; the partial step collapses repeated rows before the shuffle, so one
-    row repeated a billion times costs one row per task.
+    See ``checks.key_counts``: digests of the rows are counted, and whole rows compared where a
+    digest repeats. NULLs and NaNs group together as in ``distinct``; partial steps collapse
+    repeated rows before each shuffle, so one row repeated a billion times costs one row per task.
     """
     names = _names(df, subset)
     kc = key_counts(df, names)
@@ -173,25 +189,25 @@ def duplicate_count(df: DataFrame, subset=None) -> DataFrame:
 
 
 def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, approx_distinct: bool = False,
-            exact_median: bool = False) -> DataFrame:
+            exact_median: bool = False, median_as_text: bool = False) -> DataFrame:
     """One row per column with type, counts, distinct count, range and moments.
 
     ``(column, data_type, nullable, rows, nulls, nans, distinct, min, max, mean, stddev,
     skewness, kurtosis, median)``; ``min``/``max`` are text of the column's own type, so
-    that every type fits one column and bigint and decimal keep every digit; moments and median are for numeric columns only. The median is
-    ``percentile_approx`` unless ``exact_median=True`` (exact lower median by
-    distributed selection, a few small jobs per numeric column).
-
-    Two aggregations joined on the column name (k rows each): every regular metric in
-    one pass, and the distinct counts (``distinct_counts``) in another. Mixing them in
-    one aggregate would make Spark evaluate the regular aggregates, sketches included,
-    once per distinct value.
+    that every type fits one column and bigint and decimal keep every digit; moments and median are for numeric columns only. The median
+    comes from mergeable sketches unless ``exact_median=True``: the exact lower median by radix
+    selection, as text in the column's own type with ``median_as_text``.
+
+    Aggregations joined on the column name (k rows each): every regular metric in one pass, the
+    distinct counts (``distinct_counts``) and the sketches in others. Mixing them in one aggregate
+    would make Spark evaluate the regular aggregates once per distinct value.
     """
     names = _names(df, columns)
+    if median_as_text and not exact_median:
+        raise ValueError("median_as_text needs exact_median=True")
+    numeric = [n for n in names if TY.is_numeric(df.schema[n].dataType)]
     medians = {}
     if exact_median:
-        from .quantiles import exact_quantiles_many
-        numeric = [n for n in names if TY.is_numeric(df.schema[n].dataType)]
         medians = {n: v[0] for n, v in exact_quantiles_many(df, numeric, [0.5], "lower", accuracy).items()}
 
     def build(i, n):
@@ -206,19 +222,21 @@ def profile(df: DataFrame, columns=None, accuracy: int = DEFAULT_ACCURACY, appro
             aggs += [f"CAST(NULL AS STRING) AS lo{i}", f"CAST(NULL AS STRING) AS hi{i}"]
         if TY.is_numeric(dt):
             x = S.as_double(n, dt)
-            med = S.double(medians[n]) if exact_median else f"percentile_approx({x}, 0.5, {int(accuracy)})"
             aggs += [f"avg({x}) AS m{i}", f"stddev({x}) AS s{i}", f"skewness({x}) AS sk{i}",
-                     f"kurtosis({x}) AS ku{i}", f"{med} AS md{i}"]
+                     f"kurtosis({x}) AS ku{i}"]
         else:
-            aggs += [f"CAST(NULL AS DOUBLE) AS {p}{i}" for p in ("m", "s", "sk", "ku", "md")]
+            aggs += [f"CAST(NULL AS DOUBLE) AS {p}{i}" for p in ("m", "s", "sk", "ku")]
+        median = _median_sql(medians, n, median_as_text) if n in medians else f"CAST(NULL AS {'STRING' if median_as_text else 'DOUBLE'})"
         return aggs, [S.named_struct([
             ("column", S.string(n)), ("data_type", S.string(dt.simpleString())),
             ("nullable", S.boolean(f.nullable)), ("rows", "CAST(rows AS BIGINT)"),
             ("nulls", f"CAST(nu{i} AS BIGINT)"), ("nans", f"CAST(na{i} AS BIGINT)"),
             ("min", f"lo{i}"), ("max", f"hi{i}"), ("mean", f"CAST(m{i} AS DOUBLE)"),
             ("stddev", f"CAST(s{i} AS DOUBLE)"), ("skewness", f"CAST(sk{i} AS DOUBLE)"),
-            ("kurtosis", f"CAST(ku{i} AS DOUBLE)"), ("median", f"CAST(md{i} AS DOUBLE)")])]
+            ("kurtosis", f"CAST(ku{i} AS DOUBLE)")] + ([("median", median)] if exact_median else []))]
     regular = fused_rows(df, names, build, shared=["count(1) AS rows"])
+    if not exact_median:
+        regular = _with_medians(regular, df, numeric, accuracy) if numeric else regular.withColumn("median", F.lit(None).cast("double"))
     orderable = [n for n in names if TY.is_orderable(df.schema[n].dataType)]
     if orderable:
         distinct = distinct_counts(df, orderable, approx=approx_distinct).select(
@@ -246,9 +264,9 @@ def quality_report(df: DataFrame, n_std_dev: float = 3.0, ts_lo="1900-01-01 00:0
 
     1. one aggregation of every single-pass metric plus mean/stddev of the numeric
        columns; this one row of numbers is all that reaches the driver;
-    2. ``groupBy(row).count()`` for the duplicate count, whose grouped rows also give
-       the kσ outlier counts as ``sum(n · [outlier])`` with the bounds from pass 1 as
-       literals (without the duplicate count: one plain aggregation of the outliers).
+    2. one plain aggregation of the kσ outlier counts, with the bounds from pass 1 as literals,
+       and beside it the duplicate count (``checks.key_counts``: row digests are shuffled, whole
+       rows only where a digest repeats).
     """
     numeric = TY.columns_of(df, "numeric")
     stamps = set(TY.columns_of(df, "timestamp"))
@@ -285,15 +303,12 @@ def quality_report(df: DataFrame, n_std_dev: float = 3.0, ts_lo="1900-01-01 00:0
         bad = [n for n in df.columns if not TY.is_orderable(df.schema[n].dataType)]
         if bad:
             raise ValueError(f"duplicate count cannot use map columns {bad}; pass include_duplicates=False")
-        per_row = df.groupBy(*[col(n) for n in df.columns]).agg(F.count(F.lit(1)).alias("__tw_rows"))
-        items = [(None, "duplicate_count", "sum(__tw_rows) - count(1)")] + \
-                [(n, "outlier_issues", f"sum(CASE WHEN {p} THEN __tw_rows ELSE 0 END)") for n, p in outlier_preds]
-        source = per_row
-    else:
-        items = [(n, "outlier_issues", f"count_if({p})") for n, p in outlier_preds]
-        source = df
+        kc = key_counts(df, df.columns)
+        out = out.unionByName(kc.select(F.lit(None).cast("string").alias("column"), F.lit("duplicate_count").alias("metric"),
+                                        (F.col("total") - F.col("distinct_keys")).cast("double").alias("value")))
+    items = [(n, "outlier_issues", f"count_if({p})") for n, p in outlier_preds]
     if items:
-        pass2 = fused_rows(source, items, lambda i, it: (
+        pass2 = fused_rows(df, items, lambda i, it: (
             [f"{it[2]} AS o{i}"],
             [S.named_struct([("column", S.string(it[0])), ("metric", S.string(it[1])),
                              ("value", f"CAST(coalesce(o{i}, 0) AS DOUBLE)")])]))
