@@ -593,6 +593,23 @@ def q_failing_rows(spark, sf):
     return K.failing_rows(df, K.value_range(df, "l_quantity", 5, 45), 20, order_by=_LI_ALL)
 
 
+_ALL_FAILING = {("value_range", "l_quantity"): "l_quantity < 5 OR l_quantity > 45",
+                ("value_range", "l_discount"): "l_discount < 0.0 OR l_discount > 0.05",
+                ("uniqueness", "l_orderkey,l_linenumber"): "(l_orderkey, l_linenumber) IN (SELECT (l_orderkey, l_linenumber) "
+                                                           "FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)"}
+
+
+@_query("failing_rows_all", _union(*[f"""
+SELECT * FROM (SELECT '{check}' AS "check", '{column}' AS "column",
+                      CAST(row_number() OVER (ORDER BY {", ".join(_LI_ALL)}) AS INTEGER) AS place, {", ".join(_LI_ALL)}
+               FROM lineitem WHERE {bad}) WHERE place <= 20""" for (check, column), bad in _ALL_FAILING.items()]))
+def q_failing_rows_all(spark, sf):
+    df = _t(spark, sf, "lineitem")
+    checks = [K.value_range(df, "l_quantity", 5, 45), K.value_range(df, "l_discount", 0.0, 0.05),
+              K.uniqueness(df, ["l_orderkey", "l_linenumber"])]
+    return K.failing_rows_all(df, checks, 20, order_by=_LI_ALL).select("check", "column", "place", "row.*")
+
+
 @_query("head", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
 def q_head(spark, sf):
     return PV.head(_t(spark, sf, "orders"), 5, order_by="o_orderkey")
@@ -877,6 +894,32 @@ def q_one_hot(spark, sf):
     return FE.one_hot(o, ["o_orderstatus", "o_orderpriority"])
 
 
+@_query("one_hot_indexed", """
+SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS lang_index,
+       dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS source_index,
+       dense_rank() OVER (ORDER BY text NULLS FIRST) - 1 AS text_index FROM documents""")
+def q_one_hot_indexed(spark, sf):
+    docs = FE.one_hot_indexed(_t(spark, sf, "documents"), ["lang", "source", "text"])
+    return docs.select("doc_id", "lang_index", "source_index", "text_index")
+
+
+_WIDE_CORR = [f"{c}_{k}" for k in range(4) for c in _NUM_LI]
+
+
+def _wide_corr(c: str) -> str:
+    """Sixteen columns of lineitem; a fourth of each has missing values by a rule of the keys."""
+    name, k = c.rsplit("_", 1)
+    return name if k == "0" else f"CASE WHEN (l_orderkey + l_linenumber) % {int(k) + 2} <> 0 THEN {name} * (l_linenumber + {k}) END"
+
+
+@_query("correlation_matrix_wide", "WITH w AS (SELECT " + ", ".join(f"{_wide_corr(c)} AS {c}" for c in _WIDE_CORR) + " FROM lineitem) "
+        + _union(*[f"SELECT '{a}' AS column_x, '{b}' AS column_y, round(corr({a}, {b}), 6) AS correlation FROM w"
+                   for a in _WIDE_CORR for b in _WIDE_CORR]))
+def q_correlation_wide(spark, sf):
+    df = _t(spark, sf, "lineitem").selectExpr(*[f"{_wide_corr(c)} AS {c}" for c in _WIDE_CORR])
+    return _round(D.correlation_matrix(df))
+
+
 def _corr_sql(cols: list[str], src: str) -> str:
     parts = []
     for a in cols:
@@ -921,6 +964,23 @@ FROM g, s, events e GROUP BY g.point, g.x, s.n, s.h"""
 
 @_query("density_curve", _DENSITY_SQL)
 def q_density(spark, sf):
+    out = D.density_curve(_t(spark, sf, "events"), ["value"], points=50, bins=None)
+    return out.select("column", "point", F.round("x", 6).alias("x"), F.round("density", 10).alias("density"))
+
+
+@_query("density_curve_binned", f"""
+WITH s AS (SELECT min(value) AS lo, max(value) AS hi, count(value) AS n, (max(value) - min(value)) / {D.DENSITY_BINS - 1} AS w,
+                  stddev_samp(value) * pow(CAST(count(value) AS DOUBLE), -0.2) AS h FROM events),
+u AS (SELECT (value - lo) / w AS u, least(floor((value - lo) / w), {D.DENSITY_BINS - 2}) AS bin FROM events, s WHERE value IS NOT NULL),
+b AS (SELECT bin, count(*) AS n, sum(u - bin) AS part FROM u GROUP BY bin),
+p AS (SELECT place, sum(weight) AS weight FROM (SELECT bin AS place, n - part AS weight FROM b
+                                                UNION ALL SELECT bin + 1, part FROM b) GROUP BY place),
+g AS (SELECT CAST(i AS INTEGER) AS point, s.lo + i * ((s.hi - s.lo) / 49) AS x FROM range(50) t(i), s)
+SELECT 'value' AS "column", g.point, round(g.x, 6) AS x,
+       round(sum(p.weight * exp(-0.5 * ((s.lo + place * s.w - g.x) / s.h) * ((s.lo + place * s.w - g.x) / s.h)))
+             / (sqrt(2 * pi()) * s.n * s.h), 10) AS density
+FROM g, s, p GROUP BY g.point, g.x, s.n, s.h""")
+def q_density_binned(spark, sf):
     out = D.density_curve(_t(spark, sf, "events"), ["value"], points=50)
     return out.select("column", "point", F.round("x", 6).alias("x"), F.round("density", 10).alias("density"))
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import types as TY
 from ..functions import sqltext as S
 from ..functions.names import col, label, resolve, unique_names
+from ..sources.files import materialize
 
 
 def timestamp_parts(df: DataFrame, columns=None) -> DataFrame:
@@ -28,16 +31,36 @@ def timestamp_parts(df: DataFrame, columns=None) -> DataFrame:
     return df.withColumns(new)
 
 
-def category_vocabulary(df: DataFrame, columns: list[str], max_categories: int | None = None) -> dict[str, list]:
+#: Values of a column that become columns of their own, unless the caller says otherwise.
+MAX_CATEGORIES = 10_000
+
+
+def category_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    """Number of distinct values of each column, NULL included; counted on the cluster, one row a column."""
+    if not columns:
+        return {}
+    rows = None
+    for c in columns:
+        own = df.select(col(c).cast("string").alias("value")).distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("column"), "n")
+        rows = own if rows is None else rows.unionByName(own)
+    return {r["column"]: r["n"] for r in rows.collect()}
+
+
+def category_vocabulary(df: DataFrame, columns: list[str], max_categories: int | None = MAX_CATEGORIES) -> dict[str, list]:
     """Distinct values of each column (NULL included), sorted, for all columns in one pass.
 
     One ``distinct`` per column (each reads only its column; a map-side partial step
     collapses repeated values), unioned into one job. The values become column names, so
-    they reach the driver; ``max_categories`` refuses columns with more of them. For
-    columns of unbounded vocabulary use ``one_hot_long``, which gathers none.
+    they reach the driver. They are counted on the cluster first, and columns with more than
+    ``max_categories`` are refused before any value is collected (None: no limit, no count). For
+    columns of unbounded vocabulary use ``one_hot_indexed`` or ``one_hot_long``, which gather none.
     """
     if not columns:
         return {}
+    if max_categories is not None:
+        too_many = {c: n for c, n in category_counts(df, columns).items() if n > max_categories}
+        if too_many:
+            raise ValueError(f"too many categories for one-hot encoding {too_many}; limit is {max_categories}")
     branches = [df.select(col(c).cast("string").alias("value")).distinct()
                 .select(F.lit(c).alias("column"), "value") for c in columns]
     pairs = branches[0]
@@ -46,9 +69,6 @@ def category_vocabulary(df: DataFrame, columns: list[str], max_categories: int |
     vocab: dict[str, list] = {c: [] for c in columns}
     for r in pairs.collect():
         vocab[r["column"]].append(r["value"])
-    too_many = {c: len(v) for c, v in vocab.items() if max_categories is not None and len(v) > max_categories}
-    if too_many:
-        raise ValueError(f"too many categories for one-hot encoding {too_many}; limit is {max_categories}")
     for c in vocab:
         vocab[c].sort(key=lambda v: (v is not None, v or ""))
     return vocab
@@ -65,7 +85,7 @@ def one_hot_long(df: DataFrame, keys, columns=None) -> DataFrame:
     return df.select(*[col(resolve(df, k)) for k in keys], F.inline(pairs))
 
 
-def one_hot(df: DataFrame, columns=None, max_categories: int | None = None) -> DataFrame:
+def one_hot(df: DataFrame, columns=None, max_categories: int | None = MAX_CATEGORIES) -> DataFrame:
     """one int 0/1 column ``{c}_{value}`` per distinct value of each string column.
 
     The label is the value with spaces replaced by ``_``; a NULL value gets ``{c}_None``,
@@ -85,3 +105,52 @@ def one_hot(df: DataFrame, columns=None, max_categories: int | None = None) -> D
     final = unique_names(wanted, list(df.columns))
     # SQL text: one JVM call for all indicators instead of several per category
     return df.selectExpr("*", *[f"{e} AS {S.ident(a)}" for e, a in zip(exprs, final)])
+
+
+def category_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column, value, index)``: every distinct value of each column as text, numbered from 0 in their order, NULL first.
+
+    The numbering is done on the cluster: distinct values are dealt by ranges, numbered within their
+    partition, and moved on by the number of values in the partitions before, which is one row for each
+    partition and column. The dealt values are written once to the shared folder, since ranges are found by
+    sampling and must not be dealt anew.
+    """
+    names = [resolve(df, c) for c in columns]
+    pairs = df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column"), col(n).cast("string").alias("value")) for n in names]))).distinct()
+    dealt = pairs.repartitionByRange(F.col("column"), F.col("value").asc_nulls_first()).sortWithinPartitions("column", F.col("value").asc_nulls_first())
+    dealt = materialize(dealt.select("column", "value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")),
+                        f"categories-{uuid.uuid4().hex}")
+    parts = dealt.groupBy("column", "part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("column").orderBy("part")) - F.col("n")
+    parts = parts.select("column", "part", (before - F.col("first")).alias("move"))
+    return dealt.join(F.broadcast(parts), ["column", "part"]).select("column", "value", (F.col("at") + F.col("move")).alias("index"))
+
+
+def one_hot_indexed(df: DataFrame, columns=None) -> DataFrame:
+    """F2 for columns of any vocabulary: add ``{c}_index`` (long), the place of the value's indicator
+    among the column's sorted values (NULL first, as ``one_hot`` orders them).
+
+    Row and index are a one-hot vector in sparse form. The dictionary is a table that is joined, column by column;
+    no value reaches the driver. Spark sends a small dictionary to the rows and splits hot values of the rows
+    where both meet by value.
+    """
+    names = [resolve(df, c) for c in (columns if columns is not None else TY.columns_of(df, "string"))]
+    if not names:
+        return df
+    final = unique_names([f"{n}_index" for n in names], list(df.columns))
+    dictionary, out = category_dictionary(df, names), df
+    for n, index in zip(names, final):
+        value, = unique_names(["category_value"], list(out.columns) + final)
+        own = dictionary.filter(F.col("column") == n).select(F.col("value").alias(value), F.col("index").alias(index))
+        out = out.join(own, col(n).cast("string").eqNullSafe(F.col(value)), "left").drop(value)
+    return out
+
+
+def encode_categories(df: DataFrame, columns=None, max_categories: int | None = MAX_CATEGORIES) -> DataFrame:
+    """F2 for all string columns: indicators (``one_hot``) for columns of at most ``max_categories`` values,
+    an index (``one_hot_indexed``) for the others."""
+    names = [resolve(df, c) for c in (columns if columns is not None else TY.columns_of(df, "string"))]
+    counts = category_counts(df, names) if max_categories is not None else {}
+    wide = [n for n in names if max_categories is None or counts[n] <= max_categories]
+    out = one_hot(df, wide, None)
+    return one_hot_indexed(out, [n for n in names if n not in wide])

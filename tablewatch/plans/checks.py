@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -262,6 +262,41 @@ def failing_rows(df: DataFrame, check: Check, n: int = 20, order_by=None) -> Dat
     return rows.limit(n)
 
 
+def failing_rows_all(df: DataFrame, checks: list[Check], n: int = 20, order_by=None) -> DataFrame:
+    """S4 for a list of checks: ``(check, column, place, row)`` with up to ``n`` failing rows of each.
+
+    The sample is the first ``n`` rows in the order of a digest of the row (or of ``order_by``), so it
+    is the same in every run. All predicate checks share one scan: a row goes to each check that it
+    fails, and every task keeps its first ``n`` rows of a check before any row is shuffled. A key check
+    (uniqueness, duplicates) gives the rows whose key repeats, found by a join with the repeated keys.
+    ``place`` counts from 1; rows equal in the order and in all columns are interchangeable.
+    """
+    checks = [c for item in checks for c in (item if isinstance(item, list) else [item])]
+    if not checks:
+        raise ValueError("no checks given")
+    whole = F.struct(*[col(c) for c in df.columns]).alias("row")
+    if order_by is None:
+        order = F.struct(F.xxhash64(*[col(c) for c in df.columns if TY.is_orderable(df.schema[c].dataType)]).alias("digest"))
+    else:
+        listed = [order_by] if isinstance(order_by, (str, Column)) else order_by
+        order = F.struct(*[(col(resolve(df, c)) if isinstance(c, str) else c).alias(f"o{i}") for i, c in enumerate(listed)])
+    parts, preds = [], [(i, c) for i, c in enumerate(checks) if c.bad is not None]
+    if preds:
+        fails = F.filter(F.array(*[F.when(c.bad, F.lit(i)) for i, c in preds]), lambda i: i.isNotNull())
+        parts.append(df.select(F.explode(fails).alias("i"), order.alias("o"), whole))
+    for i, c in enumerate(checks):
+        if c.distinct_of is not None:
+            keys = [col(k).alias(f"k{j}") for j, k in enumerate(c.distinct_of)]
+            again = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+            rows = df.select(*keys, order.alias("o"), whole).alias("a")
+            same = [F.col(f"a.k{j}").eqNullSafe(F.col(f"b.k{j}")) for j in range(len(keys))]
+            parts.append(rows.join(again.alias("b"), same, "left_semi").select(F.lit(i).alias("i"), "o", "row"))
+    place = F.row_number().over(Window.partitionBy("i").orderBy("o"))
+    first = union_all(parts).withColumn("place", place).filter(F.col("place") <= n)
+    names = [F.array(*[F.lit(x) for x in xs]) for xs in ([c.check for c in checks], [c.column for c in checks])]
+    return first.select(F.get(names[0], F.col("i")).alias("check"), F.get(names[1], F.col("i")).alias("column"), "place", "row")
+
+
 # ---------------------------------------------------------------------------
 # V1 schema
 

@@ -1,7 +1,7 @@
 """The data behind correlation heatmaps, histograms, density curves and box plots.
 
-Nothing is pulled to the driver: each result is a small aggregate computed on the
-cluster. Drawing is left to the caller (the results have a handful of rows).
+Each result is a small aggregate computed on the cluster; only a few numbers a column reach
+the driver. Drawing is left to the caller (the results have a handful of rows).
 """
 
 from __future__ import annotations
@@ -24,6 +24,12 @@ from .quantiles import Key, approx_quantiles, by_kind, exact_quantiles_many, key
 from .quantiles import as_text as quantile_text
 
 
+#: Column pairs whose coefficients fit one aggregation.
+MAX_PAIRS = 120
+#: Places of the grid that a binned density spreads values over.
+DENSITY_BINS = 4096
+
+
 def _numeric(df: DataFrame, columns) -> list[str]:
     if columns is None:
         names = TY.columns_of(df, "numeric")
@@ -44,10 +50,13 @@ def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
     """Pearson correlation of every column pair, ``(column_x, column_y, correlation)``.
 
     Pairwise-complete (a row counts for a pair when both values are present and not
-    NaN); a constant column gives NULL instead of a division error. The k(k+1)/2
-    coefficients are one aggregation; the k×k rows are emitted from its single row.
+    NaN); a constant column gives NULL instead of a division error. One scan at every width: up to
+    ``MAX_PAIRS`` coefficients are one aggregation, whose single row gives the k×k rows; of more
+    columns, tasks give blocks of co-moments (``_comoments``), which are merged.
     """
     names = _numeric(df, columns)
+    if len(names) * (len(names) + 1) // 2 > MAX_PAIRS:
+        return _correlations(df, names)
     xs = {n: S.as_double(n, df.schema[n].dataType) for n in names}
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
 
@@ -62,7 +71,66 @@ def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
             cells.append(S.named_struct([("column_x", S.string(b)), ("column_y", S.string(a)),
                                          ("correlation", f"r{i}_{j}")]))
         return [corr], cells
-    return fused_rows(df, pairs, build, max_aggs=120)
+    return fused_rows(df, pairs, build, max_aggs=MAX_PAIRS)
+
+
+def _comoments(df: DataFrame, names: list[str]) -> DataFrame:
+    """``(i, j, n, mx, my, cxx, cyy, cxy)`` of every task and column pair: complete rows, means, centred sums.
+
+    A batch of rows is a matrix; with 0 for missing values, the sums of all pairs are four matrix
+    products. Values are shifted by the batch's column means, so nothing is lost to large means.
+    """
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        k = len(names)
+        n, mx, my, cxx, cyy, cxy = (np.zeros((k, k)) for _ in range(6))
+        for batch in batches:
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(k)], axis=1)
+            if not len(x):
+                continue
+            has = ~np.isnan(x)
+            m = has.astype(float)
+            shift = np.where(has, x, 0).sum(axis=0) / np.maximum(m.sum(axis=0), 1)
+            x = np.where(has, x - shift, 0)
+            own, sx, sxx, sxy = m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x
+            some = np.maximum(own, 1)
+            dx, dy = sx / some, sx.T / some
+            bx, by, bxx, byy, bxy = dx + shift[:, None], dy + shift[None, :], sxx - sx * dx, sxx.T - sx.T * dy, sxy - sx * dy
+            both = np.maximum(n + own, 1)
+            ex, ey, w = bx - mx, by - my, n * own / both
+            cxx, cyy, cxy = cxx + bxx + ex * ex * w, cyy + byy + ey * ey * w, cxy + bxy + ex * ey * w
+            mx, my, n = mx + ex * own / both, my + ey * own / both, n + own
+        i, j = np.triu_indices(k)
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in (i.astype(np.int32), j.astype(np.int32), *(v[i, j] for v in (n, mx, my, cxx, cyy, cxy)))],
+                                         names=["i", "j", "n", "mx", "my", "cxx", "cyy", "cxy"])
+
+    rows = df.select(*[_x(df, n).alias(f"x{i}") for i, n in enumerate(names)])
+    return rows.mapInArrow(run, "i int, j int, n double, mx double, my double, cxx double, cyy double, cxy double")
+
+
+def _correlations(df: DataFrame, names: list[str]) -> DataFrame:
+    """Merges the tasks' blocks pair by pair (a pair has a row of every task) and gives the k×k rows."""
+    fields = ("n", "mx", "my", "cxx", "cyy", "cxy")
+    parts = dict(zip(fields, (
+        "a.n + b.n", "a.mx + (b.mx - a.mx) * {w} * b.n", "a.my + (b.my - a.my) * {w} * b.n",
+        "a.cxx + b.cxx + (b.mx - a.mx) * (b.mx - a.mx) * a.n * b.n * {w}",
+        "a.cyy + b.cyy + (b.my - a.my) * (b.my - a.my) * a.n * b.n * {w}",
+        "a.cxy + b.cxy + (b.mx - a.mx) * (b.my - a.my) * a.n * b.n * {w}")))
+    struct = S.named_struct([(f, e.format(w="1 / greatest(a.n + b.n, 1D)")) for f, e in parts.items()])
+    zero = S.named_struct([(f, "0D") for f in fields])
+    k = len(names)
+    # an empty table has no tasks, but its pairs have rows
+    none = df.sparkSession.range(0, k * k, 1, 1).selectExpr(
+        f"CAST(id div {k} AS INT) AS i", f"CAST(id % {k} AS INT) AS j", *[f"0D AS {f}" for f in fields]).filter("i <= j")
+    pairs = _comoments(df, names).unionByName(none).groupBy("i", "j").agg(F.collect_list(F.struct(*fields)).alias("blocks"))
+    total = pairs.selectExpr("i", "j", f"aggregate(blocks, {zero}, (a, b) -> {struct}) AS t")
+    # fewer than two rows have no spread
+    r = total.selectExpr("i", "j", "CASE WHEN t.n > 1 THEN try_divide(t.cxy, sqrt(t.cxx) * sqrt(t.cyy)) END AS r")
+    name = "array(" + ", ".join(S.string(n) for n in names) + ")"
+    cells = r.selectExpr("explode(CASE WHEN i = j THEN array(struct(i AS x, j AS y, r)) ELSE array(struct(i AS x, j AS y, r), struct(j AS x, i AS y, r)) END) AS c")
+    return cells.selectExpr(f"get({name}, c.x) AS column_x", f"get({name}, c.y) AS column_y", "c.r AS correlation")
 
 
 def histogram(df: DataFrame, columns=None, bins: int = 10) -> DataFrame:
@@ -116,18 +184,48 @@ def _finite_range(df: DataFrame, names: list[str]) -> dict[str, tuple[float | No
     return out
 
 
-def density_curve(df: DataFrame, columns=None, points: int = 50) -> DataFrame:
+def _binned_density(df: DataFrame, names: list[str], stats: dict, points: int, bins: int) -> DataFrame:
+    spark, rows, flat = df.sparkSession, [], []
+    for i, n in enumerate(names):
+        st = stats[n]
+        lo, hi = st["min"], st["max"]
+        if st["stddev"] and st["count"]:
+            rows.append((i, lo, (hi - lo) / (bins - 1), (hi - lo) / (points - 1), st["stddev"] * st["count"] ** -0.2, st["count"]))
+        else:
+            flat += [(n, j, None if lo is None else lo + j * (hi - lo) / (points - 1), None) for j in range(points)]
+    grid = F.broadcast(spark.createDataFrame(rows, "c int, lo double, width double, step double, h double, total long"))
+    values = ", ".join(f"named_struct('c', {i}, 'x', {S.as_double(n, df.schema[n].dataType)})" for i, n in enumerate(names))
+    near = df.selectExpr(f"inline(array({values}))").filter("x IS NOT NULL").join(grid, "c").selectExpr("c", "(x - lo) / width AS u")
+    near = near.selectExpr("c", "u", f"least(floor(u), {bins - 2}) AS bin")
+    held = near.groupBy("c", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("u") - F.col("bin")).alias("part"))
+    # each value lies between two places of the grid and is shared out by its distance from them
+    held = held.selectExpr("c", "inline(array(struct(bin AS place, n - part AS w), struct(bin + 1 AS place, part AS w)))").groupBy("c", "place").agg(F.sum("w").alias("w"))
+    at = held.join(grid, "c").selectExpr("c", "lo", "step", "h", "total", "lo + place * width AS at", "w", f"explode(sequence(0, {points - 1})) AS point")
+    z = "((at - (lo + point * step)) / h)"
+    curve = at.selectExpr("c", "point", "lo + point * step AS x", f"w * exp(-0.5 * {z} * {z}) / (sqrt(2 * pi()) * total * h) AS d")
+    curve = curve.groupBy("c", "point", "x").agg(F.sum("d").alias("density"))
+    named = "array(" + ", ".join(S.string(n) for n in names) + ")"
+    out = curve.selectExpr(f"get({named}, c) AS column", "point", "x", "density")
+    return out.unionByName(spark.createDataFrame(flat, "column string, point int, x double, density double")) if flat else out
+
+
+def density_curve(df: DataFrame, columns=None, points: int = 50, bins: int | None = DENSITY_BINS) -> DataFrame:
     """Gaussian kernel density on ``points`` equally spaced grid points in [min, max].
 
-    ``(column, point, x, density)`` with Scott's bandwidth ``h = stddev · n^(-1/5)``.
-    Each grid point is one ``sum(exp(-((x-g)/h)²/2))`` in a single aggregation, so the
-    work is one scan of ``rows × points`` arithmetic with no grid × rows join; the result
-    is exact (not binned). A constant or empty column gives NULL densities.
+    ``(column, point, x, density)`` with Scott's bandwidth ``h = stddev · n^(-1/5)``. Values are first
+    shared out over ``bins`` equally spaced places by linear binning, then the Gaussian is summed
+    over these, so the work is ``rows + bins × points`` for each column; all columns share one scan. The
+    error falls with the square of the places' distance in bandwidths.
+
+    ``bins=None`` is exact: each grid point is one ``sum(exp(-((x-g)/h)²/2))`` over all rows, which
+    is ``rows × points`` arithmetic. A constant or empty column gives NULL densities.
     """
-    if points < 2:
-        raise ValueError("points must be >= 2")
+    if points < 2 or (bins is not None and bins < 2):
+        raise ValueError("points and bins must be >= 2")
     names = _numeric(df, columns)
     stats = column_stats(df, names)
+    if bins is not None:
+        return _binned_density(df, names, stats, points, bins)
     norm = 1.0 / math.sqrt(2.0 * math.pi)
 
     def build(i, n):

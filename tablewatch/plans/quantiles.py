@@ -7,8 +7,8 @@ bits. Nothing is rounded, so every digit of a bigint or a wide decimal is kept.
 All columns are read as rows ``(column, key)``. A first job counts the keys of every column with
 their least and largest one. Each further job cuts the open ranges of all columns into at most
 ``accuracy`` equal parts, counts the keys of every part, and takes the part that each wanted rank
-falls into, until a part is one key: four or five jobs for doubles of any spread, one for small
-integers. The open ranges are a small table that is joined; the number of jobs does not grow with
+falls into, with its least and largest key, until these are one: four or five jobs for doubles of
+any spread, one where values are few. The open ranges are a small table that is joined; the number of jobs does not grow with
 the number of columns or ranks, and the driver gets one row a rank. A range of at most
 ``collect_limit`` keys is counted key by key. Counting is partial in every task, so a value that
 fills a third of the column costs one row a task.
@@ -123,12 +123,6 @@ def _step(lo: int, hi: int, parts: int, kind: str) -> int:
     return step
 
 
-def _part(at: int, step: int, lo: int, hi: int) -> tuple[int, int]:
-    """Least and largest key that rounds toward zero to ``at``, within the range that was cut."""
-    first, last = (at, at + step - 1) if at > 0 else (at - step + 1, at) if at < 0 else (1 - step, step - 1)
-    return max(lo, first), min(hi, last)
-
-
 def select_ranks(df: DataFrame, keys: dict[int, Key], targets: dict[int, list[int]], ranges: dict[int, tuple[int, int, int]],
                  parts: int = DEFAULT_PARTS, collect_limit: int = DEFAULT_COLLECT_LIMIT) -> dict[tuple[int, int], int]:
     """Key at each wanted 0-based rank of each column.
@@ -156,15 +150,13 @@ def select_ranks(df: DataFrame, keys: dict[int, Key], targets: dict[int, list[in
             cut = F.broadcast(spark.createDataFrame(cuts, schema))
             part = (F.col("key") - F.col("key") % F.col("step")).cast(number).alias("part")
             counted = (long_keys(df, group).join(cut, "c").filter("key BETWEEN lo AND hi")
-                       .groupBy("g", part).agg(F.count(F.lit(1)).alias("n")))
+                       .groupBy("g", part).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last")))
             before = F.sum("n").over(W.partitionBy("g").orderBy("part")) - F.col("n")
             ranks = F.broadcast(spark.createDataFrame(wanted, "g int, rank long, at long"))
             found = counted.withColumn("before", before).join(ranks, "g").filter("at >= before AND at < before + n")
-            of = {g: s for g, s, _ in mine}
-            steps = {g: int(step) for _, g, _, _, step in cuts}
+            columns = {g: s[0] for g, s, _ in mine}
             for row in found.collect():
-                c, lo, hi, _ = of[row["g"]]
-                first, last = _part(int(row["part"]), steps[row["g"]], lo, hi)
+                c, first, last = columns[row["g"]], int(row["first"]), int(row["last"])
                 if first == last:
                     answer[c, row["rank"]] = first
                 else:
