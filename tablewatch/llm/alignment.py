@@ -35,7 +35,8 @@ from tablewatch.llm.libtokens import id_bytes, library_tokens
 BATCH_BYTES = 2 << 20
 #: An id pair is one number: the first id times this, and the second.
 PAIR = 1 << 24
-MAX_KNOWN = 300_000
+#: Words that each side keeps for look-up, twice over; memory of a task, not results, depends on it.
+MAX_KNOWN = 120_000
 _UNIT = re.compile(" +[^ ]*")
 
 
@@ -50,7 +51,7 @@ class ByteLevelSide:
     """Tokens of a byte-level vocabulary of the tokenizers library; special tokens' strings are plain text."""
 
     def __init__(self, name: str):
-        self.tokens = library_tokens(name, True, special_as_text=True)
+        self.tokens = library_tokens(name, True, True, 2 * MAX_KNOWN)
         byte_of = _byte_of()
         entries = self.tokens.library.get_vocab(with_added_tokens=True)
         self.bytes_of = [b""] * (max(entries.values()) + 1)

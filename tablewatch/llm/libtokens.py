@@ -27,9 +27,10 @@ class LibraryTokens:
 
     As the library does by default, a special token's string in a text becomes that token, unless
     ``special_as_text``. Such a token cuts the text wherever it stands, so texts with one go to the library whole.
+    ``max_known`` bounds what is kept for look-up, and changes speed only.
     """
 
-    def __init__(self, name: str, byte_level: bool, special_as_text: bool = False):
+    def __init__(self, name: str, byte_level: bool, special_as_text: bool = False, max_known: int = MAX_KNOWN):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -37,8 +38,9 @@ class LibraryTokens:
         self.library.encode_special_tokens = special_as_text
         self.special = [] if special_as_text else [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.size = self.library.get_vocab_size()
+        self.max_known = max_known
         self.known: dict[str, bytes] = {}
-        self.units = UnitCache(self._spaced_unit, encode_words=self._spaced_words) if byte_level else None
+        self.units = UnitCache(self._spaced_unit, max_known // 2, self._spaced_words) if byte_level else None
         self.begins = {i for entry, i in self.library.get_vocab().items() if entry[0] == SPACE} if byte_level else set()
         self.word_known: dict[str, bytes] = {}
         self.odd = re.compile("[\x1c-\x1f]")
@@ -47,7 +49,7 @@ class LibraryTokens:
         found = self.known.get(part)
         if found is None:
             found = id_bytes(self.library.encode(part, add_special_tokens=False).ids)
-            if len(self.known) >= MAX_KNOWN:
+            if len(self.known) >= self.max_known:
                 self.known.clear()
             if len(part) <= 64:
                 self.known[part] = found
@@ -64,7 +66,7 @@ class LibraryTokens:
         front of every token that begins with a space."""
         cut = [(p[1], p[2]) if (p := PLAIN.fullmatch(part)) else (part, "") for part in parts]
         new = [head for head in dict.fromkeys(head for head, _ in cut) if " " + head not in self.known]
-        if len(self.known) + len(new) >= MAX_KNOWN:
+        if len(self.known) + len(new) >= self.max_known:
             self.known.clear()
             new = list(dict.fromkeys(head for head, _ in cut))
         if new:
@@ -89,7 +91,7 @@ class LibraryTokens:
             return id_bytes(self.library.encode(text, add_special_tokens=False).ids)
         if self.units:
             return b"".join(self.units(text))
-        if len(self.word_known) > MAX_KNOWN:
+        if len(self.word_known) > self.max_known:
             self.word_known = {}
         # \x1c-\x1f are white space to Python only
         parts = re.split(f"[{SPACE_CHARS}]+", text) if self.odd.search(text) else text.split()
@@ -106,12 +108,12 @@ class LibraryTokens:
         return b"".join(found)
 
 
-_LOADED: dict[tuple[str, bool, bool], LibraryTokens] = {}
+_LOADED: dict[tuple[str, bool, bool, int], LibraryTokens] = {}
 
 
-def library_tokens(name: str, byte_level: bool, special_as_text: bool = False) -> LibraryTokens:
+def library_tokens(name: str, byte_level: bool, special_as_text: bool = False, max_known: int = MAX_KNOWN) -> LibraryTokens:
     """The tokenizer of this Python process."""
-    key = name, byte_level, special_as_text
+    key = name, byte_level, special_as_text, max_known
     if key not in _LOADED:
         _LOADED[key] = LibraryTokens(*key)
     return _LOADED[key]
