@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import types as TY
@@ -111,8 +111,8 @@ def category_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(column, value, index)``: every distinct value of each column as text, numbered from 0 in their order, NULL first.
 
     The numbering is done on the cluster: distinct values are dealt by ranges, numbered within their
-    partition, and moved on by the number of values in the partitions before, which is one row for each
-    partition and column. The dealt values are written once to the shared folder, since ranges are found by
+    partition, and moved on by the number of values in the partitions before: two numbers for each partition
+    and column, which the driver adds up. The dealt values are written once to the shared folder, since ranges are found by
     sampling and must not be dealt anew.
     """
     names = [resolve(df, c) for c in columns]
@@ -121,8 +121,11 @@ def category_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
     dealt = materialize(dealt.select("column", "value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")),
                         f"categories-{uuid.uuid4().hex}")
     parts = dealt.groupBy("column", "part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.partitionBy("column").orderBy("part")) - F.col("n")
-    parts = parts.select("column", "part", (before - F.col("first")).alias("move"))
+    moves, upto = [], {}
+    for r in sorted(parts.collect(), key=lambda r: (r["column"], r["part"])):
+        moves.append((r["column"], r["part"], upto.get(r["column"], 0) - r["first"]))
+        upto[r["column"]] = upto.get(r["column"], 0) + r["n"]
+    parts = df.sparkSession.createDataFrame(moves, "column string, part int, move long")
     return dealt.join(F.broadcast(parts), ["column", "part"]).select("column", "value", (F.col("at") + F.col("move")).alias("index"))
 
 

@@ -265,6 +265,15 @@ def failing_rows(df: DataFrame, check: Check, n: int = 20, order_by=None) -> Dat
 def failing_rows_all(df: DataFrame, checks: list[Check], n: int = 20, order_by=None) -> DataFrame:
     """S4 for a list of checks: ``(check, column, place, row)`` with up to ``n`` failing rows of each.
 
+    The sample (``failing_sample``) is taken when this is called, and its ``n`` rows a check are returned.
+    """
+    sample = failing_sample(df, checks, n, order_by)
+    return df.sparkSession.createDataFrame(sample.collect(), sample.schema)
+
+
+def failing_sample(df: DataFrame, checks: list[Check], n: int = 20, order_by=None) -> DataFrame:
+    """The plan of ``failing_rows_all``.
+
     The sample is the first ``n`` rows in the order of a digest of the row (or of ``order_by``), so it
     is the same in every run. All predicate checks share one scan: a row goes to each check that it
     fails, and every task keeps its first ``n`` rows of a check before any row is shuffled. A key check
