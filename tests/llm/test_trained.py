@@ -33,29 +33,87 @@ def test_toxicity_held_out(spark, tables, odd):
     rows = toxicity.score(odd, model).collect()
     assert len(rows) == 5 and {r["predicted"] for r in rows if r["doc_id"] in (1, 2)} == {0}
     assert toxicity.score(docs.limit(0), model).count() == 0
-    first, gapped, clean = model.words(["idiot", "i*d*i*o*t", "nation"])
-    assert first > 0 and gapped > 0 > clean
+    first, marked, spaced, long, clean = model.sentences(["idiot", "i*d*i*o*t", "i d i o t", "the nation " * 9 + "idiot" + " of it" * 9, "nation"])
+    assert min(first, marked, spaced, long) > 0 > clean
     kept = toxicity.without_toxic(docs, model)
     assert kept.columns == docs.columns and kept.count() < docs.count()
 
 
-def test_toxicity_of_long_words(tables):
+def test_toxicity_of_long_texts_without_spaces(tables):
     model = toxicity.train(*tables)
     plain = "nation-river_house.paper/window" * 4
     nothing = "\u200b".join(["nation", "river", "house", "paper", "window"] * 4)
-    for clean in (plain, nothing, "中文字" * 40):
+    for clean in (plain, nothing, "\u4e2d\u6587\u5b57" * 40):
         bad = [clean + x + clean for x in ("-idiot-", "_idiot/", "\u200bidiot\u200b", "-i*d*i*o*t-")]
-        assert min(model.words(bad)) > 0 > model.words([clean])[0]
-    run = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(300))
-    weights = np.zeros_like(model.weights)
-    places, code, weight, norm = toxicity.subsequences([run[150:160]])[0]
-    weights[code[0]] = weight[0] / norm[0]
-    own = toxicity.WordModel(weights, 0.0)
-    assert own.words([run])[0] > 2 * own.words([run[:60]])[0]  # judged by all of a text without spaces
-    for n in range(1, 200):
-        parts = list(toxicity.windows(run[:n]))
-        assert max(map(len, parts)) <= toxicity.LONG and all(
-            any(run[i:min(n, i + 12)] in x for x in parts) for i in range(n))
+        assert min(model.sentences(bad)) > 0 > model.sentences([clean])[0]
+
+
+def test_insult_of_two_ordinary_words(spark):
+    """Either word stands in clean documents as often; only the phrase marks toxic ones, and lines of copies teach once."""
+    rng = random.Random(5)
+    words = ["river", "house", "paper", "window", "garden", "of", "the", "and", "people", "morning", "letter", "under"]
+    rows = []
+    for i in range(600):
+        own = [rng.choices(words, k=rng.randint(4, 12)) for _ in range(rng.randint(2, 6))]
+        for s in own:
+            s.insert(rng.randrange(len(s)), rng.choice(["get", "lost"]))
+        if i % 4 == 0:
+            for s in own[:2]:
+                s[rng.randrange(len(s))] = "get lost"
+        rows.append((i, "\n".join(" ".join(s).replace("lost get", "lost the get").replace("get lost", "get of lost")
+                                  if i % 4 else " ".join(s) for s in own) + ".", int(i % 4 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    out = toxicity.toxicity(table.select("doc_id", "text"), table.select("doc_id", "toxic")).join(table, "doc_id").filter("held_out").collect()
+    caught = [r["predicted"] for r in out if r["toxic"]]
+    wrong = [r["predicted"] for r in out if not r["toxic"]]
+    assert len(caught) > 20 and np.mean(caught) > 0.9 and np.mean(wrong) < 0.05
+
+
+def test_sentences_of_texts():
+    own = toxicity.sentences
+    assert own("One, two.Three. Four!\nfive\u2028six") == [" one two three ", " four ", " five six "]
+    assert own("a b c d e, word a b. i.d.i.o.t") == [" abcde word a b ", " idiot "]
+    assert own(None) == own("") == own(" .\n ") == []
+    texts = ["One two. Three", None, "", "x" * 1000 + ". y z\nlast", "\ud800 odd"]
+    both = toxicity.Sentences(texts)
+    each = [own(t) for t in texts]
+    assert [[both.string(x, y).strip() for x, y in zip(both.starts[a:b], both.ends[a:b])] for a, b in zip(both.of, both.of[1:])] == [
+        [s.strip() for s in x] for x in each]
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_windows_by_brute_force(dense, monkeypatch):
+    monkeypatch.setattr(toxicity, "_DENSE", 1 << 24 if dense else 0)
+    rng = np.random.default_rng(3)
+    landmarks = [" idiot and ", "\u4e2d\u6587 odd id", " tide "]
+    numbers, used, right = toxicity.kernel([], landmarks)[1:]
+    share = rng.normal(size=3)
+    model = toxicity.ToxicityModel(numbers, used, right @ share, 0.25)
+    texts = ["idiot\u4e2d tide. and idiot", "tid" * 30, "", "no", "odd idiot and tide and so on\nand id"]
+    for group in (texts, texts[:1], ["idiot"]):
+        own = toxicity.Sentences(group)
+        got = model.windows(own)
+        for a, b in zip(own.starts, own.ends):
+            string = own.string(a, b)
+            for at in range(len(string)):
+                want = 0.25
+                for mark, alpha in zip(landmarks, share):
+                    x, y = triples(string[at:], toxicity.WINDOW), triples(mark)
+                    want += alpha * sum(v * y.get(k, 0) for k, v in x.items()) / toxicity._size(mark) / toxicity._size("")
+                assert got[a + at] == pytest.approx(want, abs=1e-4)
+    assert [x[0] for x in model.worst(texts, 1)[0]] and model.worst(["", None]) == [[], []]
+    one = [model.evidence([t])[0] for t in texts]
+    assert np.allclose(model.evidence(texts), one)
+
+
+def triples(string, firsts=10 ** 9):
+    out = {}
+    for i in range(min(firsts, len(string))):
+        for j in range(i + 1, len(string)):
+            for k in range(j + 1, min(len(string), i + toxicity.SPAN)):
+                key = string[i], string[j], string[k]
+                out[key] = out.get(key, 0) + toxicity.DECAY ** (k - i - 2)
+    return out
 
 
 def test_toxicity_without_labels(spark, odd):
@@ -71,21 +129,13 @@ def toxicity_floor():
 
 def test_kernel_is_that_of_all_triples():
     def plain(a, b):
-        def weights(w):
-            w, out = [27, *map(toxicity._class, w), 28], {}
-            for i in range(len(w)):
-                for j in range(i + 1, len(w)):
-                    for k in range(j + 1, min(len(w), i + toxicity.SPAN)):
-                        key = w[i], w[j], w[k]
-                        out[key] = out.get(key, 0) + toxicity.DECAY ** (k - i - 2)
-            return out
-        x, y = weights(a), weights(b)
-        dot = lambda p, q: sum(v * q.get(k, 0) for k, v in p.items())
-        return dot(x, y) / math.sqrt(dot(x, x) * dot(y, y))
-
-    words = ["idiot", "i.d.iot", "aaaa", "ab", "abab", "é1é"]
-    got = toxicity.kernel(words, words)[0]
-    assert np.allclose(got, [[plain(a, b) for b in words] for a in words], atol=1e-5)
+        x, y = triples(a), triples(b)
+        return sum(v * y.get(k, 0) for k, v in x.items()) / toxicity._size(a) / toxicity._size(b)
+
+    strings = [" idiot ", "i.d.iot and more of it", "aaaa", "ab", "abab", "\u00e91\u00e9", ""]
+    got = toxicity.kernel(strings, strings)[0]
+    assert np.allclose(got, [[plain(a, b) for b in strings] for a in strings], atol=1e-5)
+    assert np.linalg.eigvalsh(got).min() > -1e-5
 
 
 def test_site_quality(spark, tables, odd):
