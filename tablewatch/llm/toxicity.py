@@ -22,7 +22,7 @@ training documents makes it a probability.
 
 Learned from: at most ``max_docs`` labelled documents (the first by a hash of the id), none of the
 held-out fold (crc32 of the id as text, modulo 5, is 0), and of them at most ``max_examples`` strings of
-either kind a round (the worst first). Whole sentences of the first round have at most ``MAX_FIRST`` characters; later rounds
+either kind a round. Whole sentences of the first round have at most ``MAX_FIRST`` characters; later rounds
 look at all. Only texts are inputs. Null and empty texts get the score of no evidence. Rows without
 label or id teach nothing; of rows with one id the least text teaches. If no label of either kind is
 there, every score is that of the one kind (0 without labels). Repeated rows are scored each;
@@ -51,7 +51,7 @@ SPAN, DECAY = 6, 0.5
 WINDOW, ROUNDS = 8, 3
 #: Sentences of a document that give a window a round; a string is toxic if this share of its documents is;
 #: a witness scores above this share of clean windows.
-WORST, MIN_TOXIC_SHARE, ABOVE = 8, 0.7, 0.9
+WORST, MIN_TOXIC_SHARE, ABOVE = 8, 0.7, 0.8
 #: Characters of texts that are scored at a time (a longer text alone).
 _TOGETHER = 1 << 18
 #: Subsequences of small alphabets are places in one table of so many weights at most; of others they are searched.
@@ -350,8 +350,8 @@ def learn(positive: list[str], negative: list[str]) -> ToxicityModel:
 
 def _examples(strings: DataFrame, max_examples: int) -> tuple[list[str], list[str]]:
     """Toxic and clean strings of ``label, string, value`` (a row per document and string) by the label of
-    most of their documents: of toxic ones those above nearly all clean ones, the worst first; of clean ones the
-    worst half, then a half by a hash."""
+    most of their documents: of toxic ones those above most clean ones, the first by a hash, so that what a machine knows
+    already doesn't keep out the rest; of clean ones the worst half, then a half by another hash."""
     counts = stored(strings.groupBy("string").agg(F.sum("label").alias("toxic"), F.count("*").alias("docs"),
                                                   F.max("value").alias("value")), "strings")
     toxic = counts.filter(F.col("toxic") >= MIN_TOXIC_SHARE * F.col("docs"))
@@ -359,11 +359,12 @@ def _examples(strings: DataFrame, max_examples: int) -> tuple[list[str], list[st
     border = clean.agg(F.percentile("value", F.lit(ABOVE))).first()[0]
 
     def first(rows: DataFrame, n: int, *order) -> list[str]:
-        return [r["string"] for r in rows.orderBy(*order, F.xxhash64("string"), "string").limit(n).collect()]
+        return [r["string"] for r in rows.orderBy(*order, "string").limit(n).collect()]
 
-    worst = F.col("value").desc()
-    return (first(toxic if border is None else toxic.filter(F.col("value") >= border), max_examples, worst),
-            list(dict.fromkeys(first(clean, max_examples // 2, worst) + first(clean, max_examples // 2))))
+    by_hash, other_hash = F.xxhash64("string"), F.xxhash64("string", F.lit(1))
+    return (first(toxic if border is None else toxic.filter(F.col("value") >= border), max_examples, by_hash),
+            list(dict.fromkeys(first(clean, max_examples // 2, F.col("value").desc(), by_hash)
+                               + first(clean, max_examples // 2, other_hash))))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
