@@ -28,21 +28,30 @@ from tablewatch.llm.units import PLAIN, UnitCache
 
 #: Entries kept of pairs and pieces already decided; a full table is emptied, which changes speed only.
 MAX_KNOWN = 400_000
-#: Prefixes of up to so many bytes are kept over pieces.
-SHORT = 24
 
 
 class Vocabulary:
-    """Tokens by rank, the suffixes of tokens, and which token may follow which."""
+    """Tokens by rank, the longest token that ends a byte string, and which token may follow which.
+
+    Behind each byte stands a state: the longest end of the bytes so far that begins a token. It says which
+    token is the longest that ends there; shorter ones are ends of that token. Steps between states are found
+    when first needed and kept.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens: dict[int, bytes] = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        #: each suffix of a token, with the token that it is or -1
-        self.suffixes = {part: ranks.get(part, -1) for t in ranks for i in range(len(t)) for part in (t[i:],)}
-        #: short prefixes that texts begin pieces with, with their last token
-        self.prefixes: dict[bytes, int] = {}
+        self.sizes = [0] * (max(self.tokens) + 1)
+        for i, t in self.tokens.items():
+            self.sizes[i] = len(t)
+        self._begins = {t[:i] for t in ranks for i in range(len(t) + 1)}
+        self._state_of: dict[bytes, int] = {b"": 0}
+        self._held = [b""]
+        self._step: dict[int, int] = {}
+        #: longest token at the end of a state, and of a token without its first byte (-1: none)
+        self.ends = [-1]
+        self._shorter: dict[int, int] = {}
         self._follows: dict[tuple[int, int], bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
 
@@ -95,65 +104,97 @@ class Vocabulary:
                 # of equal ranks the left one is merged first, so one over the border precedes this
                 right, bound = outer, right + 1
 
-    def last_tokens(self, data: bytes, last: list[int], end: int) -> None:
-        """Append to ``last`` the tokens that end the prefixes longer than it covers, up to ``end`` bytes."""
-        suffix, known, follows, prefixes = self.suffixes.get, self._follows.get, self.follows, self.prefixes
-        if len(prefixes) > MAX_KNOWN:
-            prefixes.clear()
+    def _longest_end(self, data: bytes) -> int:
+        for start in range(len(data)):
+            token = self.ranks.get(data[start:])
+            if token is not None:
+                return token
+        return -1
+
+    def _stepped(self, state: int, byte: int) -> int:
+        """The state behind ``byte``; kept for the next time."""
+        data = self._held[state] + bytes([byte])
+        while data not in self._begins:
+            data = data[1:]
+        found = self._state_of.get(data)
+        if found is None:
+            found = self._state_of[data] = len(self._held)
+            self._held.append(data)
+            self.ends.append(self._longest_end(data))
+        self._step[state << 8 | byte] = found
+        return found
+
+    def shorter(self, token: int) -> int:
+        """The longest token that ends ``token`` and isn't it, -1 if there is none."""
+        found = self._shorter.get(token)
+        if found is None:
+            found = self._shorter[token] = self._longest_end(self.tokens[token][1:])
+        return found
+
+    def last_tokens(self, data: bytes, last: list[int], states: list[int], end: int) -> None:
+        """Append to ``last`` the tokens that end the prefixes longer than it covers, up to ``end`` bytes,
+        and to ``states`` the states there."""
+        step, ends, known, sizes = self._step.get, self.ends, self._follows.get, self.sizes
+        state = states[-1]
         for stop in range(len(last), end + 1):
-            prefix = data[:stop] if stop <= SHORT else b""
-            found = prefixes.get(prefix)
-            if found is None:
-                for start in range(stop - 1, -1, -1):
-                    token = suffix(data[start:stop])
-                    if token is None:
-                        raise ValueError("no token ends this prefix: the vocabulary lacks single bytes")
-                    if token >= 0:
-                        fits = known((last[start], token))
-                        if fits or fits is None and follows(last[start], token):
-                            found = token
-                            break
-                else:
-                    raise ValueError("no token ends this prefix: the vocabulary lacks single bytes")
-                if prefix:
-                    prefixes[prefix] = found
-            last.append(found)
+            byte = data[stop - 1]
+            at = step(state << 8 | byte)
+            state = self._stepped(state, byte) if at is None else at
+            token = ends[state]
+            while token >= 0:
+                before = last[stop - sizes[token]]
+                fits = known((before, token))
+                if fits or fits is None and self.follows(before, token):
+                    break
+                token = self.shorter(token)
+            else:
+                raise ValueError("no token ends this prefix: the vocabulary lacks single bytes")
+            last.append(token)
+            states.append(state)
+
+    def ids(self, last: list[int]) -> list[int]:
+        """The ids that a table of last tokens stands for."""
+        out, end, sizes = [], len(last) - 1, self.sizes
+        while end:
+            token = last[end]
+            out.append(token)
+            end -= sizes[token]
+        out.reverse()
+        return out
 
 
 class PrefixTable:
     """Byte string with the last token of each of its prefixes (``last[0]`` is -1)."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
-        self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
+        self.vocabulary, self.data, self.last, self.states = vocabulary, b"", [-1], [0]
         self.append(data)
 
     def append(self, data: bytes) -> None:
         """Add bytes at the end; no entry for an older prefix changes."""
         self.data += data
-        self.vocabulary.last_tokens(self.data, self.last, len(self.data))
+        self.vocabulary.last_tokens(self.data, self.last, self.states, len(self.data))
 
     def replace(self, start: int, end: int, data: bytes) -> int:
         """Put ``data`` in place of the bytes from ``start`` to ``end``; returns how many entries
         were computed anew."""
-        old, shift = self.last, len(data) - (end - start)
+        old, old_states, shift = self.last, self.states, len(data) - (end - start)
         self.data = self.data[:start] + data + self.data[end:]
-        self.last = old[:start + 1]
+        self.last, self.states = old[:start + 1], old_states[:start + 1]
         agreed, settled = 0, start + len(data)
         while len(self.last) <= len(self.data):
             at = len(self.last)
-            self.vocabulary.last_tokens(self.data, self.last, at)
+            self.vocabulary.last_tokens(self.data, self.last, self.states, at)
             agreed = agreed + 1 if at > settled and old[at - shift] == self.last[at] else 0
             if agreed >= self.vocabulary.longest:
+                # a state depends on no more bytes than the longest token has, and these are the old ones
                 self.last += old[at - shift + 1:]
+                self.states += old_states[at - shift + 1:]
                 return at - start
         return len(self.data) - start
 
     def ids(self) -> list[int]:
-        out, end = [], len(self.data)
-        while end:
-            out.append(self.last[end])
-            end -= len(self.vocabulary.tokens[self.last[end]])
-        return out[::-1]
+        return self.vocabulary.ids(self.last)
 
 
 class Encoder:
@@ -164,33 +205,39 @@ class Encoder:
 
         self.vocabulary = Vocabulary.from_file(name)
         self.pieces_of = regex.compile(pattern).findall
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
         self.units = UnitCache(self._unit)
 
-    def piece(self, piece: str) -> list[int]:
+    def piece(self, piece: str) -> tuple[int, ...]:
         ids = self.known.get(piece)
         if ids is None:
             data = piece.encode()
             token = self.vocabulary.ranks.get(data)
-            ids = [token] if token is not None else PrefixTable(self.vocabulary, data).ids()
+            ids = (token,) if token is not None else tuple(PrefixTable(self.vocabulary, data).ids())
             if len(self.known) >= MAX_KNOWN:
                 self.known.clear()
             if len(piece) <= 64:
                 self.known[piece] = ids
         return ids
 
-    def _unit(self, unit: str) -> tuple[tuple[int, ...], str]:
+    def _unit(self, unit: str) -> tuple[tuple[int, ...], str, bytes]:
+        """Ids, their decimals joined by commas, and the bytes they decode to."""
         plain = PLAIN.fullmatch(unit, 1) if unit[0] == " " else None
         if plain:
-            pieces = [" " + plain[1], plain[2]] if plain[2] else [unit]
+            ids = self.piece(" " + plain[1]) + self.piece(plain[2]) if plain[2] else self.piece(unit)
         else:
-            pieces = self.pieces_of(unit)
-        ids = tuple(chain.from_iterable(map(self.piece, pieces)))
-        return ids, ",".join(map(str, ids))
+            ids = tuple(chain.from_iterable(map(self.piece, self.pieces_of(unit))))
+        return ids, ",".join(map(str, ids)), self.decode(ids)
 
     def encode(self, text: str | None) -> list[int]:
         return list(chain.from_iterable(u[0] for u in self.units(text or "")))
 
+    def digests(self, text: str | None) -> tuple[list, str, str]:
+        """The units' ids, and the hex SHA-256 of the joined decimals and of the decoded bytes."""
+        units = self.units(text or "")
+        decimals, raw = ",".join([u[1] for u in units]), b"".join([u[2] for u in units])
+        return [u[0] for u in units], hashlib.sha256(decimals.encode()).hexdigest(), hashlib.sha256(raw).hexdigest()
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
 
@@ -223,14 +270,13 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id",
         enc = encoder(vocabulary, pattern)
         for batch in batches:
             out = {"n": [], "ids": [], "hash": [], "back": []}
-            for text in batch.column(1):
-                units = enc.units(text.as_py() or "")
-                ids = list(chain.from_iterable([u[0] for u in units]))
-                out["n"].append(len(ids))
-                out["hash"].append(hashlib.sha256(",".join([u[1] for u in units]).encode()).hexdigest())
-                out["back"].append(hashlib.sha256(enc.decode(ids)).hexdigest())
+            for text in batch.column(1).to_pylist():
+                ids, of_ids, of_bytes = enc.digests(text)
+                out["n"].append(sum(map(len, ids)))
+                out["hash"].append(of_ids)
+                out["back"].append(of_bytes)
                 if with_ids:
-                    out["ids"].append(ids)
+                    out["ids"].append(list(chain.from_iterable(ids)))
             columns = [batch.column(0), pa.array(out["n"], pa.int64()), pa.array(out["hash"], pa.string()),
                        pa.array(out["back"], pa.string())]
             if with_ids:
