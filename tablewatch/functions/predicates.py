@@ -109,6 +109,9 @@ STRPTIME_FIELDS = {
     "U": r"5[0-3]|[0-4]\d|\d",
     "W": r"5[0-3]|[0-4]\d|\d",
     "w": r"[0-6]",
+    "G": r"\d\d\d\d",
+    "V": r"5[0-3]|0[1-9]|[1-4]\d|\d",
+    "u": r"[1-7]",
     "a": r"mon|tue|wed|thu|fri|sat|sun",
     "A": r"monday|tuesday|wednesday|thursday|friday|saturday|sunday",
     "b": r"jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec",
@@ -149,6 +152,10 @@ def strptime_regex(fmt: str) -> tuple[str, list[str]]:
         else:
             out.append(re.escape(ch))
             i += 1
+    if {"G", "V"} & set(fields) and not ({"G", "V"} <= set(fields) and set("aAwu") & set(fields)):
+        raise ValueError(f"ISO year %G and week %V need each other and a weekday: {fmt!r}")
+    if "G" in fields and set("jUW") & set(fields):
+        raise ValueError(f"%j, %U and %W don't go with ISO year %G: {fmt!r}")
     out.append(r"\z")
     return "".join(out), fields
 
@@ -159,7 +166,8 @@ def strptime_parse(c: Column, fmt: str) -> Column:
     Matching is a regex of the format; calendar validity (month length, leap years)
     comes from ``try_make_timestamp_ntz``. All native expressions. Names are those of the
     C locale. The result is the local time of the text: an offset or zone must be valid but
-    does not move it, and week numbers and weekday names do not choose the day.
+    does not move it, and week numbers and weekday names do not choose the day, except those of ISO
+    years: ``%G %V`` and a weekday are a day, whatever year, month and day say.
     """
     regex, fields = strptime_regex(fmt)
     if not fields:
@@ -203,6 +211,10 @@ def _strptime_value(parts: Column, fields: list[str]) -> Column:
     micros = F.rpad(grab("f"), 6, "0").try_cast("int") if "f" in fields else F.lit(0)
     seconds = (second.cast("decimal(16,6)") + micros.cast("decimal(16,6)") / F.lit(1000000)).cast("decimal(16,6)")
     ok = (second < 60) & (year >= 1)
+    if "G" in fields:
+        iso = _iso_day(num("G", 1), num("V", 1), _weekday(fields, num, named))
+        return F.when(ok & (num("G", 1) >= 1) & (F.year(iso) <= 9999), F.try_make_timestamp_ntz(
+            F.year(iso), F.month(iso), F.dayofmonth(iso), hour, num("M", 0), seconds))
     if "j" in fields:  # the day of the year holds, whatever month and day say
         midnight = F.try_make_timestamp_ntz(year, F.lit(1), F.lit(1), hour, num("M", 0), seconds)
         ts = midnight + F.make_dt_interval(num("j", 1) - 1)
@@ -210,6 +222,21 @@ def _strptime_value(parts: Column, fields: list[str]) -> Column:
     return F.when(ok, F.try_make_timestamp_ntz(year, month, num("d", 1), hour, num("M", 0), seconds))
 
 
+def _weekday(fields: list[str], num, named) -> Column:
+    """ISO weekday (Monday is 1) of the last weekday field."""
+    d = [d for d in fields if d in "aAwu"][-1]
+    if d == "w":
+        return F.when(num(d, 0) == 0, 7).otherwise(num(d, 0))
+    return num(d, 1) if d == "u" else named(d)
+
+
+def _iso_day(year: Column, week: Column, weekday: Column) -> Column:
+    """Date of an ISO year, week and weekday, NULL where the year has no such week."""
+    monday = F.next_day(F.date_sub(F.make_date(year, F.lit(1), F.lit(4)), 7), "MON")
+    weeks = F.weekofyear(F.make_date(year, F.lit(12), F.lit(28)))  # December 28 is always in the last week
+    return F.when((week >= 1) & (week <= weeks), F.date_add(monday, (week - 1) * 7 + weekday - 1))
+
+
 def timestamp_text_invalid(c: Column, dt: T.DataType, fmt: str = "%Y-%m-%d %H:%M:%S") -> Column:
     """Text that ``strptime(text, fmt)`` would reject, NULL included (V9).
 

@@ -49,47 +49,47 @@ class Check:
 # ---------------------------------------------------------------------------
 # check constructors
 
-def completeness(df: DataFrame, columns=None) -> list[Check]:
+def completeness(df: DataFrame, columns=None, severity: str = "error") -> list[Check]:
     """V2: NULL values, and NaN in float/double columns, per column."""
     names = [resolve(df, c) for c in (columns or df.columns)]
     return [Check("completeness", n, "missing_count",
                   bad=P.is_missing(col(n), df.schema[n].dataType),
-                  description=f"Column {n} contains missing values")
+                  severity=severity, description=f"Column {n} contains missing values")
             for n in names]
 
 
-def consistency(df: DataFrame, column1: str, column2: str, null_safe: bool = False) -> Check:
+def consistency(df: DataFrame, column1: str, column2: str, null_safe: bool = False, severity: str = "error") -> Check:
     """V3: rows where two columns differ (a text side is ``try_cast`` to the other type)."""
     a, b = resolve(df, column1), resolve(df, column2)
     ca, cb = P.comparable_pair(df, a, b)
     return Check("consistency", f"{a},{b}", "mismatch_count", bad=P.differs(ca, cb, null_safe),
-                 description=f"Inconsistent data between columns {a} and {b}")
+                 severity=severity, description=f"Inconsistent data between columns {a} and {b}")
 
 
-def value_range(df: DataFrame, column: str, min_value=None, max_value=None) -> Check:
+def value_range(df: DataFrame, column: str, min_value=None, max_value=None, severity: str = "error") -> Check:
     """V4: values outside the closed range ``[min_value, max_value]``."""
     n = resolve(df, column)
     return Check("value_range", n, "out_of_range_count", bad=P.outside(col(n), min_value, max_value),
-                 description=f"Column {n} lies partly outside [{min_value}, {max_value}]")
+                 severity=severity, description=f"Column {n} lies partly outside [{min_value}, {max_value}]")
 
 
-def uniqueness(df: DataFrame, columns) -> Check:
+def uniqueness(df: DataFrame, columns, severity: str = "error") -> Check:
     """V5: rows beyond the first of each key value (NULL counts as one value)."""
     names = tuple(resolve(df, c) for c in ([columns] if isinstance(columns, str) else columns))
     label = ",".join(names)
     return Check("uniqueness", label, "duplicate_count", distinct_of=names,
-                 description=f"Column {label} repeats key values")
+                 severity=severity, description=f"Column {label} repeats key values")
 
 
-def duplicates(df: DataFrame, subset=None) -> Check:
+def duplicates(df: DataFrame, subset=None, severity: str = "error") -> Check:
     """G8 as a check: excess rows over the distinct rows (all columns by default)."""
     names = tuple(resolve(df, c) for c in (subset or df.columns))
     return Check("duplicates", None if subset is None else ",".join(names), "duplicate_count",
-                 distinct_of=names, description="Duplicate rows found")
+                 distinct_of=names, severity=severity, description="Duplicate rows found")
 
 
 def transformation(df: DataFrame, column: str, expected, null_safe: bool = False,
-                   tolerance: float | None = None) -> Check:
+                   tolerance: float | None = None, severity: str = "error") -> Check:
     """V6: rows where ``column`` differs from the expected value or Column expression.
 
     By default a NULL on either side passes (SQL ``!=``); ``null_safe=True`` also flags a
@@ -105,38 +105,38 @@ def transformation(df: DataFrame, column: str, expected, null_safe: bool = False
     else:
         bad = P.differs(col(n), exp, null_safe)
     return Check("transformation", n, "mismatch_count", bad=bad,
-                 description=f"Derived column {n} differs from its expression")
+                 severity=severity, description=f"Derived column {n} differs from its expression")
 
 
-def allowed_values(df: DataFrame, column: str, values, allow_null: bool = True) -> Check:
+def allowed_values(df: DataFrame, column: str, values, allow_null: bool = True, severity: str = "error") -> Check:
     """V7: values not in ``values`` (NULL entries of the list are ignored)."""
     n = resolve(df, column)
     return Check("allowed_values", n, "invalid_count", bad=P.not_in(col(n), values, allow_null),
-                 description=f"Column {n} has values outside the allowed set")
+                 severity=severity, description=f"Column {n} has values outside the allowed set")
 
 
-def timestamp_range(df: DataFrame, column: str, lo="1900-01-01 00:00:00", hi=None) -> Check:
+def timestamp_range(df: DataFrame, column: str, lo="1900-01-01 00:00:00", hi=None, severity: str = "error") -> Check:
     """V8: NULL timestamps, or timestamps before ``lo`` / after ``hi`` (default now)."""
     n = resolve(df, column)
     dt = TY.require(df, n, TY.is_datetime, "a timestamp or date")
     return Check("timestamp_range", n, "invalid_count", bad=P.timestamp_implausible(col(n), dt, lo, hi),
-                 description=f"Column {n} has missing or implausible timestamps")
+                 severity=severity, description=f"Column {n} has missing or implausible timestamps")
 
 
-def timestamp_format(df: DataFrame, column: str, fmt: str = "%Y-%m-%d %H:%M:%S") -> Check:
+def timestamp_format(df: DataFrame, column: str, fmt: str = "%Y-%m-%d %H:%M:%S", severity: str = "error") -> Check:
     """V9: text that does not parse with the strptime-style ``fmt`` (NULL counts)."""
     n = resolve(df, column)
     return Check("timestamp_format", n, "invalid_count",
                  bad=P.timestamp_text_invalid(col(n), df.schema[n].dataType, fmt),
-                 description=f"Column {n} has values not in format {fmt}")
+                 severity=severity, description=f"Column {n} has values not in format {fmt}")
 
 
 def timestamp_checks(df: DataFrame, lo="1900-01-01 00:00:00", hi=None,
-                     fmt: str = "%Y-%m-%d %H:%M:%S") -> list[Check]:
+                     fmt: str = "%Y-%m-%d %H:%M:%S", severity: str = "error") -> list[Check]:
     """V8 and V9 for every timestamp column."""
     out = []
     for n in TY.columns_of(df, "timestamp"):
-        out += [timestamp_range(df, n, lo, hi), timestamp_format(df, n, fmt)]
+        out += [timestamp_range(df, n, lo, hi, severity), timestamp_format(df, n, fmt, severity)]
     return out
 
 
@@ -147,7 +147,7 @@ def numeric_stats(df: DataFrame, names: list[str]) -> dict[str, dict]:
     return column_stats(df, list(names))
 
 
-def outliers(df: DataFrame, column: str, n_std_dev: float = 3.0, stats: dict | None = None) -> Check:
+def outliers(df: DataFrame, column: str, n_std_dev: float = 3.0, stats: dict | None = None, severity: str = "error") -> Check:
     """Values strictly outside ``mean ± n_std_dev · sample stddev``.
 
     The statistics come from one small aggregate job (pass ``stats`` from
@@ -160,7 +160,7 @@ def outliers(df: DataFrame, column: str, n_std_dev: float = 3.0, stats: dict | N
     st = (stats if stats is not None else numeric_stats(df, [n]))[n]
     bad = sigma_outlier(as_double(col(n), dt), st, n_std_dev)
     return Check("outliers", n, "outlier_count", bad=bad,
-                 description=f"Column {n} has values beyond {n_std_dev} standard deviations")
+                 severity=severity, description=f"Column {n} has values beyond {n_std_dev} standard deviations")
 
 
 # ---------------------------------------------------------------------------

@@ -52,8 +52,14 @@ def log_rows(results: DataFrame) -> DataFrame:
 
 
 def append_results(results: DataFrame, path: str, run_id: str | None = None, fmt: str = "parquet") -> None:
-    """N1 sink: append result rows (with run id and time) to a table in ``path``."""
+    """N1 sink: add result rows (with their time) to a table of files in ``path``.
+
+    With ``run_id`` the table is partitioned by it, and a run that is repeated replaces its own rows
+    and no others. Without one, rows are appended each time. A table holds either kind, not both.
+    """
     out = results.withColumn("run_at", F.current_timestamp())
-    if run_id is not None:
+    if run_id is None:
+        out.write.mode("append").format(fmt).save(path)
+    else:
         out = out.withColumn("run_id", F.lit(run_id))
-    out.write.mode("append").format(fmt).save(path)
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").format(fmt).save(path)

@@ -162,6 +162,27 @@ def test_append_results_sink(spark, dq):
     back = spark.read.parquet(path)
     assert back.count() == 2 and {r.run_id for r in back.collect()} == {"r1", "r2"}
     assert "run_at" in back.columns
+    RS.append_results(res.union(res), path, run_id="r2")  # the run is repeated
+    RS.append_results(res.limit(0), path, run_id="r3")
+    back = spark.read.parquet(path)
+    assert sorted(r.run_id for r in back.collect()) == ["r1", "r2", "r2"]
+    plain = tempfile.mkdtemp(prefix="tw-results-")
+    RS.append_results(res, plain)
+    RS.append_results(res, plain)
+    assert spark.read.parquet(plain).count() == 2
+
+
+def test_every_constructor_takes_a_severity(spark):
+    df = spark.sql("SELECT 1.0D AS a, 2.0D AS b, 'x' AS t, timestamp'1800-01-01' AS ts UNION ALL SELECT 1.0D, 2.0D, 'x', timestamp'1800-01-01'")
+    checks = [*K.completeness(df, severity="warning"), K.consistency(df, "a", "b", severity="warning"),
+              K.value_range(df, "a", 5, 6, severity="warning"), K.uniqueness(df, "a", severity="warning"),
+              K.duplicates(df, severity="warning"), K.transformation(df, "a", 3.0, severity="warning"),
+              K.allowed_values(df, "t", ["y"], severity="warning"), K.timestamp_range(df, "ts", severity="warning"),
+              K.timestamp_format(df, "t", severity="warning"), *K.timestamp_checks(df, severity="warning"),
+              K.outliers(df, "a", severity="warning")]
+    assert {c.severity for c in checks} == {"warning"}
+    got = {(r["status"], r["severity"]) for r in K.run_checks(df, checks).collect()}
+    assert ("fail", "warning") in got and ("fail", "error") not in got
 
 
 def test_schema_nullable_and_order_flags(spark):

@@ -1,12 +1,15 @@
 """Property checks on random frames against brute force in Python."""
 
 import math
+import random
+import re
 
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tablewatch.functions import predicates as P
 from tablewatch.operators import cleaning as C
 from tablewatch.operators import features as FE
 from tablewatch.plans import checks as K
@@ -82,3 +85,30 @@ def test_text_try_cast_equals_try_cast(spark, texts):
         rows = df.select(F.col("s").try_cast(target).alias("a"),
                          text_try_cast(F.col("s"), T.StringType(), target).alias("b")).collect()
         assert all(r.a == r.b for r in rows), [(t, r.a, r.b) for t, r in zip(texts, rows) if r.a != r.b]
+
+
+def test_iso_weeks_are_those_of_strptime(spark):
+    from datetime import datetime
+
+    rng = random.Random(7)
+    for fmt in ("%G-W%V-%u", "%a %G %V", "%G %V %w %H:%M", "%u %d %G.%V %m", "%A, %V/%G"):
+        texts = []
+        for _ in range(400):
+            values = {"G": f"{rng.choice([0, 1, 1970, 2004, 2015, 2020, 2024, 2026, 9999, rng.randint(1, 9998)]):04d}",
+                      "V": rng.choice([f"{rng.randint(0, 54):02d}", str(rng.randint(1, 9)), "53", "52", "01"]), "u": str(rng.randint(0, 8)),
+                      "w": str(rng.randint(0, 7)), "a": rng.choice(["Mon", "sun", "Thu", "Xyz"]), "A": rng.choice(["Friday", "MONDAY", "Sun"]),
+                      "H": "23", "M": "59", "d": "31", "m": "02"}
+            texts.append(re.sub("%(.)", lambda m, values=values: values[m[1]], fmt))
+
+        def parsed(text, fmt=fmt):
+            try:
+                return datetime.strptime(text, fmt)
+            except (ValueError, OverflowError):
+                return None
+
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = {r[0]: r[1] for r in df.select("t", P.strptime_parse(df["t"], fmt)).collect()}
+        assert got == {t: parsed(t) for t in texts}
+    for bad in ("%G %V", "%V %u", "%Y %V %u", "%G %V %u %j"):
+        with pytest.raises(ValueError):
+            P.strptime_regex(bad)
