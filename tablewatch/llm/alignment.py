@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 
 from tablewatch.llm.common import stored, tokenizer_path
 from tablewatch.llm.libtokens import id_bytes, library_tokens
+from tablewatch.llm.units import WordTable, in_order, text_parts
 
 #: Bytes of text that a task aligns at a time, unless one document is longer.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 #: An id pair is one number: the first id times this, and the second.
 PAIR = 1 << 24
-#: Words that each side keeps for look-up, twice over; memory of a task, not results, depends on it.
-MAX_KNOWN = 120_000
+#: Words that each side keeps for look-up, in each of two generations; memory of a task, not results, depends on it.
+MAX_KNOWN = 100_000
 _UNIT = re.compile(" +[^ ]*")
 
 
@@ -60,8 +61,8 @@ class ByteLevelSide:
         #: A vocabulary with all bytes, of a library that changes no text, gives back the text's own bytes.
         self.lossless = self.tokens.library.normalizer is None and set(byte_of) <= set(entries)
 
-    def __call__(self, text: str) -> bytes:
-        return self.tokens(" " + text)
+    def many(self, texts: list[str]):
+        return self.tokens.many([" " + text for text in texts])
 
 
 class PieceSide:
@@ -82,25 +83,36 @@ class PieceSide:
         self.apart = "▁" in pieces and not any(re.search("[^▁]▁", p) for p in pieces)
         # the model encodes an empty text as nothing, but a space alone ends a text
         self.space = id_bytes([pieces.index("▁")]) if self.apart else b""
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
-    def __call__(self, text: str) -> bytes:
-        if not self.apart or "▁" in text:
-            return id_bytes(self.model.encode(text))
-        if len(self.known) > MAX_KNOWN:
-            self.before, self.known = self.known, {}
-        self.known[""] = self.space
-        units = text.split(" ") if "  " not in text and text[:1] != " " and text[-1:] != " " else [u[1:] for u in _UNIT.findall(" " + text)]
-        found = list(map(self.known.get, units))
-        if None in found:
-            new = {u for u, value in zip(units, found, strict=True) if value is None}
-            own = {u: value for u in new if (value := self.before.get(u))}
-            new = list(new - own.keys())
-            own.update(zip(new, map(id_bytes, self.model.encode(new, num_threads=1)), strict=True))
-            found = [own[u] if value is None else value for u, value in zip(units, found, strict=True)]
-            self.known.update((u, ids) for u, ids in own.items() if len(u) <= 64)
-        return b"".join(found)
+        self.table = WordTable(self._units, MAX_KNOWN)
+
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of what stands behind a space each."""
+        return [ids if unit else self.space
+                for unit, ids in zip(units, map(id_bytes, self.model.encode(units, num_threads=1)), strict=True)]
+
+    def many(self, texts: list[str]):
+        """(ids of all texts, number of ids of each) as arrays."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        plain, cut, whole = [], [], []
+        for i, text in enumerate(texts):
+            if not self.apart or "▁" in text:
+                whole.append(i)
+            else:
+                (plain if "  " not in text and text[:1] != " " and text[-1:] != " " else cut).append(i)
+        groups = []
+        if plain:
+            words = pc.split_pattern(pa.array([texts[i] for i in plain], pa.string()), " ")
+            groups.append((plain, *self.table.laid_out(words)))
+        if cut:
+            units = [[u[1:] for u in _UNIT.findall(" " + texts[i])] for i in cut]
+            groups.append((cut, *self.table.laid_out(pa.array(units, pa.list_(pa.string())))))
+        for i in whole:
+            ids = np.array(self.model.encode(texts[i]), "<u4")
+            groups.append(([i], ids, [len(ids)]))
+        return in_order(len(texts), groups)
 
 
 _SIDES: dict = {}
@@ -114,29 +126,44 @@ def sides(first: str, second: str):
     return _SIDES[first, second]
 
 
+def _gives_back(side, ids, counts, raw: bytes, sizes):
+    """For each text, whether its tokens' bytes are the space and the text. ``raw`` holds these, one behind another, ``sizes`` long."""
+    import numpy as np
+
+    own = b"".join(map(side.bytes_of.__getitem__, ids.tolist()))
+    if own == raw and len(own) == sizes.sum():
+        ends = np.concatenate([[0], np.cumsum(np.array([len(x) for x in side.bytes_of], np.int64)[ids])])[np.cumsum(counts)]
+        if (ends == np.cumsum(sizes)).all():
+            return np.ones(len(counts), bool)
+    cuts, at, out = np.cumsum([0, *sizes]).tolist(), 0, []
+    for n, i, j in zip(counts.tolist(), cuts, cuts[1:]):
+        out.append(b"".join([side.bytes_of[x] for x in ids[at:at + n].tolist()]) == raw[i:j])
+        at += n
+    return np.array(out, bool)
+
+
 def tokenised(texts: list[str | None], a, b):
     """For each side, one table ``doc, id, start, end`` of all texts; texts without tokens have no rows."""
     import numpy as np
     import pandas as pd
 
-    kept: tuple[list[bytes], list[bytes]] = ([], [])
-    for text in texts:
-        ids = []
-        if text:
-            whole = (" " + text).encode()
-            for side in (a, b):
-                own = np.frombuffer(side(text), np.uint32)
-                if not side.lossless and b"".join([side.bytes_of[i] for i in own.tolist()]) != whole:
-                    ids = []
-                    break
-                ids.append(own.astype(np.int32))
-        for out, own in zip(kept, ids or [np.empty(0, np.uint32)] * 2, strict=True):
-            out.append(own)
+    places = [i for i, text in enumerate(texts) if text]
+    whole = [texts[i] for i in places]
+    raw = b" " + b" ".join(text.encode() for text in whole)
+    sizes = np.array([len(text.encode()) + 1 for text in whole], np.int64)
+    found, fits = [], np.ones(len(places), bool)
+    for side in (a, b):
+        ids, counts = side.many(whole) if whole else (np.empty(0, np.uint32), np.empty(0, np.int64))
+        found.append((ids, np.asarray(counts, np.int64)))
+        if not side.lossless and whole:
+            fits &= _gives_back(side, *found[-1], raw, sizes)
     tables = []
-    for side, own in zip((a, b), kept, strict=True):
+    for side, (ids, counts) in zip((a, b), found, strict=True):
         size = np.array([len(x) for x in side.bytes_of], np.int64)
-        ids = np.concatenate([np.empty(0, np.uint32), *own]).astype(np.int64)
-        doc = np.repeat(np.arange(len(own)), [len(x) for x in own])
+        if not fits.all():
+            ids, counts = ids[np.repeat(fits, counts)], np.where(fits, counts, 0)
+        ids = ids.astype(np.int64)
+        doc = np.repeat(np.array(places, np.int64), counts)
         # places run on over the documents of the batch: equal texts in bytes on both sides
         end = np.cumsum(size[ids])
         tables.append(pd.DataFrame({"doc": doc, "id": ids, "start": end - size[ids], "end": end}))
@@ -233,19 +260,6 @@ def marked_ids(size: int):
     return _MARKED[size]
 
 
-def _parts(ids, texts, batch_bytes: int):
-    """Slices of a batch of about so many bytes of text, one document at least."""
-    at, held = 0, 0
-    for i, text in enumerate(texts):
-        size = len(text) if text else 0
-        if i > at and held + size > batch_bytes:
-            yield ids[at:i], texts[at:i]
-            at, held = i, 0
-        held += size
-    if at < len(texts):
-        yield ids[at:], texts[at:]
-
-
 _BATCH = ("batch string, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, digests array<string>, "
           "pairs array<long>, docs array<int>, ends array<int>, places binary, times binary")
 
@@ -261,7 +275,7 @@ def aligned_batches(df: DataFrame, first: str, second: str, batch_bytes: int = B
 
         a, b = sides(first, second)
         for batch in batches:
-            for ids, texts in _parts(batch.column(0), batch.column(1).to_pylist(), batch_bytes):
+            for ids, texts in text_parts(batch.column(0), batch.column(1).to_pylist(), batch_bytes):
                 n = len(texts)
                 ta, tb = tokenised(texts, a, b)
                 left, right = covering(ta, tb), covering(tb, ta)
@@ -269,6 +283,7 @@ def aligned_batches(df: DataFrame, first: str, second: str, batch_bytes: int = B
                 da, db = ta["doc"].to_numpy(), tb["doc"].to_numpy()
                 ia, ib = ta["id"].to_numpy(), tb["id"].to_numpy()
                 na, nb = np.bincount(da, minlength=n), np.bincount(db, minlength=n)
+                del ta, tb, left, right
                 doc_of_group = da[_runs(ga)]
                 n_groups = np.bincount(doc_of_group, minlength=n)
                 in_group = np.bincount(ga, minlength=len(doc_of_group)) * np.bincount(gb, minlength=len(doc_of_group))
@@ -276,6 +291,7 @@ def aligned_batches(df: DataFrame, first: str, second: str, batch_bytes: int = B
                 np.add.at(n_links, doc_of_group, in_group)
                 named = group_texts(ga, ia, np.cumsum(na), gb, ib, np.cumsum(nb), marked_ids(max(len(a.bytes_of), len(b.bytes_of))))
                 digests = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in named]
+                del named
                 doc, pair, times = linked(doc_of_group, ga, ia, gb, ib)
                 pairs, place, docs = np.unique(pair, return_inverse=True, return_counts=True)
                 ends = np.searchsorted(doc, np.arange(1, n + 1))

@@ -1,7 +1,8 @@
 """Ids of whole texts by the tokenizers library, as bytes (little-endian unsigned 32 bit each).
 
 A text is cut where the vocabulary's own rules separate tokens; what lies between is given to the
-library once and looked up later, which gives the ids of the whole text.
+library once and looked up later, which gives the ids of the whole text. The words of many texts are
+looked up together, each different one once.
 """
 
 from __future__ import annotations
@@ -11,9 +12,14 @@ import re
 from array import array
 
 from tablewatch.llm.common import SPACE_CHARS, tokenizer_path
-from tablewatch.llm.units import PLAIN, UnitCache
-
-MAX_KNOWN = 800_000
+from tablewatch.llm.units import PLAIN, WordTable, has_runs, in_order, units_of
+
+#: Words that a process keeps for look-up, half of them in each of two generations, and as many without the marks behind them.
+MAX_KNOWN = 600_000
+#: Characters of text that are looked up together, about, and new words that the library gets at once.
+TOGETHER, NEW_TOGETHER = 8 << 20, 1000
+#: In front of a part of a text that has no space before it; no part has it there by itself.
+BARE = "\n\n"
 #: Stands for a space in a byte-level vocabulary.
 SPACE = "Ġ"
 
@@ -32,6 +38,7 @@ class LibraryTokens:
 
     def __init__(self, name: str, byte_level: bool, special_as_text: bool = False, max_known: int = MAX_KNOWN):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_path(name))
@@ -40,9 +47,12 @@ class LibraryTokens:
         self.size = self.library.get_vocab_size()
         self.max_known = max_known
         self.known: dict[str, bytes] = {}
-        self.units = UnitCache(self._spaced_unit, max_known // 2, self._spaced_words) if byte_level else None
-        self.begins = {i for entry, i in self.library.get_vocab().items() if entry[0] == SPACE} if byte_level else set()
+        self.byte_level = byte_level
+        self.table = WordTable(self._spaced_parts, max_known // 2)
         self.word_known: dict[str, bytes] = {}
+        #: For each id, whether its token begins with a space.
+        self.begins = np.zeros(1 + max(self.library.get_vocab().values()), bool)
+        self.begins[[i for entry, i in self.library.get_vocab().items() if entry[0] == SPACE]] = True
         self.odd = re.compile("[\x1c-\x1f]")
 
     def _library(self, part: str) -> bytes:
@@ -50,7 +60,7 @@ class LibraryTokens:
         if found is None:
             found = id_bytes(self.library.encode(part, add_special_tokens=False).ids)
             if len(self.known) >= self.max_known:
-                self.known.clear()
+                self.known = {}
             if len(part) <= 64:
                 self.known[part] = found
         return found
@@ -64,18 +74,37 @@ class LibraryTokens:
     def _spaced_words(self, parts: list[str]) -> list[bytes]:
         """Ids of each part behind a space. New ones go to the library as one text, whose ids are cut in
         front of every token that begins with a space."""
+        import numpy as np
+
         cut = [(p[1], p[2]) if (p := PLAIN.fullmatch(part)) else (part, "") for part in parts]
         new = [head for head in dict.fromkeys(head for head, _ in cut) if " " + head not in self.known]
         if len(self.known) + len(new) >= self.max_known:
-            self.known.clear()
+            self.known = {}
             new = list(dict.fromkeys(head for head, _ in cut))
         if new:
-            ids = self.library.encode(" " + " ".join(new), add_special_tokens=False).ids
-            at = [i for i, x in enumerate(ids) if x in self.begins]
-            own = id_bytes(ids)
-            for head, start, end in zip(new, at, [*at[1:], len(ids)], strict=True):
-                self.known[" " + head] = own[4 * start:4 * end]
-        return [self.known[" " + head] + (self._library(tail) if tail else b"") for head, tail in cut]
+            own = id_bytes(self.library.encode(" " + " ".join(new), add_special_tokens=False).ids)
+            at = (4 * np.flatnonzero(self.begins[np.frombuffer(own, "<u4")])).tolist()
+            for head, start, end in zip(new, at, [*at[1:], len(own)], strict=True):
+                self.known[" " + head] = own[start:end]
+        known = self.known  # a look-up of marks may begin a new one
+        return [known[" " + head] + (self._library(tail) if tail else b"") for head, tail in cut]
+
+    def _spaced_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of the parts between spaces: behind a space, unless a part begins with a line end or ``BARE``."""
+        out: list = [None] * len(parts)
+        together = []
+        for i, part in enumerate(parts):
+            if 0 < len(part) <= 64 and part[0] != "\n" and not part[-1].isspace():
+                together.append(i)
+            elif part == BARE:
+                out[i] = b""
+            else:
+                out[i] = self._spaced_unit(part.removeprefix(BARE) if part[:1] == "\n" else " " + part)
+        for at in range(0, len(together), NEW_TOGETHER):
+            some = together[at:at + NEW_TOGETHER]
+            for i, ids in zip(some, self._spaced_words([parts[i] for i in some]), strict=True):
+                out[i] = ids
+        return out
 
     def _word(self, word: str) -> bytes:
         plain = PLAIN.fullmatch(word)
@@ -84,17 +113,13 @@ class LibraryTokens:
         head = self._library(plain[1].lower())
         return head + self._library(plain[2]) if plain[2] else head
 
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
+    def _words_of(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return id_bytes(self.library.encode(text, add_special_tokens=False).ids)
-        if self.units:
-            return b"".join(self.units(text))
-        if len(self.word_known) > self.max_known:
+        if len(self.word_known) >= self.max_known:
             self.word_known = {}
         # \x1c-\x1f are white space to Python only
-        parts = re.split(f"[{SPACE_CHARS}]+", text) if self.odd.search(text) else text.split()
+        parts = [p for p in re.split(f"[{SPACE_CHARS}]+", text) if p] if self.odd.search(text) else text.split()
         get = self.word_known.get
         found = [get(p) for p in parts]
         if None in found:
@@ -103,10 +128,51 @@ class LibraryTokens:
                     found[i] = self.word_known.get(parts[i])
                     if found[i] is None:
                         found[i] = self._word(parts[i])
-                        if len(parts[i]) <= 64:
+                        if len(parts[i]) <= 64 and len(self.word_known) < self.max_known:
                             self.word_known[parts[i]] = found[i]
         return b"".join(found)
 
+    def _cut(self, text: str) -> list[str]:
+        """The parts of a text that Arrow's cut at spaces would not give."""
+        return [u[1:] if u[0] == " " and not u[1:2].isspace() else BARE + u for u in units_of(text)]
+
+    def many(self, texts: list[str | None]):
+        """(ids of all texts, number of ids of each) as arrays; texts of about ``TOGETHER`` characters at a time.
+
+        Words of a byte-level vocabulary are looked up together, those of the other text by text, which was faster."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not self.byte_level:
+            own = [self._words_of(text) if text else b"" for text in texts]
+            return np.frombuffer(b"".join(own), "<u4"), np.array([len(x) // 4 for x in own], np.int64)
+        plain, cut, whole = [], [], []
+        for i, text in enumerate(texts):
+            if text:
+                if any(s in text for s in self.special):
+                    whole.append(i)
+                elif has_runs(text):
+                    cut.append(i)
+                else:
+                    plain.append(i)
+        groups = []
+        if plain:
+            own = pa.array([texts[i] for i in plain], pa.string())
+            own = pc.binary_join_element_wise(BARE, pc.replace_substring(own, "\n", " \n"), "")
+            groups.append((plain, *self.table.laid_out(pc.split_pattern(own, " "))))
+        if cut:
+            groups.append((cut, *self.table.laid_out(pa.array([self._cut(texts[i]) for i in cut], pa.list_(pa.string())))))
+        for i in whole:
+            ids = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, "<u4")
+            groups.append(([i], ids, [len(ids)]))
+        return in_order(len(texts), groups)
+
+    def __call__(self, text: str | None) -> bytes:
+        if not self.byte_level:
+            return self._words_of(text) if text else b""
+        return self.many([text])[0].tobytes()
+
 
 _LOADED: dict[tuple[str, bool, bool, int], LibraryTokens] = {}
 

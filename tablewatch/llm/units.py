@@ -15,23 +15,25 @@ WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005
     "\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 _RUNS = [a + b for a in WHITE_SPACE for b in " \n"]
+_ASCII_RUNS = [run for run in _RUNS if run.isascii()]
 #: A word of letters that have one form only, and the ASCII marks behind it.
 PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
 
 
+def units_of(text: str) -> list[str]:
+    return _UNIT.findall(text)
+
+
 class UnitCache:
     """Looks up what ``encode_unit(unit)`` gives for each unit of a text.
 
     Units behind one space are kept under their text without it, since splitting at the space is
     the cheapest cut. When the cache holds ``limit`` units it is put aside, and what is used again moves
     to a new one, which changes speed only; units over 64 characters are not kept.
-
-    ``encode_words`` may encode the new words of a text together: a list of parts that stand behind one
-    space each, have no space or line end and don't end in white space.
     """
 
-    def __init__(self, encode_unit, limit: int = 400_000, encode_words=None):
-        self.encode_unit, self.limit, self.encode_words = encode_unit, limit, encode_words
+    def __init__(self, encode_unit, limit: int = 400_000):
+        self.encode_unit, self.limit = encode_unit, limit
         self.spaced: dict = {}
         self.before: dict = {}
         self.other: dict = {}
@@ -43,8 +45,8 @@ class UnitCache:
             self.before, self.spaced = self.spaced, {}
         if len(self.other) > self.limit:
             self.other = {}
-        if any(run in text for run in _RUNS):
-            return [self._other(u) for u in _UNIT.findall(text)]
+        if has_runs(text):
+            return [self._other(u) for u in units_of(text)]
         parts = text.replace("\n", " \n").split(" ")
         first = parts.pop(0)
         get = self.spaced.get
@@ -52,9 +54,6 @@ class UnitCache:
         if None in found:
             new = {p for p, value in zip(parts, found) if value is None}
             self.spaced.update((p, value) for p in new if (value := self.before.get(p)) is not None)
-            if self.encode_words:
-                new = {p for p in new if p not in self.spaced and 0 < len(p) <= 64 and p[0] != "\n" and not p[-1].isspace()}
-                self.spaced.update(zip(new, self.encode_words(list(new))))
             for i, value in enumerate(found):
                 if value is None:
                     found[i] = self._spaced(parts[i])
@@ -75,3 +74,81 @@ class UnitCache:
             if len(unit) <= 64:
                 self.other[unit] = value
         return value
+
+
+def text_parts(ids, texts, batch_bytes: int):
+    """Slices of a batch of about so many characters of text, one document at least."""
+    at, held = 0, 0
+    for i, text in enumerate(texts):
+        size = len(text) if text else 0
+        if i > at and held + size > batch_bytes:
+            yield ids[at:i], texts[at:i]
+            at, held = i, 0
+        held += size
+    if at < len(texts):
+        yield ids[at:], texts[at:]
+
+
+class WordTable:
+    """Ids of the words of many texts. Arrow finds the different words, each is looked up once, and the
+    ids are laid out as arrays.
+
+    ``encode(words)`` gives the id bytes of a list of different words. At most ``limit`` words are kept in
+    each of two generations, those used again move to the younger; it changes speed only. Words over 64
+    characters are not kept.
+    """
+
+    def __init__(self, encode, limit: int):
+        self.encode, self.limit = encode, limit
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def found(self, words: list[str]) -> list[bytes]:
+        if len(self.now) >= self.limit:
+            self.before, self.now = self.now, {}
+        out = list(map(self.now.get, words))
+        missing = [i for i, value in enumerate(out) if value is None]
+        if not missing:
+            return out
+        older = list(map(self.before.get, [words[i] for i in missing]))
+        new = [i for i, value in zip(missing, older) if value is None]
+        for i, value in zip(missing, older):
+            out[i] = value
+        for i, value in zip(new, self.encode([words[i] for i in new]), strict=True):
+            out[i] = value
+        keep = [i for i in missing if len(words[i]) <= 64][:max(0, self.limit - len(self.now))]
+        self.now.update(zip(map(words.__getitem__, keep), map(out.__getitem__, keep)))
+        return out
+
+    def laid_out(self, words):
+        """(ids of all texts, number of ids of each) for an Arrow list of words for each text."""
+        import numpy as np
+
+        ends = words.offsets.to_numpy()
+        coded = words.flatten().dictionary_encode()
+        values = self.found(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        at = coded.indices.to_numpy()
+        ids = np.frombuffer(b"".join(map(values.__getitem__, at.tolist())), "<u4")
+        sizes = np.fromiter(map(len, values), np.int32, len(values)) // 4
+        upto = np.concatenate([[0], np.cumsum(sizes[at], dtype=np.int64)])
+        return ids, np.diff(upto[ends - ends[0]])
+
+
+def in_order(n: int, groups):
+    """(ids of all texts, number of ids of each) from groups ``(places, ids, counts)`` of the ``n`` texts."""
+    import numpy as np
+
+    groups = [g for g in groups if len(g[0])]
+    if len(groups) == 1 and len(groups[0][0]) == n:
+        return groups[0][1], groups[0][2]
+    counts, parts = np.zeros(n, np.int64), [np.empty(0, "<u4")] * n
+    for places, ids, own in groups:
+        counts[places] = own
+        for place, part in zip(places, np.split(ids, np.cumsum(own)[:-1])):
+            parts[place] = part
+    return np.concatenate([np.empty(0, "<u4"), *parts]), counts
+
+
+def has_runs(text: str) -> bool:
+    """Whether white space stands in front of a space or a line end."""
+    return any(run in text for run in (_ASCII_RUNS if text.isascii() else _RUNS))
