@@ -24,7 +24,11 @@ from pyspark.sql import types as T
 
 from tablewatch.llm.common import stored
 from tablewatch.llm.libtokens import id_bytes, library_tokens
+from tablewatch.llm.units import text_parts
 
+#: Words kept for look-up, and characters of text cut into pieces together: a pipeline's
+#: workers hold the models of earlier stages too. Memory and speed of a task, not results, depend on them.
+MAX_KNOWN, TOGETHER = 300_000, 4 << 20
 #: Pieces of a range that are ranked together, about, where there are many.
 RANKED_TOGETHER = 50_000
 
@@ -38,26 +42,31 @@ def pieces(df: DataFrame, vocabulary: str, end_id: int, size: int = 4096, id_col
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.LongType())))
 
-    def run(batches: Iterator):
+    def of_texts(doc_ids, all_ids, counts, end: bytes):
         import numpy as np
         import pyarrow as pa
 
-        tokens, end = library_tokens(vocabulary, byte_level=False), id_bytes([end_id])
+        out: list[list] = [[] for _ in range(6)]
+        ends = np.cumsum(counts).tolist()
+        for row, (first, last) in enumerate(zip([0, *ends], ends)):
+            ids = all_ids[first:last].tobytes() + end
+            for at in range(0, len(ids), 4 * size):
+                part = ids[at:at + 4 * size]
+                for column, value in zip(out, (row, at // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4)):
+                    column.append(value)
+                if with_ids:
+                    out[5].append(np.frombuffer(part, "<u4").astype(np.int64))
+        columns = [doc_ids.take(pa.array(out[0], pa.int64()))]
+        columns += [pa.array(c, pa.int64()) for c in out[1:5]]
+        if with_ids:
+            columns.append(pa.array(out[5], pa.list_(pa.int64())))
+        return pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    def run(batches: Iterator):
+        tokens, end = library_tokens(vocabulary, byte_level=False, max_known=MAX_KNOWN), id_bytes([end_id])
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for row, text in enumerate(batch.column(1)):
-                ids = tokens(text.as_py()) + end
-                for at in range(0, len(ids), 4 * size):
-                    part = ids[at:at + 4 * size]
-                    for column, value in zip(out, (row, at // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4)):
-                        column.append(value)
-                    if with_ids:
-                        out[5].append(np.frombuffer(part, "<u4").astype(np.int64))
-            columns = [batch.column(0).take(pa.array(out[0], pa.int64()))]
-            columns += [pa.array(c, pa.int64()) for c in out[1:5]]
-            if with_ids:
-                columns.append(pa.array(out[5], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+            for doc_ids, texts in text_parts(batch.column(0), batch.column(1).to_pylist(), TOGETHER):
+                yield of_texts(doc_ids, *tokens.many(texts), end)
 
     return df.select(df[id_col].alias("doc_id"), df[text_col].alias("text")).mapInArrow(run, T.StructType(fields))
 
