@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewatch.llm.common import open_shared, stored, work_path, write_shared
-from tablewatch.llm.libtokens import id_bytes, library_tokens
+from tablewatch.llm.libtokens import TOGETHER, library_tokens
+from tablewatch.llm.units import text_parts
 
 #: Ids of a block at most, and between two bit offsets.
 BLOCK_IDS, INTERVAL = 1 << 19, 128
@@ -171,16 +172,21 @@ def write_files(df: DataFrame, folder: str, vocabulary: str, end_id: int, id_col
                             T.StructField("order", T.LongType())])
 
     def tokenise(batches: Iterator):
+        import numpy as np
         import pyarrow as pa
         import zstandard
 
-        tokens, end, squeeze = library_tokens(vocabulary, byte_level=True), id_bytes([end_id]), \
-            zstandard.ZstdCompressor(3).compress
+        tokens, squeeze = library_tokens(vocabulary, byte_level=True), zstandard.ZstdCompressor(3).compress
         for batch in batches:
-            ids = [tokens(t.as_py()) + end for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([squeeze(i) for i in ids], pa.binary()),
-                pa.array([zlib.crc32(i) for i in ids], pa.int64())], names=["doc_id", "ids", "order"])
+            for doc_ids, texts in text_parts(batch.column(0), batch.column(1).to_pylist(), TOGETHER):
+                ids, counts = tokens.many(texts)
+                ends = np.cumsum(counts)
+                ids = np.insert(ids, ends, end_id).tobytes()
+                cuts = [0, *(4 * (ends + np.arange(1, len(ends) + 1))).tolist()]
+                ids = [ids[i:j] for i, j in zip(cuts, cuts[1:])]
+                yield pa.RecordBatch.from_arrays([
+                    doc_ids, pa.array([squeeze(i) for i in ids], pa.binary()),
+                    pa.array([zlib.crc32(i) for i in ids], pa.int64())], names=["doc_id", "ids", "order"])
 
     def unpacked(batch):
         import numpy as np
