@@ -75,6 +75,26 @@ def test_indexed_categories(spark, sf_small):
         FE.one_hot(docs, ["text"], max_categories=30)
 
 
+def test_rows_are_not_moved_by_a_few_categories(spark, monkeypatch):
+    rows = [(i, [None, "", "a", "é"][i % 4], f"{i % 700} long text " * 20 if i % 9 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, c string, t string").repartition(4)
+    order = {"c": [None, "", "a", "é"], "t": sorted({t for _, _, t in rows}, key=lambda t: (t is not None, t or ""))}
+    wanted = [(i, order["c"].index(c), order["t"].index(t)) for i, c, t in rows]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = FE.one_hot_indexed(df, ["c", "t"]).select("id", "c_index", "t_index")
+        assert sorted(map(tuple, small.collect())) == wanted
+        assert "SortMergeJoin" not in plan(small)
+        monkeypatch.setattr(FE, "BROADCAST_BYTES", 1000)
+        by_digest = FE.one_hot_indexed(df, ["c", "t"]).select("id", "c_index", "t_index")
+        assert sorted(map(tuple, by_digest.collect())) == wanted
+        assert plan(by_digest).split("== Initial Plan ==")[0].count("SortMergeJoin") == 1  # the long texts alone
+        assert FE.one_hot_indexed(df, ["c", "t"]).columns == ["id", "c", "t", "c_index", "t_index"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_failing_rows_of_all_checks(spark, tmp_path):
     rows = [(i, i % 50, "x" if i % 7 else None) for i in range(2000)] + [(5, 5, "again"), (5, 6, None)]
     spark.createDataFrame(rows, "id int, v int, t string").repartition(5).write.parquet(str(tmp_path / "t"))
