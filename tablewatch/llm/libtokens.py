@@ -22,6 +22,8 @@ TOGETHER, NEW_TOGETHER = 8 << 20, 1000
 BARE = "\n\n"
 #: Stands for a space in a byte-level vocabulary.
 SPACE = "Ġ"
+#: Ends the last token of a word, in a vocabulary that drops the white space between words.
+WORD_END = "</w>"
 
 
 def id_bytes(ids) -> bytes:
@@ -47,12 +49,14 @@ class LibraryTokens:
         self.size = self.library.get_vocab_size()
         self.max_known = max_known
         self.known: dict[str, bytes] = {}
+        #: Ids of words without the marks behind them, as they stand behind a space.
+        self.heads: dict[str, bytes] = {}
         self.byte_level = byte_level
-        self.table = WordTable(self._spaced_parts, max_known // 2)
-        self.word_known: dict[str, bytes] = {}
-        #: For each id, whether its token begins with a space.
-        self.begins = np.zeros(1 + max(self.library.get_vocab().values()), bool)
+        self.table = WordTable(self._spaced_parts if byte_level else self._bare_words, max_known // 2)
+        #: For each id, whether its token begins with a space, and whether it ends a word.
+        self.begins, self.ends = np.zeros((2, 1 + max(self.library.get_vocab().values())), bool)
         self.begins[[i for entry, i in self.library.get_vocab().items() if entry[0] == SPACE]] = True
+        self.ends[[i for entry, i in self.library.get_vocab().items() if entry.endswith(WORD_END)]] = True
         self.odd = re.compile("[\x1c-\x1f]")
 
     def _library(self, part: str) -> bytes:
@@ -71,96 +75,91 @@ class LibraryTokens:
             return self._library(" " + plain[1]) + self._library(plain[2])
         return self._library(unit)
 
-    def _spaced_words(self, parts: list[str]) -> list[bytes]:
-        """Ids of each part behind a space. New ones go to the library as one text, whose ids are cut in
-        front of every token that begins with a space."""
+    def _heads(self, heads: list[str]) -> list[bytes]:
+        """Ids of words as they stand behind a space. New ones go to the library as one text, whose ids are cut
+        in front of every token that begins with a space, or behind every one that ends a word."""
         import numpy as np
 
-        cut = [(p[1], p[2]) if (p := PLAIN.fullmatch(part)) else (part, "") for part in parts]
-        new = [head for head in dict.fromkeys(head for head, _ in cut) if " " + head not in self.known]
-        if len(self.known) + len(new) >= self.max_known:
-            self.known = {}
-            new = list(dict.fromkeys(head for head, _ in cut))
-        if new:
-            own = id_bytes(self.library.encode(" " + " ".join(new), add_special_tokens=False).ids)
-            at = (4 * np.flatnonzero(self.begins[np.frombuffer(own, "<u4")])).tolist()
-            for head, start, end in zip(new, at, [*at[1:], len(own)], strict=True):
-                self.known[" " + head] = own[start:end]
-        known = self.known  # a look-up of marks may begin a new one
-        return [known[" " + head] + (self._library(tail) if tail else b"") for head, tail in cut]
+        found = list(map(self.heads.get, heads))
+        new = list(dict.fromkeys(head for head, ids in zip(heads, found) if ids is None))
+        if not new:
+            return found
+        if len(self.heads) + len(new) > self.max_known:
+            self.heads = {}
+        fresh: dict[str, bytes] = {}
+        for first in range(0, len(new), NEW_TOGETHER):
+            some = new[first:first + NEW_TOGETHER]
+            own = self.library.encode((" " if self.byte_level else "") + " ".join(some), add_special_tokens=False).ids
+            own = np.array(own, "<u4")
+            at = (4 * (np.flatnonzero(self.begins[own]) if self.byte_level else np.r_[0, 1 + np.flatnonzero(self.ends[own])])).tolist()
+            own = own.tobytes()
+            fresh.update(zip(some, [own[i:j] for i, j in zip(at, [*at[1:], len(own)] if self.byte_level else at[1:])], strict=True))
+        if len(self.heads) + len(fresh) <= self.max_known:
+            self.heads.update(fresh)
+        return [fresh[head] if ids is None else ids for head, ids in zip(heads, found)]
+
+    def _with_tails(self, out: list, places: list[int], heads: list[str], tails: list[str]) -> list[bytes]:
+        for i, ids, tail in zip(places, self._heads(heads), tails, strict=True):
+            out[i] = ids + self._library(tail) if tail else ids
+        return out
 
     def _spaced_parts(self, parts: list[str]) -> list[bytes]:
         """Ids of the parts between spaces: behind a space, unless a part begins with a line end or ``BARE``."""
         out: list = [None] * len(parts)
-        together = []
+        places, heads, tails, plain = [], [], [], PLAIN.fullmatch
         for i, part in enumerate(parts):
-            if 0 < len(part) <= 64 and part[0] != "\n" and not part[-1].isspace():
-                together.append(i)
-            elif part == BARE:
-                out[i] = b""
+            if len(part) <= 64 and (p := plain(part)):
+                head, tail = p.groups()
+            elif 0 < len(part) <= 64 and part[0] != "\n" and not part[-1].isspace():
+                head, tail = part, ""
             else:
-                out[i] = self._spaced_unit(part.removeprefix(BARE) if part[:1] == "\n" else " " + part)
-        for at in range(0, len(together), NEW_TOGETHER):
-            some = together[at:at + NEW_TOGETHER]
-            for i, ids in zip(some, self._spaced_words([parts[i] for i in some]), strict=True):
-                out[i] = ids
-        return out
-
-    def _word(self, word: str) -> bytes:
-        plain = PLAIN.fullmatch(word)
-        if not plain:
-            return self._library(word)
-        head = self._library(plain[1].lower())
-        return head + self._library(plain[2]) if plain[2] else head
-
-    def _words_of(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return id_bytes(self.library.encode(text, add_special_tokens=False).ids)
-        if len(self.word_known) >= self.max_known:
-            self.word_known = {}
-        # \x1c-\x1f are white space to Python only
-        parts = [p for p in re.split(f"[{SPACE_CHARS}]+", text) if p] if self.odd.search(text) else text.split()
-        get = self.word_known.get
-        found = [get(p) for p in parts]
-        if None in found:
-            for i, value in enumerate(found):
-                if value is None:
-                    found[i] = self.word_known.get(parts[i])
-                    if found[i] is None:
-                        found[i] = self._word(parts[i])
-                        if len(parts[i]) <= 64 and len(self.word_known) < self.max_known:
-                            self.word_known[parts[i]] = found[i]
-        return b"".join(found)
+                out[i] = b"" if part == BARE else self._spaced_unit(part.removeprefix(BARE) if part[:1] == "\n" else " " + part)
+                continue
+            places.append(i)
+            heads.append(head)
+            tails.append(tail)
+        return self._with_tails(out, places, heads, tails)
+
+    def _bare_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of a vocabulary that drops the white space between them and lower-cases."""
+        out: list = [None] * len(words)
+        places, heads, tails, plain = [], [], [], PLAIN.fullmatch
+        for i, word in enumerate(words):
+            if len(word) <= 64 and (p := plain(word)):
+                places.append(i)
+                heads.append(p[1].lower())
+                tails.append(p[2])
+            else:
+                out[i] = self._library(word) if word else b""
+        return self._with_tails(out, places, heads, tails)
 
     def _cut(self, text: str) -> list[str]:
         """The parts of a text that Arrow's cut at spaces would not give."""
+        if not self.byte_level:  # \x1c-\x1f are white space to Arrow and Python only
+            return re.split(f"[{SPACE_CHARS}]+", text)
         return [u[1:] if u[0] == " " and not u[1:2].isspace() else BARE + u for u in units_of(text)]
 
     def many(self, texts: list[str | None]):
-        """(ids of all texts, number of ids of each) as arrays; texts of about ``TOGETHER`` characters at a time.
-
-        Words of a byte-level vocabulary are looked up together, those of the other text by text, which was faster."""
+        """(ids of all texts, number of ids of each) as arrays; texts of about ``TOGETHER`` characters at a time."""
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        if not self.byte_level:
-            own = [self._words_of(text) if text else b"" for text in texts]
-            return np.frombuffer(b"".join(own), "<u4"), np.array([len(x) // 4 for x in own], np.int64)
         plain, cut, whole = [], [], []
         for i, text in enumerate(texts):
             if text:
                 if any(s in text for s in self.special):
                     whole.append(i)
-                elif has_runs(text):
+                elif has_runs(text) if self.byte_level else self.odd.search(text):
                     cut.append(i)
                 else:
                     plain.append(i)
         groups = []
         if plain:
             own = pa.array([texts[i] for i in plain], pa.string())
-            own = pc.binary_join_element_wise(BARE, pc.replace_substring(own, "\n", " \n"), "")
-            groups.append((plain, *self.table.laid_out(pc.split_pattern(own, " "))))
+            if self.byte_level:
+                own = pc.binary_join_element_wise(BARE, pc.replace_substring(own, "\n", " \n"), "")
+            groups.append((plain, *self.table.laid_out(pc.split_pattern(own, " ") if self.byte_level else pc.utf8_split_whitespace(own))))
         if cut:
             groups.append((cut, *self.table.laid_out(pa.array([self._cut(texts[i]) for i in cut], pa.list_(pa.string())))))
         for i in whole:
@@ -169,8 +168,6 @@ class LibraryTokens:
         return in_order(len(texts), groups)
 
     def __call__(self, text: str | None) -> bytes:
-        if not self.byte_level:
-            return self._words_of(text) if text else b""
         return self.many([text])[0].tobytes()
 
 

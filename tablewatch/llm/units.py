@@ -128,10 +128,13 @@ class WordTable:
         coded = words.flatten().dictionary_encode()
         values = self.found(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         at = coded.indices.to_numpy()
-        ids = np.frombuffer(b"".join(map(values.__getitem__, at.tolist())), "<u4")
-        sizes = np.fromiter(map(len, values), np.int32, len(values)) // 4
-        upto = np.concatenate([[0], np.cumsum(sizes[at], dtype=np.int64)])
-        return ids, np.diff(upto[ends - ends[0]])
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        own = sizes[at]
+        upto = np.concatenate([[0], np.cumsum(own)])
+        # ids of the different words one behind another, and where in there each id of the texts is found
+        place = np.repeat((np.cumsum(sizes) - sizes)[at] - upto[:-1], own)
+        place += np.arange(len(place))
+        return np.frombuffer(b"".join(values), "<u4")[place], np.diff(upto[ends - ends[0]])
 
 
 def in_order(n: int, groups):
