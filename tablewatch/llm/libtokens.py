@@ -12,9 +12,10 @@ import re
 from array import array
 
 from tablewatch.llm.common import SPACE_CHARS, tokenizer_path
-from tablewatch.llm.units import PLAIN, WordTable, has_runs, in_order, units_of
+from tablewatch.llm.units import PLAIN, PLAIN_PARTS, ArrowWordTable, gathered, has_runs, in_order, units_of
 
-#: Words that a process keeps for look-up, half of them in each of two generations, and as many without the marks behind them.
+#: Words that a process keeps for look-up, half of them in each of two generations, and four times as many without the
+#: marks behind them, in arrays of about 40 bytes a word.
 MAX_KNOWN = 600_000
 #: Characters of text that are looked up together, about, and new words that the library gets at once.
 TOGETHER, NEW_TOGETHER = 8 << 20, 1000
@@ -49,10 +50,10 @@ class LibraryTokens:
         self.size = self.library.get_vocab_size()
         self.max_known = max_known
         self.known: dict[str, bytes] = {}
-        #: Ids of words without the marks behind them, as they stand behind a space.
-        self.heads: dict[str, bytes] = {}
         self.byte_level = byte_level
-        self.table = WordTable(self._spaced_parts if byte_level else self._bare_words, max_known // 2)
+        self.table = ArrowWordTable(self._parts, max_known // 2)
+        #: Words without the marks behind them, as they stand behind a space: what the library is asked for, so more are kept.
+        self.heads = ArrowWordTable(self._head_ids, 2 * max_known)
         #: For each id, whether its token begins with a space, and whether it ends a word.
         self.begins, self.ends = np.zeros((2, 1 + max(self.library.get_vocab().values())), bool)
         self.begins[[i for entry, i in self.library.get_vocab().items() if entry[0] == SPACE]] = True
@@ -75,63 +76,59 @@ class LibraryTokens:
             return self._library(" " + plain[1]) + self._library(plain[2])
         return self._library(unit)
 
-    def _heads(self, heads: list[str]) -> list[bytes]:
-        """Ids of words as they stand behind a space. New ones go to the library as one text, whose ids are cut
+    def _head_ids(self, heads):
+        """Ids of words as they stand behind a space. They go to the library as few texts, whose ids are cut
         in front of every token that begins with a space, or behind every one that ends a word."""
         import numpy as np
 
-        found = list(map(self.heads.get, heads))
-        new = list(dict.fromkeys(head for head, ids in zip(heads, found) if ids is None))
-        if not new:
-            return found
-        if len(self.heads) + len(new) > self.max_known:
-            self.heads = {}
-        fresh: dict[str, bytes] = {}
-        for first in range(0, len(new), NEW_TOGETHER):
-            some = new[first:first + NEW_TOGETHER]
-            own = self.library.encode((" " if self.byte_level else "") + " ".join(some), add_special_tokens=False).ids
-            own = np.array(own, "<u4")
-            at = (4 * (np.flatnonzero(self.begins[own]) if self.byte_level else np.r_[0, 1 + np.flatnonzero(self.ends[own])])).tolist()
-            own = own.tobytes()
-            fresh.update(zip(some, [own[i:j] for i, j in zip(at, [*at[1:], len(own)] if self.byte_level else at[1:])], strict=True))
-        if len(self.heads) + len(fresh) <= self.max_known:
-            self.heads.update(fresh)
-        return [fresh[head] if ids is None else ids for head, ids in zip(heads, found)]
-
-    def _with_tails(self, out: list, places: list[int], heads: list[str], tails: list[str]) -> list[bytes]:
-        for i, ids, tail in zip(places, self._heads(heads), tails, strict=True):
-            out[i] = ids + self._library(tail) if tail else ids
-        return out
-
-    def _spaced_parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of the parts between spaces: behind a space, unless a part begins with a line end or ``BARE``."""
-        out: list = [None] * len(parts)
-        places, heads, tails, plain = [], [], [], PLAIN.fullmatch
-        for i, part in enumerate(parts):
-            if len(part) <= 64 and (p := plain(part)):
-                head, tail = p.groups()
-            elif 0 < len(part) <= 64 and part[0] != "\n" and not part[-1].isspace():
-                head, tail = part, ""
-            else:
-                out[i] = b"" if part == BARE else self._spaced_unit(part.removeprefix(BARE) if part[:1] == "\n" else " " + part)
-                continue
-            places.append(i)
-            heads.append(head)
-            tails.append(tail)
-        return self._with_tails(out, places, heads, tails)
-
-    def _bare_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of a vocabulary that drops the white space between them and lower-cases."""
-        out: list = [None] * len(words)
-        places, heads, tails, plain = [], [], [], PLAIN.fullmatch
-        for i, word in enumerate(words):
-            if len(word) <= 64 and (p := plain(word)):
-                places.append(i)
-                heads.append(p[1].lower())
-                tails.append(p[2])
-            else:
-                out[i] = self._library(word) if word else b""
-        return self._with_tails(out, places, heads, tails)
+        heads, parts, counts = heads.to_pylist(), [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+        for first in range(0, len(heads), NEW_TOGETHER):
+            some = heads[first:first + NEW_TOGETHER]
+            text = (" " if self.byte_level else "") + " ".join(some)
+            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+            own = np.diff(np.flatnonzero(self.begins[ids]), append=len(ids)) if self.byte_level else np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+            if len(own) != len(some) or own.sum() != len(ids):
+                raise ValueError("the library's tokens don't end where the words do")
+            parts.append(ids)
+            counts.append(own)
+        return np.concatenate(parts), np.concatenate(counts)
+
+    def _parts(self, parts):
+        """Ids of the parts between white space, behind a space where the vocabulary keeps it, unless a part begins
+        with a line end or ``BARE``. Most are a word whose ids stand by themselves, and marks."""
+        import numpy as np
+        import pyarrow.compute as pc
+
+        fields = pc.extract_regex(parts, PLAIN_PARTS)
+        short = pc.less_equal(pc.utf8_length(parts), 64)
+        plain = pc.is_valid(fields)
+        heads, tails = pc.struct_field(fields, 0), pc.struct_field(fields, 1)
+        if self.byte_level:
+            apart = pc.and_(pc.not_equal(parts, ""), pc.and_not(pc.equal(pc.utf8_rtrim_whitespace(parts), parts), pc.starts_with(parts, "\n")))
+            heads, tails = pc.if_else(plain, heads, parts), pc.if_else(plain, tails, "")
+            joined = pc.and_(short, pc.or_(plain, apart))
+        else:
+            heads, joined = pc.utf8_lower(heads), pc.and_(short, plain)
+        joined = joined.to_numpy(zero_copy_only=False)
+        heads, tails = (x.filter(joined).dictionary_encode() for x in (heads, tails))
+        pool, begins, sizes = self.heads.coded(heads.dictionary)
+        others = [self._library(tail) if tail else b"" for tail in tails.dictionary.to_pylist()]
+        others += [self._unit(part) for part in parts.filter(~joined).to_pylist()]
+        lengths = np.fromiter(map(len, others), np.int64, len(others)) // 4
+        begins = np.concatenate([begins, len(pool) + np.cumsum(lengths) - lengths, [0]])
+        sizes = np.concatenate([sizes, lengths, [0]])
+        pool = np.concatenate([pool, np.frombuffer(b"".join(others), "<u4")])
+        # of each part: the head and the tail, or itself and nothing
+        at = np.empty((len(parts), 2), np.int64)
+        at[joined, 0], at[joined, 1] = heads.indices.to_numpy(), len(heads.dictionary) + tails.indices.to_numpy()
+        at[~joined, 0] = len(heads.dictionary) + len(tails.dictionary) + np.arange(len(parts) - joined.sum())
+        at[~joined, 1] = len(sizes) - 1
+        return gathered(pool, begins[at.ravel()], sizes[at.ravel()]), sizes[at].sum(axis=1)
+
+    def _unit(self, part: str) -> bytes:
+        if not self.byte_level:
+            return self._library(part) if part else b""
+        return b"" if part == BARE else self._spaced_unit(part.removeprefix(BARE) if part[:1] == "\n" else " " + part)
 
     def _cut(self, text: str) -> list[str]:
         """The parts of a text that Arrow's cut at spaces would not give."""

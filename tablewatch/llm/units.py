@@ -18,6 +18,7 @@ _RUNS = [a + b for a in WHITE_SPACE for b in " \n"]
 _ASCII_RUNS = [run for run in _RUNS if run.isascii()]
 #: A word of letters that have one form only, and the ASCII marks behind it.
 PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
+PLAIN_PARTS = "^(?P<head>[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)(?P<tail>[.,;:!?]*)$"
 
 
 def units_of(text: str) -> list[str]:
@@ -126,15 +127,76 @@ class WordTable:
 
         ends = words.offsets.to_numpy()
         coded = words.flatten().dictionary_encode()
-        values = self.found(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        pool, begins, sizes = self.coded(coded.dictionary)
         at = coded.indices.to_numpy()
+        upto = np.concatenate([[0], np.cumsum(sizes[at])])
+        return gathered(pool, begins[at], sizes[at]), np.diff(upto[ends - ends[0]])
+
+    def coded(self, different):
+        """For an Arrow array of different words: (ids, where those of each word begin in them, how many they are)."""
+        import numpy as np
+
+        values = self.found(different.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        own = sizes[at]
-        upto = np.concatenate([[0], np.cumsum(own)])
-        # ids of the different words one behind another, and where in there each id of the texts is found
-        place = np.repeat((np.cumsum(sizes) - sizes)[at] - upto[:-1], own)
-        place += np.arange(len(place))
-        return np.frombuffer(b"".join(values), "<u4")[place], np.diff(upto[ends - ends[0]])
+        return np.frombuffer(b"".join(values), "<u4"), np.cumsum(sizes) - sizes, sizes
+
+
+class Kept:
+    """Words with their ids, as arrays."""
+
+    def __init__(self, words, ids, sizes):
+        self.words, self.ids, self.sizes = words, ids, sizes
+
+    @classmethod
+    def none(cls):
+        import numpy as np
+        import pyarrow as pa
+
+        return cls(pa.array([], pa.string()), np.empty(0, "<u4"), np.empty(0, np.int64))
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+
+class ArrowWordTable(WordTable):
+    """A ``WordTable`` of arrays alone: ``encode(words)`` gives (ids, number of ids of each) for an Arrow array of
+    different words, and Arrow looks the words up."""
+
+    def __init__(self, encode, limit: int):
+        self.encode, self.limit = encode, limit
+        self.now, self.before = Kept.none(), Kept.none()
+
+    def coded(self, different):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if len(self.now) >= self.limit:
+            self.before, self.now = self.now, Kept.none()
+        now, before = (pc.fill_null(pc.index_in(different, value_set=kept.words), -1).to_numpy() for kept in (self.now, self.before))
+        slot = np.where(now >= 0, now, np.where(before >= 0, before + len(self.now), -1)).astype(np.int64)
+        new = np.flatnonzero(slot < 0)
+        ids, sizes = self.encode(different.take(pa.array(new)))
+        slot[new] = len(self.now) + len(self.before) + np.arange(len(new))
+        pool = np.concatenate([self.now.ids, self.before.ids, ids])
+        sizes = np.concatenate([self.now.sizes, self.before.sizes, sizes])
+        begins, sizes = (np.cumsum(sizes) - sizes)[slot], sizes[slot]
+        keep = np.flatnonzero((now < 0) & pc.less_equal(pc.utf8_length(different), 64).to_numpy(zero_copy_only=False))
+        keep = keep[:max(0, self.limit - len(self.now))]
+        if len(keep):
+            self.now = Kept(pa.concat_arrays([self.now.words, different.take(pa.array(keep))]),
+                            np.concatenate([self.now.ids, gathered(pool, begins[keep], sizes[keep])]),
+                            np.concatenate([self.now.sizes, sizes[keep]]))
+        return pool, begins, sizes
+
+
+def gathered(pool, begins, sizes):
+    """The runs of ``pool`` that begin at ``begins`` and are ``sizes`` long, one behind another."""
+    import numpy as np
+
+    place = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
+    place += np.arange(len(place))
+    return pool[place]
 
 
 def in_order(n: int, groups):

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from tablewatch.llm import alignment as A
 from tablewatch.llm import libtokens
-from tablewatch.llm.units import WordTable, text_parts
+from tablewatch.llm.units import ArrowWordTable, WordTable, text_parts
 
 PARTS = ["a", "The", "the,", " ", " ", "  ", "\n", "é.", "中文", "ing", "\t", "\x1c", "　", "<|endoftext|>", "123", "don't", "Été!", "\r\n"]
 
@@ -55,3 +55,36 @@ def test_parts_of_a_batch_hold_at_least_a_text():
     ids, texts = pa.array(range(5)), ["aaaa", None, "bbbbbbbbb", "", "c"]
     assert [t for _, t in text_parts(ids, texts, 5)] == [["aaaa", None], ["bbbbbbbbb"], ["", "c"]]
     assert [x for i, _ in text_parts(ids, texts, 5) for x in i.to_pylist()] == list(range(5))
+
+
+class Counted:
+    def __init__(self, library):
+        self.library, self.calls = library, 0
+
+    def encode(self, *given, **named):
+        self.calls += 1
+        return self.library.encode(*given, **named)
+
+
+@pytest.mark.parametrize("name,byte_level", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_new_words_go_to_the_library_together(name, byte_level):
+    own = libtokens.LibraryTokens(name, byte_level)
+    own.library = counted = Counted(own.library)
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdeéÉßxyz", k=rng.randint(1, 9))) + rng.choice(["", "", ".", "!!"]) for _ in range(5000)]
+    texts = [" ".join(words[i:i + 50]) for i in range(0, 5000, 50)]
+    ids, counts = own.many(texts)
+    want = [counted.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+    assert counted.calls <= 250  # the first part of each text is looked up by itself where a space belongs to a word
+    before, again = counted.calls, own.many(texts[:10])
+    assert again[0].tolist() == ids[:len(again[0])].tolist() and counted.calls == before
+
+
+def test_arrow_word_table_keeps_a_bounded_number_of_words():
+    table = ArrowWordTable(lambda words: (np.array([len(w) for w in words.to_pylist()], "<u4"), np.ones(len(words), np.int64)), 50)
+    for start in [*range(0, 1000, 70), 0, 0]:
+        words = [f"w{i}" for i in range(start, start + 100)] + ["x" * 70]
+        ids, counts = table.laid_out(pa.array([words, [], words[:3] * 2], pa.list_(pa.string())))
+        assert ids.tolist() == [len(w) for w in words + words[:3] * 2] and counts.tolist() == [101, 0, 6]
+        assert len(table.now) <= 50 and len(table.before) <= 50 and "x" * 70 not in table.now.words.to_pylist()
