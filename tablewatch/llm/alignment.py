@@ -23,17 +23,18 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewatch.llm.common import stored, tokenizer_path
-from tablewatch.llm.libtokens import id_bytes, library_tokens
-from tablewatch.llm.units import WordTable, in_order, text_parts
+from tablewatch.llm.common import TEXT_BATCH_BYTES, stored, tokenizer_path
+from tablewatch.llm.libtokens import NEW_TOGETHER, library_tokens
+from tablewatch.llm.units import ArrowWordTable, in_order, text_parts
 
-#: Bytes of text that a task aligns at a time, unless one document is longer.
-BATCH_BYTES = 1 << 20
+#: Bytes of text that a task tokenises at a time, and tokens that it aligns at a time, unless one document is longer.
+BATCH_BYTES, TOKENS_TOGETHER = 1 << 20, 1 << 17
 #: An id pair is one number: the first id times this, and the second.
 PAIR = 1 << 24
 #: Words that each side keeps for look-up, in each of two generations; memory of a task, not results, depends on it.
@@ -82,13 +83,20 @@ class PieceSide:
         self.bytes_of = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.apart = "▁" in pieces and not any(re.search("[^▁]▁", p) for p in pieces)
         # the model encodes an empty text as nothing, but a space alone ends a text
-        self.space = id_bytes([pieces.index("▁")]) if self.apart else b""
-        self.table = WordTable(self._units, MAX_KNOWN)
+        self.space = [pieces.index("▁")] if self.apart else []
+        self.table = ArrowWordTable(self._units, MAX_KNOWN)
 
-    def _units(self, units: list[str]) -> list[bytes]:
-        """Ids of what stands behind a space each."""
-        return [ids if unit else self.space
-                for unit, ids in zip(units, map(id_bytes, self.model.encode(units, num_threads=1)), strict=True)]
+    def _units(self, units):
+        """(ids, number of ids of each) of what stands behind a space each, for an Arrow array."""
+        import numpy as np
+
+        parts, counts = [], []
+        for first in range(0, len(units), NEW_TOGETHER):
+            some = units[first:first + NEW_TOGETHER].to_pylist()
+            found = [ids if unit else self.space for unit, ids in zip(some, self.model.encode(some, num_threads=1), strict=True)]
+            counts += map(len, found)
+            parts.append(np.fromiter(chain.from_iterable(found), "<u4"))
+        return np.concatenate([np.empty(0, "<u4"), *parts]), np.array(counts, np.int64)
 
     def many(self, texts: list[str]):
         """(ids of all texts, number of ids of each) as arrays."""
@@ -170,6 +178,17 @@ def tokenised(texts: list[str | None], a, b):
     return tables
 
 
+def document_slices(ta, tb, na, nb, together: int | None = None):
+    """First and last document, and the rows of both tables, of documents with about ``together`` tokens of the first side.
+    ``na`` and ``nb``: tokens of each document. No token covers one of another document, so slices are aligned by themselves."""
+    import numpy as np
+
+    ends = [np.concatenate([[0], np.cumsum(x)]) for x in (na, nb)]
+    firsts = _runs(ends[0][:-1] // (together or TOKENS_TOGETHER)).tolist()
+    for first, last in zip(firsts, [*firsts[1:], len(na)], strict=True):
+        yield first, last, *(t.iloc[end[first]:end[last]] for t, end in zip((ta, tb), ends, strict=True))
+
+
 def covering(one, other):
     """For each token of ``one``, the row of ``other`` whose token covers its start."""
     import numpy as np
@@ -278,21 +297,21 @@ def aligned_batches(df: DataFrame, first: str, second: str, batch_bytes: int = B
             for ids, texts in text_parts(batch.column(0), batch.column(1).to_pylist(), batch_bytes):
                 n = len(texts)
                 ta, tb = tokenised(texts, a, b)
-                left, right = covering(ta, tb), covering(tb, ta)
-                ga, gb = groups(left, right)
-                da, db = ta["doc"].to_numpy(), tb["doc"].to_numpy()
-                ia, ib = ta["id"].to_numpy(), tb["id"].to_numpy()
-                na, nb = np.bincount(da, minlength=n), np.bincount(db, minlength=n)
-                del ta, tb, left, right
-                doc_of_group = da[_runs(ga)]
-                n_groups = np.bincount(doc_of_group, minlength=n)
-                in_group = np.bincount(ga, minlength=len(doc_of_group)) * np.bincount(gb, minlength=len(doc_of_group))
-                n_links = np.zeros(n, np.int64)
-                np.add.at(n_links, doc_of_group, in_group)
-                named = group_texts(ga, ia, np.cumsum(na), gb, ib, np.cumsum(nb), marked_ids(max(len(a.bytes_of), len(b.bytes_of))))
-                digests = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in named]
-                del named
-                doc, pair, times = linked(doc_of_group, ga, ia, gb, ib)
+                na, nb = (np.bincount(t["doc"], minlength=n) for t in (ta, tb))
+                n_groups, n_links = np.zeros((2, n), np.int64)
+                digests, found = [], []
+                for low, high, sa, sb in document_slices(ta, tb, na, nb):
+                    ga, gb = groups(covering(sa, sb), covering(sb, sa))
+                    ia, ib = sa["id"].to_numpy(), sb["id"].to_numpy()
+                    doc_of_group = sa["doc"].to_numpy()[_runs(ga)]
+                    n_groups += np.bincount(doc_of_group, minlength=n)
+                    in_group = np.bincount(ga, minlength=len(doc_of_group)) * np.bincount(gb, minlength=len(doc_of_group))
+                    np.add.at(n_links, doc_of_group, in_group)
+                    named = group_texts(ga, ia, np.cumsum(na[low:high]), gb, ib, np.cumsum(nb[low:high]), marked_ids(max(len(a.bytes_of), len(b.bytes_of))))
+                    digests += [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in named]
+                    found.append(linked(doc_of_group, ga, ia, gb, ib))
+                del ta, tb, sa, sb, named
+                doc, pair, times = map(np.concatenate, zip(*found, strict=True))
                 pairs, place, docs = np.unique(pair, return_inverse=True, return_counts=True)
                 ends = np.searchsorted(doc, np.arange(1, n + 1))
                 yield pa.RecordBatch.from_arrays(
@@ -322,7 +341,7 @@ def align(df: DataFrame, first: str, second: str, id_col: str = "doc_id", text_c
     is the sum over links of the documents that hold the pair.
     """
     docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].alias("text"))
-    batches = stored(aligned_batches(docs, first, second, batch_bytes), "aligned")
+    batches = stored(aligned_batches(docs, first, second, batch_bytes), "aligned", TEXT_BATCH_BYTES)
     counts = pair_counts(batches)
     held = batches.select(F.col("batch").alias("held_by"), F.explode("pairs").alias("pair")).join(counts, "pair")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 import zlib
@@ -22,11 +23,32 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
+#: Bytes of Arrow data that a task which tokenises texts gets at once, about; one row at least.
+TEXT_BATCH_BYTES = 2 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, size: int | None):
+    """What runs inside hands Python tasks Arrow batches of about ``size`` bytes, since 10,000 long texts at once are held
+    several times over, by Spark and by the task. A size that the caller's session sets holds instead."""
+    if size is None or spark.conf.get(_BATCH_BYTES, None) is not None:
+        yield
+        return
+    spark.conf.set(_BATCH_BYTES, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH_BYTES)
+
+
+def stored(df: DataFrame, label: str, batch_bytes: int | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors.
+    ``batch_bytes``: size of the Arrow batches of its Python tasks."""
     spark = df.sparkSession
     path = work_path(spark, label)
-    df.write.parquet(path)
+    with arrow_batches(spark, batch_bytes):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
