@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewatch.llm.common import stored
+from tablewatch.llm.common import TEXT_BATCH_BYTES, stored
 from tablewatch.llm.libtokens import id_bytes, library_tokens
 from tablewatch.llm.units import text_parts
 
 #: Words kept for look-up, and characters of text cut into pieces together: a pipeline's
 #: workers hold the models of earlier stages too. Memory and speed of a task, not results, depend on them.
-MAX_KNOWN, TOGETHER = 300_000, 4 << 20
+MAX_KNOWN, TOGETHER = 100_000, 1 << 20
 #: Pieces of a range that are ranked together, about, where there are many.
 RANKED_TOGETHER = 50_000
 
@@ -213,4 +213,4 @@ def pack(piece_rows: DataFrame, size: int = 4096) -> DataFrame:
 def pack_documents(df: DataFrame, vocabulary: str, end_id: int, size: int = 4096, id_col: str = "doc_id",
                    text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """Tokenise once (kept in the shared folder) and pack: rows of :func:`pieces` with their place."""
-    return pack(stored(pieces(df, vocabulary, end_id, size, id_col, text_col, with_ids), "pieces"), size)
+    return pack(stored(pieces(df, vocabulary, end_id, size, id_col, text_col, with_ids), "pieces", TEXT_BATCH_BYTES), size)
